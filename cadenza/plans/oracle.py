@@ -64,6 +64,12 @@ SELECT o_orderkey AS album, CASE WHEN o_orderkey % 10 = 0 THEN '0000-00-00' ELSE
     "seed_list": """
 SELECT concat(lower(s_name), '<SEP>', lower(p_name)) AS line FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 WHERE l_orderkey % 50 = 0""",
+    "enrich_input": """
+SELECT c.song_id, c.title, coalesce(b.name, '') AS release, c.artist AS artist_name, c.artist_id, a.gid AS artist_mbid
+FROM catalog c LEFT JOIN artists a ON a.artist_id = c.artist_id LEFT JOIN mb_album b ON b.id = c.album_id""",
+    "mb_artist": """SELECT artist_id AS id, gid, name FROM artists""",
+    "mb_tag": """SELECT DISTINCT substr(sha1(term), 1, 12) AS id, term AS name FROM artist_terms""",
+    "mb_artist_tag": """SELECT artist_id AS artist, substr(sha1(term), 1, 12) AS tag, freq AS count FROM artist_terms""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }

@@ -224,3 +224,32 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
     w = W.partitionBy("label").orderBy("vec_id")
     return e.select(F.col("label").alias("song_no"), (F.row_number().over(w) - 1).alias("seg_idx"), "vec_id")
+
+
+def enrich_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs as the enrichment step sees them: title, release (album name),
+    artist name and artist mbid ('' when unknown)."""
+    cat = catalog(spark, sf_dir).select("song_id", "title", "artist", "artist_id", "album_id")
+    art = artists(spark, sf_dir).select("artist_id", F.col("gid").alias("artist_mbid"))
+    alb = mb_album(spark, sf_dir).select(F.col("id").alias("album_id"), F.col("name").alias("release"))
+    return cat.join(art, "artist_id", "left").join(alb, "album_id", "left").select(
+        "song_id", "title", F.coalesce("release", F.lit("")).alias("release"),
+        F.col("artist").alias("artist_name"), "artist_id", "artist_mbid")
+
+
+def mb_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relational artist table (id, gid, name)."""
+    return artists(spark, sf_dir).select(F.col("artist_id").alias("id"), "gid", "name")
+
+
+def mb_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag table (id, name): one id per distinct term."""
+    t = artist_terms(spark, sf_dir).select(F.col("term").alias("name")).distinct()
+    return t.select(F.sha1("name").substr(1, 12).alias("id"), "name")
+
+
+def mb_artist_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """artist_tag (artist, tag, count) from the artist terms."""
+    t = artist_terms(spark, sf_dir)
+    return t.select(F.col("artist_id").alias("artist"), F.sha1("term").substr(1, 12).alias("tag"),
+                    F.col("freq").alias("count"))
