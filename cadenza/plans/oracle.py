@@ -109,6 +109,8 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({known[n].strip()})" for n in order)
     body = body.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH" and body[4:5].isspace():
         return f"WITH {ctes},\n{body[5:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -39,6 +39,6 @@ def register(name: str, sql: str | None = None, extra_views: dict[str, str] | No
 
 def load_all() -> dict[str, Entry]:
     # importing the query modules fills ENTRIES
-    from cadenza.plans import q_catalog, q_enrich, q_ml, q_recommend, q_stream  # noqa: F401
+    from cadenza.plans import q_catalog, q_discover, q_enrich, q_ml, q_recommend, q_stream  # noqa: F401
 
     return ENTRIES
