@@ -1 +1,327 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: features, K-Means, PCA, classifier, MMR."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from cadenza.functions import vectors as VX
+from cadenza.operators import clean as C
+from cadenza.operators import mmr as MM
+from cadenza.operators import recommend as RC
+from cadenza.plans import classify as CL
+from cadenza.plans import model as MD
+from cadenza.plans.q_catalog import CAMELOT_SQL
+from cadenza.plans.q_recommend import CENTER_SQL, label_centers, seeds_with_clusters
+from cadenza.plans.registry import register
+from cadenza.session import checkpoint_dir
+from cadenza.sources import catalog as V
+
+
+def training_songs(spark, sf):
+    """Cleaned catalog songs (P4) — the training input."""
+    return C.clean_catalog(V.catalog(spark, sf))
+
+
+def fitted_spec(spark, sf):
+    spec = MD.FeatureSpec()
+    spec.loudness_offset = MD.fit_loudness_offset(training_songs(spark, sf))
+    return spec
+
+
+FEAT_SQL = {
+    **CAMELOT_SQL,
+    "feat": """
+SELECT s.song_id, s.tempo,
+       s.loudness + abs((SELECT min(loudness) FROM catalog WHERE tempo BETWEEN 40 AND 250 AND time_signature BETWEEN 1 AND 5)) + 1 AS loudness_pos,
+       cos(2 * pi() * (CASE WHEN s.mode = 1 THEN c.major_num ELSE c.minor_num END - 1) / 12) AS camelot_cos,
+       sin(2 * pi() * (CASE WHEN s.mode = 1 THEN c.major_num ELSE c.minor_num END - 1) / 12) AS camelot_sin,
+       CASE WHEN s.mode = 1 THEN 1.0 ELSE 0.0 END AS camelot_mode_small,
+       CAST(s.time_signature AS DOUBLE) AS time_signature
+FROM catalog s JOIN camelot_tbl c ON c.k = s.key
+WHERE s.tempo BETWEEN 40 AND 250 AND s.time_signature BETWEEN 1 AND 5""",
+    "scaled": """
+SELECT song_id, """ + ", ".join(
+        f"CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE {c} / stddev_samp({c}) OVER () END AS s{i}"
+        for i, c in enumerate(MD.V8_COLUMNS)) + " FROM feat",
+}
+
+
+def _features(spark, sf):
+    spec = fitted_spec(spark, sf)
+    return MD.prepare(training_songs(spark, sf), spec), spec
+
+
+@register("assemble_features", "SELECT song_id, " + ", ".join(
+    f"round({c}, 6) AS f_{i}" for i, c in enumerate(MD.V8_COLUMNS)) + " FROM feat", FEAT_SQL)
+def q_m1(spark, sf):
+    df, spec = _features(spark, sf)
+    a = MD.assembler(spec).transform(df).withColumn("_a", vector_to_array("features_vec"))
+    return a.select("song_id", *[F.round(F.col("_a")[i], 6).alias(f"f_{i}") for i in range(len(spec.columns))])
+
+
+@register("scale_features", "SELECT song_id, " + ", ".join(
+    f"round(s{i}, 6) AS f_{i}" for i in range(6)) + " FROM scaled", FEAT_SQL)
+def q_m2(spark, sf):
+    df, spec = _features(spark, sf)
+    a = MD.assembler(spec).transform(df)
+    s = MD.scaler().fit(a).transform(a).withColumn("_a", vector_to_array("scaled_features"))
+    return s.select("song_id", *[F.round(F.col("_a")[i], 6).alias(f"f_{i}") for i in range(6)])
+
+
+@register("weight_features", "SELECT song_id, " + ", ".join(
+    f"round(s{i} * {w}, 6) AS f_{i}" for i, w in enumerate(MD.V8_WEIGHTS)) + " FROM scaled", FEAT_SQL)
+def q_h10(spark, sf):
+    df, spec = _features(spark, sf)
+    a = MD.assembler(spec).transform(df)
+    s = MD.scaler().fit(a).transform(a).withColumn("_a", vector_to_array("scaled_features"))
+    w = s.withColumn("_w", VX.weight_features("_a", spec.weights))
+    return w.select("song_id", *[F.round(F.col("_w")[i], 6).alias(f"f_{i}") for i in range(6)])
+
+
+@register("flatten_vector", "SELECT song_id, " + ", ".join(
+    f"round(s{i} * {w}, 6) AS f_{i}" for i, w in enumerate(MD.V8_WEIGHTS))
+          + ", CAST((key * 7 + time_signature) % 11 AS INT) AS label FROM scaled JOIN catalog USING (song_id)", FEAT_SQL)
+def q_h12(spark, sf):
+    df, spec = _features(spark, sf)
+    feats = MD.Pipeline(stages=[MD.assembler(spec), MD.scaler(), MD.weighting(spec)]).fit(df).transform(df)
+    arr = feats.withColumn("_w", vector_to_array("weighted_scaled_features")).withColumn(
+        "label", V.fixed_cluster(F.col("key"), F.col("time_signature").cast("int")))
+    flat = VX.flatten_vector(arr, "_w", len(spec.columns), keep=("song_id", "label"))
+    return flat.select("song_id", "label", *[F.round(f"f_{i}", 6).alias(f"f_{i}") for i in range(6)])
+
+
+@register("vector_array_roundtrip")
+def q_h11(spark, sf):
+    v = V.vectors(spark, sf)
+    back = v.withColumn("_v", array_to_vector("embedding")).withColumn("_a", vector_to_array("_v"))
+    return back.select("vec_id", (F.col("_a") == F.col("embedding")).alias("same"))
+
+
+@register("parse_vector_literal", "SELECT vec_id, embedding AS vec FROM vectors")
+def q_h13(spark, sf):
+    v = V.vectors(spark, sf).select("vec_id", F.to_json("embedding").alias("txt"))
+    return v.select("vec_id", VX.parse_vector_literal("txt").alias("vec"))
+
+
+def _fit(spark, sf, k=None):
+    spec = fitted_spec(spark, sf)
+    songs = training_songs(spark, sf)
+    return MD.fit_pipeline(songs, spec, k), spec, songs
+
+
+@register("fit_kmeans")
+def q_m3(spark, sf):
+    model, spec, songs = _fit(spark, sf)
+    centers = model.stages[-1].clusterCenters()
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
+    return spark.createDataFrame(rows, "cluster_id int, center array<double>")
+
+
+@register("predict_cluster")
+def q_m4(spark, sf):
+    model, spec, songs = _fit(spark, sf)
+    return MD.predict_cluster(model, songs, spec).select("song_id", "cluster_id")
+
+
+SIL_SQL = {
+    "pts": "SELECT vec_id, label, embedding AS e, list_dot_product(embedding, embedding) AS nn FROM vectors",
+    "cly": """
+SELECT label AS c, list(s ORDER BY d) AS y FROM (
+  SELECT label, d, sum(e[d]) AS s FROM pts, range(1, 65) t(d) GROUP BY label, d) GROUP BY label""",
+    "cl2": """
+SELECT c.c, c.n, c.psi, y.y FROM (SELECT label AS c, count(*) AS n, sum(nn) AS psi FROM pts GROUP BY label) c
+JOIN cly y ON y.c = c.c""",
+    "dist": """
+SELECT p.vec_id, p.label, c.c, c.n, p.nn + c.psi / c.n - 2 * list_dot_product(p.e, c.y) / c.n AS d FROM pts p, cl2 c""",
+    "coef": """
+SELECT vec_id, CASE WHEN own_n = 1 THEN 0.0
+                    WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END AS s FROM (
+  SELECT vec_id, max(CASE WHEN c = label THEN d * n / (n - 1) END) AS a,
+         min(CASE WHEN c <> label THEN d END) AS b, max(CASE WHEN c = label THEN n END) AS own_n
+  FROM dist GROUP BY vec_id)""",
+}
+
+
+@register("silhouette", "SELECT round(avg(s), 6) AS silhouette FROM coef", SIL_SQL)
+def q_m5(spark, sf):
+    v = V.vectors(spark, sf).withColumn("features", array_to_vector("embedding")) \
+        .withColumn("label", F.col("label").cast("double"))
+    s = MD.silhouette(v, "features", "label")
+    return spark.createDataFrame([(round(s, 6),)], "silhouette double")
+
+
+@register("sweep_k")
+def q_m6(spark, sf):
+    return MD.sweep_k(training_songs(spark, sf), fitted_spec(spark, sf), MD.SWEEP_V8)
+
+
+@register("search_weights")
+def q_m7(spark, sf):
+    spec = fitted_spec(spark, sf)
+    spec.columns = MD.V7_COLUMNS
+    return MD.search_weights(training_songs(spark, sf), spec)
+
+
+def _pca(spark, sf, k):
+    model, spec, songs = _fit(spark, sf)
+    pred = MD.predict_cluster(model, songs, spec)
+    return MD.pca_fit(pred, k), model, pred
+
+
+@register("pca_explained")
+def q_m8(spark, sf):
+    spec = fitted_spec(spark, sf)
+    df = MD.prepare(training_songs(spark, sf), spec)
+    a = MD.assembler(spec).transform(df)
+    scaled = MD.scaler().fit(a).transform(a)
+    return MD.pca_explained(MD.pca_fit(scaled, 5, "scaled_features"), spark)
+
+
+@register("pca_project_2d")
+def q_m9(spark, sf):
+    pca, _, pred = _pca(spark, sf, 2)
+    return MD.pca_project_2d(pca, pred)
+
+
+@register("project_centroids")
+def q_m10(spark, sf):
+    pca, model, _ = _pca(spark, sf, 2)
+    return MD.project_centroids(pca, model.stages[-1].clusterCenters(), spark)
+
+
+@register("projected_centroids")
+def q_a17(spark, sf):
+    pca, _, pred = _pca(spark, sf, 2)
+    return MD.projected_centroids(MD.pca_project_2d(pca, pred))
+
+
+@register("pipeline_fit")
+def q_m11(spark, sf):
+    model, spec, songs = _fit(spark, sf)
+    out = model.transform(MD.prepare(songs, spec))
+    return out.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_songs"))
+
+
+@register("save_load_model")
+def q_s13(spark, sf):
+    model, spec, songs = _fit(spark, sf)
+    path = checkpoint_dir(spark, "model")
+    MD.save_model(model, spec, path)
+    loaded, spec2 = MD.load_model(path)
+    a = MD.predict_cluster(model, songs, spec).select("song_id", F.col("cluster_id").alias("before"))
+    b = MD.predict_cluster(loaded, songs, spec2).select("song_id", F.col("cluster_id").alias("after"))
+    return a.join(b, "song_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") != F.col("after")).alias("changed"))
+
+
+# --- classifier --------------------------------------------------------------------
+
+SPLIT_SQL = """
+SELECT vec_id, label, rn - 1 AS class_rank, n FROM (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42'), vec_id) AS rn,
+         count(*) OVER (PARTITION BY label) AS n FROM vectors)"""
+
+
+@register("stratified_split", "SELECT vec_id, label, class_rank < round(n * 0.2) AS is_test FROM sp", {"sp": SPLIT_SQL})
+def q_w8(spark, sf):
+    return CL.stratified_split(V.vectors(spark, sf).select("vec_id", "label"), "label", "vec_id")
+
+
+@register("stratified_kfold", "SELECT vec_id, label, CAST(class_rank % 5 AS INT) AS fold FROM sp", {"sp": SPLIT_SQL})
+def q_w9(spark, sf):
+    return CL.stratified_kfold(V.vectors(spark, sf).select("vec_id", "label"), "label", "vec_id")
+
+
+def _classifier_data(spark, sf):
+    df, spec = _features(spark, sf)
+    feats = MD.Pipeline(stages=[MD.assembler(spec), MD.scaler(), MD.weighting(spec)]).fit(df).transform(df)
+    return feats.select("song_id", F.col("weighted_scaled_features").alias("features"),
+                        V.fixed_cluster(F.col("key"), F.col("time_signature").cast("int")).alias("label"))
+
+
+@register("train_cluster_classifier")
+def q_m12(spark, sf):
+    data = CL.stratified_split(_classifier_data(spark, sf), "label", "song_id")
+    model = CL.train_cluster_classifier(data.where(~F.col("is_test")), 6, 11)
+    r = CL.evaluate_classifier(CL.predict_proba(model, data.where(F.col("is_test"))))
+    return spark.createDataFrame([(r["accuracy"], r["f1_weighted"])], "accuracy double, f1_weighted double")
+
+
+@register("predict_cluster_proba")
+def q_m13(spark, sf):
+    data = CL.stratified_split(_classifier_data(spark, sf), "label", "song_id")
+    model = CL.train_cluster_classifier(data.where(~F.col("is_test")), 6, 11)
+    p = CL.predict_proba(model, data.where(F.col("is_test")))
+    return p.select("song_id", "label", "prediction", "probability")
+
+
+@register("cross_validate")
+def q_m15(spark, sf):
+    return CL.cross_validate(_classifier_data(spark, sf), 6, 11, id_col="song_id")
+
+
+def nearest_centroid_predictions(spark, sf):
+    centers, labels = label_centers(spark, sf)
+    out = RC.assign_nearest_centroid(V.vectors(spark, sf), centers)
+    lab = F.array(*[F.lit(int(x)) for x in labels])
+    return out.select("vec_id", "label", F.get(lab, F.col("cluster")).alias("prediction"))
+
+
+PRED_SQL = {**CENTER_SQL, "pred": """
+SELECT d.vec_id, v.label, CAST(arg_min(d.c, (d.d, d.c)) AS INT) AS prediction
+FROM dists d JOIN vectors v USING (vec_id) GROUP BY d.vec_id, v.label"""}
+
+LABELS = list(range(10))
+
+
+@register("confusion_matrix", "SELECT label, " + ", ".join(
+    f"count_if(prediction = {c}) AS pred_{c}" for c in LABELS) + " FROM pred GROUP BY label", PRED_SQL)
+def q_a18(spark, sf):
+    return CL.confusion_matrix(nearest_centroid_predictions(spark, sf), LABELS)
+
+
+REPORT_SQL = {**PRED_SQL, "per": """
+SELECT CAST(c AS VARCHAR) AS class, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support,
+       CASE WHEN coalesce(n_pred, 0) > 0 THEN coalesce(tp, 0) / n_pred ELSE 0.0 END AS precision,
+       CASE WHEN coalesce(support, 0) > 0 THEN coalesce(tp, 0) / support ELSE 0.0 END AS recall
+FROM (SELECT label AS c, count(*) AS support FROM pred GROUP BY 1) s
+FULL JOIN (SELECT prediction AS c, count(*) AS n_pred FROM pred GROUP BY 1) p USING (c)
+LEFT JOIN (SELECT label AS c, count(*) AS tp FROM pred WHERE label = prediction GROUP BY 1) t USING (c)""",
+    "per2": """
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per"""}
+
+
+@register("classification_report", """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+  SELECT class, precision, recall, f1, support FROM per2
+  UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support), sum(tp) / sum(support), sum(support) FROM per2
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per2
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM per2)""", REPORT_SQL)
+def q_a19(spark, sf):
+    return CL.classification_report(nearest_centroid_predictions(spark, sf))
+
+
+@register("evaluate_classifier", """
+SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(sum(f1 * support) / sum(support), 6) AS f1_weighted FROM per2""",
+          REPORT_SQL)
+def q_m14(spark, sf):
+    r = CL.evaluate_classifier(nearest_centroid_predictions(spark, sf))
+    return spark.createDataFrame([(round(r["accuracy"], 6), round(r["f1_weighted"], 6))], "accuracy double, f1_weighted double")
+
+
+# --- playlist ------------------------------------------------------------------------
+
+@register("mmr_rerank")
+def q_m16(spark, sf):
+    seeds = seeds_with_clusters(spark, sf)
+    top = RC.cosine_topn(seeds, V.vectors(spark, sf), n=MM.TOP_N)
+    cands = top.join(V.vectors(spark, sf).select("vec_id", "embedding"), "vec_id")
+    return MM.mmr_rerank(cands, MM.K_FINAL, MM.LAMBDA_REL).select("seed_id", "vec_id", "mmr_rank")
+
+
+@register("build_playlist")
+def q_m17(spark, sf):
+    meta = V.vectors(spark, sf).select("vec_id", "label")
+    return MM.build_playlist(seeds_with_clusters(spark, sf), V.vectors(spark, sf), meta).select(
+        "seed_id", "vec_id", "mmr_rank", "label")
