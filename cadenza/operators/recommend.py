@@ -39,28 +39,54 @@ def _points(catalog: DataFrame, keys: list[str], payload: list[str]) -> DataFram
     return catalog.groupBy(*keys, "tempo").agg(best)
 
 
-def nearest_by_tempo(probes: DataFrame, catalog: DataFrame, keys: list[str],
-                     payload: list[str] = ("song_id", "title", "artist", "tempo", "key")) -> DataFrame:
+def build_tempo_index(catalog: DataFrame, keys: list[str],
+                      payload: list[str] = ("song_id", "title", "artist", "tempo", "key")) -> tuple[DataFrame, DataFrame]:
+    """Catalog side of the as-of search: (points, grid).
+
+    ``points``: one row per distinct (keys, tempo) with the smallest song_id
+    there, tagged with its 1-BPM bucket.  ``grid``: for every (keys, bucket)
+    the nearest catalog point in a lower and in a higher bucket; its size is
+    (#distinct keys) × (TEMPO_HI − TEMPO_LO + 3), bounded by the key domain,
+    not by the data, so it is broadcast.  A serving job builds this once and
+    persists it; every request batch only probes it.
+    """
+    payload = list(payload)
+    if payload[0] != "song_id" or "tempo" not in payload:
+        raise ValueError("payload must start with song_id and contain tempo")
+    bucket = F.floor(F.col("tempo")).cast("int")
+    pts = _points(catalog, keys, payload).withColumn("bucket", bucket)
+    summary = pts.groupBy(*keys, "bucket").agg(
+        F.max(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("hi"),
+        F.min(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("lo"))
+    spark = catalog.sparkSession
+    buckets = spark.range(TEMPO_LO - 1, TEMPO_HI + 2).select(F.col("id").cast("int").alias("bucket"))
+    grid = summary.select(*keys).distinct().crossJoin(F.broadcast(buckets)).join(summary, [*keys, "bucket"], "left")
+    wk = Window.partitionBy(*keys).orderBy("bucket")
+    grid = grid.select(
+        *keys, "bucket",
+        F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1)).getField("s").alias("below"),
+        F.min("lo").over(wk.rowsBetween(1, Window.unboundedFollowing)).getField("s").alias("above"))
+    return pts, grid
+
+
+def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[str],
+                     payload: list[str] = ("song_id", "title", "artist", "tempo", "key"),
+                     index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """For each distinct probe point (keys, tempo) the catalog song minimising
     (|Δtempo|, song_id) among songs with equal ``keys``.
 
     ``probes`` has columns keys + ['tempo']; returns keys + ['tempo', 'song']
     where ``song`` is a struct of ``payload`` (null when no song matches).
-    Exact; no pairs are formed.
+    Exact; no request × song pairs are formed.
     """
-    payload = list(payload)
-    if payload[0] != "song_id" or "tempo" not in payload:
-        raise ValueError("payload must start with song_id and contain tempo")
-    cat = _points(catalog, keys, payload)
+    pts, grid = index if index is not None else build_tempo_index(catalog, keys, payload)
     probe_pts = probes.select(*keys, "tempo").distinct()
     bucket = F.floor(F.col("tempo")).cast("int")
-    both = (cat.select(*keys, "tempo", F.lit(0).alias("kind"), "song")
-            .unionByName(probe_pts.select(*keys, "tempo", F.lit(1).alias("kind"),
-                                          F.lit(None).cast(cat.schema["song"].dataType).alias("song")))
-            .withColumn("bucket", bucket))
+    both = (pts.select(*keys, "tempo", "bucket", F.lit(0).alias("kind"), "song")
+            .unionByName(probe_pts.select(*keys, "tempo", bucket.alias("bucket"), F.lit(1).alias("kind"),
+                                          F.lit(None).cast(pts.schema["song"].dataType).alias("song"))))
     part = [*keys, "bucket"]
-    order = ["tempo", "kind"]
-    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*part).orderBy("tempo", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # successor as a running frame over the reversed order: O(n) per partition
     # (an unbounded-following frame would be re-evaluated row by row)
     after = Window.partitionBy(*part).orderBy(F.desc("tempo"), F.desc("kind")) \
@@ -70,20 +96,6 @@ def nearest_by_tempo(probes: DataFrame, catalog: DataFrame, keys: list[str],
         F.last("song", ignorenulls=True).over(before).alias("pred"),
         F.last("song", ignorenulls=True).over(after).alias("succ"),
     ).where(F.col("kind") == 1).drop("kind")
-
-    # per-bucket extremes → dense grid of "nearest non-empty bucket below/above"
-    summary = cat.withColumn("bucket", bucket).groupBy(*keys, "bucket").agg(
-        F.max(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("hi"),
-        F.min(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("lo"))
-    spark = catalog.sparkSession
-    buckets = spark.range(TEMPO_LO - 1, TEMPO_HI + 2).select(F.col("id").cast("int").alias("bucket"))
-    grid = summary.select(*keys).distinct().crossJoin(F.broadcast(buckets)).join(summary, [*keys, "bucket"], "left")
-    wk = Window.partitionBy(*keys).orderBy("bucket")
-    grid = grid.select(
-        *keys, "bucket",
-        F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1)).getField("s").alias("below"),
-        F.min("lo").over(wk.rowsBetween(1, Window.unboundedFollowing)).getField("s").alias("above"))
-    # grid rows ≤ (#distinct keys) × (TEMPO_HI − TEMPO_LO + 3): bounded by the key domain
     resolved = local.join(F.broadcast(grid), [*keys, "bucket"], "left").select(
         *keys, "tempo",
         F.coalesce("pred", "below").alias("pred"), F.coalesce("succ", "above").alias("succ"))
@@ -116,20 +128,32 @@ def nearest_tempo_per_request(requests: DataFrame, catalog: DataFrame) -> DataFr
                       F.round(F.abs(F.col("song.tempo") - F.col("tempo")), 6).alias("tempo_diff"))
 
 
-def join_harmonic_nearest_tempo(requests: DataFrame, catalog: DataFrame) -> DataFrame:
+def harmonic_catalog(catalog: DataFrame) -> DataFrame:
+    """Catalog songs with their Camelot code (songs without one are dropped)."""
+    return H.with_camelot(catalog).where(F.col("camelot_num").isNotNull()).select(
+        "song_id", "title", "artist", "tempo", "key", "cluster_id", "camelot")
+
+
+def harmonic_index(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The J2 catalog index keyed by (cluster_id, camelot)."""
+    return build_tempo_index(harmonic_catalog(catalog), ["cluster_id", "camelot"])
+
+
+def join_harmonic_nearest_tempo(requests: DataFrame, catalog: DataFrame | None,
+                                index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """J2 — per request: among songs of its cluster whose Camelot code is one
     of the request's 4 neighbours, the nearest tempo (ties → song_id).
 
     ``requests``: recommendation_id, cluster_id, tempo, key, mode.
-    ``catalog``: song_id, title, artist, tempo, key, mode, cluster_id.
+    ``catalog``: song_id, title, artist, tempo, key, mode, cluster_id — or a
+    prebuilt ``index`` (:func:`harmonic_index`).
     Requests without a Camelot code or without any match get no row.
     """
     req = H.with_camelot(requests).where(F.col("camelot_num").isNotNull())
     probes = req.select("recommendation_id", "cluster_id", F.col("tempo"),
                         F.explode(H.camelot_neighbors(F.col("camelot_num"), F.col("camelot_letter"))).alias("camelot"))
-    cat = H.with_camelot(catalog).where(F.col("camelot_num").isNotNull()).select(
-        "song_id", "title", "artist", "tempo", "key", "cluster_id", "camelot")
-    ans = nearest_by_tempo(probes, cat, ["cluster_id", "camelot"])
+    index = index if index is not None else harmonic_index(catalog)
+    ans = nearest_by_tempo(probes, None, ["cluster_id", "camelot"], index=index)
     cand = probes.join(ans, ["cluster_id", "camelot", "tempo"]).where(F.col("song").isNotNull())
     diff = F.abs(F.col("song.tempo") - F.col("tempo"))
     best = cand.groupBy("recommendation_id").agg(
@@ -291,7 +315,8 @@ def cosine_col(a: Column, b: Column) -> Column:
     return cosine_similarity(a, b)
 
 
-def recommend_batch(requests: DataFrame, catalog: DataFrame, assign=None) -> DataFrame:
+def recommend_batch(requests: DataFrame, catalog: DataFrame | None, assign=None,
+                    index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """M18 — request rows → serving filters → cluster → J2 → (key, value)
     replies, for every request of the batch in one plan.
 
@@ -299,4 +324,4 @@ def recommend_batch(requests: DataFrame, catalog: DataFrame, assign=None) -> Dat
     default is the fixed rule used for oracle checks."""
     req = clean_requests(requests)
     req = assign(req) if assign is not None else with_fixed_cluster(req)
-    return format_replies(join_harmonic_nearest_tempo(req, catalog))
+    return format_replies(join_harmonic_nearest_tempo(req, catalog, index))

@@ -1 +1,144 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: streaming service and I/O round trips.
+
+Each stream query stages the request messages derived from ``events`` as
+JSON files in a fresh folder under the shared checkpoint folder, runs the
+Structured Streaming query with ``availableNow`` and returns what it wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cadenza.operators import clean as C
+from cadenza.plans.q_catalog import PARSED
+from cadenza.plans.q_recommend import RQ_SQL
+from cadenza.plans.registry import register
+from cadenza.session import checkpoint_dir
+from cadenza.sources import catalog as V
+from cadenza.sources import io as IO
+from cadenza.streaming import stream as ST
+
+VALID = {**PARSED, "parsed_valid": """
+SELECT * FROM parsed_requests
+WHERE tempo IS NOT NULL AND loudness IS NOT NULL AND key IS NOT NULL AND mode IS NOT NULL AND time_signature IS NOT NULL"""}
+STREAM_RQ = {**VALID, **{k: v.replace("FROM requests r", "FROM parsed_valid r") for k, v in RQ_SQL.items()}}
+
+
+def _staged(spark, sf, name):
+    base = checkpoint_dir(spark, name)
+    src = f"{base}/in"
+    ST.stage_messages(V.request_messages(spark, sf), src, files=4)
+    return base, src
+
+
+@register("stream_parse_requests", """
+SELECT recommendation_id, track_name, artist_name, tempo, loudness, key, mode, time_signature FROM parsed_valid""", VALID)
+def q_t1(spark, sf):
+    base, src = _staged(spark, sf, "t1")
+    good, _ = ST.stream_parse_requests(ST.read_requests_stream(spark, "files", src, max_files_per_trigger=1))
+    q = good.writeStream.format("parquet").option("path", f"{base}/out") \
+        .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        "recommendation_id", "track_name", "artist_name", "tempo", "loudness", "key", "mode", "time_signature")
+
+
+@register("stream_recommend", """
+SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value
+FROM j2""", STREAM_RQ)
+def q_t2(spark, sf):
+    base, src = _staged(spark, sf, "t2")
+    ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", f"{base}/dead")
+    return ST.read_output(spark, f"{base}/out").select("key", "value")
+
+
+@register("stream_recommend_v3", """
+SELECT w.recommendation_id AS key,
+       json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS value
+FROM w2 w JOIN clustered_catalog c ON c.song_id = w.song_id""", STREAM_RQ)
+def q_t3(spark, sf):
+    base, src = _staged(spark, sf, "t3")
+    ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", mode="top3")
+    return ST.read_output(spark, f"{base}/out").select("key", "value")
+
+
+@register("stream_checkpoint_restart")
+def q_t5(spark, sf):
+    base, src = _staged(spark, sf, "t5")
+    cat = V.clustered_catalog(spark, sf)
+    ST.stream_recommend(spark, cat, src, f"{base}/out", f"{base}/ckpt")
+    first = spark.read.parquet(f"{base}/out").count()
+    ST.stream_recommend(spark, cat, src, f"{base}/out", f"{base}/ckpt")   # restart: nothing new to read
+    second = spark.read.parquet(f"{base}/out").count()
+    batches = spark.read.parquet(f"{base}/out").select("batch_id").distinct().count()
+    return spark.createDataFrame([(first, second, batches)], "rows_after_first_run long, rows_after_restart long, batches long")
+
+
+@register("stream_error_isolation", """
+SELECT recommendation_id, json_str,
+       CASE WHEN track_name IS NULL AND artist_name IS NULL AND tempo IS NULL THEN 'unreadable'
+            ELSE concat_ws(',', CASE WHEN tempo IS NULL THEN 'tempo' END, CASE WHEN loudness IS NULL THEN 'loudness' END,
+                 CASE WHEN key IS NULL THEN 'key' END, CASE WHEN mode IS NULL THEN 'mode' END,
+                 CASE WHEN time_signature IS NULL THEN 'time_signature' END) END AS reason
+FROM parsed_requests
+WHERE tempo IS NULL OR loudness IS NULL OR key IS NULL OR mode IS NULL OR time_signature IS NULL""", PARSED)
+def q_t6(spark, sf):
+    base, src = _staged(spark, sf, "t6")
+    ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", f"{base}/dead")
+    return ST.read_output(spark, f"{base}/dead").select("recommendation_id", "json_str", "reason")
+
+
+# --- sources and sinks: write, read back ----------------------------------------------
+
+@register("scan_clustered_csv", "SELECT title, artist, tempo, key, mode, cluster_id FROM clustered_catalog")
+def q_s2(spark, sf):
+    path = checkpoint_dir(spark, "csv")
+    IO.export_clustered_catalog(V.clustered_catalog(spark, sf), path)
+    return IO.scan_clustered_csv(spark, path)
+
+
+@register("export_clustered_catalog", "SELECT count(*) AS n_rows, count(DISTINCT cluster_id) AS n_clusters FROM clustered_catalog")
+def q_s10(spark, sf):
+    path = checkpoint_dir(spark, "export")
+    IO.export_clustered_catalog(V.clustered_catalog(spark, sf), path)
+    back = IO.scan_clustered_csv(spark, path)
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster_id").alias("n_clusters"))
+
+
+@register("scan_union_parts", """
+SELECT song_id, tempo, danceability FROM songs WHERE mode = 0 UNION ALL
+SELECT song_id, tempo, NULL FROM songs WHERE mode = 1""")
+def q_s3(spark, sf):
+    base = checkpoint_dir(spark, "parts")
+    s = V.songs(spark, sf)
+    s.where(F.col("mode") == 0).select("song_id", "tempo", "danceability").write.parquet(f"{base}/a")
+    s.where(F.col("mode") == 1).select("song_id", "tempo").write.parquet(f"{base}/b")
+    return IO.scan_union_parts(spark, [f"{base}/a", f"{base}/b"])
+
+
+@register("write_batches", "SELECT * EXCLUDE (added_at) FROM catalog")
+def q_s8(spark, sf):
+    path = checkpoint_dir(spark, "batches")
+    IO.write_batches(V.catalog(spark, sf).drop("added_at"), path)
+    return spark.read.parquet(path)
+
+
+@register("write_single_file", "SELECT song_id, tempo, key, mode FROM clean_songs")
+def q_s9(spark, sf):
+    path = checkpoint_dir(spark, "single")
+    IO.write_single_file(C.clean_catalog(V.songs(spark, sf)).select("song_id", "tempo", "key", "mode"), path)
+    return spark.read.parquet(path)
+
+
+@register("write_sharded_by_id", "SELECT song_id, substr(song_id, 3, 1) AS s1 FROM catalog")
+def q_s11(spark, sf):
+    path = checkpoint_dir(spark, "shards")
+    IO.write_sharded_by_id(V.catalog(spark, sf).select("song_id"), path)
+    return spark.read.parquet(path).select("song_id", "s1")
+
+
+@register("songs_metadata_table", """
+SELECT song_id, arg_min(title, (title, artist)) AS title, arg_min(artist, (title, artist)) AS artist
+FROM songs GROUP BY song_id""")
+def q_s14(spark, sf):
+    return IO.songs_metadata_table(V.songs(spark, sf))
