@@ -64,7 +64,9 @@ def ragged_slice(flat: DataFrame, offsets: DataFrame, pos: str = "pos", order: s
     elems = flat.select(F.col(pos).cast("long").alias("_p"), F.lit(1).alias("_k"),
                         F.lit(None).cast(offsets.schema[order].dataType).alias("_o"), F.col("value").cast("double").alias("_v"))
     split = _range_split(starts.unionByName(elems), ["_p", "_k", "_o"], parts)
-    last_per = split.where(F.col("_k") == 0).groupBy("_pid").agg(F.max(F.struct("_p", "_o")).alias("_m"))
+    # one row per partition id, also for partitions holding only elements
+    last_per = split.groupBy("_pid").agg(
+        F.max(F.when(F.col("_k") == 0, F.struct("_p", "_o"))).alias("_m"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = last_per.select("_pid", F.max("_m").over(wp).getField("_o").alias("_carry"))  # ≤ #partitions rows
     wl = Window.partitionBy("_pid").orderBy("_p", "_k", "_o").rowsBetween(Window.unboundedPreceding, 0)
