@@ -372,3 +372,31 @@ SELECT label, CAST(d - 1 AS INT) AS dim, round(avg(embedding[d]), 6) AS mean
 FROM vectors, range(1, 65) t(d) GROUP BY label, d""")
 def q_centroids(spark, sf):
     return S.cluster_centroids(V.vectors(spark, sf), EMBED_DIM)
+
+
+@register("rows_to_frame", """
+SELECT CAST(c.num AS VARCHAR) || c.letter AS camelot, count(*) AS n_songs
+FROM clean_songs s JOIN (SELECT k, major_num AS num, 'B' AS letter, 1 AS mode FROM camelot_tbl UNION ALL
+                         SELECT k, minor_num, 'A', 0 FROM camelot_tbl) c ON c.k = s.key AND c.mode = s.mode
+GROUP BY 1""", CAMELOT_SQL)
+def q_s12(spark, sf):
+    """The Camelot wheel (fixed values, 24 rows) as a frame, joined to the
+    catalog: songs per wheel position."""
+    from cadenza.sources.io import rows_to_frame
+    rows = [(k, H.CAMELOT_MAJOR[k], "B", 1) for k in range(12)] + [(k, H.CAMELOT_MINOR[k], "A", 0) for k in range(12)]
+    wheel = rows_to_frame(spark, rows, "k int, num int, letter string, mode int")
+    s = C.clean_catalog(V.songs(spark, sf))
+    j = s.join(F.broadcast(wheel), (s.key == wheel.k) & (s.mode == wheel.mode))   # 24 rows: fixed size
+    return j.groupBy(F.concat(F.col("num").cast("string"), F.col("letter")).alias("camelot")).agg(
+        F.count(F.lit(1)).alias("n_songs"))
+
+
+@register("tempo_diff", """
+SELECT s.song_id, round(abs(s.tempo - c.avg_tempo), 6) AS tempo_diff
+FROM clustered_catalog s JOIN (SELECT cluster_id, avg(tempo) AS avg_tempo FROM clustered_catalog GROUP BY 1) c
+  ON c.cluster_id = s.cluster_id""")
+def q_h15(spark, sf):
+    cat = V.clustered_catalog(spark, sf)
+    centre = cat.groupBy("cluster_id").agg(F.avg("tempo").alias("avg_tempo"))   # one row per cluster
+    return cat.join(F.broadcast(centre), "cluster_id").select(
+        "song_id", R6(H.tempo_diff(F.col("tempo"), F.col("avg_tempo"))).alias("tempo_diff"))

@@ -203,7 +203,7 @@ def q_m11(spark, sf):
     return out.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_songs"))
 
 
-@register("save_load_model")
+@register("save_model")
 def q_s13(spark, sf):
     model, spec, songs = _fit(spark, sf)
     path = checkpoint_dir(spark, "model")

@@ -142,3 +142,45 @@ SELECT song_id, arg_min(title, (title, artist)) AS title, arg_min(artist, (title
 FROM songs GROUP BY song_id""")
 def q_s14(spark, sf):
     return IO.songs_metadata_table(V.songs(spark, sf))
+
+
+@register("read_requests_stream", "SELECT key, value FROM request_messages")
+def q_s6(spark, sf):
+    base, src = _staged(spark, sf, "s6")
+    raw = ST.read_requests_stream(spark, "files", src, max_files_per_trigger=2)
+    q = raw.writeStream.format("parquet").option("path", f"{base}/out") \
+        .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("key", "value")
+
+
+@register("write_replies", """
+SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value,
+       0 AS batch_id FROM j2""", RQ_SQL)
+def q_s7(spark, sf):
+    from cadenza.operators import recommend as RC
+    path = checkpoint_dir(spark, "replies")
+    replies = RC.recommend_batch(V.requests(spark, sf), V.clustered_catalog(spark, sf))
+    IO.write_replies(replies, "parquet", path, batch_id=0)
+    IO.write_replies(replies, "parquet", path, batch_id=0)   # replay of the same batch: overwritten, not duplicated
+    return spark.read.parquet(path).select("key", "value", "batch_id")
+
+
+@register("scan_relational", """
+SELECT 'artist' AS "table", count(*) AS n_rows FROM mb_artist UNION ALL
+SELECT 'track', count(*) FROM mb_track UNION ALL
+SELECT 'album', count(*) FROM mb_album UNION ALL
+SELECT 'release', count(*) FROM mb_release UNION ALL
+SELECT 'artist_tag', count(*) FROM mb_artist_tag""")
+def q_s5(spark, sf):
+    """The music-DB tables as DataFrames.  Production reads them with
+    ``io.scan_relational`` (JDBC, partitioned); no database is reachable
+    here, so the same tables come from the parquet adapter views."""
+    from cadenza.operators.stats import count_rows
+    parts = [("artist", V.mb_artist), ("track", V.mb_track), ("album", V.mb_album), ("release", V.mb_release),
+             ("artist_tag", V.mb_artist_tag)]
+    out = None
+    for name, fn in parts:
+        c = count_rows(fn(spark, sf), name)
+        out = c if out is None else out.unionByName(c)
+    return out
