@@ -143,20 +143,20 @@ def q_summary(spark, sf):
 @register("data_quality_scan", """
 WITH one AS (
   SELECT count(*) AS n_rows,
-    count_if(tempo IS NULL) AS tempo_null, count_if(isnan(tempo)) AS tempo_nan,
-    count_if(tempo IS NOT NULL AND NOT tempo BETWEEN 40 AND 250) AS tempo_ood,
-    count_if(loudness IS NULL) AS loudness_null, count_if(isnan(loudness)) AS loudness_nan,
-    count_if(key IS NULL) AS key_null, count_if(key IS NOT NULL AND NOT key BETWEEN 0 AND 11) AS key_ood,
-    count_if(mode IS NULL) AS mode_null, count_if(mode IS NOT NULL AND NOT mode BETWEEN 0 AND 1) AS mode_ood,
-    count_if(time_signature IS NULL) AS ts_null,
-    count_if(time_signature IS NOT NULL AND NOT time_signature BETWEEN 1 AND 5) AS ts_ood
+    CAST(count_if(tempo IS NULL) AS BIGINT) AS tempo_null, CAST(count_if(isnan(tempo)) AS BIGINT) AS tempo_nan,
+    CAST(count_if(tempo IS NOT NULL AND NOT tempo BETWEEN 40 AND 250) AS BIGINT) AS tempo_ood,
+    CAST(count_if(loudness IS NULL) AS BIGINT) AS loudness_null, CAST(count_if(isnan(loudness)) AS BIGINT) AS loudness_nan,
+    CAST(count_if(key IS NULL) AS BIGINT) AS key_null, CAST(count_if(key IS NOT NULL AND NOT key BETWEEN 0 AND 11) AS BIGINT) AS key_ood,
+    CAST(count_if(mode IS NULL) AS BIGINT) AS mode_null, CAST(count_if(mode IS NOT NULL AND NOT mode BETWEEN 0 AND 1) AS BIGINT) AS mode_ood,
+    CAST(count_if(time_signature IS NULL) AS BIGINT) AS ts_null,
+    CAST(count_if(time_signature IS NOT NULL AND NOT time_signature BETWEEN 1 AND 5) AS BIGINT) AS ts_ood
   FROM songs)
 SELECT c AS "column", n_rows, n_null, n_nan, n_out_of_domain, n_rows = 60000 AS rows_as_expected FROM (
   SELECT 'tempo' AS c, n_rows, tempo_null AS n_null, tempo_nan AS n_nan, tempo_ood AS n_out_of_domain FROM one UNION ALL
-  SELECT 'loudness', n_rows, loudness_null, loudness_nan, 0 FROM one UNION ALL
-  SELECT 'key', n_rows, key_null, 0, key_ood FROM one UNION ALL
-  SELECT 'mode', n_rows, mode_null, 0, mode_ood FROM one UNION ALL
-  SELECT 'time_signature', n_rows, ts_null, 0, ts_ood FROM one)""")
+  SELECT 'loudness', n_rows, loudness_null, loudness_nan, CAST(0 AS BIGINT) FROM one UNION ALL
+  SELECT 'key', n_rows, key_null, CAST(0 AS BIGINT), key_ood FROM one UNION ALL
+  SELECT 'mode', n_rows, mode_null, CAST(0 AS BIGINT), mode_ood FROM one UNION ALL
+  SELECT 'time_signature', n_rows, ts_null, CAST(0 AS BIGINT), ts_ood FROM one)""")
 def q_quality(spark, sf):
     s = V.songs(spark, sf).select("tempo", "loudness", "key", "mode", "time_signature")
     return C.data_quality_scan(s, {"tempo": (40, 250), "key": (0, 11), "mode": (0, 1), "time_signature": (1, 5)},
@@ -245,7 +245,7 @@ def q_camelot_circular(spark, sf):
 
 
 @register("camelot_mode_small", """
-SELECT recommendation_id, CASE WHEN camelot_letter = 'B' THEN 1.0 ELSE 0.0 END AS camelot_mode_small FROM req_camelot""",
+SELECT recommendation_id, CAST(CASE WHEN camelot_letter = 'B' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS camelot_mode_small FROM req_camelot""",
           {**CAMELOT_SQL, "req_camelot": REQ_CAMELOT_SQL})
 def q_camelot_mode_small(spark, sf):
     r = H.with_camelot(V.requests(spark, sf))
@@ -317,7 +317,7 @@ def _profile_sql(cols, qs=(0.25, 0.5, 0.75)):
             f"list_sort(list(CAST({c} AS DOUBLE)))[CAST(greatest(ceil({q} * count({c})), 1) AS BIGINT)] AS q{int(q * 100)}"
             for q in qs)
         parts.append(
-            f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count_if({c} IS NULL) AS n_null, "
+            f"SELECT '{c}' AS \"column\", count(*) AS n_rows, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
             f"count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
             f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, {qsql} FROM clean_songs")
     return " UNION ALL ".join(parts)

@@ -61,7 +61,7 @@ def q_k1(spark, sf):
 
 
 @register("top_terms", """
-SELECT term, sum(freq) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT 200""")
+SELECT term, CAST(sum(freq) AS BIGINT) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT 200""")
 def q_k2(spark, sf):
     return D.top_terms(V.artist_terms(spark, sf))
 

@@ -135,8 +135,8 @@ def q_p13(spark, sf):
 
 
 @register("enrichment_coverage", """
-SELECT count(*) AS n_songs, count_if(coalesce(s.artist_mbid, '') <> '') AS with_mbid,
-       count_if(y.year > 0) AS with_year, count_if(coalesce(len(t.tags), 0) > 0) AS with_tags
+SELECT count(*) AS n_songs, CAST(count_if(coalesce(s.artist_mbid, '') <> '') AS BIGINT) AS with_mbid,
+       CAST(count_if(y.year > 0) AS BIGINT) AS with_year, CAST(count_if(coalesce(len(t.tags), 0) > 0) AS BIGINT) AS with_tags
 FROM enrich_input s LEFT JOIN years y ON y.song_id = s.song_id LEFT JOIN tags t ON t.artist_id = s.artist_id""", MB_SQL)
 def q_a13(spark, sf):
     a, t, b, r = _mb(spark, sf)
@@ -220,8 +220,8 @@ def q_h23(spark, sf):
 
 @register("publish_requests", """
 SELECT upper(substr(sha1(track_name || '-' || artist_name), 1, 16)) AS key,
-       json_object('track_name', track_name, 'artist_name', artist_name, 'tempo', tempo, 'loudness', loudness,
-                   'key', key, 'mode', mode, 'time_signature', time_signature) AS value
+       CAST(json_object('track_name', track_name, 'artist_name', artist_name, 'tempo', tempo, 'loudness', loudness,
+                   'key', key, 'mode', mode, 'time_signature', time_signature) AS VARCHAR) AS value
 FROM normalized""", NOTES_SQL)
 def q_t4(spark, sf):
     from cadenza.operators.clean import validate_required
@@ -247,15 +247,15 @@ def q_h24(spark, sf):
 
 
 @register("spotify_shape_features", "SELECT track_name, artist_name, tempo, loudness, tempo * 1000 / 1000 AS duration, "
-          "key, mode, time_signature, " + ", ".join([f"0.0 AS timbre_mean_{i}" for i in range(12)] +
-                                                   [f"1.0 AS timbre_std_{i}" for i in range(12)]) + " FROM requests")
+          "key, mode, time_signature, " + ", ".join([f"CAST(0.0 AS DOUBLE) AS timbre_mean_{i}" for i in range(12)] +
+                                                   [f"CAST(1.0 AS DOUBLE) AS timbre_std_{i}" for i in range(12)]) + " FROM requests")
 def q_h27(spark, sf):
     r = V.requests(spark, sf).withColumn("duration_ms", F.col("tempo") * 1000)
     return PL.spotify_shape_features(r)
 
 
 @register("parse_request_json", """
-SELECT recommendation_id, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value
+SELECT recommendation_id, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value
 FROM j2_src""",
           {"j2_src": "SELECT recommendation_id, artist_name AS artist, track_name AS title, tempo, CAST(key AS INT) AS key FROM requests"})
 def q_h16(spark, sf):

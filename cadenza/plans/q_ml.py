@@ -36,7 +36,7 @@ SELECT s.song_id, s.tempo,
        s.loudness + abs((SELECT min(loudness) FROM catalog WHERE tempo BETWEEN 40 AND 250 AND time_signature BETWEEN 1 AND 5)) + 1 AS loudness_pos,
        cos(2 * pi() * (CASE WHEN s.mode = 1 THEN c.major_num ELSE c.minor_num END - 1) / 12) AS camelot_cos,
        sin(2 * pi() * (CASE WHEN s.mode = 1 THEN c.major_num ELSE c.minor_num END - 1) / 12) AS camelot_sin,
-       CASE WHEN s.mode = 1 THEN 1.0 ELSE 0.0 END AS camelot_mode_small,
+       CAST(CASE WHEN s.mode = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS camelot_mode_small,
        CAST(s.time_signature AS DOUBLE) AS time_signature
 FROM catalog s JOIN camelot_tbl c ON c.k = s.key
 WHERE s.tempo BETWEEN 40 AND 250 AND s.time_signature BETWEEN 1 AND 5""",
@@ -275,7 +275,7 @@ LABELS = list(range(10))
 
 
 @register("confusion_matrix", "SELECT label, " + ", ".join(
-    f"count_if(prediction = {c}) AS pred_{c}" for c in LABELS) + " FROM pred GROUP BY label", PRED_SQL)
+    f"CAST(count_if(prediction = {c}) AS BIGINT) AS pred_{c}" for c in LABELS) + " FROM pred GROUP BY label", PRED_SQL)
 def q_a18(spark, sf):
     return CL.confusion_matrix(nearest_centroid_predictions(spark, sf), LABELS)
 
@@ -292,7 +292,7 @@ SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precis
 
 
 @register("classification_report", """
-SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM (
   SELECT class, precision, recall, f1, support FROM per2
   UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support), sum(tp) / sum(support), sum(support) FROM per2
   UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per2

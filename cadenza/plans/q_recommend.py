@@ -42,7 +42,7 @@ SELECT recommendation_id, song_id, title, artist, tempo, key, round(d, 6) AS tem
          row_number() OVER (PARTITION BY n.recommendation_id ORDER BY abs(c.tempo - n.tempo), c.song_id) AS rn
   FROM rq_nb n JOIN cat_cam c ON c.cluster_id = n.cluster_id AND c.camelot = n.camelot) WHERE rn = 1""",
     "w2": """
-SELECT recommendation_id, cluster_id, song_id, title, artist, rank FROM (
+SELECT recommendation_id, cluster_id, song_id, title, artist, CAST(rank AS INT) AS rank FROM (
   SELECT q.recommendation_id, q.cluster_id, c.song_id, c.title, c.artist,
          row_number() OVER (PARTITION BY q.recommendation_id ORDER BY c.song_id) AS rank
   FROM rq q JOIN clustered_catalog c ON c.cluster_id = q.cluster_id) WHERE rank <= 3""",
@@ -91,9 +91,9 @@ def q_j9(spark, sf):
 REPLY_SQL = {
     **RQ_SQL,
     "replies": """
-SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value, 0 AS seq FROM j2
+SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value, 0 AS seq FROM j2
 UNION ALL
-SELECT w.recommendation_id, json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key), w.rank
+SELECT w.recommendation_id, CAST(json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS VARCHAR), w.rank
 FROM w2 w JOIN clustered_catalog c ON c.song_id = w.song_id""",
 }
 
@@ -107,7 +107,7 @@ def _replies(spark, sf):
 
 
 @register("fetch_reply", """
-SELECT key, value, n FROM (
+SELECT key, value, CAST(n AS INT) AS n FROM (
   SELECT key, value, row_number() OVER (PARTITION BY key ORDER BY seq, value) AS n FROM replies
   WHERE key IN (SELECT recommendation_id FROM requests)) WHERE n <= 3""", REPLY_SQL)
 def q_j13(spark, sf):
@@ -115,7 +115,7 @@ def q_j13(spark, sf):
 
 
 @register("recommend_batch", """
-SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value
+SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value
 FROM j2""", RQ_SQL)
 def q_m18(spark, sf):
     return RC.recommend_batch(V.requests(spark, sf), V.clustered_catalog(spark, sf))
@@ -179,7 +179,7 @@ WITH seeds AS (SELECT vec_id AS seed_id, embedding AS e, list(c ORDER BY d, c)[1
 cand AS (SELECT s.seed_id, v.vec_id, v.label,
                 list_dot_product(s.e, v.embedding) / (sqrt(list_dot_product(s.e, s.e)) * sqrt(list_dot_product(v.embedding, v.embedding))) AS cosine
          FROM seeds s JOIN vectors v ON list_contains(s.top_clusters, v.label) AND v.vec_id <> s.seed_id)
-SELECT seed_id, vec_id, label, round(cosine, 6) AS cosine, rank FROM (
+SELECT seed_id, vec_id, label, round(cosine, 6) AS cosine, CAST(rank AS INT) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY cosine DESC, vec_id) AS rank FROM cand) WHERE rank <= 200""",
           CENTER_SQL)
 def q_w7(spark, sf):

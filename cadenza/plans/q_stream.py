@@ -44,7 +44,7 @@ def q_t1(spark, sf):
 
 
 @register("stream_recommend", """
-SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value
+SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value
 FROM j2""", STREAM_RQ)
 def q_t2(spark, sf):
     base, src = _staged(spark, sf, "t2")
@@ -54,7 +54,7 @@ def q_t2(spark, sf):
 
 @register("stream_recommend_v3", """
 SELECT w.recommendation_id AS key,
-       json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS value
+       CAST(json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS VARCHAR) AS value
 FROM w2 w JOIN clustered_catalog c ON c.song_id = w.song_id""", STREAM_RQ)
 def q_t3(spark, sf):
     base, src = _staged(spark, sf, "t3")
@@ -155,7 +155,7 @@ def q_s6(spark, sf):
 
 
 @register("write_replies", """
-SELECT recommendation_id AS key, json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS value,
+SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value,
        0 AS batch_id FROM j2""", RQ_SQL)
 def q_s7(spark, sf):
     from cadenza.operators import recommend as RC
