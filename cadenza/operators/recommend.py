@@ -28,6 +28,7 @@ from cadenza.functions import harmony as H
 from cadenza.functions.vectors import cosine_similarity, squared_distance
 
 TEMPO_LO, TEMPO_HI = 40, 250
+SEED_BLOCK, CAND_CHUNK = 1024, 2048   # in-task blocking of the cosine product (memory ≈ block × (N + chunk))
 
 
 # --- nearest tempo (as-of search) -------------------------------------------------
@@ -208,27 +209,32 @@ def fetch_reply(request_ids: DataFrame, replies: DataFrame, limit: int = 3) -> D
 
 # --- vectors: centroids, probabilities, cosine top-N --------------------------------
 
+def _centers_literal(centers: list[list[float]]) -> Column:
+    return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
+
+
 def assign_nearest_centroid(vectors: DataFrame, centers: list[list[float]], vec_col: str = "embedding",
                             out: str = "cluster") -> DataFrame:
     """J10 — argmin squared distance to k fixed centres (ties → lower id).
 
     The k centres are model parameters (bounded by k × d) and enter the plan
-    as a literal array, so the assignment is one projection — no join."""
-    cs = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    d = F.transform(cs, lambda c, i: F.struct(squared_distance(F.col(vec_col), c).alias("d"), i.alias("i")))
-    best = F.array_min(d)
-    return vectors.withColumn(out, best.getField("i").cast("int")).withColumn("sqdist", best.getField("d"))
+    as a literal array, so the assignment is one projection — no join.
+    Intermediate arrays are separate projections so no higher-order
+    expression is evaluated more than once per row."""
+    d = F.transform(_centers_literal(centers),
+                    lambda c, i: F.struct(squared_distance(F.col(vec_col), c).alias("d"), i.alias("i")))
+    best = vectors.withColumn("_best", F.array_min(d))
+    return best.withColumn(out, F.col("_best.i").cast("int")).withColumn("sqdist", F.col("_best.d")).drop("_best")
 
 
 def centroid_probabilities(vectors: DataFrame, centers: list[list[float]], vec_col: str = "embedding",
                            out: str = "probability") -> DataFrame:
     """Class probabilities softmax(−squared distance) over the k centres."""
-    cs = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    neg = F.transform(cs, lambda c: -squared_distance(F.col(vec_col), c))
-    mx = F.array_max(neg)
-    ex = F.transform(neg, lambda v: F.exp(v - mx))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, v: a + v)
-    return vectors.withColumn(out, F.transform(ex, lambda v: v / tot))
+    neg = F.transform(_centers_literal(centers), lambda c: -squared_distance(F.col(vec_col), c))
+    df = vectors.withColumn("_neg", neg).withColumn("_mx", F.array_max("_neg"))
+    df = df.withColumn("_ex", F.transform("_neg", lambda v: F.exp(v - F.col("_mx"))))
+    df = df.withColumn("_tot", F.aggregate("_ex", F.lit(0.0), lambda a, v: a + v))
+    return df.withColumn(out, F.transform("_ex", lambda v: v / F.col("_tot"))).drop("_neg", "_mx", "_ex", "_tot")
 
 
 def topc_clusters(df: DataFrame, c: int = 2, prob_col: str = "probability") -> DataFrame:
@@ -285,25 +291,38 @@ def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: st
         for j, t in enumerate(tp):
             for c in t:
                 by_cluster.setdefault(int(c), []).append(j)
-        keep: dict[int, pd.DataFrame] = {}
+        # running top-n per seed, per cluster: (sims, ids) arrays padded with -inf
+        state: dict[int, tuple] = {}
         for pdf in batches:
             for c, g in pdf.groupby(label):
                 js = by_cluster.get(int(c))
                 if not js:
                     continue
+                ids = g["vec_id"].to_numpy(dtype=np.int64)
                 x = np.stack(g["embedding"].to_numpy()).astype(np.float64)
                 xn = np.linalg.norm(x, axis=1)
-                sims = (m[js] @ x.T) / np.outer(norms[js], np.where(xn == 0, 1e-12, xn))
-                for row, j in enumerate(js):
-                    df = pd.DataFrame({"vec_id": g["vec_id"].to_numpy(), "cosine": sims[row]})
-                    if exclude_self:
-                        df = df[df["vec_id"] != sid[j]]
-                    df[label] = int(c)
-                    prev = keep.get(j)
-                    df = df if prev is None else pd.concat([prev, df])
-                    keep[j] = df.sort_values(["cosine", "vec_id"], ascending=[False, True]).head(n)
-        for j, df in keep.items():
-            yield df.assign(seed_id=int(sid[j]))[["seed_id", "vec_id", "cosine", label]]
+                xn[xn == 0] = 1e-12
+                for lo in range(0, len(js), SEED_BLOCK):
+                    blk = np.asarray(js[lo:lo + SEED_BLOCK])
+                    key = (int(c), lo)
+                    top_s, top_i = state.get(key, (np.full((len(blk), n), -np.inf), np.full((len(blk), n), np.iinfo(np.int64).max)))
+                    for a in range(0, len(ids), CAND_CHUNK):
+                        xi, xx, xxn = ids[a:a + CAND_CHUNK], x[a:a + CAND_CHUNK], xn[a:a + CAND_CHUNK]
+                        sims = (m[blk] @ xx.T) / np.outer(norms[blk], xxn)
+                        if exclude_self:
+                            sims[sid[blk][:, None] == xi[None, :]] = -np.inf
+                        all_s = np.concatenate([top_s, sims], axis=1)
+                        all_i = np.concatenate([top_i, np.broadcast_to(xi, sims.shape)], axis=1)
+                        order = np.lexsort((all_i, -all_s), axis=1)[:, :n]
+                        top_s = np.take_along_axis(all_s, order, axis=1)
+                        top_i = np.take_along_axis(all_i, order, axis=1)
+                    state[key] = (top_s, top_i)
+        for (c, lo), (top_s, top_i) in state.items():
+            blk = np.asarray(by_cluster[c][lo:lo + SEED_BLOCK])
+            keep = np.isfinite(top_s)
+            rows = np.nonzero(keep)
+            yield pd.DataFrame({"seed_id": sid[blk][rows[0]], "vec_id": top_i[keep], "cosine": top_s[keep],
+                                label: np.full(int(keep.sum()), c, dtype=np.int32)})
 
     partial = candidates.select("vec_id", "embedding", F.col(label).cast("int").alias(label)).mapInPandas(score, schema)
     w = Window.partitionBy("seed_id").orderBy(F.desc("cosine"), "vec_id")

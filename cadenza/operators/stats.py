@@ -99,15 +99,15 @@ def profile_columns(df: DataFrame, cols: Sequence[str], exact: bool = True,
             F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
             r6(F.avg(x)).alias(f"{c}__mean"), r6(F.stddev_samp(x)).alias(f"{c}__std"),
         ]
-        for q in quantiles:
-            aggs.append(F.percentile_approx(x, q, accuracy).alias(f"{c}__q{int(q * 100)}"))
+        # one sketch per column for all quantiles
+        aggs.append(F.percentile_approx(x, list(quantiles), accuracy).alias(f"{c}__qs"))
     one = df.agg(*aggs)
     structs = []
     for c in cols:
         fields = [F.lit(c).alias("column"), F.col(f"{c}__nulls").alias("n_null"),
                   F.col(f"{c}__distinct").alias("n_distinct"), F.col(f"{c}__min").alias("min"),
                   F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std")]
-        fields += [F.col(f"{c}__q{int(q * 100)}").alias(f"q{int(q * 100)}") for q in quantiles]
+        fields += [F.col(f"{c}__qs")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(quantiles)]
         structs.append(F.struct(*fields))
     return one.select(F.col("_rows").alias("n_rows"), F.explode(F.array(*structs)).alias("p")).select("n_rows", "p.*")
 
