@@ -35,14 +35,18 @@ def top_terms(artist_terms: DataFrame, n: int = 200) -> DataFrame:
 
 def extremes_by_attribute(songs: DataFrame, attributes: Sequence[str], n: int = 100) -> DataFrame:
     """K3 — for every (attribute, asc|desc) the first n songs (ties →
-    song_id), one pass: unpivot → group-limited row_number → distinct songs.
-    Output: song_id with the list of (attribute, direction) it won."""
-    long = songs.select("song_id", F.explode(F.array(*[
-        F.struct(F.lit(a).alias("attribute"), F.col(a).cast("double").alias("v")) for a in attributes])).alias("x")) \
-        .select("song_id", "x.attribute", "x.v").where(F.col("v").isNotNull())
-    asc = top_k_by_group(long, ["attribute"], [F.col("v").asc(), "song_id"], n).withColumn("direction", F.lit("asc"))
-    desc = top_k_by_group(long, ["attribute"], [F.col("v").desc(), "song_id"], n).withColumn("direction", F.lit("desc"))
-    return asc.unionByName(desc).select("song_id", "attribute", "direction", "rank")
+    song_id), in ONE pass: unpivot to (attribute, direction, sort key) with
+    the descending key written as 0 − v, then one group-limited row_number
+    per (attribute, direction) — a partial top-n runs before the shuffle."""
+    pairs = []
+    for a in attributes:
+        v = F.col(a).cast("double")
+        pairs.append(F.struct(F.lit(a).alias("attribute"), F.lit("asc").alias("direction"), v.alias("k")))
+        pairs.append(F.struct(F.lit(a).alias("attribute"), F.lit("desc").alias("direction"), (F.lit(0.0) - v).alias("k")))
+    long = songs.select("song_id", F.explode(F.array(*pairs)).alias("x")) \
+        .select("song_id", "x.attribute", "x.direction", "x.k").where(F.col("k").isNotNull())
+    top = top_k_by_group(long, ["attribute", "direction"], [F.col("k").asc(), "song_id"], n)
+    return top.select("song_id", "attribute", "direction", "rank")
 
 
 def most_recent(songs: DataFrame, n: int, ts: str = "added_at") -> DataFrame:
@@ -110,13 +114,13 @@ def expand_similar_artists(roots: DataFrame, edges: DataFrame, neighbours: int =
             break
         nxt = frontier.join(nb, frontier.artist_id == nb.src).select(F.col("dst").alias("artist_id")).distinct() \
             .join(visited.select("artist_id"), "artist_id", "left_anti").withColumn("depth", F.lit(depth + 1))
-        nxt = cut_lineage(nxt)
+        nxt = cut_lineage(nxt)          # each level is materialised once, reliably
         added = nxt.count()
         if added == 0:
             break
         depth += 1
         size += added
-        visited = cut_lineage(visited.unionByName(nxt))
+        visited = visited.unionByName(nxt)  # a union of checkpointed levels: short lineage
         frontier = nxt
     nb.unpersist()
     return visited
