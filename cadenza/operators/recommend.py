@@ -59,9 +59,10 @@ def build_tempo_index(catalog: DataFrame, keys: list[str],
     summary = pts.groupBy(*keys, "bucket").agg(
         F.max(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("hi"),
         F.min(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("lo"))
-    spark = catalog.sparkSession
-    buckets = spark.range(TEMPO_LO - 1, TEMPO_HI + 2).select(F.col("id").cast("int").alias("bucket"))
-    grid = summary.select(*keys).distinct().crossJoin(F.broadcast(buckets)).join(summary, [*keys, "bucket"], "left")
+    # dense (keys, bucket) grid: every bucket of the tempo domain for each key
+    dense = summary.select(*keys).distinct().select(
+        *keys, F.explode(F.sequence(F.lit(TEMPO_LO - 1), F.lit(TEMPO_HI + 1))).alias("bucket"))
+    grid = dense.join(summary, [*keys, "bucket"], "left")
     wk = Window.partitionBy(*keys).orderBy("bucket")
     grid = grid.select(
         *keys, "bucket",

@@ -145,8 +145,7 @@ def shard_balance(df: DataFrame, id_col: str = "song_id", alphabet: int = 16, de
 def distinct_clusters(df: DataFrame, col: str = "cluster_id") -> DataFrame:
     """A15 — distinct ids with their count attached to every row."""
     ids = df.select(col).distinct()
-    n = ids.agg(F.count(F.lit(1)).alias("n_clusters"))
-    return ids.crossJoin(F.broadcast(n))
+    return ids.withColumn("n_clusters", ids.agg(F.count(F.lit(1))).scalar())
 
 
 def cluster_centroids(vectors: DataFrame, dim: int, vec_col: str = "embedding", col: str = "label") -> DataFrame:

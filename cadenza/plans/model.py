@@ -187,8 +187,8 @@ def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K, sample_f
     finally:
         data.unpersist()
     out = spark.createDataFrame(rows, "weights array<double>, silhouette double")
-    best = out.agg(F.max("silhouette").alias("_b"))
-    return out.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("silhouette") == F.col("_b")).drop("_b")
+    best = out.agg(F.max("silhouette")).scalar()   # scalar subquery, evaluated once
+    return out.withColumn("is_best", F.col("silhouette") == best)
 
 
 def pca_fit(df: DataFrame, k: int, features: str = "weighted_scaled_features"):

@@ -178,9 +178,9 @@ SELECT song_id, round(loudness + abs((SELECT min(loudness) FROM clean_songs)) +
 FROM clean_songs""")
 def q_loudness_pos(spark, sf):
     s = C.clean_catalog(V.songs(spark, sf))
-    # the offset is a one-row aggregate joined back (no driver collect)
-    off = F.broadcast(S.min_loudness(s))
-    return s.crossJoin(off).select("song_id", R6(F.col("loudness") + F.abs("min_loudness") + 1).alias("loudness_pos"))
+    # the offset is a scalar subquery over the same frame (no driver collect)
+    off = S.min_loudness(s).scalar()
+    return s.select("song_id", R6(F.col("loudness") + F.abs(off) + 1).alias("loudness_pos"))
 
 
 @register("mode_major", "SELECT song_id, CASE WHEN mode = 1 THEN 1 ELSE 0 END AS mode_major FROM clean_songs")

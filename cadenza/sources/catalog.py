@@ -186,12 +186,12 @@ def mb_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mb_album(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    # one-row scalar (number of artists), broadcast: a proven size of one row
-    n_art = F.broadcast(read_table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n")))
-    return orders.crossJoin(n_art).select(
+    # number of artists as a scalar subquery (one value, evaluated once)
+    n_art = read_table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("Album#"), (F.col("o_orderkey") % 97).cast("string")).alias("name"),
-        (F.col("o_custkey") % F.col("_n")).alias("artist"))
+        (F.col("o_custkey") % n_art).alias("artist"))
 
 
 def mb_release(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,14 +218,6 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-song segment rows: (song_no, seg_idx, vec_id)."""
-    from pyspark.sql import Window as W
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    w = W.partitionBy("label").orderBy("vec_id")
-    return e.select(F.col("label").alias("song_no"), (F.row_number().over(w) - 1).alias("seg_idx"), "vec_id")
-
-
 def enrich_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Songs as the enrichment step sees them: title, release (album name),
     artist name and artist mbid ('' when unknown)."""
