@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import harmony as H
+from cadenza.session import run_concurrently
 
 # --- fixed values (must equal the reference) --------------------------------
 V7_COLUMNS = ("tempo", "loudness_pos", "key_sin", "key_cos", "mode_major", "time_signature")
@@ -136,7 +137,7 @@ def silhouette(df: DataFrame, features: str = "weighted_scaled_features", predic
     return ev.evaluate(df)
 
 
-def sweep_k(df: DataFrame, spec: FeatureSpec, ks=SWEEP_V8) -> DataFrame:
+def sweep_k(df: DataFrame, spec: FeatureSpec, ks=SWEEP_V8, parallelism: int = 8) -> DataFrame:
     """M6 — (k, cost, silhouette) for each k: features computed and persisted
     once, one K-Means fit per k on the cached frame."""
     spark = df.sparkSession
@@ -145,12 +146,12 @@ def sweep_k(df: DataFrame, spec: FeatureSpec, ks=SWEEP_V8) -> DataFrame:
     feats = Pipeline(stages=[assembler(spec), scaler(), weighting(spec)]).fit(prepare(df, spec))
     data = feats.transform(prepare(df, spec)).select("weighted_scaled_features") \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    def fit_one(k):
+        m = kmeans(spec, k).fit(data)
+        return int(k), float(m.summary.trainingCost), float(silhouette(m.transform(data)))
+
     try:
-        for k in ks:
-            m = kmeans(spec, k).fit(data)
-            pred = m.transform(data)
-            rows.append((int(k), float(m.summary.trainingCost), float(silhouette(pred))))
+        rows = run_concurrently([lambda k=k: fit_one(k) for k in ks], parallelism)
     finally:
         data.unpersist()
     return spark.createDataFrame(rows, "k int, cost double, silhouette double")
@@ -165,7 +166,7 @@ def weight_grid() -> list[tuple]:
 
 
 def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K, sample_fraction: float = SEARCH_SAMPLE,
-                   grid: list[tuple] | None = None) -> DataFrame:
+                   grid: list[tuple] | None = None, parallelism: int = 8) -> DataFrame:
     """M7 — silhouette of K-Means(k) for every weight vector of the grid, on
     a reproducible hash sample; returns all scores with the best flagged.
     The scaled sample is computed and persisted once; only the elementwise
@@ -177,13 +178,14 @@ def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K, sample_f
     sample = sample_songs(df, sample_fraction, spec.seed)
     base = Pipeline(stages=[assembler(spec), scaler()]).fit(prepare(sample, spec))
     data = base.transform(prepare(sample, spec)).select("scaled_features").persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    def fit_one(w):
+        s2 = FeatureSpec(spec.columns, tuple(w), spec.loudness_offset, k, spec.seed)
+        wd = weighting(s2).transform(data)
+        m = kmeans(s2, k).fit(wd)
+        return list(map(float, w)), float(silhouette(m.transform(wd)))
+
     try:
-        for w in grid or weight_grid():
-            s2 = FeatureSpec(spec.columns, tuple(w), spec.loudness_offset, k, spec.seed)
-            wd = weighting(s2).transform(data)
-            m = kmeans(s2, k).fit(wd)
-            rows.append((list(map(float, w)), float(silhouette(m.transform(wd)))))
+        rows = run_concurrently([lambda w=w: fit_one(w) for w in (grid or weight_grid())], parallelism)
     finally:
         data.unpersist()
     out = spark.createDataFrame(rows, "weights array<double>, silhouette double")

@@ -63,6 +63,16 @@ def checkpoint_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def run_concurrently(tasks, parallelism: int = 8) -> list:
+    """Run independent driver-side fits as concurrent Spark jobs (the way
+    ``CrossValidator(parallelism=…)`` does): small fits do not fill the
+    cluster alone.  Results keep the order of ``tasks``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(lambda f: f(), tasks))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
