@@ -33,6 +33,12 @@ SEED_BLOCK, CAND_CHUNK = 1024, 2048   # in-task blocking of the cosine product (
 
 # --- nearest tempo (as-of search) -------------------------------------------------
 
+def _bucket(tempo: Column) -> Column:
+    """1-BPM bucket, clamped to the grid so any tempo (even outside the
+    serving range) has a grid row: results stay exact for every input."""
+    return F.least(F.greatest(F.floor(tempo), F.lit(TEMPO_LO - 1)), F.lit(TEMPO_HI + 1)).cast("int")
+
+
 def _points(catalog: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     """Distinct catalog points: one row per (keys, tempo) holding the song with
     the smallest song_id at that tempo (partial aggregation absorbs hot keys)."""
@@ -54,8 +60,7 @@ def build_tempo_index(catalog: DataFrame, keys: list[str],
     payload = list(payload)
     if payload[0] != "song_id" or "tempo" not in payload:
         raise ValueError("payload must start with song_id and contain tempo")
-    bucket = F.floor(F.col("tempo")).cast("int")
-    pts = _points(catalog, keys, payload).withColumn("bucket", bucket)
+    pts = _points(catalog, keys, payload).withColumn("bucket", _bucket(F.col("tempo")))
     summary = pts.groupBy(*keys, "bucket").agg(
         F.max(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("hi"),
         F.min(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("lo"))
@@ -83,7 +88,7 @@ def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[st
     """
     pts, grid = index if index is not None else build_tempo_index(catalog, keys, payload)
     probe_pts = probes.select(*keys, "tempo").distinct()
-    bucket = F.floor(F.col("tempo")).cast("int")
+    bucket = _bucket(F.col("tempo"))
     both = (pts.select(*keys, "tempo", "bucket", F.lit(0).alias("kind"), "song")
             .unionByName(probe_pts.select(*keys, "tempo", bucket.alias("bucket"), F.lit(1).alias("kind"),
                                           F.lit(None).cast(pts.schema["song"].dataType).alias("song"))))

@@ -155,3 +155,13 @@ def test_dedupe_keeps_first_added(spark):
     from cadenza.sources.catalog import dedupe_by
     got = {r.song_id: r.tempo for r in dedupe_by(df, "song_id", ("added_at", "tempo")).collect()}
     assert got == {"a": 2.0, "b": 3.0}
+
+
+def test_nearest_tempo_outside_serving_range(spark):
+    cat = [("a", 0, 10.0), ("b", 0, 300.0), ("c", 0, 120.0)]
+    reqs = [("r1", 0, 5.0), ("r2", 0, 400.0), ("r3", 0, 200.0), ("r4", 0, 65.0)]
+    cdf = spark.createDataFrame([(s, c, t, "x", "y", 0) for s, c, t in cat],
+                                "song_id string, cluster_id int, tempo double, title string, artist string, key int")
+    rdf = spark.createDataFrame(reqs, "recommendation_id string, cluster_id int, tempo double")
+    got = {r.recommendation_id: r.song_id for r in RC.nearest_tempo_per_request(rdf, cdf).collect()}
+    assert got == _brute_nearest(reqs, cat)
