@@ -312,7 +312,39 @@ def q_m14(spark, sf):
 
 # --- playlist ------------------------------------------------------------------------
 
-@register("mmr_rerank")
+# Greedy MMR in SQL: one recursive step per pick; the state per seed holds the
+# candidate lists (rank order), the running max similarity to the picks and
+# the taken flags; ties go to the earlier candidate (list_position of the max).
+MMR_SQL = {**CENTER_SQL,
+ "seeds": """SELECT vec_id AS seed_id, embedding AS e, list(c ORDER BY d, c)[1:2] AS top_clusters
+               FROM dists JOIN vectors USING (vec_id) GROUP BY vec_id, embedding""",
+ "cand": """SELECT seed_id, vec_id, embedding, cosine, row_number() OVER (PARTITION BY seed_id ORDER BY cosine DESC, vec_id) AS rank FROM (
+   SELECT s.seed_id, v.vec_id, v.embedding,
+          list_dot_product(s.e, v.embedding) / (sqrt(list_dot_product(s.e, s.e)) * sqrt(list_dot_product(v.embedding, v.embedding))) AS cosine
+   FROM seeds s JOIN vectors v ON list_contains(s.top_clusters, v.label) AND v.vec_id <> s.seed_id) QUALIFY rank <= 200""",
+ "packed": """SELECT seed_id, list(vec_id ORDER BY rank) AS ids, list(cosine ORDER BY rank) AS rel,
+                     list(embedding ORDER BY rank) AS emb FROM cand GROUP BY seed_id""",
+}
+MMR_BODY = """
+WITH RECURSIVE mmr(seed_id, step, ids, rel, emb, ms, taken, picks) AS (
+  SELECT seed_id, 1, ids, rel, emb, list_transform(ids, lambda x: CAST(0.0 AS DOUBLE)),
+         list_transform(range(1, len(ids) + 1), lambda i: i = 1), [1] FROM packed
+  UNION ALL
+  SELECT seed_id, step + 1, ids, rel, emb, ms2, list_transform(range(1, len(ids) + 1), lambda i: taken[i] OR i = nxt),
+         list_append(picks, nxt) FROM (
+    SELECT *, list_position(sc, list_max(sc)) AS nxt FROM (
+      SELECT *, list_transform(range(1, len(ids) + 1),
+                  lambda i: CASE WHEN taken[i] THEN CAST(-1e308 AS DOUBLE) ELSE CAST(0.7 AS DOUBLE) * rel[i] - CAST(0.3 AS DOUBLE) * ms2[i] END) AS sc FROM (
+        SELECT *, list_transform(range(1, len(ids) + 1),
+                    lambda i: greatest(ms[i], list_dot_product(emb[i], emb[picks[len(picks)]]) /
+                                              (sqrt(list_dot_product(emb[i], emb[i])) * sqrt(list_dot_product(emb[picks[len(picks)]], emb[picks[len(picks)]]))))) AS ms2
+        FROM mmr WHERE step < least(50, len(ids)))))
+)
+SELECT seed_id, ids[p] AS vec_id, CAST(r AS INT) AS mmr_rank FROM (
+  SELECT seed_id, ids, unnest(picks) AS p, generate_subscripts(picks, 1) AS r FROM mmr
+  WHERE step = least(50, len(ids)))"""
+
+@register("mmr_rerank", MMR_BODY, MMR_SQL)
 def q_m16(spark, sf):
     seeds = seeds_with_clusters(spark, sf)
     top = RC.cosine_topn(seeds, V.vectors(spark, sf), n=MM.TOP_N)
@@ -320,7 +352,10 @@ def q_m16(spark, sf):
     return MM.mmr_rerank(cands, MM.K_FINAL, MM.LAMBDA_REL).select("seed_id", "vec_id", "mmr_rank")
 
 
-@register("build_playlist")
+@register("build_playlist", MMR_BODY.replace(
+    "SELECT seed_id, ids[p] AS vec_id, CAST(r AS INT) AS mmr_rank FROM (",
+    "SELECT m.seed_id, m.vec_id, m.mmr_rank, v.label FROM (SELECT seed_id, ids[p] AS vec_id, CAST(r AS INT) AS mmr_rank FROM (")
+    + ") m JOIN vectors v ON v.vec_id = m.vec_id", MMR_SQL)
 def q_m17(spark, sf):
     meta = V.vectors(spark, sf).select("vec_id", "label")
     return MM.build_playlist(seeds_with_clusters(spark, sf), V.vectors(spark, sf), meta).select(
