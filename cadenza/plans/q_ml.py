@@ -233,10 +233,11 @@ def q_w9(spark, sf):
 
 
 def _classifier_data(spark, sf):
-    df, spec = _features(spark, sf)
-    feats = MD.Pipeline(stages=[MD.assembler(spec), MD.scaler(), MD.weighting(spec)]).fit(df).transform(df)
-    return feats.select("song_id", F.col("weighted_scaled_features").alias("features"),
-                        V.fixed_cluster(F.col("key"), F.col("time_signature").cast("int")).alias("label"))
+    """Weighted feature vectors labelled with the K-Means cluster ids (the
+    classifier learns the clustering, as in the reference)."""
+    model, spec, songs = _fit(spark, sf)
+    pred = MD.predict_cluster(model, songs, spec)
+    return pred.select("song_id", F.col("weighted_scaled_features").alias("features"), F.col("cluster_id").alias("label"))
 
 
 @register("train_cluster_classifier")
