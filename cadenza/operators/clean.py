@@ -71,8 +71,8 @@ def parse_request(messages: DataFrame, key_col: str = "key", value_col: str = "v
                   schema: T.StructType = REQUEST_SCHEMA) -> DataFrame:
     """H16 + P7 — JSON value → struct → flat columns plus recommendation_id.
 
-    A malformed value parses to a null/all-null struct; ``_valid`` marks rows
-    whose JSON object could be read at all.
+    A malformed value parses to an all-null struct (the raw text is kept in
+    ``json_str`` for the dead-letter output).
     """
     parsed = messages.select(
         F.col(key_col).cast("string").alias("recommendation_id"),

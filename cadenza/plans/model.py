@@ -108,9 +108,10 @@ def pipeline(spec: FeatureSpec, k: int | None = None) -> Pipeline:
 
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Serving/training features with a deterministic row order for fits
-    (K-Means output depends on input layout; sorting by song_id makes a
-    refit on the same data repeatable)."""
+    """Serving/training features; songs without a Camelot code (key outside
+    0..11 or null mode) cannot be assembled and are left out.  K-Means
+    results depend on the input layout even with a fixed seed, so fitted
+    cluster ids are never compared across runs — only invariants are."""
     return encode(df, spec).where(F.col("camelot_num").isNotNull())
 
 
