@@ -257,38 +257,13 @@ def join_topc_clusters(seeds: DataFrame, catalog: DataFrame, label: str = "label
     return seeds.select("seed_id", F.posexplode("top_clusters").alias("rank", label))
 
 
-def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: str = "label",
-                max_seeds: int = 50_000, exclude_self: bool = True) -> DataFrame:
-    """W7 — for every seed the N candidates of its top clusters with the
-    highest cosine similarity (ties → smaller id).
-
-    ``seeds``: seed_id, embedding, top_clusters.  ``candidates``: vec_id,
-    embedding, label.  The seed block is size-checked and broadcast; each
-    catalog partition multiplies its vectors by the block (numpy, Arrow
-    batches) and emits only its local top N per seed; a final group limit
-    merges partial lists.  Memory per task: batch × block, never a group.
-    """
-    n_seeds = seeds.count()
-    if n_seeds > max_seeds:
-        # split into blocks by hash; each block is one more pass over candidates
-        nb = math.ceil(n_seeds / max_seeds)
-        parts = [cosine_topn(seeds.where(F.pmod(F.hash("seed_id"), F.lit(nb)) == b), candidates, n, label,
-                             max_seeds, exclude_self) for b in range(nb)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    rows = seeds.select("seed_id", "embedding", "top_clusters").collect()  # ≤ max_seeds rows, checked above
-    sc = candidates.sparkSession.sparkContext
-    ids = np.array([r["seed_id"] for r in rows], dtype=np.int64)
-    mat = np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    tops = [list(r["top_clusters"]) for r in rows]
-    bc = sc.broadcast((ids, mat, tops))
-    schema = T.StructType([T.StructField("seed_id", T.LongType()), T.StructField("vec_id", T.LongType()),
-                           T.StructField("cosine", T.DoubleType()), T.StructField(label, T.IntegerType())])
+def _topn_scorer(bc, n: int, exclude_self: bool, label: str):
+    """mapInPandas body: per partition, a running top-n (score desc, id asc)
+    per seed and cluster, fed block by block; candidates scoring below the
+    seed's lower bound ``tau`` are dropped before the merge."""
 
     def score(batches):
-        sid, m, tp = bc.value
+        sid, m, tp, tau = bc.value
         if len(sid) == 0:
             return
         norms = np.linalg.norm(m, axis=1)
@@ -297,8 +272,7 @@ def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: st
         for j, t in enumerate(tp):
             for c in t:
                 by_cluster.setdefault(int(c), []).append(j)
-        # running top-n per seed, per cluster: (sims, ids) arrays padded with -inf
-        state: dict[int, tuple] = {}
+        state: dict[tuple, tuple] = {}
         for pdf in batches:
             for c, g in pdf.groupby(label):
                 js = by_cluster.get(int(c))
@@ -311,10 +285,12 @@ def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: st
                 for lo in range(0, len(js), SEED_BLOCK):
                     blk = np.asarray(js[lo:lo + SEED_BLOCK])
                     key = (int(c), lo)
-                    top_s, top_i = state.get(key, (np.full((len(blk), n), -np.inf), np.full((len(blk), n), np.iinfo(np.int64).max)))
+                    top_s, top_i = state.get(key, (np.full((len(blk), n), -np.inf),
+                                                   np.full((len(blk), n), np.iinfo(np.int64).max)))
                     for a in range(0, len(ids), CAND_CHUNK):
                         xi, xx, xxn = ids[a:a + CAND_CHUNK], x[a:a + CAND_CHUNK], xn[a:a + CAND_CHUNK]
                         sims = (m[blk] @ xx.T) / np.outer(norms[blk], xxn)
+                        sims[sims < tau[blk][:, None]] = -np.inf
                         if exclude_self:
                             sims[sid[blk][:, None] == xi[None, :]] = -np.inf
                         all_s = np.concatenate([top_s, sims], axis=1)
@@ -330,8 +306,67 @@ def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: st
             yield pd.DataFrame({"seed_id": sid[blk][rows[0]], "vec_id": top_i[keep], "cosine": top_s[keep],
                                 label: np.full(int(keep.sum()), c, dtype=np.int32)})
 
-    partial = candidates.select("vec_id", "embedding", F.col(label).cast("int").alias(label)).mapInPandas(score, schema)
+    return score
+
+
+def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: str = "label",
+                max_seeds: int = 50_000, exclude_self: bool = True, prune_fraction: float | None = -1.0) -> DataFrame:
+    """W7 — for every seed the N candidates of its top clusters with the
+    highest cosine similarity (ties → smaller id).
+
+    ``seeds``: seed_id, embedding, top_clusters.  ``candidates``: vec_id,
+    embedding, label.  The seed block is size-checked and broadcast; each
+    catalog partition multiplies its vectors by the block (numpy, Arrow
+    batches) and emits only its local top N per seed; a final group limit
+    merges partial lists.  Memory per task: block × chunk, never a group.
+
+    Pruning (exact): a pre-pass over a hash subset of the candidates (a
+    fraction f, coalesced to f·P partitions) gives each seed the N-th best
+    score of the subset, a lower bound τ of its true N-th best.  The main
+    pass drops every score below τ before the per-task top N, so the merge
+    shuffle is about N·f·P + N/f rows per seed instead of N·P.  The default
+    (−1) picks f = 1/√P when there are at least 64 candidate partitions;
+    ``None`` turns it off.
+    """
+    n_seeds = seeds.count()
+    if n_seeds > max_seeds:
+        # split into blocks by hash; each block is one more pass over candidates
+        nb = math.ceil(n_seeds / max_seeds)
+        parts = [cosine_topn(seeds.where(F.pmod(F.hash("seed_id"), F.lit(nb)) == b), candidates, n, label,
+                             max_seeds, exclude_self, prune_fraction) for b in range(nb)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    rows = seeds.select("seed_id", "embedding", "top_clusters").collect()  # ≤ max_seeds rows, checked above
+    sc = candidates.sparkSession.sparkContext
+    ids = np.array([r["seed_id"] for r in rows], dtype=np.int64)
+    mat = np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    tops = [list(r["top_clusters"]) for r in rows]
+    schema = T.StructType([T.StructField("seed_id", T.LongType()), T.StructField("vec_id", T.LongType()),
+                           T.StructField("cosine", T.DoubleType()), T.StructField(label, T.IntegerType())])
+    cands = candidates.select("vec_id", "embedding", F.col(label).cast("int").alias(label))
     w = Window.partitionBy("seed_id").orderBy(F.desc("cosine"), "vec_id")
+
+    tau = np.full(len(ids), -np.inf)
+    n_parts = cands.rdd.getNumPartitions()
+    if prune_fraction is not None and prune_fraction < 0:
+        prune_fraction = 1.0 / math.sqrt(n_parts) if n_parts >= 64 else None
+    if prune_fraction:
+        from cadenza.operators.clean import hash_fraction
+        bc0 = sc.broadcast((ids, mat, tops, tau))
+        sub = cands.where(hash_fraction(F.col("vec_id"), 7) < F.lit(prune_fraction)) \
+            .coalesce(max(1, math.ceil(n_parts * prune_fraction)))
+        best = sub.mapInPandas(_topn_scorer(bc0, n, exclude_self, label), schema) \
+            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+        bounds = best.groupBy("seed_id").agg(F.count(F.lit(1)).alias("k"), F.min("cosine").alias("t")) \
+            .where(F.col("k") >= n).collect()          # ≤ one row per seed of the checked block
+        pos = {int(s): i for i, s in enumerate(ids)}
+        for r in bounds:
+            tau[pos[int(r["seed_id"])]] = float(r["t"])
+        bc0.unpersist()
+    bc = sc.broadcast((ids, mat, tops, tau))
+    partial = cands.mapInPandas(_topn_scorer(bc, n, exclude_self, label), schema)
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 

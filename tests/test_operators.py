@@ -165,3 +165,16 @@ def test_nearest_tempo_outside_serving_range(spark):
     rdf = spark.createDataFrame(reqs, "recommendation_id string, cluster_id int, tempo double")
     got = {r.recommendation_id: r.song_id for r in RC.nearest_tempo_per_request(rdf, cdf).collect()}
     assert got == _brute_nearest(reqs, cat)
+
+
+def test_cosine_topn_pruning_is_exact(spark):
+    rng = np.random.default_rng(11)
+    vecs = [(i, [float(x) for x in rng.normal(size=8)], int(i % 3)) for i in range(600)]
+    cands = spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int").repartition(12)
+    seeds = spark.createDataFrame([(i, vecs[i][1], [i % 3, (i + 1) % 3]) for i in range(0, 600, 37)],
+                                  "seed_id long, embedding array<double>, top_clusters array<int>")
+    plain = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=20, prune_fraction=None)
+             .select("seed_id", "vec_id", "rank").collect()}
+    pruned = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=20, prune_fraction=0.5)
+              .select("seed_id", "vec_id", "rank").collect()}
+    assert plain == pruned and len(plain) == 17 * 20
