@@ -84,28 +84,32 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def profile_columns(df: DataFrame, cols: Sequence[str], exact: bool = True,
                     quantiles: Sequence[float] = (0.25, 0.5, 0.75), accuracy: int = 1_000_000) -> DataFrame:
     """A8 — per-column profile: rows, nulls, distinct, min, max, mean, sample
-    std and quantiles, computed in ONE aggregate job for all columns.
-
-    Quantiles use ``percentile_approx`` (bounded-memory sketch, merges
-    partials; exact when the column has fewer distinct values than
-    ``accuracy``).  ``exact=False`` swaps the distinct count for HLL++.
+    std and quantiles for all columns in two aggregate jobs.
+
+    Distinct counts run as their own aggregate (a scalar subquery): mixed
+    with the other aggregates Spark would push every sketch through the
+    distinct-rewrite Expand.  Quantiles use ``percentile_approx`` — one
+    bounded-memory sketch per column that merges partials, exact while a
+    column has fewer values than ``accuracy``.  ``exact=False`` swaps the
+    distinct count for HLL++ (no Expand at all).
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            (F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))).alias(f"{c}__distinct"),
             F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
             r6(F.avg(x)).alias(f"{c}__mean"), r6(F.stddev_samp(x)).alias(f"{c}__std"),
+            # one sketch per column for all quantiles
+            F.percentile_approx(x, list(quantiles), accuracy).alias(f"{c}__qs"),
         ]
-        # one sketch per column for all quantiles
-        aggs.append(F.percentile_approx(x, list(quantiles), accuracy).alias(f"{c}__qs"))
+    count = F.count_distinct if exact else F.approx_count_distinct
+    distinct = df.agg(F.struct(*[count(F.col(c)).alias(c) for c in cols]).alias("d")).scalar()
     one = df.agg(*aggs)
     structs = []
     for c in cols:
         fields = [F.lit(c).alias("column"), F.col(f"{c}__nulls").alias("n_null"),
-                  F.col(f"{c}__distinct").alias("n_distinct"), F.col(f"{c}__min").alias("min"),
+                  distinct.getField(c).alias("n_distinct"), F.col(f"{c}__min").alias("min"),
                   F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std")]
         fields += [F.col(f"{c}__qs")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(quantiles)]
         structs.append(F.struct(*fields))
