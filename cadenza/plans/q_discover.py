@@ -118,12 +118,12 @@ WHERE fam_rank <= 100 GROUP BY artist_id""",
     "nb10": """
 SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS rn
                       FROM artist_similarity) WHERE rn <= 10""",
-    "roots3": "SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 3",
+    "roots": "SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100",
 }
 
 BFS_SQL = """
 WITH RECURSIVE bfs(artist_id, depth) AS (
-  SELECT artist_id, 0 FROM roots3
+  SELECT artist_id, 0 FROM roots
   UNION
   SELECT n.dst, b.depth + 1 FROM bfs b JOIN nb10 n ON n.src = b.artist_id WHERE b.depth < (SELECT count(*) FROM artists))
 SELECT artist_id, CAST(min(depth) AS INT) AS depth FROM bfs GROUP BY artist_id"""
@@ -141,7 +141,7 @@ def q_j11(spark, sf):
     return _term_artists(spark, sf)
 
 
-def _bfs(spark, sf, roots=3):
+def _bfs(spark, sf, roots=100):
     r = D.top_familiar_artists(V.artists(spark, sf), roots).select("artist_id")
     return D.expand_similar_artists(r, V.artist_similarity(spark, sf), 10)
 
@@ -169,12 +169,13 @@ def q_u2(spark, sf):
 
 
 @register("visited_distinct", """
-SELECT artist_id FROM (SELECT artist_id FROM roots3 UNION SELECT artist_id FROM by_term
+SELECT artist_id FROM (SELECT artist_id FROM bfs_artists UNION SELECT artist_id FROM by_term
                        UNION SELECT artist_id FROM (SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100))""",
-          DISC_SQL)
+          {**DISC_SQL, "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")"})
 def q_u3(spark, sf):
     a = V.artists(spark, sf)
-    return D.visited_distinct([D.top_familiar_artists(a, 3), _term_artists(spark, sf), D.top_familiar_artists(a, 100)])
+    return D.visited_distinct([_bfs(spark, sf).select("artist_id"), _term_artists(spark, sf),
+                               D.top_familiar_artists(a, 100)])
 
 
 ASSEMBLE_SQL = {
