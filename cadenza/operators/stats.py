@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cadenza.functions.harmony import tempo_bin
 
@@ -166,6 +165,3 @@ def cluster_centroids(vectors: DataFrame, dim: int, vec_col: str = "embedding",
 def centroid_arrays(vectors: DataFrame, dim: int, vec_col: str = "embedding", col: str = "label") -> DataFrame:
     """Centroids as (cluster, array<double>) — k rows."""
     return vectors.groupBy(col).agg(F.array(*[F.avg(F.col(vec_col)[i]) for i in range(dim)]).alias("centroid"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("T", "F", "DataFrame", "Sequence")]
