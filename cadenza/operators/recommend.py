@@ -68,11 +68,13 @@ def build_tempo_index(catalog: DataFrame, keys: list[str],
     dense = summary.select(*keys).distinct().select(
         *keys, F.explode(F.sequence(F.lit(TEMPO_LO - 1), F.lit(TEMPO_HI + 1))).alias("bucket"))
     grid = dense.join(summary, [*keys, "bucket"], "left")
-    wk = Window.partitionBy(*keys).orderBy("bucket")
+    # both as growing frames (one ascending, one descending): O(buckets) per key
+    up = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     grid = grid.select(
         *keys, "bucket",
-        F.max("hi").over(wk.rowsBetween(Window.unboundedPreceding, -1)).getField("s").alias("below"),
-        F.min("lo").over(wk.rowsBetween(1, Window.unboundedFollowing)).getField("s").alias("above"))
+        F.max("hi").over(up).getField("s").alias("below"),
+        F.min("lo").over(down).getField("s").alias("above"))
     return pts, grid
 
 
