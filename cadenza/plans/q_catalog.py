@@ -140,6 +140,11 @@ def q_summary(spark, sf):
     return C.song_summary(V.vectors(spark, sf))
 
 
+# --- fixed values (must equal the reference) --------------------------------
+EXPECTED_CATALOG_ROWS = 1_000_000   # the integrity scan expects exactly this many songs
+# ---------------------------------------------------------------------------
+
+
 @register("data_quality_scan", """
 WITH one AS (
   SELECT count(*) AS n_rows,
@@ -151,7 +156,7 @@ WITH one AS (
     CAST(count_if(time_signature IS NULL) AS BIGINT) AS ts_null,
     CAST(count_if(time_signature IS NOT NULL AND NOT time_signature BETWEEN 1 AND 5) AS BIGINT) AS ts_ood
   FROM songs)
-SELECT c AS "column", n_rows, n_null, n_nan, n_out_of_domain, n_rows = 60000 AS rows_as_expected FROM (
+SELECT c AS "column", n_rows, n_null, n_nan, n_out_of_domain, n_rows = 1000000 AS rows_as_expected FROM (
   SELECT 'tempo' AS c, n_rows, tempo_null AS n_null, tempo_nan AS n_nan, tempo_ood AS n_out_of_domain FROM one UNION ALL
   SELECT 'loudness', n_rows, loudness_null, loudness_nan, CAST(0 AS BIGINT) FROM one UNION ALL
   SELECT 'key', n_rows, key_null, CAST(0 AS BIGINT), key_ood FROM one UNION ALL
@@ -160,7 +165,7 @@ SELECT c AS "column", n_rows, n_null, n_nan, n_out_of_domain, n_rows = 60000 AS
 def q_quality(spark, sf):
     s = V.songs(spark, sf).select("tempo", "loudness", "key", "mode", "time_signature")
     return C.data_quality_scan(s, {"tempo": (40, 250), "key": (0, 11), "mode": (0, 1), "time_signature": (1, 5)},
-                               expected_rows=60000)
+                               expected_rows=EXPECTED_CATALOG_ROWS)
 
 
 # --- scalar encodings ----------------------------------------------------------
