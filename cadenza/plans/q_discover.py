@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadenza.operators import discover as D
@@ -130,9 +131,9 @@ SELECT artist_id, CAST(min(depth) AS INT) AS depth FROM bfs GROUP BY artist_id""
 
 
 def _term_artists(spark, sf):
+    # rank over the ≤ 200 rows left after the top-terms limit (bounded, one task is fine)
     terms = D.top_terms(V.artist_terms(spark, sf)).withColumn(
-        "term_rank", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
-            F.desc("total_freq"), "term")))
+        "term_rank", F.row_number().over(Window.orderBy(F.desc("total_freq"), "term")))
     return D.artists_by_term(V.artist_terms(spark, sf), V.artists(spark, sf), terms)
 
 
