@@ -25,34 +25,44 @@ def _dated_albums(album: DataFrame, release: DataFrame) -> DataFrame:
     return alb.join(rel, "album_id")
 
 
-def year_by_mbid_title(artist: DataFrame, track: DataFrame, album: DataFrame, release: DataFrame) -> DataFrame:
-    """J3 — (gid, lower(track title)) → earliest release date of its albums."""
-    art = artist.select(F.col("id").alias("track_artist"), "gid")
+def _track_dates(artist: DataFrame, track: DataFrame, album: DataFrame, release: DataFrame) -> DataFrame:
+    """Earliest real release date per (gid, artist name, track title): the
+    shared input of J3 and J5 — one join and one shuffle; both lookups
+    aggregate it further (Spark reuses the identical exchange)."""
+    art = artist.select(F.col("id").alias("track_artist"), "gid", F.lower("name").alias("artist_lname"))
     tr = track.select(F.col("artist").alias("track_artist"), F.lower("name").alias("lname"),
                       F.col("album").alias("album_id"))
     dated = _dated_albums(album, release).select("album_id", "releasedate")
-    return tr.join(art, "track_artist").join(dated, "album_id").groupBy("gid", "lname").agg(
+    return tr.join(art, "track_artist").join(dated, "album_id").groupBy("gid", "artist_lname", "lname").agg(
+        F.min("releasedate").alias("releasedate"))
+
+
+def _album_dates(artist: DataFrame, album: DataFrame, release: DataFrame) -> DataFrame:
+    """Earliest real release date per (gid, artist name, album name): the
+    shared input of J4 and J5."""
+    art = artist.select(F.col("id").alias("album_artist"), "gid", F.lower("name").alias("artist_lname"))
+    return _dated_albums(album, release).join(art, "album_artist").groupBy("gid", "artist_lname", "album_lname").agg(
+        F.min("releasedate").alias("releasedate"))
+
+
+def year_by_mbid_title(artist: DataFrame, track: DataFrame, album: DataFrame, release: DataFrame) -> DataFrame:
+    """J3 — (gid, lower(track title)) → earliest release date of its albums."""
+    return _track_dates(artist, track, album, release).groupBy("gid", "lname").agg(
         F.min("releasedate").alias("date_mbid_title"))
 
 
 def year_by_mbid_release(artist: DataFrame, album: DataFrame, release: DataFrame) -> DataFrame:
     """J4 — (gid, lower(album name)) → earliest release date."""
-    art = artist.select(F.col("id").alias("album_artist"), "gid")
-    return _dated_albums(album, release).join(art, "album_artist").groupBy("gid", "album_lname").agg(
+    return _album_dates(artist, album, release).groupBy("gid", "album_lname").agg(
         F.min("releasedate").alias("date_mbid_release"))
 
 
 def year_by_name(artist: DataFrame, track: DataFrame, album: DataFrame, release: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J5 — (lower(artist name), lower(title)) and (lower(artist name),
     lower(album name)) → earliest release date."""
-    art_t = artist.select(F.col("id").alias("track_artist"), F.lower("name").alias("artist_lname"))
-    tr = track.select(F.col("artist").alias("track_artist"), F.lower("name").alias("lname"),
-                      F.col("album").alias("album_id"))
-    dated = _dated_albums(album, release)
-    by_title = tr.join(art_t, "track_artist").join(dated.select("album_id", "releasedate"), "album_id") \
-        .groupBy("artist_lname", "lname").agg(F.min("releasedate").alias("date_name_title"))
-    art_a = artist.select(F.col("id").alias("album_artist"), F.lower("name").alias("artist_lname"))
-    by_release = dated.join(art_a, "album_artist").groupBy("artist_lname", "album_lname").agg(
+    by_title = _track_dates(artist, track, album, release).groupBy("artist_lname", "lname").agg(
+        F.min("releasedate").alias("date_name_title"))
+    by_release = _album_dates(artist, album, release).groupBy("artist_lname", "album_lname").agg(
         F.min("releasedate").alias("date_name_release"))
     return by_title, by_release
 
