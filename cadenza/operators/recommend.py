@@ -312,7 +312,8 @@ def _topn_scorer(bc, n: int, exclude_self: bool, label: str):
 
 
 def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: str = "label",
-                max_seeds: int = 50_000, exclude_self: bool = True, prune_fraction: float | None = -1.0) -> DataFrame:
+                max_seeds: int = 50_000, exclude_self: bool = True, prune_fraction: float | None = -1.0,
+                _level: int = 0) -> DataFrame:
     """W7 — for every seed the N candidates of its top clusters with the
     highest cosine similarity (ties → smaller id).
 
@@ -330,20 +331,22 @@ def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: st
     (−1) picks f = 1/√P when there are at least 64 candidate partitions;
     ``None`` turns it off.
     """
-    n_seeds = seeds.count()
-    if n_seeds > max_seeds:
+    # size check and fetch in one job: at most max_seeds + 1 rows reach the driver
+    rows = seeds.select("seed_id", "embedding", "top_clusters").limit(max_seeds + 1).collect()
+    if len(rows) > max_seeds:
         # split into blocks by hash; each block is one more pass over candidates
-        nb = math.ceil(n_seeds / max_seeds)
-        parts = [cosine_topn(seeds.where(F.pmod(F.hash("seed_id"), F.lit(nb)) == b), candidates, n, label,
-                             max_seeds, exclude_self, prune_fraction) for b in range(nb)]
+        # (the hash is salted per level, so an oversized block splits again differently)
+        nb = 2 * math.ceil(seeds.count() / max_seeds)
+        block = F.pmod(F.hash("seed_id", F.lit(_level)), F.lit(nb))
+        parts = [cosine_topn(seeds.where(block == b), candidates, n, label,
+                             max_seeds, exclude_self, prune_fraction, _level + 1) for b in range(nb)]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
-    rows = seeds.select("seed_id", "embedding", "top_clusters").collect()  # ≤ max_seeds rows, checked above
     sc = candidates.sparkSession.sparkContext
     ids = np.array([r["seed_id"] for r in rows], dtype=np.int64)
-    mat = np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    mat = np.array([r["embedding"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
     tops = [list(r["top_clusters"]) for r in rows]
     schema = T.StructType([T.StructField("seed_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                            T.StructField("cosine", T.DoubleType()), T.StructField(label, T.IntegerType())])

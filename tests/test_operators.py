@@ -178,3 +178,14 @@ def test_cosine_topn_pruning_is_exact(spark):
     pruned = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=20, prune_fraction=0.5)
               .select("seed_id", "vec_id", "rank").collect()}
     assert plain == pruned and len(plain) == 17 * 20
+
+
+def test_cosine_topn_seed_blocks_equal_single_pass(spark):
+    rng = np.random.default_rng(4)
+    vecs = [(i, [float(x) for x in rng.normal(size=6)], int(i % 2)) for i in range(200)]
+    cands = spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int")
+    seeds = spark.createDataFrame([(i, vecs[i][1], [0, 1]) for i in range(0, 200, 5)],
+                                  "seed_id long, embedding array<double>, top_clusters array<int>")
+    one = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=10).select("seed_id", "vec_id", "rank").collect()}
+    blocks = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=10, max_seeds=7).select("seed_id", "vec_id", "rank").collect()}
+    assert one == blocks and len(one) == 40 * 10
