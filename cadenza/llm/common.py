@@ -36,5 +36,5 @@ def words(text: Column) -> Column:
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return let(
         trimmed,
-        lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"[\x20\x09-\x0D]+")),
+        lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+")),
     )

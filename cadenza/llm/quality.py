@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import let, words
+from cadenza.llm.common import SPACES, let, words
 
 #: Words of a window that counts as repeated when found twice.
 WINDOW = 8
@@ -31,6 +31,9 @@ STOP_WORDS = (
     "el los las y por con del se una"
 ).split()
 
+#: A stop word in lower case or capitalised, with at most one mark after it.
+STOP_FORMS = sorted({form + mark for w in STOP_WORDS for form in (w, w.capitalize()) for mark in ("", ".", ",", ";", ":")})
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -59,8 +62,8 @@ BASE = ("too_few_words", "repeated_windows")
 def _repeat_words(ws: Column) -> Column:
     """Words standing in 8-word windows found twice or more in the text.
 
-    Window hashes are built by doubling (1, 2, 4, 8 words).  Only if some hash
-    repeats are the windows sorted by (hash, start); neighbours of equal hash
+    Window hashes are built by doubling (1, 2, 4, 8 words), the last step only
+    where four words repeat.  Only if some window repeats are they sorted by (hash, start); neighbours of equal hash
     are the repeated ones, and each adds the words up to the next start."""
 
     def doubled(h: Column, step: int) -> Column:
@@ -93,20 +96,27 @@ def _repeat_words(ws: Column) -> Column:
             ),
         )
 
-    def hashes(one: Column) -> Column:
-        return let(doubled(one, 1), lambda two: let(doubled(two, 2), lambda four: doubled(four, 4)))
+    def repeats(h: Column) -> Column:
+        return F.size(F.array_distinct(h)) != F.size(h)
+
+    def from_fours(four: Column) -> Column:
+        # an 8-word window can only repeat if its first four words do
+        return F.when(
+            repeats(four),
+            let(doubled(four, 4), lambda eight: F.when(repeats(eight), covered(eight)).otherwise(zero)),
+        ).otherwise(zero)
 
+    zero = F.lit(0).cast("long")
     return let(
-        hashes(F.transform(ws, lambda w: F.xxhash64(w))),
-        lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h)),
+        F.transform(ws, lambda w: F.xxhash64(w)),
+        lambda one: let(doubled(one, 1), lambda two: let(doubled(two, 2), from_fours)),
     )
 
 
 def measures(text: Column) -> Column:
     """One struct of counts and ratios of a text."""
     full = F.coalesce(text, F.lit(""))
-    stops = [w for w in STOP_WORDS]
-    lines = F.filter(F.split(full, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != "")
+    lines = F.filter(F.split(full, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
     def per(x: Column, n: Column) -> Column:
         return F.when(n == 0, F.lit(0.0)).otherwise(x.cast("double") / n)
@@ -115,12 +125,13 @@ def measures(text: Column) -> Column:
         n = F.size(ws).cast("long")
         counts = F.struct(
             n.alias("n_words"),
-            F.char_length(F.translate(full, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-            (F.char_length(full) - F.char_length(F.translate(full, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+            F.char_length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+            F.when(full.rlike("[#*$%&|<>]"), F.char_length(full) - F.char_length(F.translate(full, "#*$%&|<>", "")))
+            .otherwise(0).cast("long").alias("n_symbols"),
             F.size(ls).cast("long").alias("n_lines"),
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
             _repeat_words(ws).alias("n_repeat_words"),
-            F.size(F.filter(ws, lambda w: F.lower(F.rtrim(w, F.lit(".,;:"))).isin(stops))).cast("long").alias("n_stop_words"),
+            F.size(F.filter(ws, lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
         )
         return let(
             counts,

@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-_STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+_STOPS = ", ".join(f"'{w}'" for w in quality.STOP_FORMS)
 OP1_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
@@ -44,7 +44,7 @@ WITH d AS (
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
          len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
          coalesce(c.n, 0) AS n_repeat_words,
-         len(list_filter(ws, lambda x: lower(rtrim(x, '.,;:')) IN ({_STOPS}))) AS n_stop
+         len(list_filter(ws, lambda x: x IN ({_STOPS}))) AS n_stop
   FROM w LEFT JOIN c USING (rid)
 ), b AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS bad FROM m
