@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import quality
+from cadenza.llm import licenses, lines, quality, simhash
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -69,3 +69,60 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("q.base_failed").alias("base_failed"),
         F.col("q.kept").alias("kept"),
     )
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents
+), l AS (
+  SELECT rid, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM d
+), c AS (
+  SELECT source, trim(line, E' \t\n\x0b\f\r') AS t, count(DISTINCT rid) AS n FROM l GROUP BY ALL
+), h AS (
+  SELECT source, count(*) AS total FROM d GROUP BY source
+), b AS (
+  SELECT c.source, t FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE t <> '' AND total >= 20 AND n > 0.1 * total
+), m AS (
+  SELECT rid, i, line, trim(line, E' \t\n\x0b\f\r') <> '' AS shown, b.t IS NOT NULL AS cut
+  FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND trim(line, E' \t\n\x0b\f\r') = b.t
+), s AS (
+  SELECT rid, count(*) FILTER (shown) AS n_lines, count(*) FILTER (shown AND cut) AS n_cut,
+         string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut) AS kept FROM m GROUP BY rid
+)
+SELECT doc_id, source AS host, n_lines::BIGINT AS n_lines,
+       (CASE WHEN n_cut < n_lines THEN n_cut ELSE 0 END)::BIGINT AS n_dropped,
+       CASE WHEN n_cut > 0 AND n_cut < n_lines THEN kept ELSE text END AS text
+FROM d JOIN s USING (rid)
+"""
+
+
+@query("op7_line_dedup", OP7_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that are boilerplate of its source."""
+    cut = lines.cut_lines(table(spark, sf_dir, "documents"), "source", out="cut")
+    return cut.select("doc_id", F.col("source").alias("host"), F.col("cut.n_lines").alias("n_lines"), F.col("cut.n_dropped").alias("n_dropped"), "text")
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrase places and license labels of every whole text."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), out="lic").select("doc_id", "lic.*")
+    starts = F.transform("base", lambda x: x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        licenses.labels(F.col("base")).alias("base_labels"),
+        licenses.labels(F.concat("base", "spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform(F.concat("base", "spans"), lambda x: x["weight"])), F.lit(0.0)).alias("score"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
