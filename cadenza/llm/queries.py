@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import licenses, lines, quality, simhash
+from cadenza.llm import bpe, licenses, lines, mixing, quality, simhash
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -126,3 +126,17 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op5_source_mixing")
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of the documents: sources stand at most 2 to 1 apart in how
+    often they repeat, and each document is drawn at least once."""
+    drawn, _ = mixing.mix(table(spark, sf_dir, "documents"), out="mix")
+    return drawn.select("doc_id", "source", F.col("mix.epoch").alias("epoch"), F.col("mix.block").alias("block"), F.col("mix.key").alias("key"))
+
+
+@query("op10_bpe_chunk_reuse")
+def op10_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every whole text's token ids and of their decoding."""
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
