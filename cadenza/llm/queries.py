@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, licenses, lines, mixing, quality, simhash
+from cadenza.llm import ann, bpe, licenses, lines, mixing, quality, simhash, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -140,3 +140,46 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every whole text's token ids and of their decoding."""
     return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+OP2_SQL = """
+WITH r AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (
+  SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM r
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h, n) AS top FROM d
+)
+SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM m
+"""
+
+
+@query("op2_warc_bundles", OP2_SQL)
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to seekable bundles and read the archives back."""
+    index = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), u AS (
+  SELECT * FROM e WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])))) AS score
+  FROM u q JOIN u c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM p
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op3_block_matrix_neighbours", OP3_SQL)
+def op3_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every 100th one among all."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
