@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, bpe, licenses, lines, mixing, quality, simhash, warc
+from cadenza.llm import ann, bpe, licenses, lines, mixing, pii, quality, simhash, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -183,3 +183,24 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 def op3_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every 100th one among all."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op8_pii_weak_supervision")
+def op8_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: base spans, counted and digested,
+    and all spans."""
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def counted(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(counted(k).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
