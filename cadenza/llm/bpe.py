@@ -121,10 +121,16 @@ class Encoder:
         self.cut_bits, self.store_bytes, self.held = cut_bits, store_bytes, 0
         self.store: OrderedDict[bytes, tuple[str, array | None, str]] = OrderedDict()
 
-    def _window(self, text: str) -> list[int]:
+    @staticmethod
+    def is_new(text: str) -> bool:
+        """Whether a text has characters that are left to the tokenizers library."""
+        return _NEW.search(text) is not None
+
+    def window(self, text: str) -> list[int]:
+        """Ids of a text that is not cut and whose special strings are ordinary text."""
         if not text:
             return []
-        if len(text) > LONG or _NEW.search(text):
+        if len(text) > LONG or self.is_new(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -142,7 +148,7 @@ class Encoder:
             found = (text, None, "")
         else:
             a, b = first.end(), last.end()
-            found = (text[:a], array("I", self._window(text[a:b])), text[b:])
+            found = (text[:a], array("I", self.window(text[a:b])), text[b:])
         self.store[raw] = found
         self.held += len(raw)
         while self.held > self.store_bytes:
@@ -158,10 +164,10 @@ class Encoder:
             start = end
             open_text.append(before)
             if inner is not None:
-                ids += self._window("".join(open_text))
+                ids += self.window("".join(open_text))
                 ids += inner
                 open_text = [after]
-        ids += self._window("".join(open_text))
+        ids += self.window("".join(open_text))
         return ids
 
     def encode(self, text: str | None) -> list[int]:

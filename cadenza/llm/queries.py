@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, bpe, licenses, lines, mixing, pii, quality, simhash, warc
+from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, simhash, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -204,3 +204,9 @@ def op8_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op9_attention_scores")
+def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every whole text."""
+    return lm.score(table(spark, sf_dir, "documents"))
