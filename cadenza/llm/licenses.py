@@ -102,7 +102,7 @@ _TERMS = "(?:the )?(?:terms (?:and conditions )?of )?(?:the |an? )?"
 _VERSION = "(?: licen[sc]e)?(?: version| v| ver)? ?"
 
 #: A text without any of these (lower-cased) has neither a base phrase nor a detection.
-KEYWORDS = ("licen", "copyright", "gpl", "spdx", "public domain", "publicdomain", "creative commons", "creativecommons",
+KEYWORDS = ("licen", "bsd", "copyright", "gpl", "spdx", "public domain", "publicdomain", "creative commons", "creativecommons",
             "gfdl", "cddl", "odbl", "pddl", "wtfpl", "eupl", "odc by", "ms pl", "ms rl", "mozilla org", "eclipse org", "sil org", "joinup",
             "rights reserved", "proprietary", "unauthorized", "commercial", "hereby granted", "redistribution")
 
