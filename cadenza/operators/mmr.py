@@ -75,9 +75,7 @@ def build_playlist(seeds: DataFrame, catalog: DataFrame, metadata: DataFrame | N
     """M17 — seeds (seed_id, embedding, top_clusters) → cosine top-N inside
     the seeds' top clusters (seed itself excluded) → MMR k → metadata."""
     from cadenza.operators.recommend import cosine_topn
-    top = cosine_topn(seeds, catalog, n=top_n)
-    cands = top.join(catalog.select("vec_id", "embedding"), "vec_id")
-    picks = mmr_rerank(cands, k, lam)
+    picks = mmr_rerank(cosine_topn(seeds, catalog, n=top_n, with_embedding=True), k, lam)
     if metadata is not None:
         picks = picks.join(metadata, "vec_id", "left")
     return picks

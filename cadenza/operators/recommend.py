@@ -10,14 +10,12 @@ catalog.  Nothing here joins a request to every song of its cluster:
   whose size is bounded by (#clusters × 24 codes × #buckets), never by data.
 * top-k per cluster (W2) is computed once per cluster with a group limit
   (partial limit before the shuffle), then joined to requests.
-* cosine top-N (W7) scores candidates inside each catalog partition against a
-  broadcast, size-checked seed block and keeps only N per seed per partition.
+* cosine top-N (W7) deals seeds and candidates of a cluster into tiles whose
+  number follows the counts and keeps only N per seed per tile.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +26,8 @@ from cadenza.functions import harmony as H
 from cadenza.functions.vectors import cosine_similarity, squared_distance
 
 TEMPO_LO, TEMPO_HI = 40, 250
-SEED_BLOCK, CAND_CHUNK = 1024, 2048   # in-task blocking of the cosine product (memory ≈ block × (N + chunk))
+TILE_SEEDS, TILE_ROWS = 1024, 16384   # vectors of a tile of the cosine product, about
+SEED_BLOCK = 64                       # seeds multiplied at a time inside a tile
 
 
 # --- nearest tempo (as-of search) -------------------------------------------------
@@ -259,120 +258,81 @@ def join_topc_clusters(seeds: DataFrame, catalog: DataFrame, label: str = "label
     return seeds.select("seed_id", F.posexplode("top_clusters").alias("rank", label))
 
 
-def _topn_scorer(bc, n: int, exclude_self: bool, label: str):
-    """mapInPandas body: per partition, a running top-n (score desc, id asc)
-    per seed and cluster, fed block by block; candidates scoring below the
-    seed's lower bound ``tau`` are dropped before the merge."""
-
-    def score(batches):
-        sid, m, tp, tau = bc.value
-        if len(sid) == 0:
-            return
-        norms = np.linalg.norm(m, axis=1)
-        norms[norms == 0] = 1e-12
-        by_cluster: dict[int, list[int]] = {}
-        for j, t in enumerate(tp):
-            for c in t:
-                by_cluster.setdefault(int(c), []).append(j)
-        state: dict[tuple, tuple] = {}
-        for pdf in batches:
-            for c, g in pdf.groupby(label):
-                js = by_cluster.get(int(c))
-                if not js:
-                    continue
-                ids = g["vec_id"].to_numpy(dtype=np.int64)
-                x = np.stack(g["embedding"].to_numpy()).astype(np.float64)
-                xn = np.linalg.norm(x, axis=1)
-                xn[xn == 0] = 1e-12
-                for lo in range(0, len(js), SEED_BLOCK):
-                    blk = np.asarray(js[lo:lo + SEED_BLOCK])
-                    key = (int(c), lo)
-                    top_s, top_i = state.get(key, (np.full((len(blk), n), -np.inf),
-                                                   np.full((len(blk), n), np.iinfo(np.int64).max)))
-                    for a in range(0, len(ids), CAND_CHUNK):
-                        xi, xx, xxn = ids[a:a + CAND_CHUNK], x[a:a + CAND_CHUNK], xn[a:a + CAND_CHUNK]
-                        sims = (m[blk] @ xx.T) / np.outer(norms[blk], xxn)
-                        sims[sims < tau[blk][:, None]] = -np.inf
-                        if exclude_self:
-                            sims[sid[blk][:, None] == xi[None, :]] = -np.inf
-                        all_s = np.concatenate([top_s, sims], axis=1)
-                        all_i = np.concatenate([top_i, np.broadcast_to(xi, sims.shape)], axis=1)
-                        order = np.lexsort((all_i, -all_s), axis=1)[:, :n]
-                        top_s = np.take_along_axis(all_s, order, axis=1)
-                        top_i = np.take_along_axis(all_i, order, axis=1)
-                    state[key] = (top_s, top_i)
-        for (c, lo), (top_s, top_i) in state.items():
-            blk = np.asarray(by_cluster[c][lo:lo + SEED_BLOCK])
-            keep = np.isfinite(top_s)
-            rows = np.nonzero(keep)
-            yield pd.DataFrame({"seed_id": sid[blk][rows[0]], "vec_id": top_i[keep], "cosine": top_s[keep],
-                                label: np.full(int(keep.sum()), c, dtype=np.int32)})
-
-    return score
+def _exact_cosines(seed: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Cosines of one seed with the rows of ``x``, summed component by
+    component: a pair's value never depends on which rows stand beside it."""
+    dot, own, other = np.zeros(len(x)), 0.0, np.zeros(len(x))
+    for j in range(x.shape[1]):
+        dot += seed[j] * x[:, j]
+        own += seed[j] * seed[j]
+        other += x[:, j] * x[:, j]
+    norms = np.sqrt(own) * np.sqrt(other)
+    return dot / np.where(norms == 0, 1e-12, norms)
+
+
+def _tile_topn(n: int, exclude_self: bool, label: str):
+    """applyInPandas body: the top n (score desc, id asc) of each seed in one
+    tile.  A block product finds the rows that may be among them (its n-th
+    best less a margin far above rounding); those are scored exactly."""
+
+    def best(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        seeds, cands = pdf[pdf["is_seed"]], pdf[~pdf["is_seed"]]
+        if len(seeds) and len(cands):
+            x = np.stack(cands["embedding"].to_numpy()).astype(np.float64)
+            ids = cands["vec_id"].to_numpy(dtype=np.int64)
+            m = np.stack(seeds["embedding"].to_numpy()).astype(np.float64)
+            unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+            xu, mu = unit(x), unit(m)
+            sid = seeds["vec_id"].to_numpy(dtype=np.int64)
+            for lo in range(0, len(m), SEED_BLOCK):
+                sims = mu[lo:lo + SEED_BLOCK] @ xu.T
+                if exclude_self:
+                    sims[sid[lo:lo + SEED_BLOCK, None] == ids[None, :]] = -np.inf
+                kth = np.partition(sims, max(0, sims.shape[1] - n), axis=1)[:, max(0, sims.shape[1] - n)]
+                for i in range(len(sims)):
+                    near = np.flatnonzero((sims[i] >= kth[i] - 1e-9) & (sims[i] > -np.inf))
+                    score = _exact_cosines(m[lo + i], x[near])
+                    order = np.lexsort((ids[near], -score))[:n]
+                    out.append(pd.DataFrame({"seed_id": sid[lo + i], "vec_id": ids[near][order], "cosine": score[order], "pos": near[order]}))
+        if not out:
+            return pd.DataFrame({"seed_id": [], "vec_id": [], "cosine": [], label: [], "embedding": []})
+        found = pd.concat(out)
+        found[label] = np.int32(key[0])
+        found["embedding"] = cands["embedding"].to_numpy()[found.pop("pos").to_numpy()]
+        return found[["seed_id", "vec_id", "cosine", label, "embedding"]]
+
+    return best
 
 
 def cosine_topn(seeds: DataFrame, candidates: DataFrame, n: int = 200, label: str = "label",
-                max_seeds: int = 50_000, exclude_self: bool = True, prune_fraction: float | None = -1.0,
-                _level: int = 0) -> DataFrame:
+                exclude_self: bool = True, with_embedding: bool = False,
+                tile_seeds: int = TILE_SEEDS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """W7 — for every seed the N candidates of its top clusters with the
     highest cosine similarity (ties → smaller id).
 
     ``seeds``: seed_id, embedding, top_clusters.  ``candidates``: vec_id,
-    embedding, label.  The seed block is size-checked and broadcast; each
-    catalog partition multiplies its vectors by the block (numpy, Arrow
-    batches) and emits only its local top N per seed; a final group limit
-    merges partial lists.  Memory per task: block × chunk, never a group.
-
-    Pruning (exact): a pre-pass over a hash subset of the candidates (a
-    fraction f, coalesced to f·P partitions) gives each seed the N-th best
-    score of the subset, a lower bound τ of its true N-th best.  The main
-    pass drops every score below τ before the per-task top N, so the merge
-    shuffle is about N·f·P + N/f rows per seed instead of N·P.  The default
-    (−1) picks f = 1/√P when there are at least 64 candidate partitions;
-    ``None`` turns it off.
-    """
-    # size check and fetch in one job: at most max_seeds + 1 rows reach the driver
-    rows = seeds.select("seed_id", "embedding", "top_clusters").limit(max_seeds + 1).collect()
-    if len(rows) > max_seeds:
-        # split into blocks by hash; each block is one more pass over candidates
-        # (the hash is salted per level, so an oversized block splits again differently)
-        nb = 2 * math.ceil(seeds.count() / max_seeds)
-        block = F.pmod(F.hash("seed_id", F.lit(_level)), F.lit(nb))
-        parts = [cosine_topn(seeds.where(block == b), candidates, n, label,
-                             max_seeds, exclude_self, prune_fraction, _level + 1) for b in range(nb)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    sc = candidates.sparkSession.sparkContext
-    ids = np.array([r["seed_id"] for r in rows], dtype=np.int64)
-    mat = np.array([r["embedding"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 0))
-    tops = [list(r["top_clusters"]) for r in rows]
-    schema = T.StructType([T.StructField("seed_id", T.LongType()), T.StructField("vec_id", T.LongType()),
-                           T.StructField("cosine", T.DoubleType()), T.StructField(label, T.IntegerType())])
-    cands = candidates.select("vec_id", "embedding", F.col(label).cast("int").alias(label))
+    embedding, label.  Both stay distributed: each cluster is a grid of tiles
+    of about ``tile_seeds`` × ``tile_rows`` vectors (its size follows the
+    counts, so a hot cluster is many tiles), a seed goes to the tiles of one
+    grid row of each of its clusters, a candidate to those of one column.  A
+    tile keeps N rows a seed; the final group limit merges the tiles.  Scores
+    do not depend on the tiling, so neither does the result."""
+    cands = candidates.select(F.col(label).cast("int").alias(label), "vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    probes = seeds.select(F.explode(F.col("top_clusters").cast("array<int>")).alias(label), F.col("seed_id").alias("vec_id"),
+                          F.col("embedding").cast("array<double>").alias("embedding"))
+    size = lambda df, per: df.groupBy(label).agg(F.ceil(F.count(F.lit(1)) / F.lit(per)).cast("int").alias("t"))
+    grid = size(cands, tile_rows).withColumnRenamed("t", "cols").join(size(probes, tile_seeds).withColumnRenamed("t", "rows"), label)
+    spread = lambda n_tiles: F.explode(F.sequence(F.lit(0), F.col(n_tiles) - 1))
+    place = lambda n_tiles: F.pmod(F.xxhash64("vec_id"), F.col(n_tiles)).cast("int")
+    left = probes.join(grid, label).select(label, place("rows").alias("row"), spread("cols").alias("col"), F.lit(True).alias("is_seed"), "vec_id", "embedding")
+    right = cands.join(grid, label).select(label, spread("rows").alias("row"), place("cols").alias("col"), F.lit(False).alias("is_seed"), "vec_id", "embedding")
+    tiles = left.unionByName(right).groupBy(label, "row", "col").applyInPandas(
+        _tile_topn(n, exclude_self, label), f"seed_id long, vec_id long, cosine double, {label} int, embedding array<double>")
+    if not with_embedding:
+        tiles = tiles.drop("embedding")
     w = Window.partitionBy("seed_id").orderBy(F.desc("cosine"), "vec_id")
-
-    tau = np.full(len(ids), -np.inf)
-    n_parts = cands.rdd.getNumPartitions()
-    if prune_fraction is not None and prune_fraction < 0:
-        prune_fraction = 1.0 / math.sqrt(n_parts) if n_parts >= 64 else None
-    if prune_fraction:
-        from cadenza.operators.clean import hash_fraction
-        bc0 = sc.broadcast((ids, mat, tops, tau))
-        sub = cands.where(hash_fraction(F.col("vec_id"), 7) < F.lit(prune_fraction)) \
-            .coalesce(max(1, math.ceil(n_parts * prune_fraction)))
-        best = sub.mapInPandas(_topn_scorer(bc0, n, exclude_self, label), schema) \
-            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-        bounds = best.groupBy("seed_id").agg(F.count(F.lit(1)).alias("k"), F.min("cosine").alias("t")) \
-            .where(F.col("k") >= n).collect()          # ≤ one row per seed of the checked block
-        pos = {int(s): i for i, s in enumerate(ids)}
-        for r in bounds:
-            tau[pos[int(r["seed_id"])]] = float(r["t"])
-        bc0.unpersist()
-    bc = sc.broadcast((ids, mat, tops, tau))
-    partial = cands.mapInPandas(_topn_scorer(bc, n, exclude_self, label), schema)
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return tiles.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
 def cosine_col(a: Column, b: Column) -> Column:

@@ -12,7 +12,7 @@ from cadenza.operators import recommend as RC
 from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
 from cadenza.plans.q_catalog import CAMELOT_SQL
-from cadenza.plans.q_recommend import CENTER_SQL, label_centers, seeds_with_clusters
+from cadenza.plans.q_recommend import CENTER_SQL, label_centers, search_seeds
 from cadenza.plans.registry import register
 from cadenza.session import checkpoint_dir
 from cadenza.sources import catalog as V
@@ -318,7 +318,7 @@ def q_m14(spark, sf):
 # the taken flags; ties go to the earlier candidate (list_position of the max).
 MMR_SQL = {**CENTER_SQL,
  "seeds": """SELECT vec_id AS seed_id, embedding AS e, list(c ORDER BY d, c)[1:2] AS top_clusters
-               FROM dists JOIN vectors USING (vec_id) GROUP BY vec_id, embedding""",
+               FROM dists JOIN vectors USING (vec_id) WHERE vec_id % 20 = 0 GROUP BY vec_id, embedding""",
  "cand": """SELECT seed_id, vec_id, embedding, cosine, row_number() OVER (PARTITION BY seed_id ORDER BY cosine DESC, vec_id) AS rank FROM (
    SELECT s.seed_id, v.vec_id, v.embedding,
           list_dot_product(s.e, v.embedding) / (sqrt(list_dot_product(s.e, s.e)) * sqrt(list_dot_product(v.embedding, v.embedding))) AS cosine
@@ -347,9 +347,8 @@ SELECT seed_id, ids[p] AS vec_id, CAST(r AS INT) AS mmr_rank FROM (
 
 @register("mmr_rerank", MMR_BODY, MMR_SQL)
 def q_m16(spark, sf):
-    seeds = seeds_with_clusters(spark, sf)
-    top = RC.cosine_topn(seeds, V.vectors(spark, sf), n=MM.TOP_N)
-    cands = top.join(V.vectors(spark, sf).select("vec_id", "embedding"), "vec_id")
+    seeds = search_seeds(spark, sf)
+    cands = RC.cosine_topn(seeds, V.vectors(spark, sf), n=MM.TOP_N, with_embedding=True)
     return MM.mmr_rerank(cands, MM.K_FINAL, MM.LAMBDA_REL).select("seed_id", "vec_id", "mmr_rank")
 
 
@@ -359,5 +358,5 @@ def q_m16(spark, sf):
     + ") m JOIN vectors v ON v.vec_id = m.vec_id", MMR_SQL)
 def q_m17(spark, sf):
     meta = V.vectors(spark, sf).select("vec_id", "label")
-    return MM.build_playlist(seeds_with_clusters(spark, sf), V.vectors(spark, sf), meta).select(
+    return MM.build_playlist(search_seeds(spark, sf), V.vectors(spark, sf), meta).select(
         "seed_id", "vec_id", "mmr_rank", "label")

@@ -167,25 +167,27 @@ def test_nearest_tempo_outside_serving_range(spark):
     assert got == _brute_nearest(reqs, cat)
 
 
-def test_cosine_topn_pruning_is_exact(spark):
+def test_cosine_topn_is_exact_for_any_tiling(spark):
+    """Same rows and scores for 1, 64 and 200 candidate partitions and any tile size, with duplicated vectors."""
     rng = np.random.default_rng(11)
-    vecs = [(i, [float(x) for x in rng.normal(size=8)], int(i % 3)) for i in range(600)]
-    cands = spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int").repartition(12)
-    seeds = spark.createDataFrame([(i, vecs[i][1], [i % 3, (i + 1) % 3]) for i in range(0, 600, 37)],
-                                  "seed_id long, embedding array<double>, top_clusters array<int>")
-    plain = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=20, prune_fraction=None)
-             .select("seed_id", "vec_id", "rank").collect()}
-    pruned = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=20, prune_fraction=0.5)
-              .select("seed_id", "vec_id", "rank").collect()}
-    assert plain == pruned and len(plain) == 17 * 20
-
-
-def test_cosine_topn_seed_blocks_equal_single_pass(spark):
-    rng = np.random.default_rng(4)
-    vecs = [(i, [float(x) for x in rng.normal(size=6)], int(i % 2)) for i in range(200)]
+    vecs = [(i, [float(x) for x in rng.normal(size=8)], int(i % 3)) for i in range(500)]
+    vecs += [(500 + i, vecs[i % 7][1], int(i % 3)) for i in range(90)] + [(600, [0.0] * 8, 0)]
     cands = spark.createDataFrame(vecs, "vec_id long, embedding array<double>, label int")
-    seeds = spark.createDataFrame([(i, vecs[i][1], [0, 1]) for i in range(0, 200, 5)],
+    seeds = spark.createDataFrame([(i, vecs[i][1], [i % 3, (i + 1) % 3]) for i in range(0, 590, 37)],
                                   "seed_id long, embedding array<double>, top_clusters array<int>")
-    one = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=10).select("seed_id", "vec_id", "rank").collect()}
-    blocks = {tuple(r) for r in RC.cosine_topn(seeds, cands, n=10, max_seeds=7).select("seed_id", "vec_id", "rank").collect()}
-    assert one == blocks and len(one) == 40 * 10
+    want = {}
+    for s in range(0, 590, 37):
+        near = []
+        for i, x, c in vecs:
+            if i != s and c in (s % 3, (s + 1) % 3):
+                dot = own = other = 0.0
+                for a, b in zip(vecs[s][1], x):
+                    dot, own, other = dot + a * b, own + a * a, other + b * b
+                near.append((-(dot / ((np.sqrt(own) * np.sqrt(other)) or 1e-12)), i))
+        want[s] = [i for _, i in sorted(near)[:20]]
+    for parts, tiles in ((1, (1024, 16384)), (64, (4, 50)), (200, (1024, 30))):
+        got = {}
+        out = RC.cosine_topn(seeds, cands.repartition(parts), n=20, tile_seeds=tiles[0], tile_rows=tiles[1])
+        for r in out.orderBy("seed_id", "rank").collect():
+            got.setdefault(r["seed_id"], []).append(r["vec_id"])
+        assert got == want
