@@ -45,9 +45,10 @@ def mode_major(mode: Column) -> Column:
 def camelot_number(key: Column, mode: Column) -> Column:
     """H4 — wheel number 1..12; null key/mode or key outside 0..11 → null.
 
-    A fractional key is truncated first (int(key) semantics).
+    A fractional key is truncated first (int(key) semantics); a key that no
+    int can hold, or not a number, is outside.
     """
-    k = F.when(key.isNotNull(), key.cast("int"))
+    k = F.when((key > -1) & (key < 12), key.cast("int"))
     return (F.when(key.isNull() | mode.isNull(), F.lit(None).cast("int"))
             .when(mode == 1, _lookup(CAMELOT_MAJOR, k))
             .otherwise(_lookup(CAMELOT_MINOR, k)))

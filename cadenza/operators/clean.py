@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REQUIRED_FIELDS = ("tempo", "loudness", "key", "mode", "time_signature")
+INT_LIMIT = 2147483648.0   # numbers of this size or more, NaN and infinities are out of range
 
 # --- fixed values (must equal the reference) --------------------------------
 TEMPO_MIN, TEMPO_MAX = 40, 250          # inclusive tempo range kept
@@ -96,6 +97,17 @@ def missing_fields(fields: Iterable[str] = REQUIRED_FIELDS) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in fields]))
 
 
+def in_range(value: Column) -> Column:
+    """True for a number that an int can hold (false for NaN and infinities)."""
+    return F.coalesce((value > -INT_LIMIT) & (value < INT_LIMIT), F.lit(False))
+
+
+def out_of_range(fields: Iterable[str] = REQUIRED_FIELDS) -> Column:
+    """Array of 'range:<field>' for required fields present but not in range."""
+    return F.array_compact(F.array(*[
+        F.when(F.col(f).isNotNull() & ~in_range(F.col(f)), F.lit(f"range:{f}")) for f in fields]))
+
+
 def validate_required(df: DataFrame, fields: Iterable[str] = REQUIRED_FIELDS) -> tuple[DataFrame, DataFrame]:
     """P9 — split rows into (good, bad); bad rows carry ``missing`` (names)."""
     tagged = df.withColumn("missing", missing_fields(fields))
@@ -106,7 +118,7 @@ def validate_required(df: DataFrame, fields: Iterable[str] = REQUIRED_FIELDS) ->
 
 def coerce_types_with_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     """P10 — float fields → double, int fields → int (truncation toward zero),
-    unreadable or missing → the default."""
+    unreadable, missing or (ints) beyond the int range → the default."""
     defaults = defaults or FIELD_DEFAULTS
     out = df
     for name, default in defaults.items():
@@ -115,7 +127,7 @@ def coerce_types_with_defaults(df: DataFrame, defaults: dict | None = None) -> D
             out = out.withColumn(name, F.coalesce(val, F.lit(default)))
         else:
             as_double = F.col(name).cast("string").try_cast(T.DoubleType())
-            val = F.when(as_double.isNotNull() & ~F.isnan(as_double), as_double.cast("long").cast("int"))
+            val = F.when(in_range(as_double), as_double.cast("int"))
             out = out.withColumn(name, F.coalesce(val, F.lit(default)))
     return out
 
@@ -129,12 +141,14 @@ def narrow_types(df: DataFrame) -> DataFrame:
 
 def drop_bad_rows(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """P12 — (parsed rows, rejected raw rows).  A row is rejected when its JSON
-    cannot be read or any required field is missing; rejected rows keep the
-    raw message and the reason, nothing is silently lost."""
+    cannot be read or any required field is missing or out of range (so that
+    no later cast can fail on it); rejected rows keep the raw message and the
+    reason, nothing is silently lost."""
     parsed = parse_request(messages)
+    wrong = F.concat(missing_fields(), out_of_range())
     reason = F.when(F.col("track_name").isNull() & F.col("artist_name").isNull() & F.col("tempo").isNull(),
-                    F.lit("unreadable")).otherwise(F.concat_ws(",", missing_fields()))
-    tagged = parsed.withColumn("reason", F.when(F.size(missing_fields()) > 0, reason))
+                    F.lit("unreadable")).otherwise(F.concat_ws(",", wrong))
+    tagged = parsed.withColumn("reason", F.when(F.size(wrong) > 0, reason))
     good = tagged.where(F.col("reason").isNull()).drop("reason", "json_str")
     bad = tagged.where(F.col("reason").isNotNull()).select("recommendation_id", "json_str", "reason")
     return good, bad

@@ -118,7 +118,7 @@ def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[st
 def with_fixed_cluster(df: DataFrame, key: str = "key", ts: str = "time_signature") -> DataFrame:
     """Cluster id by the fixed rule (stand-in for a model; see catalog.fixed_cluster)."""
     from cadenza.sources.catalog import fixed_cluster
-    return df.withColumn("cluster_id", fixed_cluster(F.col(key).cast("int"), F.col(ts).cast("int")))
+    return df.withColumn("cluster_id", fixed_cluster(F.col(key).try_cast("int"), F.col(ts).try_cast("int")))
 
 
 def clean_requests(requests: DataFrame) -> DataFrame:

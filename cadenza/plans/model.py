@@ -39,7 +39,7 @@ SWEEP_V8 = range(4, 20)
 WEIGHT_GRID = {  # 3·2·2·2·2·1 = 48 weight vectors searched at k = 6
     "tempo": (1.0, 2.0, 3.0), "loudness": (0.5, 1.0), "key": (1.0, 2.0), "mode": (0.5, 1.0), "time_signature": (0.5,),
 }
-SEARCH_K, SEARCH_SAMPLE = 6, 0.05
+SEARCH_K = 6
 # ---------------------------------------------------------------------------
 
 
@@ -166,19 +166,17 @@ def weight_grid() -> list[tuple]:
             for b in g["key"] for m in g["mode"] for ts in g["time_signature"]]
 
 
-def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K, sample_fraction: float = SEARCH_SAMPLE,
+def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K,
                    grid: list[tuple] | None = None, parallelism: int = 8) -> DataFrame:
     """M7 — silhouette of K-Means(k) for every weight vector of the grid, on
-    a reproducible hash sample; returns all scores with the best flagged.
-    The scaled sample is computed and persisted once; only the elementwise
-    product changes between fits."""
-    from cadenza.operators.clean import sample_songs
+    all songs; returns all scores with the best flagged.  The scaled features
+    are computed and persisted once; only the elementwise product changes
+    between fits."""
     spark = df.sparkSession
     if spec.loudness_offset is None:
         spec.loudness_offset = fit_loudness_offset(df)
-    sample = sample_songs(df, sample_fraction, spec.seed)
-    base = Pipeline(stages=[assembler(spec), scaler()]).fit(prepare(sample, spec))
-    data = base.transform(prepare(sample, spec)).select("scaled_features").persist(StorageLevel.MEMORY_AND_DISK)
+    base = Pipeline(stages=[assembler(spec), scaler()]).fit(prepare(df, spec))
+    data = base.transform(prepare(df, spec)).select("scaled_features").persist(StorageLevel.MEMORY_AND_DISK)
     def fit_one(w):
         s2 = FeatureSpec(spec.columns, tuple(w), spec.loudness_offset, k, spec.seed)
         wd = weighting(s2).transform(data)

@@ -37,7 +37,7 @@ SELECT upper(substr(sha1(concat_ws('-', event_type, event_id)),1,16)) AS key,
        CASE WHEN event_type = 'error' THEN '{bad'
             WHEN event_type = 'signup' THEN concat('{"track_name":"t', event_id, '","artist_name":"u', user_id, '"}')
             ELSE concat('{"track_name":"t', event_id, '","artist_name":"u', user_id, '","tempo":', 30 + event_id % 240,
-                        ',"loudness":', -1 * (event_id % 60), ',"key":', user_id % 12, ',"mode":', event_id % 2,
+                        ',"loudness":', -1 * (event_id % 60), ',"key":', CASE WHEN event_id % 97 = 0 THEN '1e12' ELSE CAST(user_id % 12 AS VARCHAR) END, ',"mode":', event_id % 2,
                         ',"time_signature":', event_id % 7, '}') END AS value
 FROM events""",
     "api_payload": """
@@ -56,14 +56,14 @@ FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <
     "artist_terms": """
 SELECT l_suppkey AS artist_id, p_brand AS term, count(*) AS freq FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2""",
     "mb_track": """
-SELECT DISTINCT song_id AS id, title AS name, artist_id AS artist, album_id AS album FROM songs WHERE album_id % 3 <> 0""",
+SELECT DISTINCT song_id AS id, CASE WHEN album_id % 3 = 0 THEN concat(title, ' [alt]') ELSE title END AS name,
+       artist_id AS artist, album_id AS album FROM songs""",
     "mb_album": """
 SELECT o_orderkey AS id, concat('Album#', o_orderkey % 97) AS name, o_custkey % (SELECT count(*) FROM supplier) AS artist FROM orders""",
     "mb_release": """
 SELECT o_orderkey AS album, CASE WHEN o_orderkey % 10 = 0 THEN '0000-00-00' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS releasedate FROM orders""",
     "seed_list": """
-SELECT concat(lower(s_name), '<SEP>', lower(p_name)) AS line FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
-WHERE l_orderkey % 50 = 0""",
+SELECT concat(lower(s_name), '<SEP>', lower(p_name)) AS line FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey""",
     "enrich_input": """
 SELECT c.song_id, c.title, coalesce(b.name, '') AS release, c.artist AS artist_name, c.artist_id, a.gid AS artist_mbid
 FROM catalog c LEFT JOIN artists a ON a.artist_id = c.artist_id LEFT JOIN mb_album b ON b.id = c.album_id""",

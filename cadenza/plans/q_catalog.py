@@ -99,8 +99,8 @@ def q_validate(spark, sf):
 @register("coerce_types_with_defaults", """
 SELECT recommendation_id, track_name, artist_name,
        coalesce(tempo, 0.0) AS tempo, coalesce(loudness, -60.0) AS loudness,
-       coalesce(CAST(trunc(key) AS INT), 0) AS key, coalesce(CAST(trunc(mode) AS INT), 1) AS mode,
-       coalesce(CAST(trunc(time_signature) AS INT), 4) AS time_signature
+       coalesce(TRY_CAST(trunc(key) AS INT), 0) AS key, coalesce(TRY_CAST(trunc(mode) AS INT), 1) AS mode,
+       coalesce(TRY_CAST(trunc(time_signature) AS INT), 4) AS time_signature
 FROM parsed_requests""", PARSED)
 def q_coerce(spark, sf):
     return C.coerce_types_with_defaults(C.flatten_request(V.request_messages(spark, sf)))
@@ -120,9 +120,9 @@ SELECT recommendation_id, json_str,
        CASE WHEN track_name IS NULL AND artist_name IS NULL AND tempo IS NULL THEN 'unreadable'
             ELSE concat_ws(',', CASE WHEN tempo IS NULL THEN 'tempo' END, CASE WHEN loudness IS NULL THEN 'loudness' END,
                  CASE WHEN key IS NULL THEN 'key' END, CASE WHEN mode IS NULL THEN 'mode' END,
-                 CASE WHEN time_signature IS NULL THEN 'time_signature' END) END AS reason
+                 CASE WHEN time_signature IS NULL THEN 'time_signature' END, CASE WHEN abs(tempo) >= 2147483648 THEN 'range:tempo' END, CASE WHEN abs(loudness) >= 2147483648 THEN 'range:loudness' END, CASE WHEN abs(key) >= 2147483648 THEN 'range:key' END, CASE WHEN abs(mode) >= 2147483648 THEN 'range:mode' END, CASE WHEN abs(time_signature) >= 2147483648 THEN 'range:time_signature' END) END AS reason
 FROM parsed_requests
-WHERE tempo IS NULL OR loudness IS NULL OR key IS NULL OR mode IS NULL OR time_signature IS NULL""", PARSED)
+WHERE NOT coalesce(abs(tempo) < 2147483648 AND abs(loudness) < 2147483648 AND abs(key) < 2147483648 AND abs(mode) < 2147483648 AND abs(time_signature) < 2147483648, false)""", PARSED)
 def q_drop_bad(spark, sf):
     _, bad = C.drop_bad_rows(V.request_messages(spark, sf))
     return bad

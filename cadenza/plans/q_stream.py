@@ -20,14 +20,14 @@ from cadenza.streaming import stream as ST
 
 VALID = {**PARSED, "parsed_valid": """
 SELECT * FROM parsed_requests
-WHERE tempo IS NOT NULL AND loudness IS NOT NULL AND key IS NOT NULL AND mode IS NOT NULL AND time_signature IS NOT NULL"""}
+WHERE abs(tempo) < 2147483648 AND abs(loudness) < 2147483648 AND abs(key) < 2147483648 AND abs(mode) < 2147483648 AND abs(time_signature) < 2147483648"""}
 STREAM_RQ = {**VALID, **{k: v.replace("FROM requests r", "FROM parsed_valid r") for k, v in RQ_SQL.items()}}
 
 
-def _staged(spark, sf, name):
+def _staged(spark, sf, name, files=None):
     base = checkpoint_dir(spark, name)
     src = f"{base}/in"
-    ST.stage_messages(V.request_messages(spark, sf), src, files=4)
+    ST.stage_messages(V.request_messages(spark, sf), src, files)
     return base, src
 
 
@@ -62,9 +62,10 @@ def q_t3(spark, sf):
     return ST.read_output(spark, f"{base}/out").select("key", "value")
 
 
-@register("stream_checkpoint_restart")
+@register("stream_checkpoint_restart", """
+SELECT count(*) AS rows_after_first_run, count(*) AS rows_after_restart, CAST(4 AS BIGINT) AS batches FROM j2""", STREAM_RQ)
 def q_t5(spark, sf):
-    base, src = _staged(spark, sf, "t5")
+    base, src = _staged(spark, sf, "t5", files=4)
     cat = V.clustered_catalog(spark, sf)
     ST.stream_recommend(spark, cat, src, f"{base}/out", f"{base}/ckpt")
     first = spark.read.parquet(f"{base}/out").count()
@@ -79,9 +80,9 @@ SELECT recommendation_id, json_str,
        CASE WHEN track_name IS NULL AND artist_name IS NULL AND tempo IS NULL THEN 'unreadable'
             ELSE concat_ws(',', CASE WHEN tempo IS NULL THEN 'tempo' END, CASE WHEN loudness IS NULL THEN 'loudness' END,
                  CASE WHEN key IS NULL THEN 'key' END, CASE WHEN mode IS NULL THEN 'mode' END,
-                 CASE WHEN time_signature IS NULL THEN 'time_signature' END) END AS reason
+                 CASE WHEN time_signature IS NULL THEN 'time_signature' END, CASE WHEN abs(tempo) >= 2147483648 THEN 'range:tempo' END, CASE WHEN abs(loudness) >= 2147483648 THEN 'range:loudness' END, CASE WHEN abs(key) >= 2147483648 THEN 'range:key' END, CASE WHEN abs(mode) >= 2147483648 THEN 'range:mode' END, CASE WHEN abs(time_signature) >= 2147483648 THEN 'range:time_signature' END) END AS reason
 FROM parsed_requests
-WHERE tempo IS NULL OR loudness IS NULL OR key IS NULL OR mode IS NULL OR time_signature IS NULL""", PARSED)
+WHERE NOT coalesce(abs(tempo) < 2147483648 AND abs(loudness) < 2147483648 AND abs(key) < 2147483648 AND abs(mode) < 2147483648 AND abs(time_signature) < 2147483648, false)""", PARSED)
 def q_t6(spark, sf):
     base, src = _staged(spark, sf, "t6")
     ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", f"{base}/dead")

@@ -115,14 +115,15 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw (key, value) request messages; 'error' events are malformed JSON,
-    'signup' events lack the audio fields."""
+    'signup' events lack the audio fields, every 97th event has a valid number
+    that no int can hold."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     eid, uid = F.col("event_id").cast("string"), F.col("user_id").cast("string")
     full = F.concat(
         F.lit('{"track_name":"t'), eid, F.lit('","artist_name":"u'), uid,
         F.lit('","tempo":'), (F.lit(30) + F.col("event_id") % 240).cast("string"),
         F.lit(',"loudness":'), (F.lit(-1) * (F.col("event_id") % 60)).cast("string"),
-        F.lit(',"key":'), (F.col("user_id") % 12).cast("string"),
+        F.lit(',"key":'), F.when(F.col("event_id") % 97 == 0, F.lit("1e12")).otherwise((F.col("user_id") % 12).cast("string")),
         F.lit(',"mode":'), (F.col("event_id") % 2).cast("string"),
         F.lit(',"time_signature":'), (F.col("event_id") % 7).cast("string"), F.lit("}"))
     partial = F.concat(F.lit('{"track_name":"t'), eid, F.lit('","artist_name":"u'), uid, F.lit('"}'))
@@ -179,8 +180,10 @@ def artist_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mb_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = songs(spark, sf_dir)
-    return s.where(F.col("album_id") % 3 != 0).select(
-        F.col("song_id").alias("id"), F.col("title").alias("name"),
+    # a third of the albums go by another title, so that they have no match
+    other = F.when(F.col("album_id") % 3 == 0, F.concat(F.col("title"), F.lit(" [alt]"))).otherwise(F.col("title"))
+    return s.select(
+        F.col("song_id").alias("id"), other.alias("name"),
         F.col("artist_id").alias("artist"), F.col("album_id").alias("album")).distinct()
 
 
@@ -207,7 +210,7 @@ def seed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    j = li.where(F.col("l_orderkey") % 50 == 0).join(part, li.l_partkey == part.p_partkey) \
+    j = li.join(part, li.l_partkey == part.p_partkey) \
         .join(sup, li.l_suppkey == sup.s_suppkey)
     return j.select(F.concat(F.lower("s_name"), F.lit("<SEP>"), F.lower("p_name")).alias("line"))
 
