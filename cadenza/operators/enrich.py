@@ -119,9 +119,10 @@ def parse_seed_list(lines: DataFrame, col: str = "line") -> DataFrame:
     return lines.select(F.trim(parts[0]).alias("artist"), F.trim(F.get(parts, 1)).alias("title"))
 
 
-def resolve_seed_list(seeds: DataFrame, catalog: DataFrame) -> DataFrame:
+def resolve_seed_list(seeds: DataFrame, catalog: DataFrame, per_artist: int | None = None) -> DataFrame:
     """J8 — each (artist, title) seed → the first exact match (smallest
-    song_id, case-insensitive), then every song of the matched artists.
+    song_id, case-insensitive), then every song of the matched artists (at
+    most ``per_artist`` of each, by song_id).
     Output: distinct (song_id, step) with step 1 = matched seed, 2 = artist."""
     key = [F.lower(F.trim("artist")).alias("a"), F.lower(F.trim("title")).alias("t")]
     want = seeds.select(*key).distinct()
@@ -130,6 +131,9 @@ def resolve_seed_list(seeds: DataFrame, catalog: DataFrame) -> DataFrame:
         F.min(F.struct("song_id", "artist_id")).alias("m")).select("m.song_id", "m.artist_id")
     matched_artists = first.select("artist_id").distinct()
     by_artist = catalog.select("song_id", "artist_id").join(matched_artists, "artist_id", "left_semi")
+    if per_artist is not None:
+        w = Window.partitionBy("artist_id").orderBy("song_id")
+        by_artist = by_artist.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_artist).drop("_r")
     both = first.select("song_id", F.lit(1).alias("step")).unionByName(by_artist.select("song_id", F.lit(2).alias("step")))
     return both.groupBy("song_id").agg(F.min("step").alias("step"))
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.harmony import tempo_bin
+from cadenza.session import cut_lineage
 
 FEATURES = ("tempo", "loudness", "key", "mode", "time_signature")
 R = 6
@@ -70,49 +71,64 @@ def tempo_key_pivot(df: DataFrame, bins: Sequence[int] | None = None, width: int
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A7 — (column, value, n) for every listed column; values as strings.
+    """A7 — (column, value, n) for every listed column; values as strings
+    (fractions with 6 places).
 
-    Unpivot by ``stack`` then a single grouped count — one shuffle for all
-    columns, partially aggregated per executor.
+    Unpivot, then a single grouped count — one shuffle for all columns,
+    partially aggregated per executor.
     """
+    kinds = dict(df.dtypes)
+
+    def text(c):
+        x = F.col(c).cast("decimal(30,6)") if kinds[c] in ("double", "float") else F.col(c)
+        return x.cast("string")
+
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv"))
+        F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in cols])).alias("kv"))
     return long.groupBy("kv.column", "kv.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def profile_columns(df: DataFrame, cols: Sequence[str], exact: bool = True,
-                    quantiles: Sequence[float] = (0.25, 0.5, 0.75), accuracy: int = 1_000_000) -> DataFrame:
+def _value_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n, upto): how often each distinct value of a column
+    stands, and how many values stand up to it.
+
+    Counted with map-side sums, range-partitioned by (column, value) and
+    prefix-summed in two levels, so a hot value is one row and no column is
+    sorted in one task; the range partitions are checkpointed before their
+    totals are taken, so a task that runs again sees the same ones."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")).select("kv.*")
+    counted = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = cut_lineage(counted.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()))
+    totals = placed.groupBy("column", "part").agg(F.sum("n").alias("t"))   # columns × partitions rows
+    before = totals.select("column", "part", (F.sum("t").over(Window.partitionBy("column").orderBy("part")) - F.col("t")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("column", "part").orderBy("value"))
+    return placed.withColumn("inside", inside).join(before, ["column", "part"]).select(
+        "column", "value", "n", (F.col("before") + F.col("inside")).alias("upto"))
+
+
+def profile_columns(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """A8 — per-column profile: rows, nulls, distinct, min, max, mean, sample
-    std and quantiles for all columns in two aggregate jobs.
-
-    Distinct counts run as their own aggregate (a scalar subquery): mixed
-    with the other aggregates Spark would push every sketch through the
-    distinct-rewrite Expand.  Quantiles use ``percentile_approx`` — one
-    bounded-memory sketch per column that merges partials, exact while a
-    column has fewer values than ``accuracy``.  ``exact=False`` swaps the
-    distinct count for HLL++ (no Expand at all).
-    """
+    std and quantiles (the smallest value with at least q of the values up to
+    it), all exact at any size: distinct counts and quantiles come from the
+    ranks of the distinct values, the rest from one aggregate job."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [
-            F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
+            F.count(F.col(c)).alias(f"{c}__n"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
             r6(F.avg(x)).alias(f"{c}__mean"), r6(F.stddev_samp(x)).alias(f"{c}__std"),
-            # one sketch per column for all quantiles
-            F.percentile_approx(x, list(quantiles), accuracy).alias(f"{c}__qs"),
         ]
-    count = F.count_distinct if exact else F.approx_count_distinct
-    distinct = df.agg(F.struct(*[count(F.col(c)).alias(c) for c in cols]).alias("d")).scalar()
     one = df.agg(*aggs)
-    structs = []
-    for c in cols:
-        fields = [F.lit(c).alias("column"), F.col(f"{c}__nulls").alias("n_null"),
-                  distinct.getField(c).alias("n_distinct"), F.col(f"{c}__min").alias("min"),
-                  F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std")]
-        fields += [F.col(f"{c}__qs")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(quantiles)]
-        structs.append(F.struct(*fields))
-    return one.select(F.col("_rows").alias("n_rows"), F.explode(F.array(*structs)).alias("p")).select("n_rows", "p.*")
+    basics = one.select(F.col("_rows").alias("n_rows"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
+                 F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std")) for c in cols])).alias("p")).select("n_rows", "p.*")
+    ranks = _value_ranks(df, cols).join(basics.select("column", F.col("n").alias("total")), "column")   # a row per column: broadcast by size
+    picked = ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), *[
+        F.min(F.when(F.col("upto") >= F.ceil(F.lit(q) * F.col("total")), F.col("value"))).alias(f"q{int(q * 100)}") for q in quantiles])
+    return basics.join(picked, "column", "left").select(
+        "n_rows", "column", (F.col("n_rows") - F.col("n")).alias("n_null"), F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"),
+        "min", "max", "mean", "std", *[f"q{int(q * 100)}" for q in quantiles])
 
 
 def feature_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -151,17 +167,26 @@ def distinct_clusters(df: DataFrame, col: str = "cluster_id") -> DataFrame:
     return ids.withColumn("n_clusters", ids.agg(F.count(F.lit(1))).scalar())
 
 
-def cluster_centroids(vectors: DataFrame, dim: int, vec_col: str = "embedding", col: str = "label") -> DataFrame:
+def vector_dim(vectors: DataFrame, vec_col: str = "embedding") -> int:
+    """Length of the vectors (0 if there are none); vectors of mixed lengths are an error."""
+    r = vectors.agg(F.min(F.size(vec_col)).alias("lo"), F.max(F.size(vec_col)).alias("hi")).first()
+    if r["lo"] != r["hi"]:
+        raise ValueError(f"vectors of mixed lengths, {r['lo']} to {r['hi']}")
+    return r["hi"] or 0
+
+
+def cluster_centroids(vectors: DataFrame, vec_col: str = "embedding", col: str = "label") -> DataFrame:
     """A16 — mean vector per cluster, long form (cluster, dim, mean).
 
-    ``dim`` averages of array elements per group (no explode before the
-    aggregate, partial aggregation intact); the unpivot runs on k rows.
+    One average per array element and group (no explode before the aggregate,
+    partial aggregation intact); the unpivot runs on k rows.
     """
-    wide = vectors.groupBy(col).agg(F.array(*[F.avg(F.col(vec_col)[i]) for i in range(dim)]).alias("_m"))
+    wide = centroid_arrays(vectors, vec_col, col).withColumnRenamed("centroid", "_m")
     return wide.select(col, F.posexplode("_m").alias("dim", "mean")).select(
         col, F.col("dim").cast("int").alias("dim"), r6(F.col("mean")).alias("mean"))
 
 
-def centroid_arrays(vectors: DataFrame, dim: int, vec_col: str = "embedding", col: str = "label") -> DataFrame:
+def centroid_arrays(vectors: DataFrame, vec_col: str = "embedding", col: str = "label") -> DataFrame:
     """Centroids as (cluster, array<double>) — k rows."""
+    dim = vector_dim(vectors, vec_col)
     return vectors.groupBy(col).agg(F.array(*[F.avg(F.col(vec_col)[i]) for i in range(dim)]).alias("centroid"))

@@ -63,7 +63,7 @@ SELECT o_orderkey AS id, concat('Album#', o_orderkey % 97) AS name, o_custkey %
     "mb_release": """
 SELECT o_orderkey AS album, CASE WHEN o_orderkey % 10 = 0 THEN '0000-00-00' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS releasedate FROM orders""",
     "seed_list": """
-SELECT concat(lower(s_name), '<SEP>', lower(p_name)) AS line FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey""",
+SELECT concat(lower(s_name), '<SEP>', lower(CASE WHEN l_orderkey % 50 = 0 THEN p_name ELSE concat(p_name, ' (live)') END)) AS line FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey""",
     "enrich_input": """
 SELECT c.song_id, c.title, coalesce(b.name, '') AS release, c.artist AS artist_name, c.artist_id, a.gid AS artist_mbid
 FROM catalog c LEFT JOIN artists a ON a.artist_id = c.artist_id LEFT JOIN mb_album b ON b.id = c.album_id""",

@@ -145,27 +145,23 @@ EXPECTED_CATALOG_ROWS = 1_000_000   # the integrity scan expects exactly this ma
 # ---------------------------------------------------------------------------
 
 
-@register("data_quality_scan", """
-WITH one AS (
-  SELECT count(*) AS n_rows,
-    CAST(count_if(tempo IS NULL) AS BIGINT) AS tempo_null, CAST(count_if(isnan(tempo)) AS BIGINT) AS tempo_nan,
-    CAST(count_if(tempo IS NOT NULL AND NOT tempo BETWEEN 40 AND 250) AS BIGINT) AS tempo_ood,
-    CAST(count_if(loudness IS NULL) AS BIGINT) AS loudness_null, CAST(count_if(isnan(loudness)) AS BIGINT) AS loudness_nan,
-    CAST(count_if(key IS NULL) AS BIGINT) AS key_null, CAST(count_if(key IS NOT NULL AND NOT key BETWEEN 0 AND 11) AS BIGINT) AS key_ood,
-    CAST(count_if(mode IS NULL) AS BIGINT) AS mode_null, CAST(count_if(mode IS NOT NULL AND NOT mode BETWEEN 0 AND 1) AS BIGINT) AS mode_ood,
-    CAST(count_if(time_signature IS NULL) AS BIGINT) AS ts_null,
-    CAST(count_if(time_signature IS NOT NULL AND NOT time_signature BETWEEN 1 AND 5) AS BIGINT) AS ts_ood
-  FROM songs)
-SELECT c AS "column", n_rows, n_null, n_nan, n_out_of_domain, n_rows = 1000000 AS rows_as_expected FROM (
-  SELECT 'tempo' AS c, n_rows, tempo_null AS n_null, tempo_nan AS n_nan, tempo_ood AS n_out_of_domain FROM one UNION ALL
-  SELECT 'loudness', n_rows, loudness_null, loudness_nan, CAST(0 AS BIGINT) FROM one UNION ALL
-  SELECT 'key', n_rows, key_null, CAST(0 AS BIGINT), key_ood FROM one UNION ALL
-  SELECT 'mode', n_rows, mode_null, CAST(0 AS BIGINT), mode_ood FROM one UNION ALL
-  SELECT 'time_signature', n_rows, ts_null, CAST(0 AS BIGINT), ts_ood FROM one)""")
+SONG_FIELDS = ("song_id", "title", "artist", "artist_id", "album_id", "tempo", "loudness", "key", "mode", "time_signature",
+               "danceability", "year", "added_at")
+FRACTIONS = ("tempo", "loudness", "danceability")
+DOMAINS = {"tempo": (40, 250), "key": (0, 11), "mode": (0, 1), "time_signature": (1, 5)}
+
+
+def _quality_sql(c):
+    nan = f"count_if(isnan({c}))" if c in FRACTIONS else "0"
+    out = f"count_if({c} IS NOT NULL AND NOT {c} BETWEEN {DOMAINS[c][0]} AND {DOMAINS[c][1]})" if c in DOMAINS else "0"
+    return (f"SELECT '{c}' AS \"column\", count(*) AS n_rows, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
+            f"CAST({nan} AS BIGINT) AS n_nan, CAST({out} AS BIGINT) AS n_out_of_domain, "
+            f"count(*) = {EXPECTED_CATALOG_ROWS} AS rows_as_expected FROM songs")
+
+
+@register("data_quality_scan", " UNION ALL ".join(map(_quality_sql, SONG_FIELDS)))
 def q_quality(spark, sf):
-    s = V.songs(spark, sf).select("tempo", "loudness", "key", "mode", "time_signature")
-    return C.data_quality_scan(s, {"tempo": (40, 250), "key": (0, 11), "mode": (0, 1), "time_signature": (1, 5)},
-                               expected_rows=EXPECTED_CATALOG_ROWS)
+    return C.data_quality_scan(V.songs(spark, sf).select(*SONG_FIELDS), DOMAINS, expected_rows=EXPECTED_CATALOG_ROWS)
 
 
 # --- scalar encodings ----------------------------------------------------------
@@ -305,14 +301,19 @@ def q_pivot(spark, sf):
     return S.tempo_key_pivot(C.clean_catalog(V.songs(spark, sf)))
 
 
-VC_COLS = ("key", "mode", "time_signature", "year", "artist")
+CLEAN_COLUMNS = {  # of clean_songs: every column, and how its values are written
+    "song_id": "VARCHAR", "title": "VARCHAR", "artist": "VARCHAR", "artist_id": "VARCHAR", "album_id": "VARCHAR",
+    "tempo": "DECIMAL(30,6)", "loudness": "DECIMAL(30,6)", "key": "VARCHAR", "mode": "VARCHAR", "time_signature": "VARCHAR",
+    "year": "VARCHAR", "added_at": "VARCHAR",
+}
 
 
 @register("value_counts", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM clean_songs GROUP BY {c}"
-    for c in VC_COLS))
+    f"SELECT '{c}' AS \"column\", CAST(CAST({c} AS {t}) AS VARCHAR) AS value, count(*) AS n FROM clean_songs GROUP BY 2"
+    for c, t in CLEAN_COLUMNS.items()))
 def q_value_counts(spark, sf):
-    return S.value_counts(C.clean_catalog(V.songs(spark, sf)), VC_COLS)
+    df = C.clean_catalog(V.songs(spark, sf))
+    return S.value_counts(df, df.columns)
 
 
 def _profile_sql(cols, qs=(0.25, 0.5, 0.75)):
@@ -328,12 +329,15 @@ def _profile_sql(cols, qs=(0.25, 0.5, 0.75)):
     return " UNION ALL ".join(parts)
 
 
-@register("profile_columns", _profile_sql(FEATS))
+NUMERIC = ("artist_id", "album_id", "tempo", "loudness", "key", "mode", "time_signature", "year")
+
+
+@register("profile_columns", _profile_sql(NUMERIC))
 def q_profile(spark, sf):
-    return S.profile_columns(C.clean_catalog(V.songs(spark, sf)), FEATS)
+    return S.profile_columns(C.clean_catalog(V.songs(spark, sf)), NUMERIC)
 
 
-CORR_COLS = ("tempo", "loudness", "key", "mode", "time_signature")
+CORR_COLS = ("tempo", "loudness", "key", "mode", "time_signature", "year")
 
 
 @register("feature_correlation", " UNION ALL ".join(
@@ -369,14 +373,11 @@ def q_distinct_clusters(spark, sf):
     return S.distinct_clusters(V.clustered_catalog(spark, sf))
 
 
-EMBED_DIM = 64
-
-
 @register("cluster_centroids", """
-SELECT label, CAST(d - 1 AS INT) AS dim, round(avg(embedding[d]), 6) AS mean
-FROM vectors, range(1, 65) t(d) GROUP BY label, d""")
+SELECT label, CAST(d - 1 AS INT) AS dim, round(avg(x), 6) AS mean
+FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM vectors) GROUP BY label, d""")
 def q_centroids(spark, sf):
-    return S.cluster_centroids(V.vectors(spark, sf), EMBED_DIM)
+    return S.cluster_centroids(V.vectors(spark, sf))
 
 
 @register("rows_to_frame", """

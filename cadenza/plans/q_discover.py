@@ -9,9 +9,16 @@ from cadenza.operators import discover as D
 from cadenza.operators import enrich as EN
 from cadenza.operators import ragged as RG
 from cadenza.plans.registry import register
+from cadenza.session import cut_lineage
 from cadenza.sources import catalog as V
 
 
+# Limits of the registered queries: small enough to bite on the given tables
+# (the operators' defaults are the reference's: 100 artists, 200 terms, 100
+# artists a term, 1,000,000 songs).
+TOP_ARTISTS, TOP_TERMS, PER_TERM, ROOTS, ASSEMBLE_TARGET = 20, 10, 5, 3, 10_000
+
+
 def returned_quantities(spark, sf):
     """Per album (order): the quantities of its returned line items in line
     order — a ragged array column with empty arrays for albums without any."""
@@ -56,15 +63,15 @@ def q_a10(spark, sf):
 
 
 @register("top_familiar_artists", """
-SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100""")
+SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20""")
 def q_k1(spark, sf):
-    return D.top_familiar_artists(V.artists(spark, sf))
+    return D.top_familiar_artists(V.artists(spark, sf), TOP_ARTISTS)
 
 
 @register("top_terms", """
-SELECT term, CAST(sum(freq) AS BIGINT) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT 200""")
+SELECT term, CAST(sum(freq) AS BIGINT) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT 10""")
 def q_k2(spark, sf):
-    return D.top_terms(V.artist_terms(spark, sf))
+    return D.top_terms(V.artist_terms(spark, sf), TOP_TERMS)
 
 
 K3_ATTRS = ("tempo", "loudness", "danceability", "key", "mode", "year")
@@ -108,18 +115,18 @@ def q_w3(spark, sf):
 DISC_SQL = {
     "terms200": """
 SELECT term, CAST(row_number() OVER (ORDER BY total_freq DESC, term) AS INT) AS term_rank FROM (
-  SELECT term, sum(freq) AS total_freq FROM artist_terms GROUP BY term) QUALIFY term_rank <= 200""",
+  SELECT term, sum(freq) AS total_freq FROM artist_terms GROUP BY term) QUALIFY term_rank <= 10""",
     "by_term": """
 SELECT artist_id, arg_min(term, (term_rank, fam_rank, term)) AS term, min(term_rank) AS term_rank,
        CAST(arg_min(fam_rank, (term_rank, fam_rank, term)) AS INT) AS fam_rank FROM (
   SELECT t.artist_id, t.term, x.term_rank,
          row_number() OVER (PARTITION BY t.term ORDER BY a.familiarity DESC, t.artist_id) AS fam_rank
   FROM artist_terms t JOIN terms200 x ON x.term = t.term JOIN artists a ON a.artist_id = t.artist_id)
-WHERE fam_rank <= 100 GROUP BY artist_id""",
+WHERE fam_rank <= 5 GROUP BY artist_id""",
     "nb10": """
 SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS rn
                       FROM artist_similarity) WHERE rn <= 10""",
-    "roots": "SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100",
+    "roots": "SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 3",
 }
 
 BFS_SQL = """
@@ -131,10 +138,10 @@ SELECT artist_id, CAST(min(depth) AS INT) AS depth FROM bfs GROUP BY artist_id""
 
 
 def _term_artists(spark, sf):
-    # rank over the ≤ 200 rows left after the top-terms limit (bounded, one task is fine)
-    terms = D.top_terms(V.artist_terms(spark, sf)).withColumn(
+    # rank over the few rows left after the top-terms limit (bounded, one task is fine)
+    terms = D.top_terms(V.artist_terms(spark, sf), TOP_TERMS).withColumn(
         "term_rank", F.row_number().over(Window.orderBy(F.desc("total_freq"), "term")))
-    return D.artists_by_term(V.artist_terms(spark, sf), V.artists(spark, sf), terms)
+    return D.artists_by_term(V.artist_terms(spark, sf), V.artists(spark, sf), terms, PER_TERM)
 
 
 @register("artists_by_term", "SELECT * FROM by_term", DISC_SQL)
@@ -142,7 +149,7 @@ def q_j11(spark, sf):
     return _term_artists(spark, sf)
 
 
-def _bfs(spark, sf, roots=100):
+def _bfs(spark, sf, roots=ROOTS):
     r = D.top_familiar_artists(V.artists(spark, sf), roots).select("artist_id")
     return D.expand_similar_artists(r, V.artist_similarity(spark, sf), 10)
 
@@ -171,12 +178,12 @@ def q_u2(spark, sf):
 
 @register("visited_distinct", """
 SELECT artist_id FROM (SELECT artist_id FROM bfs_artists UNION SELECT artist_id FROM by_term
-                       UNION SELECT artist_id FROM (SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100))""",
+                       UNION SELECT artist_id FROM (SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20))""",
           {**DISC_SQL, "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")"})
 def q_u3(spark, sf):
     a = V.artists(spark, sf)
     return D.visited_distinct([_bfs(spark, sf).select("artist_id"), _term_artists(spark, sf),
-                               D.top_familiar_artists(a, 100)])
+                               D.top_familiar_artists(a, TOP_ARTISTS)])
 
 
 ASSEMBLE_SQL = {
@@ -192,10 +199,11 @@ SELECT song_id, artist_id, row_number() OVER (PARTITION BY artist_id ORDER BY so
     "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")",
     "steps": """
 SELECT song_id, 1 AS step FROM capped WHERE artist_rank <= 100
-  AND artist_id IN (SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 100)
+  AND artist_id IN (SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20)
 UNION ALL SELECT song_id, 2 FROM capped WHERE artist_rank <= 100 AND artist_id IN (SELECT artist_id FROM by_term)
 UNION ALL SELECT song_id, 3 FROM (
-  SELECT song_id FROM first_match UNION ALL SELECT song_id FROM catalog WHERE artist_id IN (SELECT artist_id FROM first_match))
+  SELECT song_id FROM first_match UNION ALL
+  SELECT song_id FROM capped WHERE artist_rank <= 100 AND artist_id IN (SELECT artist_id FROM first_match))
 UNION ALL SELECT song_id, 4 FROM (""" + " UNION ALL ".join(
         f"SELECT song_id FROM (SELECT song_id, row_number() OVER (ORDER BY CAST({a} AS DOUBLE) {d}, song_id) AS r "
         f"FROM catalog WHERE {a} IS NOT NULL) WHERE r <= 100" for a in K3_ATTRS for d in ("ASC", "DESC")) + """)
@@ -206,14 +214,15 @@ UNION ALL SELECT song_id, 5 FROM capped WHERE artist_rank <= 50 AND artist_id IN
 @register("assemble_catalog", """
 SELECT song_id, step FROM (
   SELECT song_id, step, row_number() OVER (ORDER BY step, song_id) AS rn FROM (
-    SELECT song_id, min(step) AS step FROM steps GROUP BY song_id)) WHERE rn <= 1000000""", ASSEMBLE_SQL)
+    SELECT song_id, min(step) AS step FROM steps GROUP BY song_id)) WHERE rn <= 10000""", ASSEMBLE_SQL)
 def q_u4(spark, sf):
     cat = V.catalog(spark, sf).select("song_id", "artist_id", "artist", "title", "tempo", "loudness", "danceability",
                                       "key", "mode", "year")
     arts = V.artists(spark, sf)
-    s1 = D.cap_songs_per_artist(cat.join(D.top_familiar_artists(arts, 100).select("artist_id"), "artist_id", "left_semi"), 100)
+    cat = cut_lineage(cat)   # read by all five steps: built and deduplicated once
+    s1 = D.cap_songs_per_artist(cat.join(D.top_familiar_artists(arts, TOP_ARTISTS).select("artist_id"), "artist_id", "left_semi"), 100)
     s2 = D.cap_songs_per_artist(cat.join(_term_artists(spark, sf).select("artist_id"), "artist_id", "left_semi"), 100)
-    s3 = EN.resolve_seed_list(EN.parse_seed_list(V.seed_list(spark, sf)), cat)
+    s3 = EN.resolve_seed_list(EN.parse_seed_list(V.seed_list(spark, sf)), cat, 100)
     s4 = D.extremes_by_attribute(cat, K3_ATTRS)
     s5 = D.cap_songs_per_artist(cat.join(_bfs(spark, sf).select("artist_id"), "artist_id", "left_semi"), 50)
-    return D.assemble_catalog([s1, s2, s3, s4, s5], target=1_000_000)
+    return D.assemble_catalog([s1, s2, s3, s4, s5], target=ASSEMBLE_TARGET)

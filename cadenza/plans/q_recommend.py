@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import vectors as VX
 from cadenza.operators import recommend as RC
 from cadenza.operators import stats as S
-from cadenza.plans.q_catalog import CAMELOT_SQL, EMBED_DIM
+from cadenza.plans.q_catalog import CAMELOT_SQL
 from cadenza.plans.registry import register
 from cadenza.sources import catalog as V
 
@@ -125,14 +125,15 @@ def q_m18(spark, sf):
 
 def label_centers(spark, sf):
     """k per-label mean vectors (A16) — model parameters, k × d doubles."""
-    rows = S.centroid_arrays(V.vectors(spark, sf), EMBED_DIM).orderBy("label").collect()
+    rows = S.centroid_arrays(V.vectors(spark, sf)).orderBy("label").collect()
     return [r["centroid"] for r in rows], [r["label"] for r in rows]
 
 
 CENTER_SQL = {
-    "centers": f"""
+    "centers": """
 SELECT label AS c, list(m ORDER BY d) AS centroid FROM (
-  SELECT label, d, avg(embedding[d]) AS m FROM vectors, range(1, {EMBED_DIM + 1}) t(d) GROUP BY label, d) GROUP BY label""",
+  SELECT label, d, avg(x) AS m FROM (
+    SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM vectors) GROUP BY label, d) GROUP BY label""",
     "dists": """
 SELECT v.vec_id, v.label, c.c,
        list_reduce(list_transform(list_zip(v.embedding, c.centroid), lambda p: (p[1] - p[2]) * (p[1] - p[2])),

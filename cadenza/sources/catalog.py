@@ -161,14 +161,15 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def artist_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edge table (src, dst, weight): artists sharing an album (order).
 
-    Self-join on l_orderkey: fan-out per order is bounded by its line count
-    (≤ 7), and the (src, dst) count is partially aggregated before its shuffle.
+    An album's line items are first summed per artist, so a hot album costs
+    the square of its distinct artists and not of its lines; the weight of a
+    pair is the product of the two counts, summed over albums.
     """
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    a, b = li.alias("a"), li.alias("b")
+    per = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    a, b = per.alias("a"), per.alias("b")
     pairs = a.join(b, (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("a.l_suppkey") != F.col("b.l_suppkey")))
     return pairs.groupBy(F.col("a.l_suppkey").alias("src"), F.col("b.l_suppkey").alias("dst")).agg(
-        F.count(F.lit(1)).alias("weight"))
+        F.sum(F.col("a.n") * F.col("b.n")).alias("weight"))
 
 
 def artist_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,13 +207,15 @@ def mb_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 input: text lines ``artist<SEP>title``."""
+    """S4 input: a text line ``artist<SEP>title`` per line item; the titles of
+    49 in 50 orders are of other takes, which the catalog does not have."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = li.join(part, li.l_partkey == part.p_partkey) \
         .join(sup, li.l_suppkey == sup.s_suppkey)
-    return j.select(F.concat(F.lower("s_name"), F.lit("<SEP>"), F.lower("p_name")).alias("line"))
+    title = F.when(F.col("l_orderkey") % 50 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" (live)")))
+    return j.select(F.concat(F.lower("s_name"), F.lit("<SEP>"), F.lower(title)).alias("line"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
