@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import vectors as VX
 from cadenza.operators import clean as C
 from cadenza.operators import mmr as MM
 from cadenza.operators import recommend as RC
+from cadenza.operators import stats as S
 from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
 from cadenza.plans.q_catalog import CAMELOT_SQL
 from cadenza.plans.q_recommend import CENTER_SQL, label_centers, search_seeds
 from cadenza.plans.registry import register
-from cadenza.session import checkpoint_dir
+from cadenza.session import checkpoint_dir, cut_lineage
 from cadenza.sources import catalog as V
 
 
@@ -91,7 +93,7 @@ def q_h12(spark, sf):
     return flat.select("song_id", "label", *[F.round(f"f_{i}", 6).alias(f"f_{i}") for i in range(6)])
 
 
-@register("vector_array_roundtrip")
+@register("vector_array_roundtrip", "SELECT vec_id, true AS same FROM vectors")
 def q_h11(spark, sf):
     v = V.vectors(spark, sf)
     back = v.withColumn("_v", array_to_vector("embedding")).withColumn("_a", vector_to_array("_v"))
@@ -110,18 +112,34 @@ def _fit(spark, sf, k=None):
     return MD.fit_pipeline(songs, spec, k), spec, songs
 
 
-@register("fit_kmeans")
+# Fitted models depend on the input's layout, so the model queries return what
+# must hold for every row of a right fit; its expected rows are exact SQL.
+
+
+@register("fit_kmeans", """
+SELECT CAST(range AS INT) AS cluster_id, CAST(6 AS INT) AS dim, true AS finite, true AS cost_below_one_cluster FROM range(11)""")
 def q_m3(spark, sf):
+    """The centres, and whether the cost is below that of a single cluster."""
     model, spec, songs = _fit(spark, sf)
-    centers = model.stages[-1].clusterCenters()
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
-    return spark.createDataFrame(rows, "cluster_id int, center array<double>")
+    kmeans = model.stages[-1]
+    feats = MD.predict_cluster(model, songs, spec).select(F.posexplode(vector_to_array("weighted_scaled_features")).alias("d", "x"))
+    one = feats.groupBy("d").agg((F.var_pop("x") * F.count(F.lit(1))).alias("c")).agg(F.sum("c")).first()[0]
+    rows = [(i, [float(x) for x in c], kmeans.summary.trainingCost < one) for i, c in enumerate(kmeans.clusterCenters())]
+    centers = spark.createDataFrame(rows, "cluster_id int, center array<double>, cost_below_one_cluster boolean")
+    finite = F.forall("center", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return centers.select("cluster_id", F.size("center").alias("dim"), finite.alias("finite"), "cost_below_one_cluster")
 
 
-@register("predict_cluster")
+@register("predict_cluster", "SELECT song_id, true AS known, true AS nearest FROM feat", FEAT_SQL)
 def q_m4(spark, sf):
+    """Every song has one of the k ids, and no other centre is nearer."""
     model, spec, songs = _fit(spark, sf)
-    return MD.predict_cluster(model, songs, spec).select("song_id", "cluster_id")
+    centers = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    pred = MD.predict_cluster(model, songs, spec).select("song_id", "cluster_id", vector_to_array("weighted_scaled_features").alias("w"))
+    best = RC.assign_nearest_centroid(pred, centers, "w", "other")
+    own = F.get(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), F.col("cluster_id"))
+    return best.select("song_id", F.col("cluster_id").between(0, len(centers) - 1).alias("known"),
+                       (VX.squared_distance(F.col("w"), own) <= F.col("sqdist") + 1e-6).alias("nearest"))
 
 
 SIL_SQL = {
@@ -151,16 +169,31 @@ def q_m5(spark, sf):
     return spark.createDataFrame([(round(s, 6),)], "silhouette double")
 
 
-@register("sweep_k")
+def in_unit(c):
+    return F.coalesce(F.col(c).between(-1.0, 1.0), F.lit(False)).alias("in_range")
+
+
+@register("sweep_k", "SELECT CAST(range AS INT) AS k, true AS in_range, true AS cost_positive FROM range(4, 20)")
 def q_m6(spark, sf):
-    return MD.sweep_k(training_songs(spark, sf), fitted_spec(spark, sf), MD.SWEEP_V8)
+    """Each k of the sweep has a silhouette in [-1, 1] and a cost."""
+    out = MD.sweep_k(training_songs(spark, sf), fitted_spec(spark, sf), MD.SWEEP_V8)
+    return out.select("k", in_unit("silhouette"), (F.col("cost") > 0).alias("cost_positive"))
 
 
-@register("search_weights")
+@register("search_weights", """
+SELECT t AS tempo, l AS loudness, a AS key_a, b AS key_b, m AS mode, CAST(0.5 AS DOUBLE) AS time_signature, true AS in_range, true AS best_is_best
+FROM (SELECT CAST(unnest([1.0, 2.0, 3.0]) AS DOUBLE) AS t), (SELECT CAST(unnest([0.5, 1.0]) AS DOUBLE) AS l),
+     (SELECT CAST(unnest([1.0, 2.0]) AS DOUBLE) AS a), (SELECT CAST(unnest([1.0, 2.0]) AS DOUBLE) AS b),
+     (SELECT CAST(unnest([0.5, 1.0]) AS DOUBLE) AS m)""")
 def q_m7(spark, sf):
+    """Each weight vector of the grid has a silhouette in [-1, 1]; the flagged one is the largest."""
     spec = fitted_spec(spark, sf)
     spec.columns = MD.V7_COLUMNS
-    return MD.search_weights(training_songs(spark, sf), spec)
+    out = MD.search_weights(training_songs(spark, sf), spec)
+    names = ("tempo", "loudness", "key_a", "key_b", "mode", "time_signature")
+    top = F.max("silhouette").over(Window.partitionBy(F.lit(1)))   # 48 rows
+    return out.select(*[F.col("weights")[i].alias(n) for i, n in enumerate(names)], in_unit("silhouette"),
+                      (F.col("is_best") == (F.col("silhouette") == top)).alias("best_is_best"))
 
 
 def _pca(spark, sf, k):
@@ -169,41 +202,60 @@ def _pca(spark, sf, k):
     return MD.pca_fit(pred, k), model, pred
 
 
-@register("pca_explained")
+@register("pca_explained", """
+SELECT CAST(range AS INT) AS component, true AS in_range, true AS not_above_the_one_before FROM range(5)""")
 def q_m8(spark, sf):
     spec = fitted_spec(spark, sf)
     df = MD.prepare(training_songs(spark, sf), spec)
     a = MD.assembler(spec).transform(df)
     scaled = MD.scaler().fit(a).transform(a)
-    return MD.pca_explained(MD.pca_fit(scaled, 5, "scaled_features"), spark)
+    out = MD.pca_explained(MD.pca_fit(scaled, 5, "scaled_features"), spark)
+    before = F.lag("explained_variance").over(Window.partitionBy(F.lit(1)).orderBy("component"))   # 5 rows
+    return out.select("component", F.col("explained_variance").between(0.0, 1.0).alias("in_range"),
+                      F.coalesce(F.col("explained_variance") <= before + 1e-12, F.lit(True)).alias("not_above_the_one_before"))
 
 
-@register("pca_project_2d")
+@register("pca_project_2d", """
+SELECT count(*) AS n_songs, true AS uncorrelated, true AS first_spreads_more FROM feat""", FEAT_SQL)
 def q_m9(spark, sf):
+    """Over all songs: the two coordinates are uncorrelated, the first has the larger variance."""
     pca, _, pred = _pca(spark, sf, 2)
-    return MD.pca_project_2d(pca, pred)
+    return MD.pca_project_2d(pca, pred).agg(
+        F.count(F.lit(1)).alias("n_songs"), (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+        (F.var_samp("x") >= F.var_samp("y")).alias("first_spreads_more"))
 
 
-@register("project_centroids")
+@register("project_centroids", "SELECT CAST(range AS INT) AS cluster_id, true AS is_the_product FROM range(11)")
 def q_m10(spark, sf):
+    """Each projected centre is the centre times the principal components."""
     pca, model, _ = _pca(spark, sf, 2)
-    return MD.project_centroids(pca, model.stages[-1].clusterCenters(), spark)
+    centers = model.stages[-1].clusterCenters()
+    want = [(i, *map(float, pca.pc.toArray().T @ c)) for i, c in enumerate(centers)]
+    expected = spark.createDataFrame(want, "cluster_id int, px double, py double")
+    return MD.project_centroids(pca, centers, spark).join(expected, "cluster_id").select(
+        F.col("cluster_id").cast("int").alias("cluster_id"),
+        ((F.abs(F.col("x") - F.col("px")) < 1e-9) & (F.abs(F.col("y") - F.col("py")) < 1e-9)).alias("is_the_product"))
 
 
-@register("projected_centroids")
+@register("projected_centroids", "SELECT CAST(range AS INT) AS cluster_id, true AS is_the_mean FROM range(11)")
 def q_a17(spark, sf):
+    """Each mean plot coordinate is the projection of the songs' mean vector."""
     pca, _, pred = _pca(spark, sf, 2)
-    return MD.projected_centroids(MD.pca_project_2d(pca, pred))
+    mean = S.centroid_arrays(pred.select("cluster_id", vector_to_array("weighted_scaled_features").alias("w")), "w", "cluster_id")
+    px, py = (F.aggregate(F.zip_with("centroid", F.array(*[F.lit(float(x)) for x in pca.pc.toArray()[:, j]]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) for j in (0, 1))
+    return MD.projected_centroids(MD.pca_project_2d(pca, pred)).join(mean, "cluster_id").select(
+        "cluster_id", ((F.abs(F.col("x") - px) < 1e-6) & (F.abs(F.col("y") - py) < 1e-6)).alias("is_the_mean"))
 
 
-@register("pipeline_fit")
+@register("pipeline_fit", "SELECT count(*) AS n_songs, CAST(11 AS BIGINT) AS n_clusters FROM feat", FEAT_SQL)
 def q_m11(spark, sf):
+    """Every song falls into one of the k clusters, and none is empty."""
     model, spec, songs = _fit(spark, sf)
-    out = model.transform(MD.prepare(songs, spec))
-    return out.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_songs"))
+    out = model.transform(MD.prepare(songs, spec)).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    return out.agg(F.sum("n").alias("n_songs"), F.count(F.lit(1)).alias("n_clusters"))
 
 
-@register("save_model")
+@register("save_model", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS changed FROM feat", FEAT_SQL)
 def q_s13(spark, sf):
     model, spec, songs = _fit(spark, sf)
     path = checkpoint_dir(spark, "model")
@@ -240,25 +292,44 @@ def _classifier_data(spark, sf):
     return pred.select("song_id", F.col("weighted_scaled_features").alias("features"), F.col("cluster_id").alias("label"))
 
 
-@register("train_cluster_classifier")
-def q_m12(spark, sf):
-    data = CL.stratified_split(_classifier_data(spark, sf), "label", "song_id")
-    model = CL.train_cluster_classifier(data.where(~F.col("is_test")), 6, 11)
-    r = CL.evaluate_classifier(CL.predict_proba(model, data.where(F.col("is_test"))))
-    return spark.createDataFrame([(r["accuracy"], r["f1_weighted"])], "accuracy double, f1_weighted double")
+def _split_classifier(spark, sf):
+    """(model, training rows, test rows): fitted once, on labels stored once."""
+    data = cut_lineage(CL.stratified_split(_classifier_data(spark, sf), "label", "song_id"))
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    return CL.train_cluster_classifier(train, len(MD.V8_COLUMNS), MD.DEPLOYED_K), train, test
 
 
-@register("predict_cluster_proba")
-def q_m13(spark, sf):
-    data = CL.stratified_split(_classifier_data(spark, sf), "label", "song_id")
-    model = CL.train_cluster_classifier(data.where(~F.col("is_test")), 6, 11)
-    p = CL.predict_proba(model, data.where(F.col("is_test")))
-    return p.select("song_id", "label", "prediction", "probability")
+@register("train_cluster_classifier", "SELECT true AS better_than_the_largest_class, true AS f1_in_range")
+def q_m12(spark, sf):
+    """On held-out songs the classifier beats guessing the largest class."""
+    model, _, test = _split_classifier(spark, sf)
+    r = CL.evaluate_classifier(CL.predict_proba(model, test))
+    largest = test.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    return spark.createDataFrame([(r["accuracy"] > largest, 0.0 <= r["f1_weighted"] <= 1.0)], "better_than_the_largest_class boolean, f1_in_range boolean")
 
 
-@register("cross_validate")
+@register("predict_cluster_proba", """
+SELECT count(*) AS n_songs, true AS a_fifth_is_test, true AS sums_to_one, true AS largest_is_predicted FROM feat""", FEAT_SQL)
+def q_m13(spark, sf):
+    """Of all songs a fifth of each class is test; their probabilities sum to
+    one and the prediction is the most probable class."""
+    model, train, test = _split_classifier(spark, sf)
+    p = CL.predict_proba(model, test)
+    sums = F.abs(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x) - 1.0) < 1e-9
+    largest = F.col("probability")[F.col("prediction")] >= F.array_max("probability")
+    told = p.agg(F.struct(F.min(sums).alias("sums"), F.min(largest).alias("largest")).alias("t")).scalar()
+    per = train.groupBy("label").count().withColumnRenamed("count", "n").join(test.groupBy("label").count(), "label", "left")
+    fair = per.agg(F.sum(F.col("n") + F.coalesce("count", F.lit(0))).alias("n_songs"),
+                   F.min(F.abs(F.coalesce("count", F.lit(0)) - 0.2 * (F.col("n") + F.coalesce("count", F.lit(0)))) <= 0.5).alias("a_fifth_is_test"))
+    return fair.select("n_songs", "a_fifth_is_test", told["sums"].alias("sums_to_one"), told["largest"].alias("largest_is_predicted"))
+
+
+@register("cross_validate", "SELECT CAST(range AS INT) AS fold, true AS accuracy_in_range, true AS f1_in_range FROM range(5)")
 def q_m15(spark, sf):
-    return CL.cross_validate(_classifier_data(spark, sf), 6, 11, id_col="song_id")
+    """Five folds, each with its accuracy and F1."""
+    out = CL.cross_validate(cut_lineage(_classifier_data(spark, sf)), len(MD.V8_COLUMNS), MD.DEPLOYED_K, id_col="song_id")
+    return out.select("fold", F.col("accuracy").between(0.0, 1.0).alias("accuracy_in_range"),
+                      F.col("f1_weighted").between(0.0, 1.0).alias("f1_in_range"))
 
 
 def nearest_centroid_predictions(spark, sf):

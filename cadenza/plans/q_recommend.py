@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import vectors as VX
 from cadenza.operators import recommend as RC
 from cadenza.operators import stats as S
+from cadenza.plans import serving as SV
 from cadenza.plans.q_catalog import CAMELOT_SQL
 from cadenza.plans.registry import register
 from cadenza.sources import catalog as V
@@ -114,11 +115,27 @@ def q_j13(spark, sf):
     return RC.fetch_reply(V.requests(spark, sf), _replies(spark, sf))
 
 
+# The same matches behind the stored model instead of the fixed rule.
+MODEL = SV.demo_model()
+MODEL_SQL = {
+    **{k: v.replace("clustered_catalog", "model_catalog") for k, v in RQ_SQL.items()},
+    "model_catalog": "SELECT song_id, title, artist, tempo, key, mode, cluster_id FROM (" + SV.cluster_sql("songs", MODEL) + ")",
+    "rq": "SELECT recommendation_id, tempo, key, mode, cluster_id FROM (" + SV.cluster_sql("requests", MODEL) + ")",
+}
+
+
+def model_catalog(spark, sf):
+    """Cleaned songs with the stored model's cluster ids."""
+    songs = V.songs(spark, sf).where(F.col("tempo").between(40, 250) & F.col("time_signature").between(1, 5)).select(
+        "song_id", "title", "artist", "tempo", "loudness", "key", "mode", "time_signature")
+    return SV.assigner(MODEL)(songs).select("song_id", "title", "artist", "tempo", "key", "mode", "cluster_id")
+
+
 @register("recommend_batch", """
 SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value
-FROM j2""", RQ_SQL)
+FROM j2""", MODEL_SQL)
 def q_m18(spark, sf):
-    return RC.recommend_batch(V.requests(spark, sf), V.clustered_catalog(spark, sf))
+    return RC.recommend_batch(V.requests(spark, sf), model_catalog(spark, sf), assign=SV.assigner(MODEL))
 
 
 # --- vector operators (embeddings: label plays the cluster id) -------------------

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import clean as C
 from cadenza.plans.q_catalog import PARSED
-from cadenza.plans.q_recommend import RQ_SQL
+from cadenza.plans import serving as SV
+from cadenza.plans.q_recommend import MODEL, MODEL_SQL, RQ_SQL, model_catalog
 from cadenza.plans.registry import register
 from cadenza.session import checkpoint_dir
 from cadenza.sources import catalog as V
@@ -22,6 +23,7 @@ VALID = {**PARSED, "parsed_valid": """
 SELECT * FROM parsed_requests
 WHERE abs(tempo) < 2147483648 AND abs(loudness) < 2147483648 AND abs(key) < 2147483648 AND abs(mode) < 2147483648 AND abs(time_signature) < 2147483648"""}
 STREAM_RQ = {**VALID, **{k: v.replace("FROM requests r", "FROM parsed_valid r") for k, v in RQ_SQL.items()}}
+STREAM_MODEL = {**VALID, **{k: v.replace("FROM requests x", "FROM parsed_valid x") for k, v in MODEL_SQL.items()}}
 
 
 def _staged(spark, sf, name, files=None):
@@ -45,20 +47,20 @@ def q_t1(spark, sf):
 
 @register("stream_recommend", """
 SELECT recommendation_id AS key, CAST(json_object('artist', artist, 'title', title, 'tempo', tempo, 'key', key) AS VARCHAR) AS value
-FROM j2""", STREAM_RQ)
+FROM j2""", STREAM_MODEL)
 def q_t2(spark, sf):
     base, src = _staged(spark, sf, "t2")
-    ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", f"{base}/dead")
+    ST.stream_recommend(spark, model_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", f"{base}/dead", assign=SV.assigner(MODEL))
     return ST.read_output(spark, f"{base}/out").select("key", "value")
 
 
 @register("stream_recommend_v3", """
 SELECT w.recommendation_id AS key,
        CAST(json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS VARCHAR) AS value
-FROM w2 w JOIN clustered_catalog c ON c.song_id = w.song_id""", STREAM_RQ)
+FROM w2 w JOIN model_catalog c ON c.song_id = w.song_id""", STREAM_MODEL)
 def q_t3(spark, sf):
     base, src = _staged(spark, sf, "t3")
-    ST.stream_recommend(spark, V.clustered_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", mode="top3")
+    ST.stream_recommend(spark, model_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", mode="top3", assign=SV.assigner(MODEL))
     return ST.read_output(spark, f"{base}/out").select("key", "value")
 
 

@@ -81,3 +81,24 @@ def test_confusion_matrix_counts(spark):
     pred = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 0)], "label int, prediction int")
     got = {r.label: (r.pred_0, r.pred_1, r.pred_2) for r in CL.confusion_matrix(pred, [0, 1, 2]).collect()}
     assert got == {0: (1, 1, 0), 1: (0, 1, 0), 2: (1, 0, 0)}
+
+
+def test_fitted_kmeans_serves_through_assign(spark):
+    """The numbers read off a fitted pipeline give its own cluster ids, and requests are answered through them."""
+    from cadenza.operators import clean as C
+    from cadenza.operators import recommend as RC
+    from cadenza.plans import model as MD
+    from cadenza.plans import serving as SV
+    from cadenza.sources import catalog as V
+
+    sf = "/root/testdata/sf0.001"
+    songs = C.clean_catalog(V.catalog(spark, sf))
+    spec = MD.FeatureSpec(loudness_offset=60.0, k=4)
+    model = MD.fit_pipeline(songs, spec, 4)
+    assign = SV.assigner(SV.from_pipeline(model, spec))
+    mine = {r.song_id: r.cluster_id for r in assign(songs).select("song_id", "cluster_id").collect()}
+    fitted = {r.song_id: r.cluster_id for r in MD.predict_cluster(model, songs, spec).select("song_id", "cluster_id").collect()}
+    assert mine == fitted and len(set(mine.values())) == 4
+    catalog = assign(songs).select("song_id", "title", "artist", "tempo", "key", "mode", "cluster_id")
+    replies = RC.recommend_batch(V.requests(spark, sf), catalog, assign=assign).collect()
+    assert replies and len({r.key for r in replies}) == len(replies)
