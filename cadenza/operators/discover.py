@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,16 +37,29 @@ def top_terms(artist_terms: DataFrame, n: int = 200) -> DataFrame:
 
 def extremes_by_attribute(songs: DataFrame, attributes: Sequence[str], n: int = 100) -> DataFrame:
     """K3 — for every (attribute, asc|desc) the first n songs (ties →
-    song_id), in ONE pass: unpivot to (attribute, direction, sort key) with
-    the descending key written as 0 − v, then one group-limited row_number
-    per (attribute, direction) — a partial top-n runs before the shuffle."""
-    pairs = []
-    for a in attributes:
-        v = F.col(a).cast("double")
-        pairs.append(F.struct(F.lit(a).alias("attribute"), F.lit("asc").alias("direction"), v.alias("k")))
-        pairs.append(F.struct(F.lit(a).alias("attribute"), F.lit("desc").alias("direction"), (F.lit(0.0) - v).alias("k")))
-    long = songs.select("song_id", F.explode(F.array(*pairs)).alias("x")) \
-        .select("song_id", "x.attribute", "x.direction", "x.k").where(F.col("k").isNotNull())
+    song_id), in ONE pass: each task keeps its n first per attribute and
+    direction, batch by batch (no sort of all rows), and a group-limited
+    row_number merges 2 × attributes × n rows a task."""
+    attributes = list(attributes)
+
+    def first(batches):
+        kept = {}
+        for pdf in batches:
+            for a in attributes:
+                v = pdf[a].to_numpy(dtype="float64", na_value=np.nan)
+                for direction, k in (("asc", v), ("desc", -v)):
+                    at = np.flatnonzero(~np.isnan(k))
+                    if len(at) > n:
+                        at = at[k[at] <= np.partition(k[at], n - 1)[n - 1]]   # ties of the n-th stay
+                    part = pd.DataFrame({"song_id": pdf["song_id"].to_numpy()[at], "k": k[at] + 0.0})
+                    if (a, direction) in kept:
+                        part = pd.concat([kept[a, direction], part])
+                    kept[a, direction] = part.sort_values(["k", "song_id"]).head(n)
+        for (a, direction), part in kept.items():
+            yield part.assign(attribute=a, direction=direction)[["song_id", "attribute", "direction", "k"]]
+
+    narrow = songs.select("song_id", *[F.col(a).cast("double").alias(a) for a in attributes])
+    long = narrow.mapInPandas(first, "song_id string, attribute string, direction string, k double")
     top = top_k_by_group(long, ["attribute", "direction"], [F.col("k").asc(), "song_id"], n)
     return top.select("song_id", "attribute", "direction", "rank")
 

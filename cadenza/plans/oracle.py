@@ -19,6 +19,12 @@ SELECT * EXCLUDE (_rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY song_id
            ORDER BY added_at, album_id, artist_id, tempo, loudness, danceability, title) AS _rn
   FROM songs) WHERE _rn = 1""",
+    "song_attributes": """
+SELECT upper(substr(sha1(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)),1,16)) AS song_id,
+       min(60.0 + l_quantity * 5) AS duration, min(l_tax * 10) AS energy, min(l_extendedprice % 100 / 100) AS song_hotttnesss,
+       min((s_acctbal + 1000) / 11000) AS artist_hotttnesss, min(CAST(s_suppkey % 181 - 90 AS DOUBLE)) AS latitude,
+       min(CAST(s_suppkey % 361 - 180 AS DOUBLE)) AS longitude
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""",
     "clean_songs": """
 SELECT * EXCLUDE (danceability) FROM songs WHERE tempo BETWEEN 40 AND 250 AND time_signature BETWEEN 1 AND 5""",
     "clustered_songs": """

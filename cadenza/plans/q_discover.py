@@ -74,16 +74,20 @@ def q_k2(spark, sf):
     return D.top_terms(V.artist_terms(spark, sf), TOP_TERMS)
 
 
-K3_ATTRS = ("tempo", "loudness", "danceability", "key", "mode", "year")
+# --- fixed values (must equal the reference): the attributes sorted both ways ---
+K3_ATTRS = ("tempo", "loudness", "duration", "energy", "danceability", "key", "mode", "song_hotttnesss", "artist_hotttnesss",
+            "latitude", "longitude")
+# ---------------------------------------------------------------------------
 
 
 @register("extremes_by_attribute", " UNION ALL ".join(
     f"SELECT song_id, '{a}' AS attribute, '{d}' AS direction, CAST(rank AS INT) AS rank FROM ("
-    f"SELECT song_id, row_number() OVER (ORDER BY CAST({a} AS DOUBLE) {d.upper()}, song_id) AS rank FROM catalog "
+    f"SELECT song_id, row_number() OVER (ORDER BY CAST({a} AS DOUBLE) {d.upper()}, song_id) AS rank FROM catalog JOIN song_attributes USING (song_id) "
     f"WHERE {a} IS NOT NULL) WHERE rank <= 100"
     for a in K3_ATTRS for d in ("asc", "desc")))
 def q_k3(spark, sf):
-    return D.extremes_by_attribute(V.catalog(spark, sf), K3_ATTRS)
+    songs = V.catalog(spark, sf).select("song_id", "tempo", "loudness", "danceability", "key", "mode")
+    return D.extremes_by_attribute(songs.join(V.song_attributes(spark, sf), "song_id"), K3_ATTRS)
 
 
 @register("most_recent", """
@@ -206,7 +210,7 @@ UNION ALL SELECT song_id, 3 FROM (
   SELECT song_id FROM capped WHERE artist_rank <= 100 AND artist_id IN (SELECT artist_id FROM first_match))
 UNION ALL SELECT song_id, 4 FROM (""" + " UNION ALL ".join(
         f"SELECT song_id FROM (SELECT song_id, row_number() OVER (ORDER BY CAST({a} AS DOUBLE) {d}, song_id) AS r "
-        f"FROM catalog WHERE {a} IS NOT NULL) WHERE r <= 100" for a in K3_ATTRS for d in ("ASC", "DESC")) + """)
+        f"FROM catalog JOIN song_attributes USING (song_id) WHERE {a} IS NOT NULL) WHERE r <= 100" for a in K3_ATTRS for d in ("ASC", "DESC")) + """)
 UNION ALL SELECT song_id, 5 FROM capped WHERE artist_rank <= 50 AND artist_id IN (SELECT artist_id FROM bfs_artists)""",
 }
 
@@ -217,12 +221,12 @@ SELECT song_id, step FROM (
     SELECT song_id, min(step) AS step FROM steps GROUP BY song_id)) WHERE rn <= 10000""", ASSEMBLE_SQL)
 def q_u4(spark, sf):
     cat = V.catalog(spark, sf).select("song_id", "artist_id", "artist", "title", "tempo", "loudness", "danceability",
-                                      "key", "mode", "year")
+                                      "key", "mode")
     arts = V.artists(spark, sf)
     cat = cut_lineage(cat)   # read by all five steps: built and deduplicated once
     s1 = D.cap_songs_per_artist(cat.join(D.top_familiar_artists(arts, TOP_ARTISTS).select("artist_id"), "artist_id", "left_semi"), 100)
     s2 = D.cap_songs_per_artist(cat.join(_term_artists(spark, sf).select("artist_id"), "artist_id", "left_semi"), 100)
     s3 = EN.resolve_seed_list(EN.parse_seed_list(V.seed_list(spark, sf)), cat, 100)
-    s4 = D.extremes_by_attribute(cat, K3_ATTRS)
+    s4 = D.extremes_by_attribute(cat.join(V.song_attributes(spark, sf), "song_id"), K3_ATTRS)
     s5 = D.cap_songs_per_artist(cat.join(_bfs(spark, sf).select("artist_id"), "artist_id", "left_semi"), 50)
     return D.assemble_catalog([s1, s2, s3, s4, s5], target=ASSEMBLE_TARGET)

@@ -59,6 +59,22 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def song_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Further attributes per song id: length, energy, the two popularity
+    scores and the artist's place (a repeated id takes the smallest of each)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_extendedprice")
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    j = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+        short_id(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")).alias("song_id"),
+        (F.lit(60.0) + F.col("l_quantity") * 5).alias("duration"),
+        (F.col("l_tax") * 10).alias("energy"),
+        (F.col("l_extendedprice") % 100 / 100).alias("song_hotttnesss"),
+        ((F.col("s_acctbal") + 1000) / 11000).alias("artist_hotttnesss"),
+        (F.col("s_suppkey") % 181 - 90).cast("double").alias("latitude"),
+        (F.col("s_suppkey") % 361 - 180).cast("double").alias("longitude"))
+    return j.groupBy("song_id").agg(*[F.min(c).alias(c) for c in j.columns if c != "song_id"])
+
+
 # Order that decides which copy of a duplicated song id is kept (U2): the
 # earliest added, then a full order over the remaining columns.
 DEDUPE_ORDER = ("added_at", "album_id", "artist_id", "tempo", "loudness", "danceability", "title")
