@@ -271,7 +271,7 @@ def brute_nearest(rows, asked, k):
                 if i != q and len(x) == len(v):
                     total = 0.0
                     for a, b in zip(v, x):
-                        total += (a - b) ** 2
+                        total += (a - b) * (a - b)
                     near.append((math.sqrt(total), i))
             out[q] = sorted(near)[:k]
     return out
