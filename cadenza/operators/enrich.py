@@ -74,24 +74,33 @@ def find_release_year(songs: DataFrame, artist: DataFrame, track: DataFrame, alb
     ``songs``: song_id, title, release, artist_name, artist_mbid.
     mbid known to the DB: title match (J3), else release match (J4), else 0 —
     no fall back to names.  mbid null / '' / unknown: name matches (J5), else 0.
-    Four left joins against unique-keyed tables, then one ``coalesce``.
+
+    One lookup holds all match tables as (kind, artist key, text key) → date,
+    unique per key; each song asks with one narrow row per kind, so there is
+    one join and one aggregation per song.  Songs without an mbid ask by name
+    only: '' is no key, so the songs that lack one do not meet in one task.
     """
     t3 = year_by_mbid_title(artist, track, album, release)
     t4 = year_by_mbid_release(artist, album, release)
     t5a, t5b = year_by_name(artist, track, album, release)
-    known = artist.select(F.col("gid").alias("artist_mbid"), F.lit(True).alias("mbid_known")) \
-        .where(F.col("artist_mbid") != "").distinct()
-    s = (songs.withColumn("lname", F.lower("title")).withColumn("album_lname", F.lower("release"))
-         .withColumn("artist_lname", F.lower("artist_name")))
-    s = s.join(known, "artist_mbid", "left")
-    s = s.join(t3.withColumnRenamed("gid", "artist_mbid"), ["artist_mbid", "lname"], "left")
-    s = s.join(t4.withColumnRenamed("gid", "artist_mbid"), ["artist_mbid", "album_lname"], "left")
-    s = s.join(t5a, ["artist_lname", "lname"], "left")
-    s = s.join(t5b, ["artist_lname", "album_lname"], "left")
-    by_mbid = F.coalesce("date_mbid_title", "date_mbid_release")
-    by_name = F.coalesce("date_name_title", "date_name_release")
-    date = F.when(F.col("mbid_known").isNotNull(), by_mbid).otherwise(by_name)
-    return s.select("song_id", F.coalesce(release_year(date), F.lit(0)).alias("year"))
+    has_gid = F.coalesce(F.col("gid"), F.lit("")) != ""
+    rows = lambda df, kind, a, t, d: df.select(F.lit(kind).alias("kind"), F.col(a).alias("a"), F.col(t).alias("t"), F.col(d).alias("date"))
+    lookup = (
+        artist.where(has_gid).select(F.lit("known").alias("kind"), F.col("gid").alias("a"), F.lit("").alias("t"), F.lit("").alias("date")).distinct()
+        .unionByName(rows(t3.where(has_gid), "mbid title", "gid", "lname", "date_mbid_title"))
+        .unionByName(rows(t4.where(has_gid), "mbid release", "gid", "album_lname", "date_mbid_release"))
+        .unionByName(rows(t5a, "name title", "artist_lname", "lname", "date_name_title"))
+        .unionByName(rows(t5b, "name release", "artist_lname", "album_lname", "date_name_release"))
+    )
+    ask = lambda kind, a, t: F.struct(F.lit(kind).alias("kind"), a.alias("a"), t.alias("t"))
+    mbid, name = F.col("artist_mbid"), F.lower("artist_name")
+    by_name = F.array(ask("name title", name, F.lower("title")), ask("name release", name, F.lower("release")))
+    by_mbid = F.array(ask("known", mbid, F.lit("")), ask("mbid title", mbid, F.lower("title")), ask("mbid release", mbid, F.lower("release")))
+    asked = songs.select("song_id", F.explode(F.when(F.coalesce(mbid, F.lit("")) != "", F.concat(by_mbid, by_name)).otherwise(by_name)).alias("q")).select("song_id", "q.*")
+    found = asked.join(lookup, ["kind", "a", "t"], "left").groupBy("song_id").agg(*[
+        F.min(F.when(F.col("kind") == k, F.col("date"))).alias(k.replace(" ", "_")) for k in ("known", "mbid title", "mbid release", "name title", "name release")])
+    date = F.when(F.col("known").isNotNull(), F.coalesce("mbid_title", "mbid_release")).otherwise(F.coalesce("name_title", "name_release"))
+    return found.select("song_id", F.coalesce(release_year(date), F.lit(0)).alias("year"))
 
 
 def artist_tags(artist: DataFrame, artist_tag: DataFrame, tag: DataFrame, max_tags: int = 20) -> DataFrame:

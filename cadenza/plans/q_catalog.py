@@ -22,7 +22,7 @@ def clustered_songs(spark, sf):
 
 @register("scan_catalog", "SELECT * FROM catalog")
 def q_scan_catalog(spark, sf):
-    return V.catalog(spark, sf)
+    return V.check_schema(V.catalog(spark, sf), V.CATALOG_TYPES)
 
 
 # --- projections and filters -------------------------------------------------

@@ -29,6 +29,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# The song catalog's declared schema.
+CATALOG_TYPES = {
+    "song_id": "string", "title": "string", "artist": "string", "artist_id": "bigint", "album_id": "bigint", "tempo": "double",
+    "loudness": "double", "key": "int", "mode": "int", "time_signature": "int", "danceability": "double", "year": "int",
+}
+
+
+def check_schema(df: DataFrame, declared: dict[str, str]) -> DataFrame:
+    """``df`` as it is, if it has the declared columns with their types (more
+    columns may follow); else an error that names the differences."""
+    found = dict(df.dtypes)
+    wrong = [f"{c}: {found.get(c, 'missing')}, declared {t}" for c, t in declared.items() if found.get(c) != t]
+    if wrong:
+        raise ValueError("schema differs: " + "; ".join(wrong))
+    return df
+
+
 def short_id(*cols: Column) -> Column:
     """First 16 upper-case hex chars of sha1 over '-'-joined values (H23 form)."""
     return F.upper(F.substring(F.sha1(F.concat_ws("-", *[c.cast("string") for c in cols])), 1, 16))
