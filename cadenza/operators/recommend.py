@@ -5,9 +5,9 @@ catalog.  Nothing here joins a request to every song of its cluster:
 
 * nearest tempo (W1/J2) is an as-of search.  Both sides are first reduced to
   distinct (keys, tempo) points by partial aggregation; the search runs as a
-  running window inside (keys, 1-BPM bucket) partitions, and a request whose
-  bucket has no neighbour on one side falls back to a per-bucket summary grid
-  whose size is bounded by (#clusters × 24 codes × #buckets), never by data.
+  running window inside (keys, tempo bucket) partitions, whose buckets get
+  narrower with the catalog, and a request whose bucket has no neighbour on
+  one side falls back to a per-bucket summary grid.
 * top-k per cluster (W2) is computed once per cluster with a group limit
   (partial limit before the shuffle), then joined to requests.
 * cosine top-N (W7) deals seeds and candidates of a cluster into tiles whose
@@ -24,18 +24,21 @@ from pyspark.sql import types as T
 
 from cadenza.functions import harmony as H
 from cadenza.functions.vectors import cosine_similarity, squared_distance
+from cadenza.session import cut_lineage
 
 TEMPO_LO, TEMPO_HI = 40, 250
+POINTS_PER_BUCKET = 10_000            # distinct tempos of one key that an as-of bucket holds, about
 TILE_SEEDS, TILE_ROWS = 1024, 16384   # vectors of a tile of the cosine product, about
 SEED_BLOCK = 64                       # seeds multiplied at a time inside a tile
 
 
 # --- nearest tempo (as-of search) -------------------------------------------------
 
-def _bucket(tempo: Column) -> Column:
-    """1-BPM bucket, clamped to the grid so any tempo (even outside the
-    serving range) has a grid row: results stay exact for every input."""
-    return F.least(F.greatest(F.floor(tempo), F.lit(TEMPO_LO - 1)), F.lit(TEMPO_HI + 1)).cast("int")
+def _bucket(tempo: Column, per_bpm: int) -> Column:
+    """Bucket of 1/per_bpm BPM, clamped to the grid so any tempo (even outside
+    the serving range) has a grid row: results stay exact for every input."""
+    lo, hi = F.lit((TEMPO_LO - 1) * per_bpm), F.lit((TEMPO_HI + 1) * per_bpm)
+    return F.least(F.greatest(F.floor(tempo * per_bpm), lo), hi).cast("int")
 
 
 def _points(catalog: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
@@ -46,26 +49,31 @@ def _points(catalog: DataFrame, keys: list[str], payload: list[str]) -> DataFram
 
 
 def build_tempo_index(catalog: DataFrame, keys: list[str],
-                      payload: list[str] = ("song_id", "title", "artist", "tempo", "key")) -> tuple[DataFrame, DataFrame]:
-    """Catalog side of the as-of search: (points, grid).
+                      payload: list[str] = ("song_id", "title", "artist", "tempo", "key"),
+                      points_per_bucket: int = POINTS_PER_BUCKET) -> tuple[DataFrame, DataFrame, int]:
+    """Catalog side of the as-of search: (points, grid, buckets per BPM).
 
     ``points``: one row per distinct (keys, tempo) with the smallest song_id
-    there, tagged with its 1-BPM bucket.  ``grid``: for every (keys, bucket)
-    the nearest catalog point in a lower and in a higher bucket; its size is
-    (#distinct keys) × (TEMPO_HI − TEMPO_LO + 3), bounded by the key domain,
-    not by the data, so it is broadcast.  A serving job builds this once and
-    persists it; every request batch only probes it.
+    there, tagged with its tempo bucket, stored once.  Buckets get narrower as
+    the fullest key gets more points, so that each holds about
+    ``points_per_bucket`` and none is a task of its own at any size.
+    ``grid``: for every (keys, bucket) the nearest catalog point in a lower and
+    in a higher bucket; Spark broadcasts it if it is small.  A serving job
+    builds this once and persists it; every request batch only probes it.
     """
     payload = list(payload)
     if payload[0] != "song_id" or "tempo" not in payload:
         raise ValueError("payload must start with song_id and contain tempo")
-    pts = _points(catalog, keys, payload).withColumn("bucket", _bucket(F.col("tempo")))
+    pts = cut_lineage(_points(catalog, keys, payload))
+    fullest = pts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    per_bpm = max(1, -(-fullest // (points_per_bucket * (TEMPO_HI - TEMPO_LO))))
+    pts = pts.withColumn("bucket", _bucket(F.col("tempo"), per_bpm))
     summary = pts.groupBy(*keys, "bucket").agg(
         F.max(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("hi"),
         F.min(F.struct(F.col("tempo").alias("t"), F.col("song").alias("s"))).alias("lo"))
     # dense (keys, bucket) grid: every bucket of the tempo domain for each key
     dense = summary.select(*keys).distinct().select(
-        *keys, F.explode(F.sequence(F.lit(TEMPO_LO - 1), F.lit(TEMPO_HI + 1))).alias("bucket"))
+        *keys, F.explode(F.sequence(F.lit((TEMPO_LO - 1) * per_bpm), F.lit((TEMPO_HI + 1) * per_bpm))).alias("bucket"))
     grid = dense.join(summary, [*keys, "bucket"], "left")
     # both as growing frames (one ascending, one descending): O(buckets) per key
     up = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,12 +82,12 @@ def build_tempo_index(catalog: DataFrame, keys: list[str],
         *keys, "bucket",
         F.max("hi").over(up).getField("s").alias("below"),
         F.min("lo").over(down).getField("s").alias("above"))
-    return pts, grid
+    return pts, grid, per_bpm
 
 
 def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[str],
                      payload: list[str] = ("song_id", "title", "artist", "tempo", "key"),
-                     index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                     index: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
     """For each distinct probe point (keys, tempo) the catalog song minimising
     (|Δtempo|, song_id) among songs with equal ``keys``.
 
@@ -87,9 +95,9 @@ def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[st
     where ``song`` is a struct of ``payload`` (null when no song matches).
     Exact; no request × song pairs are formed.
     """
-    pts, grid = index if index is not None else build_tempo_index(catalog, keys, payload)
+    pts, grid, per_bpm = index if index is not None else build_tempo_index(catalog, keys, payload)
     probe_pts = probes.select(*keys, "tempo").distinct()
-    bucket = _bucket(F.col("tempo"))
+    bucket = _bucket(F.col("tempo"), per_bpm)
     both = (pts.select(*keys, "tempo", "bucket", F.lit(0).alias("kind"), "song")
             .unionByName(probe_pts.select(*keys, "tempo", bucket.alias("bucket"), F.lit(1).alias("kind"),
                                           F.lit(None).cast(pts.schema["song"].dataType).alias("song"))))
@@ -104,7 +112,7 @@ def nearest_by_tempo(probes: DataFrame, catalog: DataFrame | None, keys: list[st
         F.last("song", ignorenulls=True).over(before).alias("pred"),
         F.last("song", ignorenulls=True).over(after).alias("succ"),
     ).where(F.col("kind") == 1).drop("kind")
-    resolved = local.join(F.broadcast(grid), [*keys, "bucket"], "left").select(
+    resolved = local.join(grid, [*keys, "bucket"], "left").select(
         *keys, "tempo",
         F.coalesce("pred", "below").alias("pred"), F.coalesce("succ", "above").alias("succ"))
     d_pred = F.abs(F.col("tempo") - F.col("pred.tempo"))
@@ -142,13 +150,13 @@ def harmonic_catalog(catalog: DataFrame) -> DataFrame:
         "song_id", "title", "artist", "tempo", "key", "cluster_id", "camelot")
 
 
-def harmonic_index(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+def harmonic_index(catalog: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """The J2 catalog index keyed by (cluster_id, camelot)."""
     return build_tempo_index(harmonic_catalog(catalog), ["cluster_id", "camelot"])
 
 
 def join_harmonic_nearest_tempo(requests: DataFrame, catalog: DataFrame | None,
-                                index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                                index: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
     """J2 — per request: among songs of its cluster whose Camelot code is one
     of the request's 4 neighbours, the nearest tempo (ties → song_id).
 
@@ -341,7 +349,7 @@ def cosine_col(a: Column, b: Column) -> Column:
 
 
 def recommend_batch(requests: DataFrame, catalog: DataFrame | None, assign=None,
-                    index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                    index: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
     """M18 — request rows → serving filters → cluster → J2 → (key, value)
     replies, for every request of the batch in one plan.
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from cadenza.operators import clean as C
@@ -191,3 +192,19 @@ def test_cosine_topn_is_exact_for_any_tiling(spark):
         for r in out.orderBy("seed_id", "rank").collect():
             got.setdefault(r["seed_id"], []).append(r["vec_id"])
         assert got == want
+
+
+def test_nearest_tempo_buckets_follow_the_catalog(spark):
+    """One cluster with 10^5 distinct tempos: narrow, even buckets and exact answers."""
+    rng = np.random.default_rng(7)
+    tempos = np.unique(np.round(rng.uniform(40, 250, 100_000), 6))
+    songs = pd.DataFrame({"song_id": [f"s{i:06d}" for i in range(len(tempos))], "title": "t", "artist": "a", "tempo": tempos, "key": 1, "cluster_id": 3})
+    index = RC.build_tempo_index(spark.createDataFrame(songs), ["cluster_id"], points_per_bucket=50)
+    sizes = [r["count"] for r in index[0].groupBy("bucket").count().collect()]
+    assert index[2] > 1 and max(sizes) < 150 and len(sizes) > 1000
+    asked = np.round(rng.uniform(30, 260, 500), 6)
+    probes = spark.createDataFrame(pd.DataFrame({"cluster_id": 3, "tempo": asked}))
+    got = {r["tempo"]: r["song"]["song_id"] for r in RC.nearest_by_tempo(probes, None, ["cluster_id"], index=index).collect()}
+    for t in asked.tolist():
+        gaps = np.abs(tempos - t)
+        assert got[t] == f"s{int(np.flatnonzero(gaps == gaps.min())[0]):06d}"
