@@ -216,11 +216,15 @@ def scan(docs: DataFrame, text_col: str = "text", out: str = "license", rules=RU
     weight of each detection that is not suppressed; words from 0, end
     exclusive)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    low = F.lower(text)
-    hit = low.contains("cc") & low.rlike("cc[^0-9a-z]+(?:by|zero)|cc0")
-    for k in KEYWORDS:
-        # keywords of several words may be parted by any gap
-        hit = hit | (low.contains(k) if " " not in k else low.contains(k.split(" ")[0]) & low.rlike(k.replace(" ", "[^0-9a-z]+")))
+
+    def gate(low: Column) -> Column:
+        hit = low.contains("cc") & low.rlike("cc[^0-9a-z]+(?:by|zero)|cc0")
+        for k in KEYWORDS:
+            # keywords of several words may be parted by any gap
+            hit = hit | (low.contains(k) if " " not in k else low.contains(k.split(" ")[0]) & low.rlike(k.replace(" ", "[^0-9a-z]+")))
+        return hit
+
+    hit = let(F.lower(text), gate)  # lower-cased once for all the keywords
     norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate(text, _UPPER, _LOWER), _GAP, " ")), F.lit(" "))
     base_rules = _table([Rule(label, "base", phrase, phrase, 0, 1.0) for phrase, label in BASE])
 
