@@ -10,9 +10,10 @@ from cadenza.sources.catalog import TABLES
 from tools.check_oracle import digest
 
 SF = "/root/testdata/sf0.001"
-# Every library query with a twin but the many-fit ones (the weight search, the sweep of k and the
-# folds of the classifier take minutes; tools/check_oracle.py and the driver run them).
-SLOW = {"search_weights", "sweep_k", "cross_validate"}
+# Every library query with a twin but the slow ones: many fits, and streams that test_streaming.py
+# runs as well (tools/check_oracle.py and the driver run them all).
+SLOW = {"search_weights", "sweep_k", "cross_validate", "train_cluster_classifier", "predict_cluster_proba",
+        "stream_checkpoint_restart", "stream_recommend", "stream_recommend_v3", "stream_error_isolation"}
 NAMES = sorted(n for n, e in load_all().items() if e.sql and n not in SLOW)
 
 
