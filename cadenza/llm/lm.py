@@ -369,15 +369,19 @@ class Model:
         return total / np.log(10.0)
 
 
-def windows(flat: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
+def windows(flat: np.ndarray, lengths: np.ndarray, model: Model, chosen=None) -> tuple[np.ndarray, ...]:
     """Slots (n, CONTEXT + STRIDE) of the ids before each scored id, classes of
     the scored ids, which of them are real, and the text of each window.  The
-    end stands before a text's first id and as often before that as needed."""
+    end stands before a text's first id and as often before that as needed.
+    ``chosen(text, number)``: build only the windows that it holds for."""
     lengths = np.asarray(lengths, np.int64)
     first = np.cumsum(lengths) - lengths
     n = -(-lengths // STRIDE)
     owner = np.repeat(np.arange(len(lengths)), n)
     number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    if chosen is not None:
+        keep = chosen(owner, number)
+        owner, number = owner[keep], number[keep]
     place = (number * STRIDE)[:, None] + np.arange(STRIDE)[None, :]  # of the scored id in its text
     real = place < lengths[owner][:, None]
     at = first[owner][:, None] + np.minimum(place, lengths[owner][:, None] - 1)
@@ -387,10 +391,10 @@ def windows(flat: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np.nda
     return slots, model.klass[flat[at]], real, owner
 
 
-def _chosen(owner_ids: np.ndarray, k: np.ndarray, round_: int) -> np.ndarray:
+def _chosen(text: np.ndarray, k: np.ndarray, round_: int) -> np.ndarray:
     """A fixed share of the windows, another in each round."""
     with np.errstate(over="ignore"):
-        h = (owner_ids.astype(np.uint64) * np.uint64(_STEP)) ^ (k.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+        h = (text.astype(np.uint64) * np.uint64(_STEP)) ^ (k.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
         h ^= h >> np.uint64(31)
         h *= np.uint64(0x94D049BB133111EB)
     return (h >> np.uint64(40)) % np.uint64(SHARE) == round_ % SHARE
@@ -445,11 +449,7 @@ def fit(packed: DataFrame) -> Model:
                     keep = np.repeat(training, lengths)
                     flat, lengths = flat[keep], lengths[training]
                     if len(lengths):
-                        n = -(-lengths // STRIDE)
-                        names = np.repeat((np.int64(r.chunk) << 20) + np.arange(len(lengths)), n)
-                        take = _chosen(names, np.arange(len(names)), round_)
-                        slots, target, real, _ = windows(flat, lengths, model)
-                        picked.append((slots[take], target[take], real[take]))
+                        picked.append(windows(flat, lengths, model, lambda text, k: _chosen((np.int64(r.chunk) << 20) + text, k, round_))[:3])
             size = sum(len(p[0]) for p in picked)
             if size:
                 mine = Model.__new__(Model)
