@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from cadenza.functions import harmony as H
 from cadenza.functions.vectors import cosine_similarity, squared_distance
-from cadenza.session import cut_lineage
+from cadenza.session import checkpoint_dir
 
 TEMPO_LO, TEMPO_HI = 40, 250
 POINTS_PER_BUCKET = 10_000            # distinct tempos of one key that an as-of bucket holds, about
@@ -64,7 +64,10 @@ def build_tempo_index(catalog: DataFrame, keys: list[str],
     payload = list(payload)
     if payload[0] != "song_id" or "tempo" not in payload:
         raise ValueError("payload must start with song_id and contain tempo")
-    pts = cut_lineage(_points(catalog, keys, payload))
+    spark, path = catalog.sparkSession, checkpoint_dir(catalog.sparkSession, "tempo-index")
+    found = _points(catalog, keys, payload)
+    found.write.parquet(path)   # a table in the shared folder: read twice, and by every batch
+    pts = spark.read.schema(found.schema).parquet(path)
     fullest = pts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     per_bpm = max(1, -(-fullest // (points_per_bucket * (TEMPO_HI - TEMPO_LO))))
     pts = pts.withColumn("bucket", _bucket(F.col("tempo"), per_bpm))
