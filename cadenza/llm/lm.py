@@ -15,9 +15,9 @@ once, and windows of many texts go through one batched, masked product.
 
 What it learns from, all of it from training texts (crc32 of the id's text
 modulo 7 is not 2): id counts, class counts after each slot and word counts
-cover every text; the attention weights are trained by gradient steps in the
-tasks on a fixed share (1 in ``SHARE``) of all windows and averaged, in
-``ROUNDS`` rounds, so they follow the input's size as well.
+cover every text; the attention weights take gradient steps over every window,
+once, chunk by chunk in the tasks, and are averaged over the tasks by their
+windows.
 
 Plan.  One pass packs the texts into chunks of about a million words (ids in
 16 bits, compressed), written once.  Word counts have no bounded size, so they
@@ -57,8 +57,6 @@ SLOTS, SLOTS_OWN = 512, 448
 CLASSES, CLASSES_OWN = 128, 96
 WIDTH = 16
 STRIDE, CONTEXT = 32, 16
-#: One window in so many trains the attention weights, in each of the rounds.
-SHARE, ROUNDS = 32, 2
 HELD_OUT = (7, 2)
 _IDS = 1 << 16
 _END = 50256
@@ -320,17 +318,19 @@ class Model:
         g["distance"] = np.bincount(np.abs(far).ravel(), (d_a.sum(axis=0) * (far >= 0)).ravel(), STRIDE + CONTEXT).astype(np.float32)
         d_a *= np.float32(WIDTH**-0.5)
         for name, rows, d in (("q", slots[:, CONTEXT:], np.matmul(d_a, k)), ("k", slots, np.matmul(d_a.transpose(0, 2, 1), q)), ("v", slots, d_v)):
-            g[name] = np.zeros((SLOTS, WIDTH), np.float32)
-            np.add.at(g[name], rows.ravel(), d.reshape(-1, WIDTH))
+            cells = rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+            g[name] = np.bincount(cells.ravel(), d.ravel(), SLOTS * WIDTH).reshape(SLOTS, WIDTH)
         return g
 
-    def steps(self, slots: np.ndarray, target: np.ndarray, real: np.ndarray, batch: int = 64, rate: float = 0.05) -> None:
-        """One pass of adaptive gradient steps over the windows."""
-        seen = {n: np.full_like(x, 1e-6) for n, x in self.weights.items()}
+    def steps(self, slots: np.ndarray, target: np.ndarray, real: np.ndarray, batch: int = 64, rate: float = 0.05, seen: dict | None = None) -> dict:
+        """One pass of adaptive gradient steps over the windows.  Returns the
+        sums of squares so far; as ``seen`` they let a later pass go on."""
+        seen = seen or {n: np.full_like(x, 1e-6) for n, x in self.weights.items()}
         for s in range(0, len(slots), batch):
             for n, g in self.gradients(slots[s : s + batch], target[s : s + batch], real[s : s + batch]).items():
                 seen[n] += g * g
-                self.weights[n] -= np.float32(rate) * g / np.sqrt(seen[n])
+                self.weights[n] -= (rate * g / np.sqrt(seen[n])).astype(self.weights[n].dtype)
+        return seen
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[n].ravel() for n in sorted(self.weights)])
@@ -369,19 +369,15 @@ class Model:
         return total / np.log(10.0)
 
 
-def windows(flat: np.ndarray, lengths: np.ndarray, model: Model, chosen=None) -> tuple[np.ndarray, ...]:
+def windows(flat: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
     """Slots (n, CONTEXT + STRIDE) of the ids before each scored id, classes of
     the scored ids, which of them are real, and the text of each window.  The
-    end stands before a text's first id and as often before that as needed.
-    ``chosen(text, number)``: build only the windows that it holds for."""
+    end stands before a text's first id and as often before that as needed."""
     lengths = np.asarray(lengths, np.int64)
     first = np.cumsum(lengths) - lengths
     n = -(-lengths // STRIDE)
     owner = np.repeat(np.arange(len(lengths)), n)
     number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    if chosen is not None:
-        keep = chosen(owner, number)
-        owner, number = owner[keep], number[keep]
     place = (number * STRIDE)[:, None] + np.arange(STRIDE)[None, :]  # of the scored id in its text
     real = place < lengths[owner][:, None]
     at = first[owner][:, None] + np.minimum(place, lengths[owner][:, None] - 1)
@@ -391,15 +387,6 @@ def windows(flat: np.ndarray, lengths: np.ndarray, model: Model, chosen=None) ->
     return slots, model.klass[flat[at]], real, owner
 
 
-def _chosen(text: np.ndarray, k: np.ndarray, round_: int) -> np.ndarray:
-    """A fixed share of the windows, another in each round."""
-    with np.errstate(over="ignore"):
-        h = (text.astype(np.uint64) * np.uint64(_STEP)) ^ (k.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0x94D049BB133111EB)
-    return (h >> np.uint64(40)) % np.uint64(SHARE) == round_ % SHARE
-
-
 def _ids_of(row) -> list:
     return [None if i is None or i != i else int(i) for i in row.ids]
 
@@ -438,39 +425,36 @@ def fit(packed: DataFrame) -> Model:
     cells, n = added(packed.select("ids", "lengths", "packed").mapInPandas(pairs, "cell int, n long"), "cell")
     model.follow(cells, n)
 
-    for round_ in range(ROUNDS):
-
-        def steps(batches: Iterator[pd.DataFrame], model: Model = model, round_: int = round_) -> Iterator[pd.DataFrame]:
-            picked = []
-            for batch in batches:
-                for r in batch.itertuples():
-                    flat, lengths = _unpacked(r.packed), np.asarray(r.lengths, np.int64)
-                    training = np.array([not held_out(i) for i in _ids_of(r)], bool)
-                    keep = np.repeat(training, lengths)
-                    flat, lengths = flat[keep], lengths[training]
-                    if len(lengths):
-                        picked.append(windows(flat, lengths, model, lambda text, k: _chosen((np.int64(r.chunk) << 20) + text, k, round_))[:3])
-            size = sum(len(p[0]) for p in picked)
-            if size:
-                mine = Model.__new__(Model)
-                mine.__dict__ = dict(model.__dict__, weights={n: x.copy() for n, x in model.weights.items()})
-                mine.steps(*(np.concatenate(x) for x in zip(*picked)))
-                yield pd.DataFrame({"at": np.arange(mine.flat().size), "x": mine.flat().astype(np.float64) * size, "n": float(size)})
-
-        mean = (
-            packed.select("chunk", "ids", "lengths", "packed")
-            .mapInPandas(steps, "at int, x double, n double")
-            .groupBy("at")
-            .agg((F.sum("x") / F.sum("n")).alias("x"))
-            .collect()  # one number per weight
-        )
-        if mean:
-            new = np.zeros(len(mean))
-            new[[r["at"] for r in mean]] = [r["x"] for r in mean]
-            fresh = Model.__new__(Model)
-            fresh.__dict__ = dict(model.__dict__, weights=dict(model.weights))
-            fresh.load(new)
-            model = fresh
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mine = Model.__new__(Model)
+        mine.__dict__ = dict(model.__dict__, weights={n: x.copy() for n, x in model.weights.items()})
+        size, seen = 0, None
+        for batch in batches:
+            for r in batch.itertuples():
+                flat, lengths = _unpacked(r.packed), np.asarray(r.lengths, np.int64)
+                training = np.array([not held_out(i) for i in _ids_of(r)], bool)
+                flat, lengths = flat[np.repeat(training, lengths)], lengths[training]
+                if len(lengths):
+                    slots, target, real, _ = windows(flat, lengths, mine)
+                    seen = mine.steps(slots, target, real, seen=seen)
+                    size += len(slots)
+        if size:
+            yield pd.DataFrame({"at": np.arange(mine.flat().size), "x": mine.flat().astype(np.float64) * size, "n": float(size)})
+
+    mean = (
+        packed.select("ids", "lengths", "packed")
+        .mapInPandas(steps, "at int, x double, n double")
+        .groupBy("at")
+        .agg((F.sum("x") / F.sum("n")).alias("x"))
+        .collect()  # one number per weight
+    )
+    if mean:
+        new = np.zeros(len(mean))
+        new[[r["at"] for r in mean]] = [r["x"] for r in mean]
+        fresh = Model.__new__(Model)
+        fresh.__dict__ = dict(model.__dict__, weights=dict(model.weights))
+        fresh.load(new)
+        model = fresh
     return model
 
 

@@ -418,6 +418,23 @@ def test_lm_learns_held_out_text():
     assert scores[0] < scores[1] < scores[2]
 
 
+def test_lm_trains_on_every_window(spark):
+    """The slot of a word that stands in one training window only has taken a step."""
+    rng = np.random.default_rng(6)
+    common, rare = [f"w{i}" for i in range(20)], [str(i) for i in range(100, 160)]
+    docs = [[i, " ".join(rng.choice(common, 40))] for i in range(400)]
+    train = [d for d in docs if not lm.held_out(d[0])]
+    for d, w in zip(train[-len(rare) :], rare):
+        d[1] = f"{w} {d[1]}"
+    packed = lm.chunks(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).cache()
+    m = lm.fit(packed)
+    flat, lengths = lm.packed_ids([t for _, t in train], tokenizer_path())
+    start = lm.Model(np.bincount(flat, minlength=1 << 16)).weights["v"]
+    slots = [m.slot[lm.packed_ids([w], tokenizer_path())[0][0]] for w in rare]
+    assert len(set(slots)) == len(rare) and max(slots) < lm.SLOTS_OWN
+    assert (m.weights["v"][slots] != start[slots]).any(axis=1).all()
+
+
 # --- pipeline ----------------------------------------------------------------
 
 
