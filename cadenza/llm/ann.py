@@ -16,14 +16,16 @@ heaps of k merge the tiles' answers as they stream by.
 The grid follows the counts, so a tile holds about ``TILE_QUERIES`` times
 ``TILE_ROWS`` vectors at any size, and the product is worked off in strips.
 The result is exact for the stated queries; equal vectors are kept as one in a
-tile (with their k + 1 smallest ids), so a hot vector costs one survivor.
+tile (with their 2 k smallest ids, of one id at most k, so that k are left
+without the query's own), so a hot vector costs one survivor.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components take no part, on either side; vectors of another length
 than the query's are no candidates of it; a query's own row is no candidate
 (rows are told apart by id, so rows of one id never meet each other); fewer
 candidates than k give fewer rows; ties go to the smaller id; rows without an
-id take no part.
+id take no part; repeated rows are rows of their own, as in the SQL: a candidate
+stored three times takes three places, and all rows of a query id share its k.
 """
 
 from __future__ import annotations
@@ -87,11 +89,16 @@ def nearest_in_tile(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndar
     keys = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * 8))).ravel()  # + 0.0: no negative zero
     _, first, group = np.unique(keys, return_index=True, return_inverse=True)
     order = np.lexsort((ids, group))
+    begins = np.flatnonzero(np.r_[True, (np.diff(group[order]) != 0) | (np.diff(ids[order]) != 0)])
+    copy = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
+    order = order[copy < k]
     starts = np.searchsorted(group[order], np.arange(len(first) + 1))
-    same = [ids[order[starts[g] : min(starts[g + 1], starts[g] + k + 1)]].tolist() for g in range(len(first))]
+    same = [ids[order[starts[g] : min(starts[g + 1], starts[g] + 2 * k)]].tolist() for g in range(len(first))]
+    # vectors of one id alone: no candidates of that id's queries, and so not in their bounds
+    smallest = ids[order[starts[:-1]]]
+    alone = smallest == ids[order[starts[1:] - 1]]
     x = x[first]
-    # a query is no candidate of its own, so k + 1 distinct vectors are enough for a bound
-    need = min(k + 1, len(x))
+    need = min(k, len(x))
     qs, qc, qn, qe = quantised(q)
     parts = [quantised(x[s : s + _STRIP]) for s in range(0, len(x), _STRIP)]
     for r in range(0, len(q), 64):
@@ -103,6 +110,7 @@ def nearest_in_tile(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndar
             # what rounding may add, far above its true size
             slack += 1e-6 * (np.sqrt(qn[rows])[:, None] + np.sqrt(xn)[None, :]) + 1e-300
             upper = d + slack
+            upper[alone[None, s : s + _STRIP] & (smallest[None, s : s + _STRIP] == qids[rows, None])] = np.inf
             bound = np.partition(upper if bound is None else np.concatenate([bound, upper], axis=1), min(need, upper.shape[1] if bound is None else need) - 1, axis=1)[:, :need]
             low.append(d - slack)
         limit = bound.max(axis=1)
@@ -152,8 +160,6 @@ def search(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_i
         for b in batches:
             for own, i, d in zip(*(b.column(c).to_pylist() for c in range(3))):
                 heap, item = heaps.setdefault(own, []), (-d, -i)
-                if item in heap:  # a query row repeated
-                    continue
                 if len(heap) < k:
                     heapq.heappush(heap, item)
                 else:

@@ -294,6 +294,24 @@ def test_neighbours_equal_brute_force(spark):
     assert ann.search(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_rows_equal_sql(spark, tmp_path):
+    """Ids stored 3 and 15 times, as candidates and as queries, with equal and with other vectors."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(60)]
+    near = lambda v: (np.array(v) + rng.normal(0, 1e-3, 6)).tolist()
+    rows += [(7, near(rows[0][1]))] * 3 + [(8, near(rows[0][1]))] * 15 + [(5, rows[0][1])] * 15 + [(9, rows[0][1])]
+    rows += [(100, rows[1][1])] * 15 + [(200, rows[2][1])] * 3 + [(300, near(rows[3][1])) for _ in range(15)]
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = sorted((q, r, i, round(s, 9)) for q, r, i, s in con.execute(queries.OP3_SQL).fetchall())
+    df = spark.read.parquet(path)
+    for tiles in ((1024, 16384), (2, 20)):
+        got = ann.search(df, F.col("id") % 100 == 0, tile_queries=tiles[0], tile_rows=tiles[1]).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got) == want
+
+
 def test_int8_products_and_bounds():
     rng = np.random.default_rng(4)
     a, b = rng.normal(size=(30, 2500)), rng.normal(size=(40, 2500)) * 100
