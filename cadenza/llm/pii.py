@@ -20,7 +20,8 @@ All scans are linear in the text's length.  Rows keep their own candidates, so
 nothing is grouped by a hot key but the counts, which are summed map-side.
 
 Defined results: a null text counts as empty; equal rows are treated alike;
-offsets are code points, the end exclusive; a further span that overlaps a
+offsets are code points, the end exclusive; secrets and names have no longest
+length; a further span that overlaps a
 base span is left out; columns of the input do not matter.
 """
 
@@ -50,8 +51,8 @@ _DOTTED = re.compile(r"[0-9]\.[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])")
-_ASSIGNED = re.compile(r"(?i:token|secret|api[_-]?key|password|passwd|pwd)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([^\s\"']{8,128}+)")
+_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")
+_ASSIGNED = re.compile(r"(?i:token|secret|api[_-]?key|password|passwd|pwd)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([^\s\"']{8,}+)")
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
@@ -75,8 +76,8 @@ HINTS = {
 }
 AGAINST = ("version", "isbn", "order", "page", "section", "chapter", "release", "commit", "sha1", "md5", "checksum")
 _PERSON = re.compile(
-    r"(?<![A-Za-z])(?:(?:" + "|".join(TITLES) + r")\.? [A-ZÀ-Þ][a-zß-ÿ]{1,30}+(?: [A-ZÀ-Þ][a-zß-ÿ]{1,30}+)?"
-    r"|(?:" + "|".join(FIRST_NAMES) + r") [A-ZÀ-Þ][a-zß-ÿ]{1,30}+)"
+    r"(?<![A-Za-z])(?:(?:" + "|".join(TITLES) + r")\.? [A-ZÀ-Þ][a-zß-ÿ]++(?: [A-ZÀ-Þ][a-zß-ÿ]++)?"
+    r"|(?:" + "|".join(FIRST_NAMES) + r") [A-ZÀ-Þ][a-zß-ÿ]++)"
 )
 
 
@@ -158,7 +159,7 @@ def _iban_valid(s: str) -> bool:
 
 def _votes(text: str, kind: str, a: int, b: int, passes: bool) -> tuple[int, ...]:
     """1 for, 2 against, 0 no opinion, in the order of ``LABELERS``."""
-    s = text[a:b] if b - a <= 400 else text[a : a + 200] + text[b - 200 : b]
+    s = text[a:b] if b - a <= 400 or kind == "secret" else text[a : a + 200] + text[b - 200 : b]
     yes = lambda x: 1 if x else 2
     digits = "".join(c for c in s if "0" <= c <= "9")
     if kind == "email":
@@ -196,7 +197,8 @@ def _code(text: str, kind: str, a: int, b: int, passes: bool) -> int:
     for v in _votes(text, kind, a, b, passes):
         code = code << 2 | v
     n = b - a
-    digits = sum("0" <= c <= "9" for c in text[a : min(b, a + 400)]) / min(n, 400)
+    seen = text[a : b if kind == "secret" else min(b, a + 400)]
+    digits = sum("0" <= c <= "9" for c in seen) / len(seen)
     return (code << 2 | (n > 12) + (n > 20) + (n > 36)) << 2 | min(3, int(digits * 4))
 
 

@@ -207,6 +207,21 @@ def test_pii_spans_keep_base_and_add_taken_kinds(spark):
     assert pii.detect(frame(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [128, 129, 300, 100_000])
+def test_pii_spans_hold_whole_secrets_and_names(spark, n):
+    rng = random.Random(n)
+    # every second one a letter: no cards or addresses inside, which as base spans would take the place
+    key = "".join(rng.choice("abcdef" if i % 2 else "0123456789") for i in range(n))
+    word = "".join(rng.choice("ABCxyz" if i % 2 else "0189._-") for i in range(n))
+    texts = [f"see {key} there", f"my token = {word} there", f"my token = '{key}' there", f"Dr. A{'n' * n} wrote"]
+    want = [("secret", 4, 4 + n), ("secret", 11, 11 + n), ("secret", 12, 12 + n), ("person", 0, 5 + n)]
+    for t, (kind, a, b) in zip(texts, want):
+        spans = [(pii.KINDS[s[0]], s[1], s[2]) for s in pii.candidates_of(t)]
+        assert [s for s in spans if s[0] == kind] == [(kind, a, b)]
+    found = {r["id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.detect(frame(spark, texts[:3] * 5)).collect()}
+    assert all(want[2] in found[i] for i in range(2, 15, 3))
+
+
 def test_expectation_maximisation_finds_good_and_bad_labelers():
     import numpy as np
 
