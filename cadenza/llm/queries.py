@@ -3,10 +3,12 @@ operators return, with DuckDB twins where SQL can express them."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, simhash, warc
+from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, runs, simhash, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -210,3 +212,35 @@ def op8_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of every whole text."""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+def planted_period(ident: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the texts, by id, made periodic from some place on."""
+    h, n = zlib.crc32(str(ident).encode()), len(words)
+    if ident is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query("op11_lyndon_runs")
+def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every whole text's words: the longest one, and digests
+    of all runs and of the text with each run cut to one period."""
+    found = runs.find(table(spark, sf_dir, "documents"), altered=planted_period)
+    # the longest first, then the smallest start and period
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = found.withColumn("best", longest)
+    return best.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.n")).alias("length"),
+        F.col("best.p").alias("period"),
+        F.expr("(1000 * -best.n) div best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
