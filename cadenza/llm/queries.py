@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, runs, simhash, warc
+from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, runs, simhash, variants, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -244,3 +244,17 @@ def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def planted_deletion(ident: Column, run: Column) -> Column:
+    """One run in 31, by the id and the run, loses a code point."""
+    h = F.crc32(F.concat(ident.cast("string"), F.lit(":"), run))
+    at = (h % F.char_length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its near words, form and root."""
+    found = variants.group(table(spark, sf_dir, "documents"), altered=planted_deletion)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
