@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, runs, simhash, variants, warc
+from cadenza.llm import ann, bpe, licenses, lines, lm, mixing, pii, quality, runs, simhash, toxicity, variants, warc
 from cadenza.llm.common import table
 
 QUERIES: dict = {}
@@ -258,3 +258,11 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the vocabulary with its near words, form and root."""
     found = variants.group(table(spark, sf_dir, "documents"), altered=planted_deletion)
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_toxicity_kernel")
+def op12_toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.detect(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", "predicted", F.col("unit").alias("marked_by"))
