@@ -253,7 +253,43 @@ def planted_deletion(ident: Column, run: Column) -> Column:
     return F.when(h % 31 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
 
 
-@query("op13_spelling_variants")
+OP13_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))
+), o AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS r FROM documents)
+), x AS (
+  SELECT doc_id, r, hex(encode(doc_id::VARCHAR || ':' || r)) AS x FROM o
+), h AS (
+  SELECT r, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i::INT, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM x, t
+), v AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), d AS (
+  SELECT word, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), p AS (
+  SELECT a.word AS w, b.word AS near FROM d a JOIN d b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.d = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.d = v.word
+), b AS (
+  SELECT w, near, n, count(*) OVER (PARTITION BY w) AS n_near FROM p JOIN v ON p.near = v.word
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY n DESC, near) = 1
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * v.n THEN near END AS form, CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n
+  FROM v LEFT JOIN b ON v.word = b.w
+), l AS (
+  SELECT word, word AS root FROM f UNION ALL SELECT l.word, f.form FROM l JOIN f ON l.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, l.root, f.n::BIGINT AS n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN l ON f.word = l.word JOIN f g ON l.root = g.word WHERE g.form IS NULL
+"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the vocabulary with its near words, form and root."""
     found = variants.group(table(spark, sf_dir, "documents"), altered=planted_deletion)

@@ -22,8 +22,8 @@ standard deviations) are witnesses in all of them.  Witnesses also train in
 forms with a sign between their letters, a letter doubled and a letter put in.
 Clean units with margins that are too large join the training set in each
 round.  A sentence's margin is that of its greatest unit, a text's that of its
-greatest sentence, at least -1; a logistic curve fitted on the sample, weighted
-to the labels' frequencies, makes it a score.
+greatest sentence, at least -1; a logistic curve fitted on a fifth of the
+sample that is kept back, weighted to the labels' frequencies, makes it a score.
 
 The SVM's margin is linear in a unit's subsequences, so weights and landmarks
 fold into one table of subsequences, which goes to the tasks (1 MB, fixed
@@ -61,6 +61,8 @@ WINDOW = 8
 DECAY = 0.6
 ROUNDS = 3
 SIGNS = 5.0
+#: Texts of each label that the logistic curve needs to be fitted on texts kept back.
+KEPT_BACK = 40
 THRESHOLD = 0.7
 HELD_OUT = (3, 1)
 #: Clean units of a training round: so many by frequency, and so many more by margin each round.
@@ -242,7 +244,15 @@ class Model:
 
 def train(bags: list[set[bytes]], toxic: np.ndarray, prior: tuple[float, float], landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model:
     """The model of labelled texts, given as their units; ``prior``: how many
-    texts of label 0 and of label 1 a text of the sample stands for."""
+    texts of label 0 and of label 1 a text of the sample stands for.  Every
+    fifth text is kept back for the logistic curve, if that gives enough."""
+    back = np.arange(len(bags)) % 5 == 4
+    if min(int((toxic[back] == t).sum()) for t in (0, 1)) < KEPT_BACK:
+        back = use = np.ones(len(bags), bool)  # too few for a curve: all texts serve both ends
+    else:
+        use = ~back
+    apart, apart_toxic = [b for b, k in zip(bags, back) if k], toxic[back]
+    bags, toxic = [b for b, k in zip(bags, use) if k], toxic[use]
     seen = [Counter(), Counter()]
     for b, t in zip(bags, toxic.tolist()):
         seen[t].update(b)
@@ -315,8 +325,10 @@ def train(bags: list[set[bytes]], toxic: np.ndarray, prior: tuple[float, float],
         further = further[margin[further] > -1]
         cached = np.r_[cached, coordinates([names[i] for i in further.tolist()])]
         training = np.r_[training, further]
-    tops = np.array([margin[b].max() if len(b) else -1.0 for b in inside])
-    slope, offset = logistic(tops, toxic, np.where(toxic == 1, prior[1], prior[0]))
+    known = sorted(set().union(*apart))
+    margins = dict(zip(known, table.margins(known).tolist()))
+    tops = np.array([max((margins[u] for u in b), default=-1.0) for b in apart])
+    slope, offset = logistic(tops, apart_toxic, np.where(apart_toxic == 1, prior[1], prior[0]))
     return Model(table, slope, offset)
 
 
@@ -329,9 +341,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    # by a hash of the id, a tenth fewer than the bound, so that chance does not pass it
+    # all, or by a hash of the id a tenth fewer than the bound, so that chance does not pass it
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
-    ids = stored(marked.where(part < F.when(F.col("label") == 1, 0.9 * sample / counts[1]).otherwise(0.9 * sample / counts[0])), "toxic-sample")
+    share = {t: 1.0 if n <= sample else 0.9 * sample / n for t, n in counts.items()}
+    ids = stored(marked.where(part < F.when(F.col("label") == 1, share[1]).otherwise(share[0])), "toxic-sample")
     texts = docs.select(ident.alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where(F.char_length("text") <= SAMPLE_CHARS)
     # a broadcast of at most about 2 * sample ids; repeated rows of an id train once
     rows = texts.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text")).orderBy("id").collect()

@@ -217,7 +217,7 @@ def _answers(rows: pd.DataFrame) -> pd.DataFrame:
     n = np.zeros(len(words), np.int64)
     n[which] = rows["n"]
     asks = rows["asks"].to_numpy()
-    out = []
+    asked, near, best_n, best = [], [], [], []
     if len(words) > 1 and asks.any():
         index = Index(words)
         own, start, end = which[asks], rows["start"].to_numpy(np.int64)[asks], rows["end"].to_numpy(np.int64)[asks]
@@ -231,12 +231,11 @@ def _answers(rows: pd.DataFrame) -> pd.DataFrame:
                 order = np.lexsort((place[v], -n[v], q))
                 q, v = q[order], v[order]
                 first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-                best = v[first].tolist()
-                out.append(pd.DataFrame({
-                    "word": [plain[i] for i in o[q[first]].tolist()], "n_near": np.diff(np.r_[first, len(q)]),
-                    "best_n": n[best], "best": [plain[i] for i in best],
-                }))
-    return pd.concat(out) if out else pd.DataFrame({"word": [], "n_near": [], "best_n": [], "best": []})
+                asked += [plain[i] for i in o[q[first]].tolist()]
+                near += np.diff(np.r_[first, len(q)]).tolist()
+                best_n += n[v[first]].tolist()
+                best += [plain[i] for i in v[first].tolist()]
+    return pd.DataFrame({"word": pd.Series(asked, dtype=object), "n_near": near, "best_n": best_n, "best": pd.Series(best, dtype=object)})
 
 
 # --- dealing out -------------------------------------------------------------
