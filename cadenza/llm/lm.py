@@ -36,6 +36,7 @@ distribution of ids, and counts of zero.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -71,20 +72,24 @@ def held_out(ident) -> bool:
 # --- packing -----------------------------------------------------------------
 
 _APART = 2000  # a word of more characters is encoded on its own
+_BLANK = re.compile("[^\\S ]")
 
 
 def subwords(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words, each with a blank before it, and their number a word.
 
     Many words are encoded as one text: the pattern that splits a text parts
-    it before each blank, so a word's ids are what it has alone."""
+    it before each blank, so a word's ids are what it has alone.  Words with
+    blanks of other kinds in them (U+00A0 and the like) are not parted there
+    from their neighbours, and are encoded on their own."""
     e = encoder(path)
     texts = [" " + w.decode() for w in words]
     ids, sizes = [], np.ones(len(words), np.int64)
     for s in range(0, len(texts), 4096):
         some = texts[s : s + 4096]
-        if max(map(len, some)) <= _APART and not e.is_new("".join(some)):
-            flat = np.array(e.fast.encode_ordinary("".join(some)), np.uint16)
+        joined = "".join(some)
+        if max(map(len, some)) <= _APART and not e.is_new(joined) and not _BLANK.search(joined):
+            flat = np.array(e.fast.encode_ordinary(joined), np.uint16)
             sizes[s : s + len(some)] = np.diff(np.r_[np.flatnonzero(_starts(flat, path)), len(flat)])
             ids.append(flat)
         else:

@@ -160,6 +160,9 @@ class _Bundle:
         self.out.close()
 
 
+#: Frames that a reading task takes at most, about, and frames in a row that one task reads.
+TASK_FRAMES, RUN_FRAMES = 256, 8
+
 INDEX = "page_id long, record_id string, bundle string, frame int, offset long, length long"
 
 
@@ -218,16 +221,19 @@ RECORDS = "page_id long, record_id string, record_type string, url string, paylo
 
 
 def read(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the bundles that ``index`` names, read frame by frame
-    through their seek tables; responses are checked against their digests."""
+    """The records of the frames that ``index`` names, each read through its
+    bundle's seek table; responses are checked against their digests.  Frames
+    are dealt out over at least as many tasks as there are shuffle partitions,
+    and over more where frames are many."""
 
     def get(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path in batch["bundle"]:
+            for path, part in batch.groupby("bundle"):
                 where, inside = _open(path)
                 with where.open_input_file(inside) as file:
-                    for k, at in enumerate(frames(file)):
-                        out = []
+                    places = frames(file)
+                    for k in sorted(set(part["frame"].tolist())):
+                        at, out = places[k], []
                         for offset, h, block in parsed(read_frame(file, at)):
                             digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
                             if h["WARC-Type"] == "response" and (len(block) != int(h["WARC-Payload-Length"]) or hashlib.sha1(block).hexdigest() != digest):
@@ -239,8 +245,9 @@ def read(index: DataFrame, payloads: bool = True) -> DataFrame:
                             ))
                         yield pd.DataFrame(out, columns=[x.split()[0] for x in RECORDS.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    bundles = index.select("bundle").distinct()
-    return bundles.mapInPandas(get, RECORDS)
+    named = index.select("bundle", "frame").distinct()
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-named.count() // TASK_FRAMES))
+    return named.repartition(tasks, "bundle", F.floor(F.col("frame") / RUN_FRAMES)).mapInPandas(get, RECORDS)
 
 
 def lookup(index: DataFrame) -> DataFrame:

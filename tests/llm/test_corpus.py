@@ -241,6 +241,16 @@ def test_warc_round_trip_and_lookup(spark, tmp_path):
     assert warc.read(warc.write(pages.limit(0))).count() == 0
 
 
+def test_archives_are_read_in_many_tasks(spark, tmp_path):
+    rows = [(i, "u", random.Random(i).randbytes(300).hex()) for i in range(400)]
+    index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), f"file://{tmp_path}/archive", frame_bytes=1200, bundle_bytes=6000)
+    assert index.select("bundle").distinct().count() >= 40
+    read = warc.read(index, payloads=False)
+    tasks = [r for r in read.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()]
+    assert len(tasks) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r["page_id"] for r in read.collect()) == list(range(400))
+
+
 def test_bundles_are_plain_zstandard_with_a_seek_table(tmp_path):
     import io
 
@@ -329,6 +339,7 @@ def test_int8_products_and_bounds():
 def test_lm_counts_and_base_scores_equal_brute_force(spark):
     docs = [r[:2] for r in duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' LIMIT 120").fetchall()]
     docs += [(1001, None), (1002, ""), (1003, " \n"), (1004, "Aa aA AA é É"), (1004, "Aa aA AA é É"), (None, "void"), (1005, "x y  z  "), (1006, "q" * 3000), (1007, "<|endoftext|> <|endoftext|>")]
+    docs += [(1008, "un prix : \u00a0 \u00a0\u00a0\u00a0 euros"), (1009, "a\u00a0 \u00a0x \u2003\u3000 \x85 b\x1c \x1d\u2028"), (1010, "\u00a0 " * 50)]
     words = [["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in (t or "").encode().split()] if False else
              [w.decode() for w in (t or "").encode().lower().split()] + ["\n"] for _, t in docs]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs]
