@@ -17,7 +17,6 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,14 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import harmony as H
-from cadenza.session import run_concurrently
+from cadenza.operators import kmeans as KM
 
 # --- fixed values (must equal the reference) --------------------------------
 V7_COLUMNS = ("tempo", "loudness_pos", "key_sin", "key_cos", "mode_major", "time_signature")
 V7_WEIGHTS = (4.5, 1.0, 5.0, 5.0, 0.5, 0.5)
 V8_COLUMNS = ("tempo", "loudness_pos", "camelot_cos", "camelot_sin", "camelot_mode_small", "time_signature")
 V8_WEIGHTS = (3.0, 1.0, 5.0, 5.0, 0.2, 0.5)
-KMEANS_SEED, KMEANS_MAX_ITER, KMEANS_TOL = 42, 20, 1e-4
+KMEANS_MAX_ITER, KMEANS_TOL = 20, 1e-4
 DEPLOYED_K = 11
 SWEEP_V8 = range(4, 20)
 WEIGHT_GRID = {  # 3·2·2·2·2·1 = 48 weight vectors searched at k = 6
@@ -49,7 +48,6 @@ class FeatureSpec:
     weights: tuple = V8_WEIGHTS
     loudness_offset: float | None = None   # fitted: abs(min loudness) + 1
     k: int = DEPLOYED_K
-    seed: int = KMEANS_SEED
     extra: dict = field(default_factory=dict)
 
     def to_json(self) -> str:
@@ -96,10 +94,11 @@ def weighting(spec: FeatureSpec) -> ElementwiseProduct:
                               outputCol="weighted_scaled_features")
 
 
-def kmeans(spec: FeatureSpec, k: int | None = None) -> KMeans:
-    """M3 — k-means‖ with the reference settings."""
-    return KMeans(featuresCol="weighted_scaled_features", predictionCol="cluster_id", k=k or spec.k,
-                  seed=spec.seed, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL)
+def kmeans(spec: FeatureSpec, k: int | None = None) -> KM.HashKMeans:
+    """M3 — K-Means from hash-ordered start centres: the same songs give the
+    same centres whatever their layout."""
+    return KM.HashKMeans(featuresCol="weighted_scaled_features", predictionCol="cluster_id", k=k or spec.k,
+                         maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL)
 
 
 def pipeline(spec: FeatureSpec, k: int | None = None) -> Pipeline:
@@ -109,9 +108,7 @@ def pipeline(spec: FeatureSpec, k: int | None = None) -> Pipeline:
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Serving/training features; songs without a Camelot code (key outside
-    0..11 or null mode) cannot be assembled and are left out.  K-Means
-    results depend on the input layout even with a fixed seed, so fitted
-    cluster ids are never compared across runs — only invariants are."""
+    0..11 or null mode) cannot be assembled and are left out."""
     return encode(df, spec).where(F.col("camelot_num").isNotNull())
 
 
@@ -138,24 +135,21 @@ def silhouette(df: DataFrame, features: str = "weighted_scaled_features", predic
     return ev.evaluate(df)
 
 
-def sweep_k(df: DataFrame, spec: FeatureSpec, ks=SWEEP_V8, parallelism: int = 8) -> DataFrame:
-    """M6 — (k, cost, silhouette) for each k: features computed and persisted
-    once, one K-Means fit per k on the cached frame."""
-    spark = df.sparkSession
+def scaled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(song_id, s): the scaled, unweighted features as an array."""
     if spec.loudness_offset is None:
         spec.loudness_offset = fit_loudness_offset(df)
-    feats = Pipeline(stages=[assembler(spec), scaler(), weighting(spec)]).fit(prepare(df, spec))
-    data = feats.transform(prepare(df, spec)).select("weighted_scaled_features") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    def fit_one(k):
-        m = kmeans(spec, k).fit(data)
-        return int(k), float(m.summary.trainingCost), float(silhouette(m.transform(data)))
+    rows = prepare(df, spec)
+    scaled = Pipeline(stages=[assembler(spec), scaler()]).fit(rows).transform(rows)
+    return scaled.select("song_id", vector_to_array("scaled_features").alias("s"))
 
-    try:
-        rows = run_concurrently([lambda k=k: fit_one(k) for k in ks], parallelism)
-    finally:
-        data.unpersist()
-    return spark.createDataFrame(rows, "k int, cost double, silhouette double")
+
+def sweep_k(df: DataFrame, spec: FeatureSpec, ks=SWEEP_V8) -> DataFrame:
+    """M6 — (k, cost, silhouette) for each k.  All models share every pass over
+    the stored features."""
+    ks = list(ks)
+    fits, _ = KM.fit_many(scaled_rows(df, spec), "s", [(list(spec.weights), k) for k in ks], "song_id", KMEANS_MAX_ITER, KMEANS_TOL)
+    return df.sparkSession.createDataFrame([(int(k), f.cost, f.silhouette) for k, f in zip(ks, fits)], "k int, cost double, silhouette double")
 
 
 def weight_grid() -> list[tuple]:
@@ -166,30 +160,15 @@ def weight_grid() -> list[tuple]:
             for b in g["key"] for m in g["mode"] for ts in g["time_signature"]]
 
 
-def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K,
-                   grid: list[tuple] | None = None, parallelism: int = 8) -> DataFrame:
-    """M7 — silhouette of K-Means(k) for every weight vector of the grid, on
-    all songs; returns all scores with the best flagged.  The scaled features
-    are computed and persisted once; only the elementwise product changes
-    between fits."""
-    spark = df.sparkSession
-    if spec.loudness_offset is None:
-        spec.loudness_offset = fit_loudness_offset(df)
-    base = Pipeline(stages=[assembler(spec), scaler()]).fit(prepare(df, spec))
-    data = base.transform(prepare(df, spec)).select("scaled_features").persist(StorageLevel.MEMORY_AND_DISK)
-    def fit_one(w):
-        s2 = FeatureSpec(spec.columns, tuple(w), spec.loudness_offset, k, spec.seed)
-        wd = weighting(s2).transform(data)
-        m = kmeans(s2, k).fit(wd)
-        return list(map(float, w)), float(silhouette(m.transform(wd)))
-
-    try:
-        rows = run_concurrently([lambda w=w: fit_one(w) for w in (grid or weight_grid())], parallelism)
-    finally:
-        data.unpersist()
-    out = spark.createDataFrame(rows, "weights array<double>, silhouette double")
-    best = out.agg(F.max("silhouette")).scalar()   # scalar subquery, evaluated once
-    return out.withColumn("is_best", F.col("silhouette") == best)
+def search_weights(df: DataFrame, spec: FeatureSpec, k: int = SEARCH_K, grid: list[tuple] | None = None) -> DataFrame:
+    """M7 — cost and silhouette of K-Means(k) for every weight vector of the
+    grid, on all songs, with the best silhouette flagged.  All models share
+    every pass over the stored features."""
+    grid = [list(map(float, w)) for w in (grid or weight_grid())]
+    fits, _ = KM.fit_many(scaled_rows(df, spec), "s", [(w, k) for w in grid], "song_id", KMEANS_MAX_ITER, KMEANS_TOL)
+    best = max(f.silhouette for f in fits)
+    rows = [(w, f.cost, f.silhouette, f.silhouette == best) for w, f in zip(grid, fits)]
+    return df.sparkSession.createDataFrame(rows, "weights array<double>, cost double, silhouette double, is_best boolean")
 
 
 def pca_fit(df: DataFrame, k: int, features: str = "weighted_scaled_features"):

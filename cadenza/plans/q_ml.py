@@ -112,34 +112,73 @@ def _fit(spark, sf, k=None):
     return MD.fit_pipeline(songs, spec, k), spec, songs
 
 
-# Fitted models depend on the input's layout, so the model queries return what
-# must hold for every row of a right fit; its expected rows are exact SQL.
-
-
-@register("fit_kmeans", """
-SELECT CAST(range AS INT) AS cluster_id, CAST(6 AS INT) AS dim, true AS finite, true AS cost_below_one_cluster FROM range(11)""")
+def lloyd_sql(models: list[tuple[int, int, tuple]], body: str, source: str = "scaled") -> str:
+    """DuckDB twin of the K-Means fits of ``models`` (number, k, weights) on the
+    scaled features of ``source``: ``fin`` holds their centres, ``asg`` every
+    song's cluster with its squared distance, for ``body`` to use."""
+    d = range(6)
+    xs, ys = ", ".join(f"x{i}" for i in d), ", ".join(f"y{i}" for i in d)
+    rows = ", ".join(f"({m}, {k}, " + ", ".join(f"CAST({float(w)!r} AS DOUBLE)" for w in ws) + ")" for m, k, ws in models)
+    near = " + ".join(f"(p.s{i} * o.w{i} - k.x{i}) * (p.s{i} * o.w{i} - k.x{i})" for i in d)
+    new = ", ".join(f"coalesce(a.y{i}, k.x{i}) AS x{i}" for i in d)
+    step = " + ".join(f"(coalesce(a.y{i}, k.x{i}) - k.x{i}) * (coalesce(a.y{i}, k.x{i}) - k.x{i})" for i in d)
+
+    def nearest(centers: str) -> str:
+        weighted = ", ".join(f"any_value(p.s{i} * o.w{i}) AS y{i}" for i in d)
+        return f"""SELECT k.m, p.song_id, arg_min(k.c, ({near}, k.c)) AS c, min({near}) AS d, {weighted}
+        FROM p, {centers} k JOIN models o ON o.m = k.m GROUP BY k.m, p.song_id"""
+
+    return f"""
+WITH RECURSIVE models(m, k, {", ".join(f"w{i}" for i in d)}) AS (VALUES {rows}),
+p AS MATERIALIZED (SELECT song_id, {", ".join(f"s{i}" for i in d)} FROM {source}),
+st AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5(song_id), song_id) - 1 AS c, * FROM p QUALIFY c < {max(k for _, k, _ in models)}),
+km AS (
+  SELECT 0 AS it, m, c, {", ".join(f"s{i} * w{i} AS x{i}" for i in d)}, CAST(1e9 AS DOUBLE) AS moved FROM st JOIN models ON c < k
+  UNION ALL
+  SELECT it + 1, m, c, {xs}, max(sqrt(step)) OVER (PARTITION BY m) FROM (
+    SELECT k.it, k.m, k.c, {new}, {step} AS step
+    FROM km k LEFT JOIN (SELECT m, c, {", ".join(f"avg(y{i}) AS y{i}" for i in d)} FROM (
+        {nearest("(SELECT * FROM km WHERE it < " + str(MD.KMEANS_MAX_ITER) + f" AND moved > {MD.KMEANS_TOL})")}) GROUP BY m, c) a ON a.m = k.m AND a.c = k.c
+    WHERE k.it < {MD.KMEANS_MAX_ITER} AND k.moved > {MD.KMEANS_TOL})
+),
+fin AS MATERIALIZED (SELECT * FROM km QUALIFY it = max(it) OVER (PARTITION BY m)),
+asg AS MATERIALIZED ({nearest("fin")}),
+per AS MATERIALIZED (
+  SELECT m, c, count(*) AS n, sum({" + ".join(f"y{i} * y{i}" for i in d)}) AS psi, {", ".join(f"sum(y{i}) AS t{i}" for i in d)} FROM asg GROUP BY m, c),
+away AS (
+  SELECT a.m, a.song_id, a.c AS own, p.c, p.n,
+         {" + ".join(f"y{i} * y{i}" for i in d)} + p.psi / p.n - 2 * ({" + ".join(f"y{i} * t{i}" for i in d)}) / p.n AS far
+  FROM asg a JOIN per p ON p.m = a.m),
+sil AS (
+  SELECT m, avg(CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END) AS s FROM (
+    SELECT m, song_id, max(CASE WHEN c = own THEN far * n / (n - 1) END) AS a, min(CASE WHEN c <> own THEN far END) AS b,
+           max(CASE WHEN c = own THEN n END) AS own_n FROM away GROUP BY m, song_id) GROUP BY m)
+{body}"""
+
+
+DEPLOYED = [(0, MD.DEPLOYED_K, MD.V8_WEIGHTS)]
+
+
+@register("fit_kmeans", lloyd_sql(DEPLOYED, """
+SELECT CAST(f.c AS INT) AS cluster_id, CAST(coalesce(n, 0) AS BIGINT) AS n_songs, """ + ", ".join(f"round(x{i}, 6) AS x{i}" for i in range(6)) + """,
+       (SELECT round(sum(d), 3) FROM asg) AS cost, (SELECT round(s, 6) FROM sil) AS silhouette
+FROM fin f LEFT JOIN per p ON p.c = f.c"""), FEAT_SQL)
 def q_m3(spark, sf):
-    """The centres, and whether the cost is below that of a single cluster."""
-    model, spec, songs = _fit(spark, sf)
-    kmeans = model.stages[-1]
-    feats = MD.predict_cluster(model, songs, spec).select(F.posexplode(vector_to_array("weighted_scaled_features")).alias("d", "x"))
-    one = feats.groupBy("d").agg((F.var_pop("x") * F.count(F.lit(1))).alias("c")).agg(F.sum("c")).first()[0]
-    rows = [(i, [float(x) for x in c], kmeans.summary.trainingCost < one) for i, c in enumerate(kmeans.clusterCenters())]
-    centers = spark.createDataFrame(rows, "cluster_id int, center array<double>, cost_below_one_cluster boolean")
-    finite = F.forall("center", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return centers.select("cluster_id", F.size("center").alias("dim"), finite.alias("finite"), "cost_below_one_cluster")
+    """The centres with their songs, the cost and the silhouette."""
+    rows = MD.scaled_rows(training_songs(spark, sf), fitted_spec(spark, sf))
+    (fit,), _ = MD.KM.fit_many(rows, "s", [(list(MD.V8_WEIGHTS), MD.DEPLOYED_K)], "song_id", MD.KMEANS_MAX_ITER, MD.KMEANS_TOL)
+    out = [(i, n, *[round(float(x), 6) for x in c], round(fit.cost, 3), round(fit.silhouette, 6)) for i, (c, n) in enumerate(zip(fit.centers, fit.sizes))]
+    return spark.createDataFrame(out, "cluster_id int, n_songs long, " + ", ".join(f"x{i} double" for i in range(6)) + ", cost double, silhouette double")
 
 
-@register("predict_cluster", "SELECT song_id, true AS known, true AS nearest FROM feat", FEAT_SQL)
+@register("predict_cluster", lloyd_sql(DEPLOYED, "SELECT song_id, CAST(c AS INT) AS cluster_id, round(d, 6) AS sqdist FROM asg"), FEAT_SQL)
 def q_m4(spark, sf):
-    """Every song has one of the k ids, and no other centre is nearer."""
+    """Every song's cluster under the fitted pipeline, and its distance to the centre."""
     model, spec, songs = _fit(spark, sf)
     centers = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
     pred = MD.predict_cluster(model, songs, spec).select("song_id", "cluster_id", vector_to_array("weighted_scaled_features").alias("w"))
-    best = RC.assign_nearest_centroid(pred, centers, "w", "other")
     own = F.get(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), F.col("cluster_id"))
-    return best.select("song_id", F.col("cluster_id").between(0, len(centers) - 1).alias("known"),
-                       (VX.squared_distance(F.col("w"), own) <= F.col("sqdist") + 1e-6).alias("nearest"))
+    return pred.select("song_id", "cluster_id", F.round(VX.squared_distance(F.col("w"), own), 6).alias("sqdist"))
 
 
 SIL_SQL = {
@@ -169,31 +208,37 @@ def q_m5(spark, sf):
     return spark.createDataFrame([(round(s, 6),)], "silhouette double")
 
 
-def in_unit(c):
-    return F.coalesce(F.col(c).between(-1.0, 1.0), F.lit(False)).alias("in_range")
-
-
-@register("sweep_k", "SELECT CAST(range AS INT) AS k, true AS in_range, true AS cost_positive FROM range(4, 20)")
+@register("sweep_k", lloyd_sql([(k, k, MD.V8_WEIGHTS) for k in MD.SWEEP_V8], """
+SELECT CAST(m AS INT) AS k, round(cost, 3) AS cost, round(s, 6) AS silhouette FROM (SELECT m, sum(d) AS cost FROM asg GROUP BY m) JOIN sil USING (m)"""), FEAT_SQL)
 def q_m6(spark, sf):
-    """Each k of the sweep has a silhouette in [-1, 1] and a cost."""
+    """Cost and silhouette of each k of the sweep."""
     out = MD.sweep_k(training_songs(spark, sf), fitted_spec(spark, sf), MD.SWEEP_V8)
-    return out.select("k", in_unit("silhouette"), (F.col("cost") > 0).alias("cost_positive"))
+    return out.select("k", F.round("cost", 3).alias("cost"), F.round("silhouette", 6).alias("silhouette"))
+
+
+V7_SQL = {
+    **FEAT_SQL,
+    "feat7": """
+SELECT song_id, f.tempo, loudness_pos, sin(2 * pi() * key / 12) AS key_sin, cos(2 * pi() * key / 12) AS key_cos,
+       CAST(mode AS DOUBLE) AS mode_major, f.time_signature FROM feat f JOIN (SELECT song_id, key, mode FROM catalog) USING (song_id)""",
+    "scaled7": """
+SELECT song_id, """ + ", ".join(
+        f"CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE {c} / stddev_samp({c}) OVER () END AS s{i}"
+        for i, c in enumerate(MD.V7_COLUMNS)) + " FROM feat7",
+}
+WEIGHT_NAMES = ("tempo", "loudness", "key_a", "key_b", "mode", "time_signature")
+GRID = MD.weight_grid()
 
 
-@register("search_weights", """
-SELECT t AS tempo, l AS loudness, a AS key_a, b AS key_b, m AS mode, CAST(0.5 AS DOUBLE) AS time_signature, true AS in_range, true AS best_is_best
-FROM (SELECT CAST(unnest([1.0, 2.0, 3.0]) AS DOUBLE) AS t), (SELECT CAST(unnest([0.5, 1.0]) AS DOUBLE) AS l),
-     (SELECT CAST(unnest([1.0, 2.0]) AS DOUBLE) AS a), (SELECT CAST(unnest([1.0, 2.0]) AS DOUBLE) AS b),
-     (SELECT CAST(unnest([0.5, 1.0]) AS DOUBLE) AS m)""")
+@register("search_weights", lloyd_sql([(m, MD.SEARCH_K, w) for m, w in enumerate(GRID)], """
+SELECT """ + ", ".join(f"w{i} AS {n}" for i, n in enumerate(WEIGHT_NAMES)) + """, round(s, 6) AS silhouette, s = max(s) OVER () AS is_best
+FROM models JOIN sil USING (m)""", "scaled7"), V7_SQL)
 def q_m7(spark, sf):
-    """Each weight vector of the grid has a silhouette in [-1, 1]; the flagged one is the largest."""
+    """The silhouette of each weight vector of the grid, the best one flagged."""
     spec = fitted_spec(spark, sf)
     spec.columns = MD.V7_COLUMNS
     out = MD.search_weights(training_songs(spark, sf), spec)
-    names = ("tempo", "loudness", "key_a", "key_b", "mode", "time_signature")
-    top = F.max("silhouette").over(Window.partitionBy(F.lit(1)))   # 48 rows
-    return out.select(*[F.col("weights")[i].alias(n) for i, n in enumerate(names)], in_unit("silhouette"),
-                      (F.col("is_best") == (F.col("silhouette") == top)).alias("best_is_best"))
+    return out.select(*[F.col("weights")[i].alias(n) for i, n in enumerate(WEIGHT_NAMES)], F.round("silhouette", 6).alias("silhouette"), "is_best")
 
 
 def _pca(spark, sf, k):
@@ -247,12 +292,11 @@ def q_a17(spark, sf):
         "cluster_id", ((F.abs(F.col("x") - px) < 1e-6) & (F.abs(F.col("y") - py) < 1e-6)).alias("is_the_mean"))
 
 
-@register("pipeline_fit", "SELECT count(*) AS n_songs, CAST(11 AS BIGINT) AS n_clusters FROM feat", FEAT_SQL)
+@register("pipeline_fit", lloyd_sql(DEPLOYED, "SELECT CAST(c AS INT) AS cluster_id, CAST(n AS BIGINT) AS n_songs FROM per"), FEAT_SQL)
 def q_m11(spark, sf):
-    """Every song falls into one of the k clusters, and none is empty."""
+    """The songs of each cluster under the fitted pipeline."""
     model, spec, songs = _fit(spark, sf)
-    out = model.transform(MD.prepare(songs, spec)).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
-    return out.agg(F.sum("n").alias("n_songs"), F.count(F.lit(1)).alias("n_clusters"))
+    return model.transform(MD.prepare(songs, spec)).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_songs"))
 
 
 @register("save_model", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS changed FROM feat", FEAT_SQL)

@@ -1,12 +1,12 @@
-"""Invariants of the model operators (their outputs depend on the optimiser,
-so no oracle): J10 = M4, cost below a trivial assignment, PCA variance,
+"""Model operators: K-Means on any layout, many models at once; J10 = M4, cost below a trivial assignment, PCA variance,
 probabilities, save/load."""
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cadenza.operators import clean as C
+from cadenza.operators import kmeans as KM
 from cadenza.operators import recommend as RC
 from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
@@ -34,13 +34,51 @@ def test_kmeans_assignment_equals_nearest_centre(spark):
 def test_kmeans_cost_below_single_cluster_cost(spark):
     spec = MD.FeatureSpec()
     model = MD.fit_pipeline(_songs(spark), spec)
-    cost = model.stages[-1].summary.trainingCost
+    cost = model.stages[-1].getOrDefault(model.stages[-1].trainingCost)
     pred = MD.predict_cluster(model, _songs(spark), spec)
     x = np.array([r[0] for r in pred.select(vector_to_array("weighted_scaled_features")).collect()])
     single = float(((x - x.mean(axis=0)) ** 2).sum())
     assert cost < single
 
 
+def _points(spark, parts):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(c, 1.0, 3)]) for i, c in enumerate(rng.choice([0.0, 4.0, 9.0], 500))] + [(500, [0.0] * 3), (501, [0.0] * 3)]
+    return spark.createDataFrame(rows, "id long, v array<double>").repartition(parts, "id")
+
+
+def test_kmeans_does_not_depend_on_the_layout(spark):
+    fits = [KM.fit_many(_points(spark, n), "v", [([1.0, 1.0, 2.0], 5)], "id")[0][0] for n in (1, 4, 64)]
+    for f in fits[1:]:
+        assert np.allclose(f.centers, fits[0].centers, rtol=0, atol=1e-9) and f.sizes == fits[0].sizes
+        assert abs(f.cost - fits[0].cost) < 1e-6 and abs(f.silhouette - fits[0].silhouette) < 1e-9
+
+
+def test_models_fitted_together_equal_single_fits_in_as_many_passes(spark):
+    df = _points(spark, 3)
+    models = [([1.0, 1.0, 1.0], 2), ([3.0, 0.5, 1.0], 6), ([1.0, 2.0, 0.0], 4), ([1.0, 1.0, 1.0], 1)]
+    single = [KM.fit_many(df, "v", [m], "id") for m in models]
+    fits, passes = KM.fit_many(df, "v", models, "id")
+    assert passes == max(p for _, p in single) == max(f.iterations for f in fits) + 2
+    for f, ((s,), _) in zip(fits, single):
+        assert np.allclose(f.centers, s.centers, rtol=0, atol=1e-9)
+        assert (f.sizes, f.iterations) == (s.sizes, s.iterations) and abs(f.silhouette - s.silhouette) < 1e-9
+
+
+def test_silhouette_equals_the_evaluator(spark):
+    df = _points(spark, 3)
+    (f,), _ = KM.fit_many(df, "v", [([1.0, 1.0, 1.0], 4)], "id")
+    out = RC.assign_nearest_centroid(df, f.centers.tolist(), "v", "c").withColumn("features", array_to_vector("v")).withColumn("c", F.col("c").cast("double"))
+    assert abs(MD.silhouette(out, "features", "c") - f.silhouette) < 1e-9
+    assert abs(out.agg(F.sum("sqdist")).first()[0] - f.cost) < 1e-6
+
+
+def test_kmeans_with_fewer_rows_than_centres(spark):
+    df = _points(spark, 2).where("id < 3")
+    (f,), _ = KM.fit_many(df, "v", [([1.0, 1.0, 1.0], 5)], "id")
+    assert f.centers.shape == (3, 3) and f.cost < 1e-12 and f.sizes == (1, 1, 1)
+
+
 def test_offset_is_fitted_and_saved(spark):
     spec = MD.FeatureSpec()
     model = MD.fit_pipeline(_songs(spark), spec)
