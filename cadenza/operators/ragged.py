@@ -49,20 +49,22 @@ def global_rank(df: DataFrame, order, parts: int | None = None) -> DataFrame:
         .withColumnRenamed("offset", "rank0").drop("_one")
 
 
-def ragged_slice(flat: DataFrame, offsets: DataFrame, pos: str = "pos", order: str = "ord",
+def ragged_owner(flat: DataFrame, offsets: DataFrame, pos: str = "pos", order: str = "ord",
                  start: str = "offset", parts: int | None = None) -> DataFrame:
-    """W5 — assign each flat element (``pos``) to the row whose slice
-    [start_i, start_{i+1}) contains it (the last row runs to the end), and
-    rebuild that row's array in position order.
+    """(order, pos, value): each flat element with the row whose slice
+    [start_i, start_{i+1}) contains its position (the last row runs to the
+    end).  ``value`` may be of any type, a vector of a two-dimensional array
+    as well as a number.
 
     Elements and slice starts are merged in ``pos`` order; the owner of an
     element is the last start at or before it (a two-level running 'last').
-    Returns (order, values array).  Rows with empty slices keep an empty array.
-    """
+    Of several rows that start at one place the last one owns it: the others
+    are empty slices."""
+    kind = flat.schema["value"].dataType
     starts = offsets.select(F.col(start).cast("long").alias("_p"), F.lit(0).alias("_k"),
-                            F.col(order).alias("_o"), F.lit(None).cast("double").alias("_v"))
+                            F.col(order).alias("_o"), F.lit(None).cast(kind).alias("_v"))
     elems = flat.select(F.col(pos).cast("long").alias("_p"), F.lit(1).alias("_k"),
-                        F.lit(None).cast(offsets.schema[order].dataType).alias("_o"), F.col("value").cast("double").alias("_v"))
+                        F.lit(None).cast(offsets.schema[order].dataType).alias("_o"), F.col("value").alias("_v"))
     split = _range_split(starts.unionByName(elems), ["_p", "_k", "_o"], parts)
     # one row per partition id, also for partitions holding only elements
     last_per = split.groupBy("_pid").agg(
@@ -73,8 +75,17 @@ def ragged_slice(flat: DataFrame, offsets: DataFrame, pos: str = "pos", order: s
     owned = split.withColumn("_own", F.last("_o", ignorenulls=True).over(wl)) \
         .join(F.broadcast(carry), "_pid", "left") \
         .withColumn("_owner", F.coalesce("_own", "_carry")).where(F.col("_k") == 1)
-    arrays = owned.groupBy(F.col("_owner").alias(order)).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_p", "_v"))), lambda s: s["_v"]).alias("values"))
+    return owned.select(F.col("_owner").alias(order), F.col("_p").alias(pos), F.col("_v").alias("value"))
+
+
+def ragged_slice(flat: DataFrame, offsets: DataFrame, pos: str = "pos", order: str = "ord",
+                 start: str = "offset", parts: int | None = None) -> DataFrame:
+    """W5 — each row's array, rebuilt from the flat elements of its slice in
+    position order.  Returns (order, values array).  Rows with empty slices
+    keep an empty array."""
+    owned = ragged_owner(flat.select(pos, F.col("value").cast("double").alias("value")), offsets, pos, order, start, parts)
+    arrays = owned.groupBy(order).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(pos, "value"))), lambda s: s["value"]).alias("values"))
     return offsets.select(order).join(arrays, order, "left").select(
         order, F.coalesce("values", F.array().cast("array<double>")).alias("values"))
 
@@ -86,13 +97,24 @@ def explode_with_offsets(df: DataFrame, order: str, arr: str) -> DataFrame:
         (F.col("offset") + F.col("_i")).alias("pos"), "value")
 
 
-def timbre_mean_std(segments: DataFrame, songs: DataFrame, song_col: str, vec_col: str, dim: int = 12) -> DataFrame:
+def timbre_mean_std(segments: DataFrame, songs: DataFrame, song_col: str, vec_col: str, dim: int = 12, digits: int | None = 6) -> DataFrame:
     """A10 — per song and dimension, mean and population std over its
     segments; a song without segments gets zeros.  ``2·dim`` algebraic
     aggregates of array elements (partial aggregation, no explode)."""
+    def known(c: str):
+        return F.coalesce(F.col(c), F.lit(0.0))
+
     aggs = [F.avg(F.col(vec_col)[i]).alias(f"timbre_mean_{i}") for i in range(dim)]
     aggs += [F.stddev_pop(F.col(vec_col)[i]).alias(f"timbre_std_{i}") for i in range(dim)]
     per = segments.groupBy(song_col).agg(*aggs)
     cols = [f"timbre_mean_{i}" for i in range(dim)] + [f"timbre_std_{i}" for i in range(dim)]
     return songs.select(song_col).distinct().join(per, song_col, "left").select(
-        song_col, *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 6).alias(c) for c in cols])
+        song_col, *[(known(c) if digits is None else F.round(known(c), digits)).alias(c) for c in cols])
+
+
+def ragged_timbre(flat: DataFrame, offsets: DataFrame, song_col: str = "song_id", dim: int = 12, digits: int | None = 6) -> DataFrame:
+    """A10 over a two-dimensional ragged array: ``flat`` (pos, value) holds the
+    segments' vectors of all songs one after the other, ``offsets`` where each
+    song's slice starts (W4).  A segment goes to its song by position; no song
+    gathers its segments anywhere, only their sums travel."""
+    return timbre_mean_std(ragged_owner(flat, offsets, order=song_col), offsets, song_col, "value", dim, digits)

@@ -182,16 +182,19 @@ def join_harmonic_nearest_tempo(requests: DataFrame, catalog: DataFrame | None,
 
 
 def top_k_per_cluster(catalog: DataFrame, k: int = 3, col: str = "cluster_id") -> DataFrame:
-    """First k songs of each cluster by song_id (group limit before the shuffle)."""
+    """First k songs of each cluster by song_id (group limit before the
+    shuffle).  A song id stored several times is one song: its smallest row."""
     w = Window.partitionBy(col).orderBy("song_id")
-    return catalog.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = catalog.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k)
+    others = [c for c in catalog.columns if c not in (col, "song_id")]
+    one = ranked.groupBy(col, "song_id", "rank").agg(F.min(F.struct(*others)).alias("_row"))   # k rows a cluster
+    return one.select(col, "song_id", "_row.*", "rank")
 
 
 def top3_per_request(requests: DataFrame, catalog: DataFrame, k: int = 3) -> DataFrame:
     """W2 — k songs of the request's cluster (by song_id).  The per-cluster
-    table has ≤ k × #clusters rows, so broadcasting it is size-bounded."""
-    top = top_k_per_cluster(catalog, k).select("cluster_id", "song_id", "title", "artist", "rank")
-    return requests.select("recommendation_id", "cluster_id").join(F.broadcast(top), "cluster_id")
+    table has ≤ k × #clusters rows; other columns of the catalog come along."""
+    return requests.select("recommendation_id", "cluster_id").join(top_k_per_cluster(catalog, k), "cluster_id")
 
 
 def join_request_cluster(requests: DataFrame, catalog: DataFrame) -> DataFrame:

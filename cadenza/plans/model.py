@@ -34,6 +34,9 @@ V8_COLUMNS = ("tempo", "loudness_pos", "camelot_cos", "camelot_sin", "camelot_mo
 V8_WEIGHTS = (3.0, 1.0, 5.0, 5.0, 0.2, 0.5)
 KMEANS_MAX_ITER, KMEANS_TOL = 20, 1e-4
 DEPLOYED_K = 11
+V3_COLUMNS = ("tempo", "loudness", "duration", "key", "mode", "time_signature",
+              *[f"timbre_mean_{i}" for i in range(12)], *[f"timbre_std_{i}" for i in range(12)])
+V3_K = 20
 SWEEP_V8 = range(4, 20)
 WEIGHT_GRID = {  # 3·2·2·2·2·1 = 48 weight vectors searched at k = 6
     "tempo": (1.0, 2.0, 3.0), "loudness": (0.5, 1.0), "key": (1.0, 2.0), "mode": (0.5, 1.0), "time_signature": (0.5,),
@@ -106,6 +109,13 @@ def pipeline(spec: FeatureSpec, k: int | None = None) -> Pipeline:
     return Pipeline(stages=[assembler(spec), scaler(), weighting(spec), kmeans(spec, k)])
 
 
+def pipeline_v3(k: int = V3_K) -> Pipeline:
+    """The older model: 30 song and timbre features, scaled, unweighted → K-Means."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(V3_COLUMNS), outputCol="features_vec", handleInvalid="error"), scaler(),
+        KM.HashKMeans(featuresCol="scaled_features", predictionCol="cluster_id", k=k, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL)])
+
+
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Serving/training features; songs without a Camelot code (key outside
     0..11 or null mode) cannot be assembled and are left out."""

@@ -25,6 +25,14 @@ SELECT upper(substr(sha1(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_s
        min((s_acctbal + 1000) / 11000) AS artist_hotttnesss, min(CAST(s_suppkey % 181 - 90 AS DOUBLE)) AS latitude,
        min(CAST(s_suppkey % 361 - 180 AS DOUBLE)) AS longitude
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""",
+    "song_timbre": """
+SELECT c.song_id, j, v.embedding[1:12] AS timbre
+FROM catalog c JOIN range(3) r(j) ON j < c.time_signature % 4
+JOIN vectors v ON v.vec_id = (c.album_id * 7 + c.artist_id + j) % (SELECT count(*) FROM embeddings)""",
+    "timbre_stats": """
+SELECT song_id, """ + ", ".join(f"coalesce(avg(t.timbre[{i + 1}]), 0) AS timbre_mean_{i}" for i in range(12)) + ", "
+    + ", ".join(f"coalesce(stddev_pop(t.timbre[{i + 1}]), 0) AS timbre_std_{i}" for i in range(12)) + """
+FROM catalog c LEFT JOIN song_timbre t USING (song_id) GROUP BY song_id""",
     "clean_songs": """
 SELECT * EXCLUDE (danceability) FROM songs WHERE tempo BETWEEN 40 AND 250 AND time_signature BETWEEN 1 AND 5""",
     "clustered_songs": """

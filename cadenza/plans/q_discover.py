@@ -53,13 +53,18 @@ def q_w5(spark, sf):
     return RG.ragged_slice(flat, offsets)
 
 
-@register("timbre_mean_std", "SELECT label, " + ", ".join(
-    [f"round(coalesce(avg(embedding[{i + 1}]), 0), 6) AS timbre_mean_{i}" for i in range(12)] +
-    [f"round(coalesce(stddev_pop(embedding[{i + 1}]), 0), 6) AS timbre_std_{i}" for i in range(12)])
-          + " FROM vectors GROUP BY label")
+@register("timbre_mean_std", "SELECT song_id, " + ", ".join(
+    f"round(timbre_{m}_{i}, 6) AS timbre_{m}_{i}" for m in ("mean", "std") for i in range(12)) + " FROM timbre_stats")
 def q_a10(spark, sf):
-    v = V.vectors(spark, sf)
-    return RG.timbre_mean_std(v.withColumn("timbre", F.slice("embedding", 1, 12)), v, "label", "timbre")
+    return song_timbre(spark, sf)
+
+
+def song_timbre(spark, sf, digits=6):
+    """The songs' segments as one flat array with offsets, cut into songs again
+    by position, and their timbre statistics (``digits``: None leaves them unrounded)."""
+    songs = cut_lineage(V.song_segments(spark, sf))
+    offsets = RG.ragged_offsets(songs.select("song_id", F.size("segments").alias("n")), "song_id", "n").select("song_id", "offset")
+    return RG.ragged_timbre(RG.explode_with_offsets(songs, "song_id", "segments"), offsets, digits=digits)
 
 
 @register("top_familiar_artists", """

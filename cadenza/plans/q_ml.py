@@ -14,10 +14,12 @@ from cadenza.operators import stats as S
 from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
 from cadenza.plans.q_catalog import CAMELOT_SQL
+from cadenza.plans.q_discover import song_timbre
 from cadenza.plans.q_recommend import CENTER_SQL, label_centers, search_seeds
 from cadenza.plans.registry import register
 from cadenza.session import checkpoint_dir, cut_lineage
 from cadenza.sources import catalog as V
+from cadenza.streaming import stream as ST
 
 
 def training_songs(spark, sf):
@@ -112,11 +114,11 @@ def _fit(spark, sf, k=None):
     return MD.fit_pipeline(songs, spec, k), spec, songs
 
 
-def lloyd_sql(models: list[tuple[int, int, tuple]], body: str, source: str = "scaled") -> str:
+def lloyd_sql(models: list[tuple[int, int, tuple]], body: str, source: str = "scaled", dims: int = 6) -> str:
     """DuckDB twin of the K-Means fits of ``models`` (number, k, weights) on the
     scaled features of ``source``: ``fin`` holds their centres, ``asg`` every
     song's cluster with its squared distance, for ``body`` to use."""
-    d = range(6)
+    d = range(dims)
     xs, ys = ", ".join(f"x{i}" for i in d), ", ".join(f"y{i}" for i in d)
     rows = ", ".join(f"({m}, {k}, " + ", ".join(f"CAST({float(w)!r} AS DOUBLE)" for w in ws) + ")" for m, k, ws in models)
     near = " + ".join(f"(p.s{i} * o.w{i} - k.x{i}) * (p.s{i} * o.w{i} - k.x{i})" for i in d)
@@ -241,6 +243,47 @@ def q_m7(spark, sf):
     return out.select(*[F.col("weights")[i].alias(n) for i, n in enumerate(WEIGHT_NAMES)], F.round("silhouette", 6).alias("silhouette"), "is_best")
 
 
+# --- the older model: 30 features -------------------------------------------------
+
+V3_SQL = {
+    "feat30": "SELECT c.song_id, c.title, c.artist, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MD.V3_COLUMNS) + """
+FROM catalog c JOIN song_attributes a USING (song_id) JOIN timbre_stats t USING (song_id)
+WHERE c.tempo BETWEEN 40 AND 250 AND c.time_signature BETWEEN 1 AND 5""",
+    "sd30": "SELECT " + ", ".join(f"stddev_samp({c}) AS d{i}" for i, c in enumerate(MD.V3_COLUMNS)) + " FROM feat30",
+    "scaled30": "SELECT song_id, title, artist, " + ", ".join(f"CASE WHEN d{i} = 0 THEN 0.0 ELSE {c} / d{i} END AS s{i}" for i, c in enumerate(MD.V3_COLUMNS)) + " FROM feat30, sd30",
+    "asked30": """
+SELECT upper(substr(sha1(concat_ws('-', event_type, event_id)),1,16)) AS recommendation_id, 30 + event_id % 240 AS tempo, -(event_id % 60) AS loudness,
+       60 + event_id % 300 AS duration, user_id % 12 AS key, event_id % 2 AS mode, event_id % 7 AS time_signature, """
+    + ", ".join(f"0 AS timbre_mean_{i}" for i in range(12)) + ", " + ", ".join(f"1 AS timbre_std_{i}" for i in range(12)) + """
+FROM events WHERE event_type NOT IN ('error', 'signup')""",
+}
+
+
+def features_v3(spark, sf):
+    """Cleaned songs with the 30 features of the older model."""
+    duration = V.song_attributes(spark, sf).select("song_id", "duration")
+    return training_songs(spark, sf).select("song_id", "title", "artist", "tempo", "loudness", "key", "mode", "time_signature") \
+        .join(duration, "song_id").join(song_timbre(spark, sf, None), "song_id")
+
+
+@register("stream_recommend_v3", lloyd_sql([(0, MD.V3_K, (1.0,) * len(MD.V3_COLUMNS))], """
+SELECT q.recommendation_id AS key, CAST(json_object('artist', artist, 'title', title) AS VARCHAR) AS value
+FROM (SELECT recommendation_id, arg_min(f.c, (""" + " + ".join(f"(y{i} - f.x{i}) * (y{i} - f.x{i})" for i in range(30)) + """, f.c)) AS c
+      FROM (SELECT recommendation_id, """ + ", ".join(f"CASE WHEN d{i} = 0 THEN 0.0 ELSE {c} / d{i} END AS y{i}" for i, c in enumerate(MD.V3_COLUMNS)) + """
+            FROM asked30, sd30), fin f GROUP BY recommendation_id) q
+JOIN (SELECT c, song_id FROM asg QUALIFY row_number() OVER (PARTITION BY c ORDER BY song_id) <= 3) t ON t.c = q.c
+JOIN feat30 s ON s.song_id = t.song_id""", "scaled30", 30), V3_SQL)
+def q_t3(spark, sf):
+    """The older stream behind a fitted, stored and loaded 30-feature pipeline."""
+    base = checkpoint_dir(spark, "t3")
+    songs = cut_lineage(features_v3(spark, sf))
+    MD.pipeline_v3().fit(songs).write().overwrite().save(f"{base}/model")
+    model = MD.PipelineModel.load(f"{base}/model")
+    ST.stage_messages(V.feature_messages(spark, sf), f"{base}/in")
+    ST.stream_recommend_v3(spark, songs, model, f"{base}/in", f"{base}/out", f"{base}/ckpt", f"{base}/dead", MD.V3_COLUMNS)
+    return ST.read_output(spark, f"{base}/out").select("key", "value")
+
+
 def _pca(spark, sf, k):
     model, spec, songs = _fit(spark, sf)
     pred = MD.predict_cluster(model, songs, spec)

@@ -66,7 +66,7 @@ def q_w1(spark, sf):
 
 @register("top3_per_request", "SELECT * FROM w2", RQ_SQL)
 def q_w2(spark, sf):
-    return RC.top3_per_request(prepared_requests(spark, sf), V.clustered_catalog(spark, sf))
+    return RC.top3_per_request(prepared_requests(spark, sf), V.clustered_catalog(spark, sf).select("cluster_id", "song_id", "title", "artist"))
 
 
 @register("join_request_cluster", """
@@ -103,8 +103,7 @@ def _replies(spark, sf):
     req = prepared_requests(spark, sf)
     cat = V.clustered_catalog(spark, sf)
     j2 = RC.format_replies(RC.join_harmonic_nearest_tempo(req, cat), F.lit(0))
-    top = RC.top3_per_request(req, cat).join(cat.select("song_id", "tempo", "key"), "song_id")
-    return j2.unionByName(RC.format_replies(top, F.col("rank")))
+    return j2.unionByName(RC.format_replies(RC.top3_per_request(req, cat), F.col("rank")))
 
 
 @register("fetch_reply", """

@@ -54,16 +54,6 @@ def q_t2(spark, sf):
     return ST.read_output(spark, f"{base}/out").select("key", "value")
 
 
-@register("stream_recommend_v3", """
-SELECT w.recommendation_id AS key,
-       CAST(json_object('artist', c.artist, 'title', c.title, 'tempo', c.tempo, 'key', c.key) AS VARCHAR) AS value
-FROM w2 w JOIN model_catalog c ON c.song_id = w.song_id""", STREAM_MODEL)
-def q_t3(spark, sf):
-    base, src = _staged(spark, sf, "t3")
-    ST.stream_recommend(spark, model_catalog(spark, sf), src, f"{base}/out", f"{base}/ckpt", mode="top3", assign=SV.assigner(MODEL))
-    return ST.read_output(spark, f"{base}/out").select("key", "value")
-
-
 @register("stream_checkpoint_restart", """
 SELECT count(*) AS rows_after_first_run, count(*) AS rows_after_restart, CAST(4 AS BIGINT) AS batches FROM j2""", STREAM_RQ)
 def q_t5(spark, sf):

@@ -18,6 +18,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.functions.payload import spotify_shape_features
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -92,6 +94,19 @@ def song_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("song_id").agg(*[F.min(c).alias(c) for c in j.columns if c != "song_id"])
 
 
+def song_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(song_id, segments array<array<double>>): 0 to 3 timbre vectors of 12
+    numbers per catalog song, of the embeddings; songs without segments have
+    an empty array."""
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 12).alias("timbre"))
+    n = emb.agg(F.count(F.lit(1)).alias("n")).scalar()
+    song = catalog(spark, sf_dir).select("song_id", "album_id", "artist_id", "time_signature")
+    at = song.select("song_id", F.explode(F.expr("filter(array(0, 1, 2), j -> j < time_signature % 4)")).alias("j"), (F.col("album_id") * 7 + F.col("artist_id")).alias("base"))
+    picked = at.select("song_id", "j", ((F.col("base") + F.col("j")) % n).alias("vec_id")).join(emb, "vec_id")
+    per = picked.groupBy("song_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "timbre"))), lambda s: s["timbre"]).alias("segments"))
+    return song.select("song_id").join(per, "song_id", "left").select("song_id", F.coalesce("segments", F.array().cast("array<array<double>>")).alias("segments"))
+
+
 # Order that decides which copy of a duplicated song id is kept (U2): the
 # earliest added, then a full order over the remaining columns.
 DEDUPE_ORDER = ("added_at", "album_id", "artist_id", "tempo", "loudness", "danceability", "title")
@@ -166,6 +181,23 @@ def request_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(short_id(F.col("event_type"), F.col("event_id")).alias("key"), value.alias("value"))
 
 
+def feature_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw (key, value) request messages of the older stream: the shaped song
+    features (H27), with malformed and incomplete ones as above."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    shaped = spotify_shape_features(ev.select(
+        short_id(F.col("event_type"), eid).alias("id"), "event_type", F.concat(F.lit("t"), eid).alias("track_name"), F.concat(F.lit("u"), uid).alias("artist_name"),
+        (30 + eid % 240).cast("double").alias("tempo"), (-(eid % 60)).cast("double").alias("loudness"), ((60 + eid % 300) * 1000).alias("duration_ms"),
+        (uid % 12).cast("double").alias("key"), (eid % 2).cast("double").alias("mode"), (eid % 7).cast("double").alias("time_signature")),
+        keep=("id", "event_type"))
+    full = F.to_json(F.struct(*[c for c in shaped.columns if c not in ("id", "event_type")]))
+    value = (F.when(F.col("event_type") == "error", F.lit("{bad"))
+             .when(F.col("event_type") == "signup", F.to_json(F.struct("track_name", "artist_name")))
+             .otherwise(full))
+    return shaped.select(F.col("id").alias("key"), value.alias("value"))
+
+
 def api_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loosely typed third-party payloads (artist as object or list)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id")
