@@ -162,3 +162,20 @@ def assemble_catalog(steps: Sequence[DataFrame], target: int, buffer: int = 0) -
     first = tagged.groupBy("song_id").agg(F.min("step").alias("step"))
     ranked = global_rank(first, ["step", "song_id"])
     return ranked.where(F.col("rank0") < target - buffer).drop("rank0")
+
+
+def co_occurrence(per: DataFrame, group: str, member: str, n: str = "n", block: int = 1000) -> DataFrame:
+    """(src, dst, weight): members that share a group, weighted by the product
+    of their counts ``n``, summed over groups.
+
+    A group of more than ``block`` members is dealt into blocks of about that
+    many by a hash of the member; each pair of blocks is a join key of its own,
+    so a group of a million members is a thousand times a thousand keys that
+    many tasks share, and no key holds more than about ``block``² pairs."""
+    large = per.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks")).where(F.col("_blocks") > 1)
+    rows = per.join(large, group, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64(member), "_blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    a = rows.select(F.col(group).alias("_g"), F.col("_own").alias("_i"), other.alias("_j"), F.col(member).alias("src"), F.col(n).alias("_na"))
+    b = rows.select(F.col(group).alias("_g"), other.alias("_i"), F.col("_own").alias("_j"), F.col(member).alias("dst"), F.col(n).alias("_nb"))
+    return a.join(b, ["_g", "_i", "_j"]).where("src <> dst").groupBy("src", "dst").agg(F.sum(F.col("_na") * F.col("_nb")).alias("weight"))

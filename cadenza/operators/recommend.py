@@ -221,13 +221,30 @@ def format_replies(recs: DataFrame, seq: Column | None = None) -> DataFrame:
     return recs.select(*cols)
 
 
-def fetch_reply(request_ids: DataFrame, replies: DataFrame, limit: int = 3) -> DataFrame:
-    """J13 — for each requested id, at most ``limit`` replies in arrival order."""
+def fetch_reply(request_ids: DataFrame, replies: DataFrame, limit: int = 3, buckets: int | None = None) -> DataFrame:
+    """J13 — for each requested id, at most ``limit`` replies in arrival order.
+    ``buckets``: ``replies`` is a store (:func:`write_reply_store`) of so many
+    buckets, of which only those of the ids are read (partition pruning, at
+    run time from the requests)."""
+    from cadenza.sources.io import reply_bucket
+
     w = Window.partitionBy("key").orderBy("seq", "value")
-    r = replies.join(request_ids.select(F.col("recommendation_id").alias("key")).distinct(), "key", "left_semi")
+    ids = request_ids.select(F.col("recommendation_id").alias("key")).distinct()
+    on = ["key"]
+    if buckets:
+        ids, on = ids.withColumn("bucket", reply_bucket(F.col("key"), buckets)), ["bucket", "key"]
+    r = replies.join(ids, on, "left_semi").select("key", "value", "seq")
     return r.withColumn("n", F.row_number().over(w)).where(F.col("n") <= limit).drop("seq")
 
 
+def fetch_one(store: DataFrame, recommendation_id: str, buckets: int, limit: int = 3) -> DataFrame:
+    """J13 for a single id: its bucket is a constant of the plan."""
+    from cadenza.sources.io import reply_bucket
+
+    own = store.where((F.col("bucket") == reply_bucket(F.lit(recommendation_id), buckets)) & (F.col("key") == recommendation_id))
+    return own.select("key", "value", "seq").orderBy("seq", "value").limit(limit)
+
+
 # --- vectors: centroids, probabilities, cosine top-N --------------------------------
 
 def _centers_literal(centers: list[list[float]]) -> Column:

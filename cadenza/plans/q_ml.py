@@ -13,6 +13,7 @@ from cadenza.operators import recommend as RC
 from cadenza.operators import stats as S
 from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
+from cadenza.plans import serving as SV
 from cadenza.plans.q_catalog import CAMELOT_SQL
 from cadenza.plans.q_discover import song_timbre
 from cadenza.plans.q_recommend import CENTER_SQL, label_centers, search_seeds
@@ -518,3 +519,23 @@ def q_m17(spark, sf):
     meta = V.vectors(spark, sf).select("vec_id", "label")
     return MM.build_playlist(search_seeds(spark, sf), V.vectors(spark, sf), meta).select(
         "seed_id", "vec_id", "mmr_rank", "label")
+
+
+def stored_classifier(spark, sf):
+    """The classifier of the vectors' clusters (M12), trained, written and loaded."""
+    data = V.vectors(spark, sf).select(array_to_vector("embedding").alias("features"), "label")
+    n_classes = int(data.agg(F.max("label")).first()[0]) + 1
+    dim = V.vectors(spark, sf).select(F.size("embedding")).first()[0]
+    path = checkpoint_dir(spark, "classifier")
+    CL.train_cluster_classifier(data, dim, n_classes).write().overwrite().save(path)
+    return CL.load_classifier(path)
+
+
+@register("build_playlist_classifier", None)
+def q_m17_classifier(spark, sf):
+    """Playlists of every 20th vector: the two clusters that the stored
+    classifier finds most probable, cosine top-N in them, MMR, title and artist."""
+    vectors = V.vectors(spark, sf)
+    seeds = SV.classified_seeds(stored_classifier(spark, sf), vectors.where(F.col("vec_id") % 20 == 0), MM.TOP_C)
+    meta = V.vector_songs(spark, sf).join(vectors.select("vec_id", "label"), "vec_id")
+    return MM.build_playlist(seeds, vectors, meta).select("seed_id", "vec_id", "mmr_rank", "title", "artist", "label")

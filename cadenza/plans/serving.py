@@ -13,10 +13,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators import recommend as RC
+from cadenza.plans import classify as CL
 from cadenza.plans import model as MD
 
 
@@ -60,6 +62,14 @@ def assigner(model: StoredModel) -> Callable[[DataFrame], DataFrame]:
     return assign
 
 
+def classified_seeds(classifier, vectors: DataFrame, c: int) -> DataFrame:
+    """Seeds of a playlist (M13 → W6): vec_id as ``seed_id``, the embedding and
+    the ``c`` clusters that the stored classifier finds most probable.  The
+    model transforms the rows where they are; nothing is shuffled."""
+    proba = CL.predict_proba(classifier, vectors.withColumn("features", array_to_vector("embedding")))
+    return RC.topc_clusters(proba, c).select(F.col("vec_id").alias("seed_id"), "embedding", "top_clusters")
+
+
 def cluster_sql(source: str, model: StoredModel) -> str:
     """DuckDB twin of :func:`assigner` over a table with the song features."""
     raw = ("s.tempo", f"(s.loudness + {model.spec.loudness_offset!r})", "cos(2 * pi() * (s.num - 1) / 12)", "sin(2 * pi() * (s.num - 1) / 12)",

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.payload import spotify_shape_features
+from cadenza.operators.discover import co_occurrence
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -107,6 +108,15 @@ def song_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return song.select("song_id").join(per, "song_id", "left").select("song_id", F.coalesce("segments", F.array().cast("array<array<double>>")).alias("segments"))
 
 
+def vector_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title and artist of each vector."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("title"))
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("artist"))
+    n_part, n_sup = (d.agg(F.count(F.lit(1)).alias("n")).scalar() for d in (part, sup))
+    ids = read_table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") % n_part).alias("p_partkey"), (F.col("vec_id") % n_sup).alias("s_suppkey"))
+    return ids.join(part, "p_partkey").join(sup, "s_suppkey").select("vec_id", "title", "artist")
+
+
 # Order that decides which copy of a duplicated song id is kept (U2): the
 # earliest added, then a full order over the remaining columns.
 DEDUPE_ORDER = ("added_at", "album_id", "artist_id", "tempo", "loudness", "danceability", "title")
@@ -224,17 +234,10 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artist_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edge table (src, dst, weight): artists sharing an album (order).
-
-    An album's line items are first summed per artist, so a hot album costs
-    the square of its distinct artists and not of its lines; the weight of a
-    pair is the product of the two counts, summed over albums.
-    """
+    """Edge table (src, dst, weight): artists sharing an album (order).  An
+    album's line items are first summed per artist."""
     per = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    a, b = per.alias("a"), per.alias("b")
-    pairs = a.join(b, (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("a.l_suppkey") != F.col("b.l_suppkey")))
-    return pairs.groupBy(F.col("a.l_suppkey").alias("src"), F.col("b.l_suppkey").alias("dst")).agg(
-        F.sum(F.col("a.n") * F.col("b.n")).alias("weight"))
+    return co_occurrence(per, "l_orderkey", "l_suppkey")
 
 
 def artist_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,3 +140,32 @@ def test_fitted_kmeans_serves_through_assign(spark):
     catalog = assign(songs).select("song_id", "title", "artist", "tempo", "key", "mode", "cluster_id")
     replies = RC.recommend_batch(V.requests(spark, sf), catalog, assign=assign).collect()
     assert replies and len({r.key for r in replies}) == len(replies)
+
+
+def test_playlists_follow_the_stored_classifier(spark):
+    """The clusters of each seed are the top two of predict_proba, worked out
+    from the stored weights; the picks come from them and carry title and artist."""
+    from cadenza.plans import q_ml
+    from cadenza.plans import serving as SV
+
+    vectors = V.vectors(spark, SF)
+    model = q_ml.stored_classifier(spark, SF)
+    seeds = {r["seed_id"]: r for r in SV.classified_seeds(model, vectors.where("vec_id % 20 = 0"), 2).collect()}
+    layers, flat = model.getLayers(), model.weights.toArray()
+    x = np.array([seeds[i]["embedding"] for i in sorted(seeds)])
+    at = 0
+    for k, (a, b) in enumerate(zip(layers, layers[1:])):
+        w = flat[at : at + a * b].reshape(b, a, order="F").T
+        x = x @ w + flat[at + a * b : at + a * b + b]
+        at += a * b + b
+        if k < len(layers) - 2:
+            x = 1 / (1 + np.exp(-x))
+    want = np.argsort(-x, axis=1, kind="stable")[:, :2]
+    assert [list(seeds[i]["top_clusters"]) for i in sorted(seeds)] == want.tolist()
+    rows = q_ml.q_m17_classifier(spark, SF).collect()
+    label = {r["vec_id"]: r["label"] for r in vectors.select("vec_id", "label").collect()}
+    assert {r["seed_id"] for r in rows} <= set(seeds)
+    for r in rows:
+        assert label[r["vec_id"]] == r["label"] and r["label"] in seeds[r["seed_id"]]["top_clusters"]
+        assert r["vec_id"] != r["seed_id"] and r["title"] and r["artist"]
+    assert len({(r["seed_id"], r["mmr_rank"]) for r in rows}) == len(rows)

@@ -208,3 +208,21 @@ def test_nearest_tempo_buckets_follow_the_catalog(spark):
     for t in asked.tolist():
         gaps = np.abs(tempos - t)
         assert got[t] == f"s{int(np.flatnonzero(gaps == gaps.min())[0]):06d}"
+
+
+def test_co_occurrence_of_a_hot_group_does_not_depend_on_the_blocks(spark):
+    rows = [(0, m, 1 + m % 3) for m in range(150)] + [(g, (g * 7 + j) % 40, 1) for g in range(1, 30) for j in range(g % 5)]
+    per = spark.createDataFrame(rows, "album long, artist long, n long").groupBy("album", "artist").agg(F.sum("n").alias("n"))
+    whole = {tuple(r) for r in D.co_occurrence(per, "album", "artist", block=10**6).collect()}
+    blocks = D.co_occurrence(per, "album", "artist", block=16)
+    assert {tuple(r) for r in blocks.collect()} == whole
+    counts = {}
+    for g, m, n in per.collect():
+        counts.setdefault(g, {})[m] = n
+    want = {}
+    for members in counts.values():
+        for a, na in members.items():
+            for b, nb in members.items():
+                if a != b:
+                    want[a, b] = want.get((a, b), 0) + na * nb
+    assert {(a, b): w for a, b, w in whole} == want
