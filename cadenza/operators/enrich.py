@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.payload import release_year
+from cadenza.session import cut_lineage
 
 NO_DATE = "0000-00-00"
 
@@ -75,32 +76,32 @@ def find_release_year(songs: DataFrame, artist: DataFrame, track: DataFrame, alb
     mbid known to the DB: title match (J3), else release match (J4), else 0 —
     no fall back to names.  mbid null / '' / unknown: name matches (J5), else 0.
 
-    One lookup holds all match tables as (kind, artist key, text key) → date,
-    unique per key; each song asks with one narrow row per kind, so there is
-    one join and one aggregation per song.  Songs without an mbid ask by name
-    only: '' is no key, so the songs that lack one do not meet in one task.
+    A song asks with one key, its mbid if that is known and its artist's name
+    otherwise, and in stages: all songs ask for the title, and only those
+    without an answer for the release.  Each stage is one join of narrow rows
+    with a lookup of one row per key.  The dated titles and albums that both
+    kinds of key are taken from are worked out once and stored, so is what the
+    first stage found.
     """
-    t3 = year_by_mbid_title(artist, track, album, release)
-    t4 = year_by_mbid_release(artist, album, release)
-    t5a, t5b = year_by_name(artist, track, album, release)
-    has_gid = F.coalesce(F.col("gid"), F.lit("")) != ""
-    rows = lambda df, kind, a, t, d: df.select(F.lit(kind).alias("kind"), F.col(a).alias("a"), F.col(t).alias("t"), F.col(d).alias("date"))
-    lookup = (
-        artist.where(has_gid).select(F.lit("known").alias("kind"), F.col("gid").alias("a"), F.lit("").alias("t"), F.lit("").alias("date")).distinct()
-        .unionByName(rows(t3.where(has_gid), "mbid title", "gid", "lname", "date_mbid_title"))
-        .unionByName(rows(t4.where(has_gid), "mbid release", "gid", "album_lname", "date_mbid_release"))
-        .unionByName(rows(t5a, "name title", "artist_lname", "lname", "date_name_title"))
-        .unionByName(rows(t5b, "name release", "artist_lname", "album_lname", "date_name_release"))
-    )
-    ask = lambda kind, a, t: F.struct(F.lit(kind).alias("kind"), a.alias("a"), t.alias("t"))
-    mbid, name = F.col("artist_mbid"), F.lower("artist_name")
-    by_name = F.array(ask("name title", name, F.lower("title")), ask("name release", name, F.lower("release")))
-    by_mbid = F.array(ask("known", mbid, F.lit("")), ask("mbid title", mbid, F.lower("title")), ask("mbid release", mbid, F.lower("release")))
-    asked = songs.select("song_id", F.explode(F.when(F.coalesce(mbid, F.lit("")) != "", F.concat(by_mbid, by_name)).otherwise(by_name)).alias("q")).select("song_id", "q.*")
-    found = asked.join(lookup, ["kind", "a", "t"], "left").groupBy("song_id").agg(*[
-        F.min(F.when(F.col("kind") == k, F.col("date"))).alias(k.replace(" ", "_")) for k in ("known", "mbid title", "mbid release", "name title", "name release")])
-    date = F.when(F.col("known").isNotNull(), F.coalesce("mbid_title", "mbid_release")).otherwise(F.coalesce("name_title", "name_release"))
-    return found.select("song_id", F.coalesce(release_year(date), F.lit(0)).alias("year"))
+    titles = cut_lineage(_track_dates(artist, track, album, release))
+    albums = cut_lineage(_album_dates(artist, album, release))
+
+    def lookup(dates: DataFrame, text: str) -> DataFrame:
+        """(kind, a, t) → date for both kinds of artist key."""
+        both = F.explode(F.array(F.struct(F.lit("mbid").alias("kind"), F.col("gid").alias("a")), F.struct(F.lit("name").alias("kind"), F.col("artist_lname").alias("a"))))
+        keyed = dates.select(both.alias("k"), F.col(text).alias("t"), "releasedate").where((F.col("k.kind") == "name") | (F.col("k.a") != ""))
+        return keyed.groupBy("k.kind", "k.a", "t").agg(F.min("releasedate").alias("date"))
+
+    known = artist.where(F.col("gid") != "").select(F.col("gid").alias("_gid")).distinct()
+    mbid = F.when(F.col("artist_mbid") != "", F.col("artist_mbid"))
+    asked = songs.select("song_id", mbid.alias("_mbid"), F.lower("artist_name").alias("_name"), F.lower("title").alias("_title"), F.lower("release").alias("_release"))
+    asked = asked.join(known, F.col("_mbid") == F.col("_gid"), "left").select(
+        "song_id", F.when(F.col("_gid").isNotNull(), "mbid").otherwise("name").alias("kind"), F.coalesce("_gid", "_name").alias("a"), "_title", "_release")
+    first = cut_lineage(asked.withColumnRenamed("_title", "t").join(lookup(titles, "lname"), ["kind", "a", "t"], "left").select("song_id", "kind", "a", "_release", "date"))
+    rest = first.where("date IS NULL").select("song_id", "kind", "a", F.col("_release").alias("t"))
+    second = rest.join(lookup(albums, "album_lname"), ["kind", "a", "t"], "left")
+    found = first.where("date IS NOT NULL").select("song_id", "date").unionByName(second.select("song_id", "date"))
+    return found.select("song_id", F.coalesce(release_year(F.col("date")), F.lit(0)).alias("year"))
 
 
 def artist_tags(artist: DataFrame, artist_tag: DataFrame, tag: DataFrame, max_tags: int = 20) -> DataFrame:

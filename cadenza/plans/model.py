@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import harmony as H
 from cadenza.operators import kmeans as KM
+from cadenza.session import cut_lineage
 
 # --- fixed values (must equal the reference) --------------------------------
 V7_COLUMNS = ("tempo", "loudness_pos", "key_sin", "key_cos", "mode_major", "time_signature")
@@ -149,7 +150,7 @@ def scaled_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """(song_id, s): the scaled, unweighted features as an array."""
     if spec.loudness_offset is None:
         spec.loudness_offset = fit_loudness_offset(df)
-    rows = prepare(df, spec)
+    rows = cut_lineage(prepare(df, spec).select("song_id", *spec.columns))   # the scaler and the fits read it
     scaled = Pipeline(stages=[assembler(spec), scaler()]).fit(rows).transform(rows)
     return scaled.select("song_id", vector_to_array("scaled_features").alias("s"))
 
