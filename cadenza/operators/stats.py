@@ -88,7 +88,7 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy("kv.column", "kv.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _value_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _value_ranks(df: DataFrame, cols: Sequence[str], kind: str = "double") -> DataFrame:
     """(column, value, n, upto): how often each distinct value of a column
     stands, and how many values stand up to it.
 
@@ -97,7 +97,7 @@ def _value_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     sorted in one task; the range partitions are checkpointed before their
     totals are taken, so a task that runs again sees the same ones."""
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")).select("kv.*")
+        F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in cols])).alias("kv")).select("kv.*")
     counted = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     placed = cut_lineage(counted.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()))
     totals = placed.groupBy("column", "part").agg(F.sum("n").alias("t"))   # columns × partitions rows
@@ -131,6 +131,27 @@ def profile_columns(df: DataFrame, cols: Sequence[str], quantiles: Sequence[floa
         "min", "max", "mean", "std", *[f"q{int(q * 100)}" for q in quantiles])
 
 
+def profile_text_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A8 for text and date columns (dates as ISO text): rows, nulls, distinct
+    values, smallest, median and largest in code-point order, lengths, and the
+    most frequent value (ties: the smallest) with its count.  All from the
+    ranks of the distinct values: one count of (column, value) with map-side
+    sums, range partitions over the collation order, prefix sums over them."""
+    ranks = _value_ranks(df, cols, "string")
+    size = F.char_length("value")
+    total = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in cols])
+    counts = total.select(F.col("_rows").alias("n_rows"), F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("total")) for c in cols])).alias("t")).select("n_rows", "t.*")
+    picked = ranks.join(counts, "column").groupBy("column").agg(   # counts: a row per column
+        F.count(F.lit(1)).alias("n_distinct"), F.min("value").alias("smallest"), F.max("value").alias("largest"),
+        F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("value"))).alias("median"),
+        F.min(size).alias("min_length"), F.max(size).alias("max_length"), (F.sum(size * F.col("n")) / F.sum("n")).alias("mean_length"),
+        F.min(F.struct((-F.col("n")).alias("less"), "value")).alias("top"))
+    return counts.join(picked, "column", "left").select(
+        "n_rows", "column", (F.col("n_rows") - F.col("total")).alias("n_null"), F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"),
+        "smallest", "median", "largest", "min_length", "max_length", r6(F.col("mean_length")).alias("mean_length"),
+        F.col("top.value").alias("most_frequent"), (-F.col("top.less")).alias("n_most_frequent"))
+
+
 def feature_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A9 — Pearson correlation for every unordered pair, one aggregate job."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]

@@ -337,7 +337,21 @@ def q_profile(spark, sf):
     return S.profile_columns(C.clean_catalog(V.songs(spark, sf)), NUMERIC)
 
 
-CORR_COLS = ("tempo", "loudness", "key", "mode", "time_signature", "year")
+TEXT = ("song_id", "title", "artist", "added_at")
+
+
+@register("profile_text_columns", " UNION ALL ".join(f"""
+SELECT count(*) AS n_rows, '{c}' AS "column", count(*) - count(v) AS n_null, count(DISTINCT v) AS n_distinct,
+       min(v) AS smallest, quantile_disc(v, 0.5) AS median, max(v) AS largest, CAST(min(length(v)) AS INT) AS min_length,
+       CAST(max(length(v)) AS INT) AS max_length, round(avg(length(v)), 6) AS mean_length,
+       (SELECT arg_min(x, (-n, x)) FROM (SELECT CAST({c} AS VARCHAR) AS x, count(*) AS n FROM clean_songs WHERE {c} IS NOT NULL GROUP BY 1)) AS most_frequent,
+       (SELECT max(n) FROM (SELECT count(*) AS n FROM clean_songs WHERE {c} IS NOT NULL GROUP BY {c})) AS n_most_frequent
+FROM (SELECT CAST({c} AS VARCHAR) AS v FROM clean_songs)""" for c in TEXT))
+def q_profile_text(spark, sf):
+    return S.profile_text_columns(C.clean_catalog(V.songs(spark, sf)), TEXT)
+
+
+CORR_COLS = NUMERIC
 
 
 @register("feature_correlation", " UNION ALL ".join(
