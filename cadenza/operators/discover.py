@@ -158,12 +158,33 @@ def assemble_catalog(steps: Sequence[DataFrame], target: int, buffer: int = 0) -
     """U4 — discovery steps (each a frame of song_id) unioned in order; a song
     counts for its first step; the result is capped at target − buffer by
     (step, song_id) with an exact global rank."""
-    tagged = union_features([s.select("song_id").withColumn("step", F.lit(i + 1)) for i, s in enumerate(steps)])
+    return assemble_tagged(union_features([s.select("song_id").withColumn("step", F.lit(i + 1)) for i, s in enumerate(steps)]), target, buffer)
+
+
+def assemble_tagged(tagged: DataFrame, target: int, buffer: int = 0) -> DataFrame:
+    """U4 over (song_id, step) rows of all steps."""
     first = tagged.groupBy("song_id").agg(F.min("step").alias("step"))
     ranked = global_rank(first, ["step", "song_id"])
     return ranked.where(F.col("rank0") < target - buffer).drop("rank0")
 
 
+def songs_by_artist_steps(catalog: DataFrame, steps: list[tuple[int, DataFrame, int]]) -> DataFrame:
+    """(song_id, step): for each (step, artists, cap) the artists' first ``cap``
+    songs by song_id.  One pass over the catalog for all steps: an artist
+    carries its steps, and its songs are ranked once up to the largest cap."""
+    tagged = None
+    for step, artists, cap in steps:
+        one = artists.select("artist_id").distinct().withColumn("_s", F.struct(F.lit(step).alias("step"), F.lit(cap).alias("cap")))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    per = tagged.groupBy("artist_id").agg(F.collect_list("_s").alias("_steps"))   # at most a row per step
+    w = Window.partitionBy("artist_id").orderBy("song_id")
+    most = max(cap for _, _, cap in steps)
+    ranked = catalog.select("song_id", "artist_id").join(per.select("artist_id"), "artist_id", "left_semi") \
+        .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most)
+    picked = ranked.join(per, "artist_id").select("song_id", "_r", F.explode("_steps").alias("s"))
+    return picked.where(F.col("_r") <= F.col("s.cap")).select("song_id", F.col("s.step").alias("step"))
+
+
 def co_occurrence(per: DataFrame, group: str, member: str, n: str = "n", block: int = 1000) -> DataFrame:
     """(src, dst, weight): members that share a group, weighted by the product
     of their counts ``n``, summed over groups.

@@ -129,16 +129,21 @@ def parse_seed_list(lines: DataFrame, col: str = "line") -> DataFrame:
     return lines.select(F.trim(parts[0]).alias("artist"), F.trim(F.get(parts, 1)).alias("title"))
 
 
-def resolve_seed_list(seeds: DataFrame, catalog: DataFrame, per_artist: int | None = None) -> DataFrame:
-    """J8 — each (artist, title) seed → the first exact match (smallest
-    song_id, case-insensitive), then every song of the matched artists (at
-    most ``per_artist`` of each, by song_id).
-    Output: distinct (song_id, step) with step 1 = matched seed, 2 = artist."""
+def first_matches(seeds: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(song_id, artist_id): for each (artist, title) seed the first exact
+    match (smallest song_id, case-insensitive)."""
     key = [F.lower(F.trim("artist")).alias("a"), F.lower(F.trim("title")).alias("t")]
     want = seeds.select(*key).distinct()
     cat = catalog.select("song_id", "artist_id", *key)
-    first = cat.join(want, ["a", "t"], "left_semi").groupBy("a", "t").agg(
+    return cat.join(want, ["a", "t"], "left_semi").groupBy("a", "t").agg(
         F.min(F.struct("song_id", "artist_id")).alias("m")).select("m.song_id", "m.artist_id")
+
+
+def resolve_seed_list(seeds: DataFrame, catalog: DataFrame, per_artist: int | None = None) -> DataFrame:
+    """J8 — the first match of each seed, then every song of the matched
+    artists (at most ``per_artist`` of each, by song_id).
+    Output: distinct (song_id, step) with step 1 = matched seed, 2 = artist."""
+    first = cut_lineage(first_matches(seeds, catalog))   # read by both steps
     matched_artists = first.select("artist_id").distinct()
     by_artist = catalog.select("song_id", "artist_id").join(matched_artists, "artist_id", "left_semi")
     if per_artist is not None:

@@ -283,9 +283,9 @@ def topc_clusters(df: DataFrame, c: int = 2, prob_col: str = "probability") -> D
     return df.withColumn("top_clusters", F.transform(ranked, lambda s: s.getField("id").cast("int")))
 
 
-def join_topc_clusters(seeds: DataFrame, catalog: DataFrame, label: str = "label") -> DataFrame:
-    """J14 — seed × its C clusters: (seed_id, cluster, rank).  Candidate songs
-    are attached by W7 without forming seed × song pairs here."""
+def join_topc_clusters(seeds: DataFrame, label: str = "label") -> DataFrame:
+    """J14 — seed × its C clusters: (seed_id, cluster, rank).  The candidates
+    of those clusters are scored by W7, tile by tile, and never listed."""
     return seeds.select("seed_id", F.posexplode("top_clusters").alias("rank", label))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,21 @@ from cadenza.session import cut_lineage
 from cadenza.sources import catalog as V
 
 
-# Limits of the registered queries: small enough to bite on the given tables
-# (the operators' defaults are the reference's: 100 artists, 200 terms, 100
-# artists a term, 1,000,000 songs).
-TOP_ARTISTS, TOP_TERMS, PER_TERM, ROOTS, ASSEMBLE_TARGET = 20, 10, 5, 3, 10_000
+class Limits(NamedTuple):
+    """How much each discovery step takes."""
+
+    artists: int
+    terms: int
+    per_term: int
+    roots: int
+    target: int
+
+
+#: Small enough to bite on the given tables.
+SMALL = Limits(20, 10, 5, 3, 10_000)
+# --- fixed values (must equal the reference) --------------------------------
+FULL = Limits(100, 200, 100, 100, 1_000_000)
+# ---------------------------------------------------------------------------
 
 
 def returned_quantities(spark, sf):
@@ -67,16 +80,28 @@ def song_timbre(spark, sf, digits=6):
     return RG.ragged_timbre(RG.explode_with_offsets(songs, "song_id", "segments"), offsets, digits=digits)
 
 
-@register("top_familiar_artists", """
-SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20""")
-def q_k1(spark, sf):
-    return D.top_familiar_artists(V.artists(spark, sf), TOP_ARTISTS)
+def _both(name: str, sql, views=None):
+    """Register a discovery query with the small limits under its name, and
+    with the full ones as ``<name>_full``; ``sql`` and ``views`` take the limits."""
+
+    def deco(fn):
+        for lim, full in ((SMALL, name), (FULL, f"{name}_full")):
+            register(full, sql(lim), views(lim) if views else None)(lambda spark, sf, lim=lim: fn(spark, sf, lim))
+        return fn
 
+    return deco
 
-@register("top_terms", """
-SELECT term, CAST(sum(freq) AS BIGINT) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT 10""")
-def q_k2(spark, sf):
-    return D.top_terms(V.artist_terms(spark, sf), TOP_TERMS)
+
+@_both("top_familiar_artists", lambda lim: f"""
+SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT {lim.artists}""")
+def q_k1(spark, sf, lim):
+    return D.top_familiar_artists(V.artists(spark, sf), lim.artists)
+
+
+@_both("top_terms", lambda lim: f"""
+SELECT term, CAST(sum(freq) AS BIGINT) AS total_freq FROM artist_terms GROUP BY term ORDER BY total_freq DESC, term LIMIT {lim.terms}""")
+def q_k2(spark, sf, lim):
+    return D.top_terms(V.artist_terms(spark, sf), lim.terms)
 
 
 # --- fixed values (must equal the reference): the attributes sorted both ways ---
@@ -121,22 +146,24 @@ def q_w3(spark, sf):
     return D.cap_songs_per_artist(V.catalog(spark, sf).select("song_id", "artist_id"), 100)
 
 
-DISC_SQL = {
-    "terms200": """
+def disc_sql(lim: Limits) -> dict[str, str]:
+    return {
+        "terms200": f"""
 SELECT term, CAST(row_number() OVER (ORDER BY total_freq DESC, term) AS INT) AS term_rank FROM (
-  SELECT term, sum(freq) AS total_freq FROM artist_terms GROUP BY term) QUALIFY term_rank <= 10""",
-    "by_term": """
+  SELECT term, sum(freq) AS total_freq FROM artist_terms GROUP BY term) QUALIFY term_rank <= {lim.terms}""",
+        "by_term": f"""
 SELECT artist_id, arg_min(term, (term_rank, fam_rank, term)) AS term, min(term_rank) AS term_rank,
        CAST(arg_min(fam_rank, (term_rank, fam_rank, term)) AS INT) AS fam_rank FROM (
   SELECT t.artist_id, t.term, x.term_rank,
          row_number() OVER (PARTITION BY t.term ORDER BY a.familiarity DESC, t.artist_id) AS fam_rank
   FROM artist_terms t JOIN terms200 x ON x.term = t.term JOIN artists a ON a.artist_id = t.artist_id)
-WHERE fam_rank <= 5 GROUP BY artist_id""",
-    "nb10": """
+WHERE fam_rank <= {lim.per_term} GROUP BY artist_id""",
+        "nb10": """
 SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS rn
                       FROM artist_similarity) WHERE rn <= 10""",
-    "roots": "SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 3",
-}
+        "roots": f"SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT {lim.roots}",
+    }
+
 
 BFS_SQL = """
 WITH RECURSIVE bfs(artist_id, depth) AS (
@@ -146,26 +173,26 @@ WITH RECURSIVE bfs(artist_id, depth) AS (
 SELECT artist_id, CAST(min(depth) AS INT) AS depth FROM bfs GROUP BY artist_id"""
 
 
-def _term_artists(spark, sf):
+def _term_artists(spark, sf, lim):
     # rank over the few rows left after the top-terms limit (bounded, one task is fine)
-    terms = D.top_terms(V.artist_terms(spark, sf), TOP_TERMS).withColumn(
+    terms = D.top_terms(V.artist_terms(spark, sf), lim.terms).withColumn(
         "term_rank", F.row_number().over(Window.orderBy(F.desc("total_freq"), "term")))
-    return D.artists_by_term(V.artist_terms(spark, sf), V.artists(spark, sf), terms, PER_TERM)
+    return D.artists_by_term(V.artist_terms(spark, sf), V.artists(spark, sf), terms, lim.per_term)
 
 
-@register("artists_by_term", "SELECT * FROM by_term", DISC_SQL)
-def q_j11(spark, sf):
-    return _term_artists(spark, sf)
+@_both("artists_by_term", lambda lim: "SELECT * FROM by_term", disc_sql)
+def q_j11(spark, sf, lim):
+    return _term_artists(spark, sf, lim)
 
 
-def _bfs(spark, sf, roots=ROOTS):
-    r = D.top_familiar_artists(V.artists(spark, sf), roots).select("artist_id")
+def _bfs(spark, sf, lim):
+    r = D.top_familiar_artists(V.artists(spark, sf), lim.roots).select("artist_id")
     return D.expand_similar_artists(r, V.artist_similarity(spark, sf), 10)
 
 
-@register("expand_similar_artists", BFS_SQL, DISC_SQL)
-def q_j12(spark, sf):
-    return _bfs(spark, sf)
+@_both("expand_similar_artists", lambda lim: BFS_SQL, disc_sql)
+def q_j12(spark, sf, lim):
+    return _bfs(spark, sf, lim)
 
 
 @register("union_features", """
@@ -185,30 +212,32 @@ def q_u2(spark, sf):
         "song_id", "album_id", F.col("added_at").cast("date").alias("added_on"))
 
 
-@register("visited_distinct", """
+def bfs_sql(lim: Limits) -> dict[str, str]:
+    return {**disc_sql(lim), "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")"}
+
+
+@_both("visited_distinct", lambda lim: f"""
 SELECT artist_id FROM (SELECT artist_id FROM bfs_artists UNION SELECT artist_id FROM by_term
-                       UNION SELECT artist_id FROM (SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20))""",
-          {**DISC_SQL, "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")"})
-def q_u3(spark, sf):
+                       UNION SELECT artist_id FROM (SELECT * FROM artists ORDER BY familiarity DESC, artist_id LIMIT {lim.artists}))""", bfs_sql)
+def q_u3(spark, sf, lim):
     a = V.artists(spark, sf)
-    return D.visited_distinct([_bfs(spark, sf).select("artist_id"), _term_artists(spark, sf),
-                               D.top_familiar_artists(a, TOP_ARTISTS)])
+    return D.visited_distinct([_bfs(spark, sf, lim).select("artist_id"), _term_artists(spark, sf, lim), D.top_familiar_artists(a, lim.artists)])
 
 
-ASSEMBLE_SQL = {
-    **DISC_SQL,
-    "sd": """
+def assemble_sql(lim: Limits) -> dict[str, str]:
+    return {
+        **bfs_sql(lim),
+        "sd": """
 SELECT DISTINCT lower(trim(split_part(line, '<SEP>', 1))) AS a, lower(trim(split_part(line, '<SEP>', 2))) AS t FROM seed_list""",
-    "first_match": """
+        "first_match": """
 SELECT arg_min(c.song_id, c.song_id) AS song_id, arg_min(c.artist_id, c.song_id) AS artist_id
 FROM (SELECT song_id, artist_id, lower(trim(artist)) AS a, lower(trim(title)) AS t FROM catalog) c
 JOIN sd ON sd.a = c.a AND sd.t = c.t GROUP BY c.a, c.t""",
-    "capped": """
+        "capped": """
 SELECT song_id, artist_id, row_number() OVER (PARTITION BY artist_id ORDER BY song_id) AS artist_rank FROM catalog""",
-    "bfs_artists": BFS_SQL.replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE") + ")",
-    "steps": """
+        "steps": f"""
 SELECT song_id, 1 AS step FROM capped WHERE artist_rank <= 100
-  AND artist_id IN (SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT 20)
+  AND artist_id IN (SELECT artist_id FROM artists ORDER BY familiarity DESC, artist_id LIMIT {lim.artists})
 UNION ALL SELECT song_id, 2 FROM capped WHERE artist_rank <= 100 AND artist_id IN (SELECT artist_id FROM by_term)
 UNION ALL SELECT song_id, 3 FROM (
   SELECT song_id FROM first_match UNION ALL
@@ -217,21 +246,21 @@ UNION ALL SELECT song_id, 4 FROM (""" + " UNION ALL ".join(
         f"SELECT song_id FROM (SELECT song_id, row_number() OVER (ORDER BY CAST({a} AS DOUBLE) {d}, song_id) AS r "
         f"FROM catalog JOIN song_attributes USING (song_id) WHERE {a} IS NOT NULL) WHERE r <= 100" for a in K3_ATTRS for d in ("ASC", "DESC")) + """)
 UNION ALL SELECT song_id, 5 FROM capped WHERE artist_rank <= 50 AND artist_id IN (SELECT artist_id FROM bfs_artists)""",
-}
+    }
 
 
-@register("assemble_catalog", """
+@_both("assemble_catalog", lambda lim: f"""
 SELECT song_id, step FROM (
   SELECT song_id, step, row_number() OVER (ORDER BY step, song_id) AS rn FROM (
-    SELECT song_id, min(step) AS step FROM steps GROUP BY song_id)) WHERE rn <= 10000""", ASSEMBLE_SQL)
-def q_u4(spark, sf):
+    SELECT song_id, min(step) AS step FROM steps GROUP BY song_id)) WHERE rn <= {lim.target}""", assemble_sql)
+def q_u4(spark, sf, lim):
     cat = V.catalog(spark, sf).select("song_id", "artist_id", "artist", "title", "tempo", "loudness", "danceability",
                                       "key", "mode")
-    arts = V.artists(spark, sf)
     cat = cut_lineage(cat)   # read by all five steps: built and deduplicated once
-    s1 = D.cap_songs_per_artist(cat.join(D.top_familiar_artists(arts, TOP_ARTISTS).select("artist_id"), "artist_id", "left_semi"), 100)
-    s2 = D.cap_songs_per_artist(cat.join(_term_artists(spark, sf).select("artist_id"), "artist_id", "left_semi"), 100)
-    s3 = EN.resolve_seed_list(EN.parse_seed_list(V.seed_list(spark, sf)), cat, 100)
-    s4 = D.extremes_by_attribute(cat.join(V.song_attributes(spark, sf), "song_id"), K3_ATTRS)
-    s5 = D.cap_songs_per_artist(cat.join(_bfs(spark, sf).select("artist_id"), "artist_id", "left_semi"), 50)
-    return D.assemble_catalog([s1, s2, s3, s4, s5], target=ASSEMBLE_TARGET)
+    matched = cut_lineage(EN.first_matches(EN.parse_seed_list(V.seed_list(spark, sf)), cat))
+    by_artist = D.songs_by_artist_steps(cat, [
+        (1, D.top_familiar_artists(V.artists(spark, sf), lim.artists), 100), (2, _term_artists(spark, sf, lim), 100),
+        (3, matched, 100), (5, _bfs(spark, sf, lim), 50)])
+    extremes = D.extremes_by_attribute(cat.join(V.song_attributes(spark, sf), "song_id"), K3_ATTRS)
+    tagged = by_artist.unionByName(matched.select("song_id", F.lit(3).alias("step"))).unionByName(extremes.select("song_id", F.lit(4).alias("step")))
+    return D.assemble_tagged(tagged, lim.target)

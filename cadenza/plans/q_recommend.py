@@ -196,7 +196,7 @@ SELECT vec_id AS seed_id, CAST(r - 1 AS INT) AS rank, top_clusters[r] AS label
 FROM (SELECT vec_id, list(c ORDER BY d, c)[1:2] AS top_clusters FROM dists GROUP BY vec_id), range(1, 3) t(r)""",
           CENTER_SQL)
 def q_j14(spark, sf):
-    return RC.join_topc_clusters(seeds_with_clusters(spark, sf), V.vectors(spark, sf))
+    return RC.join_topc_clusters(seeds_with_clusters(spark, sf))
 
 
 @register("cosine_topn", """
