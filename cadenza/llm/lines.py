@@ -1,12 +1,12 @@
 """Line dedup by site-relative frequency.
 
 A line is boilerplate of a host if it stands on more than ``ratio`` of the
-host's pages (hosts under ``min_pages`` pages have none); boilerplate lines are
-cut from the host's pages.
+host's pages, and on ``min_pages`` pages at least, whatever the host's size;
+boilerplate lines are cut from the host's pages.
 
 Plan: each page gives its distinct lines as 96-bit keys, counted per (host,
 line) with map-side sums, so neither a hot host nor a hot line lands in one
-task unsummed.  Lines on too few pages for any host are dropped before the
+task unsummed.  Lines on fewer than ``min_pages`` pages are dropped before the
 totals are joined.  What is left is at most ``1 / ratio`` times the mean number
 of lines a page, per host; it is written as a small table (host, line keys) and
 joined back by host: Spark broadcasts it while it is under its threshold and
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import SPACES, let, stored
 
-RATIO = 0.1
-MIN_PAGES = 20
+RATIO = 0.002
+MIN_PAGES = 5
 
 
 def _trim(line: Column) -> Column:
@@ -48,9 +48,9 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str = "text", ratio:
         pages.select(host, F.explode(keys).alias("line"))
         .groupBy("host", "line.a", "line.b")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > ratio * min_pages)
+        .where(F.col("n") >= min_pages)
     )
-    totals = pages.groupBy(host).agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= min_pages)
+    totals = pages.groupBy(host).agg(F.count(F.lit(1)).alias("total"))
     return (
         per_line.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
         .where(F.col("n") > ratio * F.col("total"))

@@ -83,7 +83,7 @@ WITH d AS (
 ), h AS (
   SELECT source, count(*) AS total FROM d GROUP BY source
 ), b AS (
-  SELECT c.source, t FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE t <> '' AND total >= 20 AND n > 0.1 * total
+  SELECT c.source, t FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE t <> '' AND n >= 5 AND n > 0.002 * total
 ), m AS (
   SELECT rid, i, line, trim(line, E' \t\n\x0b\f\r') <> '' AS shown, b.t IS NOT NULL AS cut
   FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND trim(line, E' \t\n\x0b\f\r') = b.t

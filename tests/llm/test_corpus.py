@@ -489,7 +489,7 @@ def test_pipeline_equals_brute_force(spark):
     judged = {r["doc_id"]: r["kept"] for r in queries.QUERIES["op1_quality_rules"](spark, SF).collect()}
     assert not any(judged[i] and brute_quality(t)[5] for i, t, _ in rows)
     rows = [r for r in rows if judged[r[0]]]
-    cut = brute_lines([t for _, t, _ in rows], [s for *_, s in rows], 0.1, 20)
+    cut = brute_lines([t for _, t, _ in rows], [s for *_, s in rows], 0.002, 5)
     fps = [brute_fingerprint(t) for t in cut]
     classes = brute_classes(sorted(set(fps)), lambda a, b: (a ^ b).bit_count() <= 4)
     low = {}

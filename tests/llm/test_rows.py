@@ -146,13 +146,29 @@ def brute_lines(texts, hosts, ratio, least):
     out = []
     for t, h in zip(texts, hosts):
         ls = (t or "").split("\n")
-        bad = {x for x in ls if x.strip(strip) and pages[h] >= least and per[(h, x.strip(strip))] > ratio * pages[h]}
+        bad = {x for x in ls if x.strip(strip) and per[(h, x.strip(strip))] >= least and per[(h, x.strip(strip))] > ratio * pages[h]}
         kept = [x for x in ls if x not in bad]
         whole = not any(x.strip(strip) for x in kept)
         out.append(t if whole or not bad else "\n".join(kept))
     return out
 
 
+def test_planted_lines_are_cut_in_every_source(spark):
+    """Lines repeated over distinct texts go, in large and small sources; lines of single documents stay."""
+    rng = random.Random(12)
+    texts, sources = [], []
+    for source, n in (("large", 2000), ("middle", 400), ("small", 12)):
+        for i in range(n):
+            planted = [f"planted {k}" for k in range(3) if rng.random() < (0.5 if n < 100 else 0.03)]
+            texts.append("\n".join([f"own {source} {i}", *planted, f"more {source} {i}"]))
+            sources.append(source)
+        texts += [f"planted 0\nplanted 1\nplanted 2\nlast {source} {k}" for k in range(5)]
+        sources += [source] * 5
+    got = {r["doc_id"]: r["text"] for r in lines.cut_lines(frame(spark, texts, sources), "source").collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == "\n".join(x for x in t.split("\n") if not x.startswith("planted"))
+
+
 def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(2)
     texts, hosts = [], []
@@ -163,9 +179,9 @@ def test_line_dedup_equals_brute_force(spark):
         hosts.append(h)
     texts += [None, "", "Home | About", "footer\nfooter"]
     hosts += ["hot", None, "hot", "hot"]
-    got = lines.cut_lines(frame(spark, texts, hosts), "source", out="n_words", ratio=0.2, min_pages=10)
+    got = lines.cut_lines(frame(spark, texts, hosts), "source", out="n_words", ratio=0.2, min_pages=4)
     assert sorted(got.columns) == sorted(["doc_id", "text", "source", "quality", "n_words"])
-    want = brute_lines(texts, hosts, 0.2, 10)
+    want = brute_lines(texts, hosts, 0.2, 4)
     rows = got.collect()
     assert len(rows) == len(texts)
     assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(want))
