@@ -6,7 +6,8 @@ kept, written as a table in between.  All but the last return the columns of
 ``documents``:
 
 * quality rules: rows that break no rule stay;
-* line dedup: lines on over a tenth of their source's documents are cut;
+* line dedup: lines on over a five-hundredth of their source's documents, and
+  on five at least, are cut;
 * near-dedup: one document of each SimHash class stays;
 * mixing: documents are repeated until the sources' weights stand at most 2 to
   1 apart from the natural mix; the budget is the least that shows every
