@@ -44,4 +44,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_a_twin():
-    assert {n for n, e in load_all().items() if not e.sql} == set()
+    """But for the playlists of a classifier fitted on the spot (test_ml.py works them out from its weights)."""
+    assert {n for n, e in load_all().items() if not e.sql} == {"build_playlist_classifier"}
