@@ -25,7 +25,8 @@ than the query's are no candidates of it; a query's own row is no candidate
 (rows are told apart by id, so rows of one id never meet each other); fewer
 candidates than k give fewer rows; ties go to the smaller id; rows without an
 id take no part; repeated rows are rows of their own, as in the SQL: a candidate
-stored three times takes three places, and all rows of a query id share its k.
+stored three times takes three places, and all rows of a query id share its k;
+an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ executor only costs its own tasks.
 
 Defined results: a null text counts as empty and has no tokens; long texts are
 cut like any other; equal rows are encoded alike; columns of the input pass
-through, except that one named like ``out`` is replaced.
+through, except that one named like ``out`` is replaced; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations

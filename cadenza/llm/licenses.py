@@ -13,7 +13,7 @@ row identity needed; the cost follows the bytes of text.
 
 Defined results: a null text counts as empty; equal rows are scanned alike;
 columns of the input pass through, except that one named like ``out`` is
-replaced.
+replaced; an empty table gives an empty one; very long texts are scanned whole.
 """
 
 from __future__ import annotations

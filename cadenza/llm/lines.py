@@ -17,7 +17,8 @@ Defined results: a null host is a host of its own; a null or empty text stays
 as it is; blank lines are never counted nor cut; a line counts once a page
 however often it stands there, compared without outer white space; equal rows
 are pages of their own; a page that is boilerplate only stays whole (whole
-copies are the near-duplicate stage's case); columns of the input pass through.
+copies are the near-duplicate stage's case); columns of the input pass through;
+an empty table gives an empty one; a very long text is cut in its row.
 """
 
 from __future__ import annotations

@@ -31,7 +31,8 @@ Chunks are bounded, so is a part's share, and the tables that go to every task
 Defined results: a null text counts as empty (one token, the end); a null id
 counts as training; repeated rows are texts of their own; a text longer than a
 chunk is a chunk of its own; no training text at all gives the uniform
-distribution of ids, and counts of zero.
+distribution of ids, and counts of zero; an empty table gives an empty one; only
+id and text are read, so other columns' names cannot clash.
 """
 
 from __future__ import annotations

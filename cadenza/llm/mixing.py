@@ -21,7 +21,8 @@ Defined results: a null source is a source of its own; a null text has no
 tokens; a source without tokens is shown once (its documents cost no budget);
 rows of one source with equal ids stand or fall together at the budget's end;
 a document that crosses the budget is still taken; columns of the input pass
-through, with ``out`` (epoch, block, key) added or replaced.
+through, with ``out`` (epoch, block, key) added or replaced; an empty table gives
+an empty one; a text counts by its length, however long.
 """
 
 from __future__ import annotations

@@ -21,8 +21,9 @@ nothing is grouped by a hot key but the counts, which are summed map-side.
 
 Defined results: a null text counts as empty; equal rows are treated alike;
 offsets are code points, the end exclusive; secrets and names have no longest
-length; a further span that overlaps a
-base span is left out; columns of the input do not matter.
+length; a further span that overlaps a base span is left out; only id and text
+are read, so other columns' names cannot clash; an empty table gives an empty one;
+very long texts are searched whole.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ text stays one row.
 
 Defined results: a null text counts as empty (no words); an empty text breaks
 the length rule; equal rows are judged alike and all stay; columns of the
-input pass through, except that a column named like ``out`` is replaced.
+input pass through, except that a column named like ``out`` is replaced; an
+empty table gives an empty one; very long texts are judged whole.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ DataFrames, each written to the shared folder.
 Defined results: a null or empty text has no words and fingerprint zero,
 linked like any other; fewer words than ``shingle`` make one shingle of the
 whole sequence; repeated rows each get their row; a null id never becomes a
-component id unless all ids of the component are null.
+component id unless all ids of the component are null; an empty table gives an
+empty one; very long texts are hashed whole, in pieces; only id and text are
+read, so other columns' names cannot clash.
 """
 
 from __future__ import annotations

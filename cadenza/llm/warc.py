@@ -21,7 +21,9 @@ table are read, so a task that is run again leaves an orphan and no double.
 Defined results: a null payload is empty; rows of one digest that share the
 largest id are all responses; a row without id is a response (identified by
 its digest); repeated rows are records of their own, told apart by bundle,
-frame and offset.
+frame and offset; an empty table gives an empty index and no archive; a payload
+longer than a frame is a frame of its own; only id, address and payload are read,
+so other columns' names cannot clash.
 """
 
 from __future__ import annotations

@@ -290,3 +290,18 @@ def test_chunks_cover_the_text_at_character_starts(text):
         assert at < end <= at + bpe.MAX_CHUNK
         at = end
     assert at == len(raw)
+
+
+def test_clashing_columns_and_empty_tables(spark, tmp_path):
+    """Operators that read their own columns only: names of their helpers in the input, and no rows."""
+    from cadenza.llm import simhash, warc
+
+    rows = [(1, "a b c d e you@site.org", "x", 1), (2, "a b c d e you@site.org", "x", 2), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, fp int").withColumn("spans", F.lit(7)).withColumn("root", F.lit(1))
+    found = {(r["id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert {(1, 1), (2, 1)} <= found and len(found) == 3
+    assert sorted(len(r["spans"]) for r in pii.detect(docs).collect()) == [0, 1, 1]
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0 and pii.detect(docs.limit(0)).count() == 0
+    pages = spark.createDataFrame([(1, "u", "p" * 50, "x", 3)], "page_id long, url string, html string, payload string, size int").withColumn("digest", F.lit("d"))
+    (r,) = warc.read(warc.write(pages, f"file://{tmp_path}/w")).collect()
+    assert (r["page_id"], r["payload"], r["payload_bytes"]) == (1, b"p" * 50, 50)
