@@ -226,3 +226,39 @@ def test_co_occurrence_of_a_hot_group_does_not_depend_on_the_blocks(spark):
                 if a != b:
                     want[a, b] = want.get((a, b), 0) + na * nb
     assert {(a, b): w for a, b, w in whole} == want
+
+
+def test_ragged_timbre_over_bucket_borders(spark, monkeypatch):
+    """Buckets of four places: slices that cross several of them, empty ones,
+    segments before the first start and after the last one."""
+    monkeypatch.setattr(RG, "_BUCKET_BITS", 2)
+    rng = random.Random(5)
+    sizes = [0, 3, 0, 0, 11, 1, 4, 0, 1, 1, 9, 0]
+    arrays = [[[float(rng.randint(-9, 9)) for _ in range(12)] for _ in range(n)] for n in sizes]
+    df = spark.createDataFrame([(f"s{i:02d}", a) for i, a in enumerate(arrays)], "song_id string, segments array<array<double>>")
+    off = RG.ragged_offsets(df.withColumn("n", F.size("segments")), "song_id", "n", parts=3)
+    flat = RG.explode_offsets(off, "segments")
+    offsets = off.select("song_id", "offset", "n")
+    want = {}
+    for i, a in enumerate(arrays):
+        cols = list(zip(*a)) or [(0.0,)] * 12
+        means = [sum(c) / len(c) for c in cols]
+        want[f"s{i:02d}"] = [round(x, 6) for x in means] + [round((sum((v - m) ** 2 for v in c) / len(c)) ** 0.5, 6) for c, m in zip(cols, means)]
+    told = RG.ragged_timbre(flat, offsets, size_col="n")
+    got = {r[0]: [round(x, 6) for x in r[1:]] for r in told.collect()}
+    assert got == want and told.count() == len(sizes)
+    full = offsets.where("n > 0")
+    assert {r[0]: [round(x, 6) for x in r[1:]] for r in RG.ragged_timbre(flat, full).collect()} == {k: v for k, v in want.items() if sizes[int(k[1:])]}
+    assert RG.ragged_timbre(flat, offsets).select("song_id").distinct().count() == len(sizes)
+    late = RG.ragged_owner(flat, offsets.where("song_id >= 's02'"), order="song_id")
+    assert late.where("song_id IS NULL").count() == 3 and late.where("song_id = 's04'").count() == 11
+
+
+def test_owners_of_segments_need_one_shuffle_of_them(spark):
+    """The vectors of a ragged array are dealt once by position: no checkpoint, no sampling, no shuffle of sums per song."""
+    flat = spark.range(100).select(F.col("id").alias("pos"), F.array(*[F.col("id").cast("double")] * 12).alias("value"))
+    offsets = spark.range(10).select(F.col("id").alias("song_id"), (F.col("id") * 10).alias("offset"), F.lit(10).alias("n"))
+    plan = RG.ragged_timbre(flat, offsets, size_col="n")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "rangepartitioning" not in plan
+    grouped = [line for line in plan.splitlines() if "Exchange hashpartitioning(song_id" in line]
+    assert len(grouped) == 1   # of the few songs that cross a border
