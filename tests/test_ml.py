@@ -169,3 +169,17 @@ def test_playlists_follow_the_stored_classifier(spark):
         assert label[r["vec_id"]] == r["label"] and r["label"] in seeds[r["seed_id"]]["top_clusters"]
         assert r["vec_id"] != r["seed_id"] and r["title"] and r["artist"]
     assert len({(r["seed_id"], r["mmr_rank"]) for r in rows}) == len(rows)
+
+
+def test_packed_blocks_hold_every_vector_and_the_first_ids(spark, monkeypatch):
+    """Blocks of 12 numbers over several batches; passes read blocks and no rows."""
+    monkeypatch.setattr(KM, "_BLOCK", 12)
+    df = _points(spark, 3)
+    packed = KM.pack(df, "v", "id", 4).collect()
+    got = sorted(tuple(v) for r in packed if r["x"] for v in np.frombuffer(bytes(r["x"])).reshape(r["n"], -1).tolist())
+    rows = df.collect()
+    assert got == sorted(tuple(r["v"]) for r in rows) and max(r["n"] for r in packed if r["x"]) <= 4
+    import hashlib
+
+    want = [r["v"] for r in sorted(rows, key=lambda r: (hashlib.md5(str(r["id"]).encode()).hexdigest(), str(r["id"])))[:4]]
+    assert KM.hash_start(KM.pack(df, "v", "id", 4), 4).tolist() == want
