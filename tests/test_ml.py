@@ -183,3 +183,46 @@ def test_packed_blocks_hold_every_vector_and_the_first_ids(spark, monkeypatch):
 
     want = [r["v"] for r in sorted(rows, key=lambda r: (hashlib.md5(str(r["id"]).encode()).hexdigest(), str(r["id"])))[:4]]
     assert KM.hash_start(KM.pack(df, "v", "id", 4), 4).tolist() == want
+
+
+def test_mlp_gradient_equals_numeric_differences():
+    from cadenza.operators import mlp as M
+
+    rng, layers = np.random.default_rng(0), [3, 5, 4, 3]
+    w, x, y = M.start_weights(layers, 1), rng.normal(size=(1500, 3)), rng.integers(0, 3, 1500)
+    _, g = M.loss_and_gradient(x, y, w, layers)
+    for j in range(0, len(w), 7):
+        e = np.eye(len(w))[j] * 1e-5
+        assert abs((M.loss_and_gradient(x, y, w + e, layers)[0] - M.loss_and_gradient(x, y, w - e, layers)[0]) / 2e-5 - g[j]) < 1e-4
+
+
+def test_lbfgs_finds_the_minimum():
+    from cadenza.operators import mlp as M
+
+    scale = np.array([1.0, 30.0, 0.1])
+    w, n = M.lbfgs(lambda v: (float(scale @ (v - 2) ** 2), 2 * scale * (v - 2)), np.zeros(3), 100, 1e-12)
+    assert np.allclose(w, 2, atol=1e-3) and 0 < n < 100
+
+
+def test_classifier_is_fitted_in_passes_over_blocks(spark, monkeypatch):
+    """As good as Spark's trainer on the same rows, its weights are those of the model that is stored and loaded."""
+    from cadenza.operators import mlp as M
+
+    monkeypatch.setattr(M, "_BLOCK", 300)
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 3, 600)
+    x = rng.normal(size=(3, 4))[y] * 3 + rng.normal(size=(600, 4))
+    rows = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, y)], "v array<double>, label int").repartition(3)
+    data = rows.select(array_to_vector("v").alias("features"), "label")
+    assert sum(r["n"] for r in M.pack(data, "features", "label").collect()) == 600 and M.pack(data, "features", "label").count() > 6
+    model = CL.train_cluster_classifier(data, 4, 3, max_iter=15)
+    loss, _ = M.loss_and_gradient(x, y, model.weights.toArray(), model.getLayers())
+    theirs = CL.mlp(4, 3, max_iter=15).fit(data.withColumn("label", F.col("label").cast("double")))
+    other, _ = M.loss_and_gradient(x, y, theirs.weights.toArray(), model.getLayers())
+    assert model.getMaxIter() == 15 and loss / 600 < other / 600 + 0.02   # both near 0
+    path = checkpoint_dir(spark, "test-classifier")
+    model.write().overwrite().save(path)
+    again = CL.load_classifier(path)
+    assert np.array_equal(again.weights.toArray(), model.weights.toArray())
+    r = CL.evaluate_classifier(CL.predict_proba(again, data))
+    assert r["accuracy"] > 0.8
