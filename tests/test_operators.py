@@ -262,3 +262,19 @@ def test_owners_of_segments_need_one_shuffle_of_them(spark):
     assert "ExistingRDD" not in plan and "rangepartitioning" not in plan
     grouped = [line for line in plan.splitlines() if "Exchange hashpartitioning(song_id" in line]
     assert len(grouped) == 1   # of the few songs that cross a border
+
+
+def test_a_tile_answers_block_by_block(monkeypatch):
+    """No answer of a tile holds more than a block of seeds; together they are the brute-force top n."""
+    monkeypatch.setattr(RC, "SEED_BLOCK", 4)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(40, 5))
+    rows = pd.DataFrame({"is_seed": [i < 10 for i in range(40)], "vec_id": range(40), "embedding": list(x)})
+    parts = list(RC._tile_topn(3, True, "label")((7,), iter([rows[:15], rows[15:]])))
+    assert len(parts) == 3 and max(p["seed_id"].nunique() for p in parts) == 4
+    got = pd.concat(parts)
+    for s in range(10):
+        cos = {i: x[s] @ x[i] / np.linalg.norm(x[s]) / np.linalg.norm(x[i]) for i in range(10, 40)}
+        mine = got[got["seed_id"] == s]
+        assert mine["vec_id"].tolist() == sorted(cos, key=lambda i: -cos[i])[:3] and set(mine["label"]) == {7}
+        assert all(np.array_equal(e, x[i]) for i, e in zip(mine["vec_id"], mine["embedding"]))
