@@ -48,3 +48,30 @@ def test_many_centres_are_compared_over_arrow_batches_with_the_same_answers(spar
                 s += (a - b) ** 2
             d.append(s)
         assert (r["cluster"], r["sqdist"]) == (d.index(min(d)), min(d))
+
+
+def test_blocks_answer_as_the_window_does_and_send_no_points(spark):
+    songs = [(f"s{i:04d}", "t", "a", float(i * i % 211) / 2 + 20 + (i % 3) * 1e-9, i % 12, i % 3) for i in range(900)] + [("hot%03d" % i, "t", "a", 120.0 + i / 1e6, 1, 7) for i in range(300)]
+    cat = spark.createDataFrame(songs, "song_id string, title string, artist string, tempo double, key int, cluster_id int")
+    probes = spark.createDataFrame([(c, float(t) / 2) for c in (0, 1, 2, 7, 9) for t in range(20, 600)] + [(7, 120.0000005), (7, 120.0001495)], "cluster_id int, tempo double")
+    index = RC.build_tempo_index(cat, ["cluster_id"], points_per_bucket=50)
+    blocks = RC.block_index(index, ["cluster_id"], size=7).persist()
+    blocks.blocks.count()
+    want = RC.nearest_by_tempo(probes, None, ["cluster_id"], index=index)
+    got = RC.nearest_by_tempo(probes, None, ["cluster_id"], index=blocks)
+    as_rows = lambda df: {(r["cluster_id"], r["tempo"], r["song"]["song_id"]) for r in df.where("song IS NOT NULL").collect()}
+    assert as_rows(got) == as_rows(want) and len(as_rows(got)) > 2000
+    blocks.unpersist()
+
+
+def test_a_stream_start_without_news_builds_no_index(spark, monkeypatch):
+    from cadenza.session import checkpoint_dir
+    from cadenza.streaming import stream as ST
+
+    sf, base, built = "/root/testdata/sf0.001", checkpoint_dir(spark, "test-lazy"), []
+    real = RC.harmonic_index
+    monkeypatch.setattr(RC, "harmonic_index", lambda cat: built.append(1) or real(cat))
+    ST.stage_messages(V.request_messages(spark, sf), f"{base}/in", files=1)
+    for _ in range(2):
+        ST.stream_recommend(spark, V.clustered_catalog(spark, sf), f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    assert len(built) == 1
