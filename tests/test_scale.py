@@ -75,3 +75,17 @@ def test_a_stream_start_without_news_builds_no_index(spark, monkeypatch):
     for _ in range(2):
         ST.stream_recommend(spark, V.clustered_catalog(spark, sf), f"{base}/in", f"{base}/out", f"{base}/ckpt")
     assert len(built) == 1
+
+
+def test_the_pairs_are_dealt_to_more_tasks_with_more_rows(spark):
+    from cadenza.operators import discover as D
+
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert D.pair_parts(spark, 10) == few and D.pair_parts(spark, 60 * D.PAIR_ROWS) == 60
+    per = spark.createDataFrame([(g, m, 1 + (g * m) % 3) for g in range(60) for m in range(g % 7)], "g long, m long, n long")
+    plain = D.co_occurrence(per, "g", "m")
+    dealt = D.co_occurrence(per, "g", "m", parts=13)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    top = D.strongest_edges(dealt, 3, 13)
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, D.strongest_edges(plain, 3).collect()))
+    assert "hashpartitioning(src" in top._jdf.queryExecution().executedPlan().toString() and top.rdd.getNumPartitions() == 13
