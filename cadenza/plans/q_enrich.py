@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import payload as PL
 from cadenza.operators import enrich as EN
 from cadenza.plans.registry import register
+from cadenza.session import cut_lineage
 from cadenza.sources import catalog as V
 
 
@@ -140,7 +141,7 @@ SELECT count(*) AS n_songs, CAST(count_if(coalesce(s.artist_mbid, '') <> '') AS
 FROM enrich_input s LEFT JOIN years y ON y.song_id = s.song_id LEFT JOIN tags t ON t.artist_id = s.artist_id""", MB_SQL)
 def q_a13(spark, sf):
     a, t, b, r = _mb(spark, sf)
-    songs = V.enrich_input(spark, sf)
+    songs = cut_lineage(V.enrich_input(spark, sf))   # read by the cascade and by the count
     years = EN.find_release_year(songs, a, t, b, r)
     return EN.enrichment_coverage(songs, years, _tags(spark, sf))
 

@@ -89,3 +89,18 @@ def test_the_pairs_are_dealt_to_more_tasks_with_more_rows(spark):
     top = D.strongest_edges(dealt, 3, 13)
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, D.strongest_edges(plain, 3).collect()))
     assert "hashpartitioning(src" in top._jdf.queryExecution().executedPlan().toString() and top.rdd.getNumPartitions() == 13
+
+
+def test_no_track_takes_its_artists_texts_through_the_album_join(spark):
+    from cadenza.operators import enrich as EN
+
+    artist = spark.createDataFrame([(1, "m", "A"), (2, "m", "a"), (1, "n", "B")], "id long, gid string, name string")
+    track = spark.createDataFrame([(1, "T", 1, 1), (2, "t", 2, 2)], "id long, name string, artist long, album long")
+    album = spark.createDataFrame([(1, "r", 1), (2, "r", 2)], "id long, name string, artist long")
+    release = spark.createDataFrame([(1, "1999-01-01"), (2, "1980-01-01")], "album long, releasedate string")
+    plan = EN._track_dates(artist, track, album, release)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan.index("Aggregate")
+    assert "gid" not in plan[joined:].split("LogicalRDD [id#")[0] and plan.index("Join Inner") < joined
+    got = sorted(map(tuple, EN.year_by_mbid_title(artist, track, album, release).collect()))
+    assert got == [("m", "t", "1980-01-01"), ("n", "t", "1999-01-01")]
+    assert sorted(map(tuple, EN.year_by_mbid_release(artist, album, release).collect())) == [("m", "r", "1980-01-01"), ("n", "r", "1999-01-01")]
