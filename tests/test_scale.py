@@ -104,3 +104,57 @@ def test_no_track_takes_its_artists_texts_through_the_album_join(spark):
     got = sorted(map(tuple, EN.year_by_mbid_title(artist, track, album, release).collect()))
     assert got == [("m", "t", "1980-01-01"), ("n", "t", "1999-01-01")]
     assert sorted(map(tuple, EN.year_by_mbid_release(artist, album, release).collect())) == [("m", "r", "1980-01-01"), ("n", "r", "1999-01-01")]
+
+
+def test_attributes_come_with_the_catalog_in_one_pass(spark, tmp_path):
+    sf = str(tmp_path)
+    li = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp_ntz"
+    rows = [(o, n, o * n % 5, o % 3, 100.5 * o, float(n), 0.01 * n, 0.02 * n, "2020-01-01") for o in range(1, 9) for n in range(1, 4)]
+    rows += [(1, 1, 1, 1, 3.25, 9.0, 0.5, 0.01, "2019-01-01"), (1, 1, 1, 1, 990.0, 2.0, None, 0.08, "2021-01-01")]   # copies of an id that differ
+    rows += [(None, 1, 2, 1, 5.0, 1.0, 0.1, 0.2, None), (3, 3, 99, 0, 1.0, 1.0, 0.1, 0.1, "2020-01-01")]             # null key, no such part
+    rows += [(5, 7, None, 1, 2.0, 0.5, 0.1, -1.0, "2020-01-01"), (None, 5, 7, 1, 4.0, 5.0, 0.1, 0.3, "2020-01-01")]  # one id, one of them without a part
+    tables = {
+        "lineitem": spark.createDataFrame(rows, li.replace("timestamp_ntz", "string")).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")),
+        "part": spark.createDataFrame([(k, f"p{k}") for k in range(5)] + [(7, "p7"), (2, "another p2")], "p_partkey long, p_name string"),
+        "supplier": spark.createDataFrame([(k, f"s{k}", 10.0 * k) for k in range(3)], "s_suppkey long, s_name string, s_acctbal double"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{sf}/{name}.parquet")
+    wanted = ("song_id", "artist_id", "artist", "title", "tempo", "loudness", "danceability", "key", "mode")
+    one = V.catalog_with_attributes(spark, sf, *wanted)
+    two = V.catalog(spark, sf, *wanted).join(V.song_attributes(spark, sf), "song_id")
+    assert one.columns == two.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and one.count() == 26
+    from cadenza.plans.registry import load_all
+
+    plan = load_all()["extremes_by_attribute"].fn(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1   # line items are read once
+
+
+def test_a_pair_is_added_up_once_and_turned_both_ways(spark):
+    from cadenza.operators import discover as D
+
+    per = spark.createDataFrame([(g, m, 1 + (g * m) % 3) for g in range(40) for m in range(g % 9)] + [(None, 1, 1), (None, 2, 1)], "g long, m long, n long")
+    pairs = D.co_occurrence(per, "g", "m", parts=5)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "(src" in plan and "<" in plan and "RepartitionByExpression [_g" not in plan   # no block is dealt where no group is large
+    weights = {(r.src, r.dst): r.weight for r in pairs.collect()}
+    assert len(weights) == pairs.count() == 8 * 7 and all(weights[d, s] == w for (s, d), w in weights.items())
+    assert weights[0, 1] == sum(1 + g % 3 for g in range(40) if g % 9 > 1)
+
+
+def test_extremes_keep_ties_by_id_over_many_batches(spark):
+    from cadenza.operators import discover as D
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        rows = [(f"s{i * 7919 % 1000:04d}", float(i % 3), None if i % 5 else float(-i), float("nan") if i % 2 else i / 7) for i in range(1000)]
+        df = spark.createDataFrame(rows, "song_id string, a double, b double, c double").repartition(3)
+        got = {(r.attribute, r.direction, r["rank"]): r.song_id for r in D.extremes_by_attribute(df, ["a", "b", "c"], 20).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for at, a in enumerate("abc", 1):
+        known = [(r[at], r[0]) for r in rows if r[at] is not None and r[at] == r[at]]
+        for direction, sign in (("asc", 1), ("desc", -1)):
+            want = [i for _, i in sorted((sign * k, i) for k, i in known)[:20]]
+            assert [got[a, direction, n] for n in range(1, 21)] == want
