@@ -158,3 +158,19 @@ def test_extremes_keep_ties_by_id_over_many_batches(spark):
         for direction, sign in (("asc", 1), ("desc", -1)):
             want = [i for _, i in sorted((sign * k, i) for k, i in known)[:20]]
             assert [got[a, direction, n] for n in range(1, 21)] == want
+
+
+def test_a_single_file_is_written_from_rows_that_many_tasks_worked_out(spark, tmp_path):
+    from cadenza.sources import io as IO
+
+    tasks = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        tasks.add(1)
+        yield from batches
+
+    df = spark.range(1000).repartition(4, "id").mapInPandas(once, "id long")
+    path = str(tmp_path / "one")
+    IO.write_single_file(df, path)
+    assert tasks.value == 4 and sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1000))
+    assert sum(f.startswith("part-") for f in os.listdir(path)) == 1
