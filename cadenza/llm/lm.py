@@ -37,6 +37,7 @@ id and text are read, so other columns' names cannot clash.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -245,6 +246,32 @@ def word_counts(packed: DataFrame, parts: int, path: str) -> DataFrame:
 
 # --- the model ---------------------------------------------------------------
 
+_ONES = np.ones(max(CLASSES, STRIDE + CONTEXT), np.float32)
+_FAR = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(STRIDE + CONTEXT)[None, :]
+_CELLS = {n: np.arange(SLOTS * n).reshape(SLOTS, n) for n in (WIDTH, 2 * WIDTH)}
+_SPACE: dict[tuple, np.ndarray] = {}
+
+
+def _space(name: str, *shape: int, kind=np.float32) -> np.ndarray:
+    """An array of this process, used again by each call: large arrays made
+    anew cost as much in fresh pages as the work on them."""
+    size = math.prod(shape)
+    key = name, np.dtype(kind)
+    if key not in _SPACE or _SPACE[key].size < size:
+        _SPACE[key] = np.empty(size, kind)
+    return _SPACE[key][:size].reshape(shape)
+
+
+def _rows(name: str, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.take(table, at, axis=0, out=_space(name, *at.shape, table.shape[1], kind=table.dtype), mode="clip")
+
+
+def _by_slot(slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each slot."""
+    width = rows.shape[2]
+    cells = np.take(_CELLS[width], slots.reshape(-1), axis=0, out=_space("cells", slots.size, width, kind=np.int64), mode="clip")
+    return np.bincount(cells.reshape(-1), rows.reshape(-1), SLOTS * width).reshape(SLOTS, width)
+
 
 class Model:
     """Slots, classes and their tables, and the attention weights."""
@@ -287,45 +314,64 @@ class Model:
 
     def bias(self) -> np.ndarray:
         """Added to the scores of a window: by distance, and minus a large number where a key is not before the query."""
-        far = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(STRIDE + CONTEXT)[None, :]
-        return np.where(far >= 0, self.weights["distance"][np.abs(far)], np.float32(-1e9)).astype(np.float32)
+        return np.where(_FAR >= 0, self.weights["distance"][np.abs(_FAR)], np.float32(-1e9)).astype(np.float32)
 
     def forward(self, slots: np.ndarray, stable: bool = True) -> tuple[np.ndarray, ...]:
         """Class logits of the scored places of windows, slots (n, CONTEXT +
-        STRIDE).  Not ``stable``: without a guard against overflow, which the
-        caller sees as a value that is not finite."""
-        w = self.weights
-        q, k, v = w["q"][slots[:, CONTEXT:]], w["k"][slots], w["v"][slots]
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        a *= np.float32(WIDTH**-0.5)
+        STRIDE); what it returns holds until the next call.  Not ``stable``:
+        without a guard against overflow, which the caller sees as a value that
+        is not finite."""
+        w, n, asking = self.weights, len(slots), slots[:, CONTEXT:]
+        kind = w["o"].dtype
+        q = _rows("q", w["q"] * np.float32(WIDTH**-0.5), asking)
+        k, v = _rows("k", w["k"], slots), _rows("v", w["v"], slots)
+        a = np.matmul(q, k.transpose(0, 2, 1), out=_space("a", n, STRIDE, STRIDE + CONTEXT, kind=kind))
         a += self.bias()
         if stable:
             a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
-        out = np.matmul(a, v)
-        logits = self.after[slots[:, CONTEXT:]] + out @ w["o"]
+        a *= (1 / (a @ _ONES[: STRIDE + CONTEXT]))[:, :, None]
+        out = np.matmul(a, v, out=_space("out", n, STRIDE, WIDTH, kind=kind))
+        logits = np.matmul(out.reshape(-1, WIDTH), w["o"], out=_space("logits", n * STRIDE, CLASSES, kind=kind)).reshape(n, STRIDE, CLASSES)
+        logits += _rows("after", self.after, asking)
         return logits, a, out, q, k, v
 
     def gradients(self, slots: np.ndarray, target: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over the places where ``real``."""
-        logits, a, out, q, k, v = self.forward(slots)
-        p = np.exp(logits - logits.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        np.put_along_axis(p, target[:, :, None], np.take_along_axis(p, target[:, :, None], 2) - 1, 2)
-        p *= real[:, :, None] / np.float32(max(1, real.sum()))
-        w, g = self.weights, {}
-        g["o"] = out.reshape(-1, WIDTH).T @ p.reshape(-1, CLASSES)
-        d_out = p @ w["o"].T
-        d_a = np.matmul(d_out, v.transpose(0, 2, 1))
-        d_v = np.matmul(a.transpose(0, 2, 1), d_out)
-        d_a = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
-        far = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(STRIDE + CONTEXT)[None, :]
-        g["distance"] = np.bincount(np.abs(far).ravel(), (d_a.sum(axis=0) * (far >= 0)).ravel(), STRIDE + CONTEXT).astype(np.float32)
-        d_a *= np.float32(WIDTH**-0.5)
-        for name, rows, d in (("q", slots[:, CONTEXT:], np.matmul(d_a, k)), ("k", slots, np.matmul(d_a.transpose(0, 2, 1), q)), ("v", slots, d_v)):
-            cells = rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-            g[name] = np.bincount(cells.ravel(), d.ravel(), SLOTS * WIDTH).reshape(SLOTS, WIDTH)
+        share = (real / np.float32(max(1, real.sum()))).astype(np.float32)
+        with np.errstate(all="ignore"):
+            g = self._gradients(slots, target, share, False)
+        return self._gradients(slots, target, share, True) if g is None else g
+
+    def _gradients(self, slots: np.ndarray, target: np.ndarray, share: np.ndarray, stable: bool) -> dict[str, np.ndarray] | None:
+        """Of the sum of cross-entropies weighted by ``share``; None where a
+        product without a guard left the range of numbers."""
+        logits, a, out, q, k, v = self.forward(slots, stable)
+        w, g, kind = self.weights, {}, logits.dtype
+        p = logits.reshape(-1, CLASSES)
+        if stable:
+            p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        total = p @ _ONES[:CLASSES]
+        if not stable and not (np.isfinite(total) & (total > 0)).all():
+            return None
+        p.reshape(-1)[np.arange(len(p)) * CLASSES + target.ravel()] -= total
+        scale = (share.ravel() / total).reshape(share.shape)[:, :, None]  # of the rows of p, put on the narrow side of the products
+        g["o"] = np.multiply(out, scale, out=_space("scaled", *out.shape, kind=kind)).reshape(-1, WIDTH).T @ p
+        d_out = np.matmul(p, w["o"].T, out=_space("d_out", *p.shape[:1], WIDTH, kind=kind)).reshape(out.shape)
+        d_out *= scale
+        d_a = np.matmul(d_out, v.transpose(0, 2, 1), out=_space("d_a", *a.shape, kind=kind))
+        d_a -= np.multiply(d_out, out, out=_space("scaled", *out.shape, kind=kind)) @ _ONES[:WIDTH, None]  # the mean of d_a under a
+        d_a *= a
+        g["distance"] = np.bincount(np.abs(_FAR).ravel(), (d_a.sum(axis=0) * (_FAR >= 0)).ravel(), STRIDE + CONTEXT).astype(np.float32)
+        d_k, d_q = _space("d_k", *k.shape, kind=kind), _space("d_q", *q.shape, kind=kind)
+        both, asked = _space("both", *slots.shape, 2 * WIDTH, kind=np.float64), _space("asked", *q.shape, kind=np.float64)
+        both[:, :, :WIDTH] = np.matmul(d_a.transpose(0, 2, 1), q, out=d_k)
+        both[:, :, WIDTH:] = np.matmul(a.transpose(0, 2, 1), d_out, out=d_k)
+        asked[:] = np.matmul(d_a, k, out=d_q)
+        d_kv = _by_slot(slots, both)
+        g["q"] = _by_slot(slots[:, CONTEXT:], asked) * WIDTH**-0.5
+        g["k"], g["v"] = d_kv[:, :WIDTH], d_kv[:, WIDTH:]
         return g
 
     def steps(self, slots: np.ndarray, target: np.ndarray, real: np.ndarray, batch: int = 64, rate: float = 0.05, seen: dict | None = None) -> dict:
@@ -353,11 +399,11 @@ class Model:
         logits = self.forward(slots, stable)[0]
         if stable:
             logits -= logits.max(axis=2, keepdims=True)
-        picked = np.take_along_axis(logits, target[:, :, None], 2)[:, :, 0]
+        picked = logits.reshape(-1)[np.arange(target.size) * CLASSES + target.ravel()].reshape(target.shape)
         np.exp(logits, out=logits)
-        return picked - np.log(logits.sum(axis=2))
+        return picked - np.log(logits @ _ONES[:CLASSES])
 
-    def score(self, flat: np.ndarray, lengths, batch: int = 128) -> np.ndarray:
+    def score(self, flat: np.ndarray, lengths, batch: int = 64) -> np.ndarray:
         """log10 probability of each text."""
         slots, target, real, owner = windows(flat, np.asarray(lengths), self)
         total = np.zeros(len(lengths))

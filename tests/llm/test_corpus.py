@@ -426,6 +426,27 @@ def test_lm_gradients_are_right():
             assert abs((up - down) / 2e-5 - g[name][at]) < 1e-4 + 1e-2 * abs(g[name][at])
 
 
+def test_lm_works_in_the_same_arrays_and_with_large_weights():
+    """A step allocates little beyond its gradients; weights that overflow without a guard take the guarded way."""
+    import tracemalloc
+
+    m, rng = small_model(3)
+    slots, target = rng.integers(0, lm.SLOTS, (64, lm.CONTEXT + lm.STRIDE)), rng.integers(0, lm.CLASSES, (64, lm.STRIDE))
+    real = rng.random((64, lm.STRIDE)) < 0.8
+    one = {n: x.copy() for n, x in m.gradients(slots, target, real).items()}
+    m.gradients(slots[:5], target[:5], real[:5])  # a shorter block in the same arrays
+    tracemalloc.start()
+    two = m.gradients(slots, target, real)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * lm.STRIDE * lm.CLASSES * 4  # less than the logits alone
+    assert all((one[n] == two[n]).all() for n in one)
+    m.weights["q"] = (m.weights["q"] * 1e4).astype(np.float32)
+    m.weights["k"] = (m.weights["k"] * 1e4).astype(np.float32)
+    large = m.gradients(slots, target, real)
+    assert all(np.isfinite(x).all() for x in large.values())
+
+
 def test_lm_learns_held_out_text():
     """Attention beats the table by last id alone on held-out text, which beats frequencies."""
     rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()
