@@ -45,6 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -77,7 +78,7 @@ _APART = 2000  # a word of more characters is encoded on its own
 _BLANK = re.compile("[^\\S ]")
 
 
-def subwords(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words, each with a blank before it, and their number a word.
 
     Many words are encoded as one text: the pattern that splits a text parts
@@ -85,7 +86,7 @@ def subwords(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     blanks of other kinds in them (U+00A0 and the like) are not parted there
     from their neighbours, and are encoded on their own."""
     e = encoder(path)
-    texts = [" " + w.decode() for w in words]
+    texts = [" " + w for w in words]
     ids, sizes = [], np.ones(len(words), np.int64)
     for s in range(0, len(texts), 4096):
         some = texts[s : s + 4096]
@@ -103,22 +104,24 @@ def subwords(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def packed_ids(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts in one array, each closed by the end, and their number per text."""
-    place: dict[bytes, int] = {}
-    order, counts = [], []
-    for t in texts:
-        ws = (t or "").encode().lower().split()  # bytes: only A-Z, and only the six blanks
-        order += [place.setdefault(w, len(place) + 1) for w in ws]
-        order.append(0)  # the end
-        counts.append(len(ws) + 1)
-    pieces, sizes = subwords(list(place), path)
+    lowered = pc.ascii_lower(pa.array(["" if t is None else t for t in texts], pa.large_string()))  # only A-Z
+    split = pc.ascii_split_whitespace(lowered)  # only the six blanks; those at a text's ends leave empty words
+    parts = split.flatten()
+    full = np.asarray(pc.binary_length(parts)) > 0
+    counts = np.add.reduceat(np.r_[full, False].astype(np.int64), np.asarray(split.offsets)[:-1]) + 1 if len(texts) else np.zeros(0, np.int64)
+    coded = parts.filter(pa.array(full)).dictionary_encode()
+    word_ends = np.cumsum(counts)
+    order = np.zeros(word_ends[-1] if len(texts) else 0, np.int64)  # zero: the end
+    is_word = np.ones(len(order), bool)
+    is_word[word_ends - 1] = False
+    order[is_word] = np.asarray(coded.indices) + 1
+    pieces, sizes = subwords(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), path)
     pieces, sizes = np.r_[np.array([_END], np.uint16), pieces], np.r_[1, sizes]
-    order = np.array(order, np.int64)
     starts = np.cumsum(sizes) - sizes
     n = sizes[order]
     ends = np.cumsum(n)
     at = np.repeat(starts[order] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-    word_ends = np.cumsum(counts)
-    lengths = np.diff(np.r_[0, ends[word_ends - 1]]) if counts else np.zeros(0, np.int64)
+    lengths = np.diff(np.r_[0, ends[word_ends - 1]]) if len(texts) else np.zeros(0, np.int64)
     return pieces[at], lengths
 
 
@@ -203,7 +206,7 @@ def _distinct(flat: np.ndarray, lengths, ids, path: str, parts: int):
     h = word_hashes(flat, path)
     word_at = np.flatnonzero(_starts(flat, path))
     training = np.repeat([not held_out(i) for i in ids], lengths)[word_at]
-    names, which = np.unique(h, return_inverse=True)
+    which, names = pd.factorize(h)
     part = (names % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((names, part))
     rank = np.empty(len(order), np.int64)
@@ -248,6 +251,7 @@ def word_counts(packed: DataFrame, parts: int, path: str) -> DataFrame:
 
 _ONES = np.ones(max(CLASSES, STRIDE + CONTEXT), np.float32)
 _FAR = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(STRIDE + CONTEXT)[None, :]
+_DISTANCE, _BEFORE = np.abs(_FAR).ravel(), _FAR >= 0
 _CELLS = {n: np.arange(SLOTS * n).reshape(SLOTS, n) for n in (WIDTH, 2 * WIDTH)}
 _SPACE: dict[tuple, np.ndarray] = {}
 
@@ -314,27 +318,33 @@ class Model:
 
     def bias(self) -> np.ndarray:
         """Added to the scores of a window: by distance, and minus a large number where a key is not before the query."""
-        return np.where(_FAR >= 0, self.weights["distance"][np.abs(_FAR)], np.float32(-1e9)).astype(np.float32)
+        return np.where(_BEFORE, self.weights["distance"][_DISTANCE].reshape(_FAR.shape), np.float32(-1e9)).astype(np.float32)
+
+    def shared(self) -> tuple[np.ndarray, np.ndarray]:
+        """What all windows of a batch share: scaled queries by slot and the bias."""
+        return self.weights["q"] * np.float32(WIDTH**-0.5), self.bias()
 
-    def forward(self, slots: np.ndarray, stable: bool = True) -> tuple[np.ndarray, ...]:
+    def forward(self, slots: np.ndarray, stable: bool = True, shared: tuple | None = None) -> tuple[np.ndarray, ...]:
         """Class logits of the scored places of windows, slots (n, CONTEXT +
         STRIDE); what it returns holds until the next call.  Not ``stable``:
         without a guard against overflow, which the caller sees as a value that
-        is not finite."""
+        is not finite.  The attention comes as it is before the division by its
+        sums, with one over these: narrower arrays are divided instead."""
         w, n, asking = self.weights, len(slots), slots[:, CONTEXT:]
         kind = w["o"].dtype
-        q = _rows("q", w["q"] * np.float32(WIDTH**-0.5), asking)
-        k, v = _rows("k", w["k"], slots), _rows("v", w["v"], slots)
+        scaled, bias = shared or self.shared()
+        q, k, v = _rows("q", scaled, asking), _rows("k", w["k"], slots), _rows("v", w["v"], slots)
         a = np.matmul(q, k.transpose(0, 2, 1), out=_space("a", n, STRIDE, STRIDE + CONTEXT, kind=kind))
-        a += self.bias()
+        a += bias
         if stable:
             a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
-        a *= (1 / (a @ _ONES[: STRIDE + CONTEXT]))[:, :, None]
+        over = (1 / (a.reshape(-1, STRIDE + CONTEXT) @ _ONES[: STRIDE + CONTEXT])).reshape(n, STRIDE, 1)
         out = np.matmul(a, v, out=_space("out", n, STRIDE, WIDTH, kind=kind))
+        out *= over
         logits = np.matmul(out.reshape(-1, WIDTH), w["o"], out=_space("logits", n * STRIDE, CLASSES, kind=kind)).reshape(n, STRIDE, CLASSES)
         logits += _rows("after", self.after, asking)
-        return logits, a, out, q, k, v
+        return logits, a, over, out, q, k, v
 
     def gradients(self, slots: np.ndarray, target: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over the places where ``real``."""
@@ -346,24 +356,25 @@ class Model:
     def _gradients(self, slots: np.ndarray, target: np.ndarray, share: np.ndarray, stable: bool) -> dict[str, np.ndarray] | None:
         """Of the sum of cross-entropies weighted by ``share``; None where a
         product without a guard left the range of numbers."""
-        logits, a, out, q, k, v = self.forward(slots, stable)
+        logits, a, over, out, q, k, v = self.forward(slots, stable)
         w, g, kind = self.weights, {}, logits.dtype
         p = logits.reshape(-1, CLASSES)
         if stable:
             p -= p.max(axis=1, keepdims=True)
         np.exp(p, out=p)
         total = p @ _ONES[:CLASSES]
-        if not stable and not (np.isfinite(total) & (total > 0)).all():
+        if not stable and not ((np.isfinite(total) & (total > 0)).all() and 1e-15 < over.min() and over.max() < 1e15):
             return None
         p.reshape(-1)[np.arange(len(p)) * CLASSES + target.ravel()] -= total
         scale = (share.ravel() / total).reshape(share.shape)[:, :, None]  # of the rows of p, put on the narrow side of the products
-        g["o"] = np.multiply(out, scale, out=_space("scaled", *out.shape, kind=kind)).reshape(-1, WIDTH).T @ p
+        scaled = np.multiply(out, scale, out=_space("scaled", *out.shape, kind=kind))
+        g["o"] = np.ascontiguousarray((p.T @ scaled.reshape(-1, WIDTH)).T)  # faster than the transposed product
         d_out = np.matmul(p, w["o"].T, out=_space("d_out", *p.shape[:1], WIDTH, kind=kind)).reshape(out.shape)
-        d_out *= scale
+        d_out *= scale * over
         d_a = np.matmul(d_out, v.transpose(0, 2, 1), out=_space("d_a", *a.shape, kind=kind))
-        d_a -= np.multiply(d_out, out, out=_space("scaled", *out.shape, kind=kind)) @ _ONES[:WIDTH, None]  # the mean of d_a under a
+        d_a -= np.multiply(d_out, out, out=scaled).reshape(-1, WIDTH).dot(_ONES[:WIDTH]).reshape(scale.shape)  # the mean of d_a under a
         d_a *= a
-        g["distance"] = np.bincount(np.abs(_FAR).ravel(), (d_a.sum(axis=0) * (_FAR >= 0)).ravel(), STRIDE + CONTEXT).astype(np.float32)
+        g["distance"] = np.bincount(_DISTANCE, (d_a.sum(axis=0) * _BEFORE).ravel(), STRIDE + CONTEXT)
         d_k, d_q = _space("d_k", *k.shape, kind=kind), _space("d_q", *q.shape, kind=kind)
         both, asked = _space("both", *slots.shape, 2 * WIDTH, kind=np.float64), _space("asked", *q.shape, kind=np.float64)
         both[:, :, :WIDTH] = np.matmul(d_a.transpose(0, 2, 1), q, out=d_k)
@@ -380,8 +391,12 @@ class Model:
         seen = seen or {n: np.full_like(x, 1e-6) for n, x in self.weights.items()}
         for s in range(0, len(slots), batch):
             for n, g in self.gradients(slots[s : s + batch], target[s : s + batch], real[s : s + batch]).items():
-                seen[n] += g * g
-                self.weights[n] -= (rate * g / np.sqrt(seen[n])).astype(self.weights[n].dtype)
+                g = g.astype(self.weights[n].dtype)
+                move = np.multiply(g, g, out=_space("move", *g.shape, kind=g.dtype))
+                seen[n] += move
+                np.divide(g, np.sqrt(seen[n], out=move), out=move)
+                move *= rate
+                self.weights[n] -= move
         return seen
 
     def flat(self) -> np.ndarray:
@@ -394,26 +409,27 @@ class Model:
             self.weights[n] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
             at += x.size
 
-    def _picked(self, slots: np.ndarray, target: np.ndarray, stable: bool) -> np.ndarray:
+    def _picked(self, slots: np.ndarray, target: np.ndarray, stable: bool, shared: tuple) -> np.ndarray:
         """Log probability of the target classes."""
-        logits = self.forward(slots, stable)[0]
+        logits = self.forward(slots, stable, shared)[0]
         if stable:
             logits -= logits.max(axis=2, keepdims=True)
         picked = logits.reshape(-1)[np.arange(target.size) * CLASSES + target.ravel()].reshape(target.shape)
         np.exp(logits, out=logits)
-        return picked - np.log(logits @ _ONES[:CLASSES])
+        return picked - np.log(logits.reshape(-1, CLASSES) @ _ONES[:CLASSES]).reshape(target.shape)
 
     def score(self, flat: np.ndarray, lengths, batch: int = 64) -> np.ndarray:
         """log10 probability of each text."""
         slots, target, real, owner = windows(flat, np.asarray(lengths), self)
-        total = np.zeros(len(lengths))
+        shared, each = self.shared(), np.zeros(len(slots))
         for s in range(0, len(slots), batch):
             with np.errstate(all="ignore"):
-                lp = self._picked(slots[s : s + batch], target[s : s + batch], False)
+                lp = self._picked(slots[s : s + batch], target[s : s + batch], False, shared)
             if not np.isfinite(lp).all():
-                lp = self._picked(slots[s : s + batch], target[s : s + batch], True)
+                lp = self._picked(slots[s : s + batch], target[s : s + batch], True, shared)
             lp *= real[s : s + batch]
-            total += np.bincount(owner[s : s + batch], lp.sum(axis=1, dtype=np.float64), len(lengths))
+            each[s : s + batch] = lp @ _ONES[:STRIDE]
+        total = np.bincount(owner, each, len(lengths))
         inside = self.inside[flat]
         if len(lengths):
             first = np.cumsum(lengths) - lengths
@@ -426,17 +442,21 @@ def windows(flat: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np.nda
     the scored ids, which of them are real, and the text of each window.  The
     end stands before a text's first id and as often before that as needed."""
     lengths = np.asarray(lengths, np.int64)
-    first = np.cumsum(lengths) - lengths
     n = -(-lengths // STRIDE)
     owner = np.repeat(np.arange(len(lengths)), n)
     number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    place = (number * STRIDE)[:, None] + np.arange(STRIDE)[None, :]  # of the scored id in its text
-    real = place < lengths[owner][:, None]
-    at = first[owner][:, None] + np.minimum(place, lengths[owner][:, None] - 1)
-    before = (number * STRIDE)[:, None] - CONTEXT - 1 + np.arange(STRIDE + CONTEXT)[None, :]
-    seen = first[owner][:, None] + np.clip(before, 0, lengths[owner][:, None] - 1)
-    slots = np.where(before >= 0, model.slot[flat[seen]], model.slot[_END])
-    return slots, model.klass[flat[at]], real, owner
+    first = (np.cumsum(lengths) - lengths)[owner] + number * STRIDE  # scored id of a window
+    left = (lengths[owner] - number * STRIDE)[:, None]  # ids from there to the text's end
+    place, before = np.arange(STRIDE)[None, :], np.arange(STRIDE + CONTEXT)[None, :] - CONTEXT - 1
+    slots = np.take(model.slot[flat], first[:, None] + before, mode="clip")
+    target = np.take(model.klass[flat], first[:, None] + place, mode="clip")
+    early = np.flatnonzero(number * STRIDE <= CONTEXT)
+    slots[early] = np.where(before >= -number[early, None] * STRIDE, slots[early], model.slot[_END])
+    late = np.flatnonzero(left[:, 0] < STRIDE)  # what stands behind a text's last id counts as that id
+    last = flat[first[late] + left[late, 0] - 1][:, None]
+    slots[late] = np.where(before < left[late], slots[late], model.slot[last])
+    target[late] = np.where(place < left[late], target[late], model.klass[last])
+    return slots, target, place < left, owner
 
 
 def _ids_of(row) -> list:

@@ -447,6 +447,39 @@ def test_lm_works_in_the_same_arrays_and_with_large_weights():
     assert all(np.isfinite(x).all() for x in large.values())
 
 
+def test_lm_words_and_windows_are_worked_out_in_whole_arrays():
+    """Ids are those of the words one by one; Python handles the distinct words only, and windows need few wide arrays."""
+    import tracemalloc
+
+    path, rng = tokenizer_path(), np.random.default_rng(1)
+    odd = [None, "", " \n", "\t Aa\x0b aA\x0c\rAA é É İ ", "a\x1cb \x1d \x85", "\u00a0 \u00a0\u00a0 x", "q" * 3000, "<|endoftext|>"]
+    flat, lengths = lm.packed_ids(odd, path)
+    want = [np.concatenate([lm.subwords([w.decode()], path)[0] for w in (t or "").encode().lower().split()] + [[50256]]) for t in odd]
+    assert lengths.tolist() == [len(w) for w in want] and flat.tolist() == np.concatenate(want).tolist()
+    assert [len(x) for x in lm.packed_ids([], path)] == [0, 0]
+
+    flat, lengths = lm.packed_ids([" ".join(rng.choice([f"w{i}" for i in range(500)], 1000)) for _ in range(200)], path)
+    m = lm.Model(np.bincount(flat, minlength=1 << 16))
+    tracemalloc.start()
+    slots, _, real, _ = lm.windows(flat, lengths, m)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert real.sum() == len(flat) and peak < 32 * len(flat)
+
+
+def test_lm_far_attention_takes_the_guarded_way():
+    """Sums of the attention too small for the narrow division give the guarded gradients."""
+    m, rng = small_model(4)
+    slots, target = rng.integers(0, lm.SLOTS, (8, lm.CONTEXT + lm.STRIDE)), rng.integers(0, lm.CLASSES, (8, lm.STRIDE))
+    real = np.ones((8, lm.STRIDE), bool)
+    for far in (-80, 80):
+        m.weights["distance"] = np.full(lm.STRIDE + lm.CONTEXT, far, np.float32)
+        got = {n: x.copy() for n, x in m.gradients(slots, target, real).items()}
+        m.weights["distance"] = np.zeros(lm.STRIDE + lm.CONTEXT, np.float32)  # the same for all: takes no part in the shares
+        want = m.gradients(slots, target, real)
+        assert all(np.allclose(got[n], want[n], rtol=1e-3, atol=1e-6) for n in got)
+
+
 def test_lm_learns_held_out_text():
     """Attention beats the table by last id alone on held-out text, which beats frequencies."""
     rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet' ORDER BY doc_id").fetchall()
