@@ -174,3 +174,14 @@ def test_a_single_file_is_written_from_rows_that_many_tasks_worked_out(spark, tm
     IO.write_single_file(df, path)
     assert tasks.value == 4 and sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1000))
     assert sum(f.startswith("part-") for f in os.listdir(path)) == 1
+
+
+def test_a_join_on_the_model_cluster_takes_no_arithmetic_to_the_scan(spark):
+    from cadenza.plans import serving as SV
+    from cadenza.plans.q_recommend import MODEL
+
+    sf = "/root/testdata/sf0.001"
+    req = SV.assigner(MODEL)(RC.clean_requests(V.requests(spark, sf)))
+    assert not req.schema["cluster_id"].nullable
+    known = req.select("recommendation_id", "cluster_id").join(spark.range(11).selectExpr("int(id) AS cluster_id"), "cluster_id")
+    assert len(known._jdf.queryExecution().optimizedPlan().toString()) < 30_000   # some 800,000 before
