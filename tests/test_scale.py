@@ -185,3 +185,16 @@ def test_a_join_on_the_model_cluster_takes_no_arithmetic_to_the_scan(spark):
     assert not req.schema["cluster_id"].nullable
     known = req.select("recommendation_id", "cluster_id").join(spark.range(11).selectExpr("int(id) AS cluster_id"), "cluster_id")
     assert len(known._jdf.queryExecution().optimizedPlan().toString()) < 30_000   # some 800,000 before
+
+
+def test_a_stream_batch_behind_the_model_has_a_small_plan(spark):
+    from cadenza.operators import clean as C
+    from cadenza.plans import serving as SV
+    from cadenza.plans.q_recommend import MODEL, model_catalog
+
+    sf = "/root/testdata/sf0.001"
+    blocks = RC.block_index(RC.harmonic_index(model_catalog(spark, sf)), ["cluster_id", "camelot"])
+    good, _ = C.split_tagged(C.tag_bad_rows(V.request_messages(spark, sf)))
+    replies = RC.recommend_batch(good, None, SV.assigner(MODEL), index=blocks)
+    assert len(replies._jdf.queryExecution().optimizedPlan().toString()) < 200_000   # millions before
+    assert replies.count() > 0
