@@ -226,3 +226,47 @@ def test_classifier_is_fitted_in_passes_over_blocks(spark, monkeypatch):
     assert np.array_equal(again.weights.toArray(), model.weights.toArray())
     r = CL.evaluate_classifier(CL.predict_proba(again, data))
     assert r["accuracy"] > 0.8
+
+
+def test_settled_classes_make_a_pass_no_slower():
+    """Shares of e^-95 are below the normal single numbers; products of them cost many times as much."""
+    import time
+
+    from cadenza.operators import mlp as M
+
+    layers, rng = [6, 128, 64, 11], np.random.default_rng(0)
+    x, y = rng.normal(size=(16384, 6)).astype(np.float32), np.zeros(16384, np.int32)
+    plain = M.start_weights(layers, 42)
+    settled = plain.copy()
+    settled[-11:] = [0.0] + [-95.0] * 10
+
+    def seconds(w):
+        best = np.inf
+        for _ in range(4):
+            t = time.process_time()
+            M.loss_and_gradient(x, y, w, layers)
+            best = min(best, time.process_time() - t)
+        return best
+
+    assert seconds(settled) < 3 * seconds(plain)
+    one, g = M.loss_and_gradient(x, y, settled, layers)
+    exact, h = M.loss_and_gradient(x.astype(np.float64), y, settled, layers)
+    assert np.allclose(one, exact, atol=1e-3) and np.allclose(g, h, atol=1e-2)
+
+
+def test_a_model_behind_the_scaler_is_compiled(spark):
+    """No method of its generated code is so long (8,000 bytes) that the JVM only interprets it."""
+    from cadenza.plans import model as MD
+    from cadenza.plans import serving as SV
+    from cadenza.plans.q_recommend import MODEL
+
+    path = checkpoint_dir(spark, "test-compiled")
+    spark.range(200).selectExpr("id", "40 + id % 200.0D AS tempo", "-id % 60.0D AS loudness", "int(id % 12) AS key", "int(id % 2) AS mode", "int(1 + id % 5) AS time_signature").write.parquet(path)
+    rows = spark.read.parquet(path)
+    pipe = MD.Pipeline(stages=[MD.assembler(MODEL.spec), MD.scaler(), MD.weighting(MODEL.spec)])
+    nearest = MD.KM.NearestCenter(featuresCol="weighted_scaled_features", predictionCol="cluster_id", centers=[list(c) for c in MODEL.centers])
+    songs = MD.prepare(rows, MODEL.spec)
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    for df in (nearest.transform(pipe.fit(songs).transform(songs)).select("id", "weighted_scaled_features", "cluster_id"), SV.assigner(MODEL)(rows)):
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
