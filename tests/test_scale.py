@@ -198,3 +198,55 @@ def test_a_stream_batch_behind_the_model_has_a_small_plan(spark):
     replies = RC.recommend_batch(good, None, SV.assigner(MODEL), index=blocks)
     assert len(replies._jdf.queryExecution().optimizedPlan().toString()) < 200_000   # millions before
     assert replies.count() > 0
+
+
+def test_segments_join_their_songs_without_a_second_pass(spark, tmp_path):
+    sf = str(tmp_path)
+    rows = [(o, n, o * n % 5, o % 3) for o in range(12) for n in range(0, 8)] + [(3, 1, 3, 0), (-5, 2, 1, 1), (-1, 3, 1, 0), (None, 3, 1, 1), (4, None, 1, 1), (9, 9, 77, 0)]
+    emb = [(i, [float(i + j) for j in range(14)]) for i in range(7) if i != 4] + [(2, [9.0] * 14), (2, None), (None, [1.0] * 14), (-1, [5.0] * 14), (40, [2.0] * 14)]
+    tables = {
+        "lineitem": spark.createDataFrame([(o, n, p, s, 1.0 * (o or 0), 1.0, 0.1, 0.1, None) for o, n, p, s in rows],
+                                          "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp"),
+        "part": spark.createDataFrame([(k, f"p{k}") for k in range(5)], "p_partkey long, p_name string"),
+        "supplier": spark.createDataFrame([(k, f"s{k}", 1.0) for k in range(3)], "s_suppkey long, s_name string, s_acctbal double"),
+        "embeddings": spark.createDataFrame([(i, v, 0) for i, v in emb], "vec_id long, embedding array<float>, label int"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{sf}/{name}.parquet")
+    want = {}
+    for r in V.songs(spark, sf).select("song_id", "album_id", "artist_id", "time_signature").distinct().collect():
+        own = []
+        for j in range(3):
+            if r.album_id is not None and r.time_signature is not None and j < r.time_signature % 4:
+                base = r.album_id * 7 + r.artist_id + j
+                key = abs(base) % len(emb) * (1 if base >= 0 else -1)   # a remainder has the sign of its number
+                own += sorted((None if v is None else tuple(v[:12]) for i, v in emb if i == key), key=lambda v: (v is not None, v))
+        want[r.song_id] = own
+    got = {r.song_id: [None if v is None else tuple(v) for v in r.segments] for r in V.song_segments(spark, sf).collect()}
+    assert got == want and len({len(v) for v in want.values()}) > 3
+    assert {r.song_id: r.n for r in V.segment_sizes(spark, sf).collect()} == {k: len(v) for k, v in want.items()}
+    plan = V.song_segments(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1 and "Generate" not in plan   # read once, not split up and grouped again
+
+
+def test_prefix_sums_are_taken_as_the_rows_pass(spark):
+    from cadenza.operators import ragged as RG
+
+    rows = [(i * 7919 % 1000, None if i % 11 == 0 else i % 4, [float(i)]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "ord int, n int, more array<double>").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        off = RG.ragged_offsets(df, "ord", "n", parts=6)
+        got = {r.ord: (r.n, r.more, r.offset) for r in off.collect()}
+        ranks = RG.global_rank(df, ["n", "ord"], parts=6)
+        places = {r.ord: r.rank0 for r in ranks.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    before, want = 0, {}
+    for o, n, more in sorted(rows, key=lambda r: r[0]):
+        want[o] = (n, more, before)
+        before += n or 0
+    assert got == want and set(off.columns) == {"ord", "n", "more", "offset"}
+    assert places == {o: i for i, (_, o) in enumerate(sorted((-1 if n is None else n, o) for o, n, _ in rows))}
+    for df in (off, ranks):   # only the totals of the ranges are in a window, no row is sent again
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Window ") == 1
