@@ -12,7 +12,7 @@ from cadenza.sources import catalog as V
 
 
 def _mb(spark, sf):
-    return V.mb_artist(spark, sf), V.mb_track(spark, sf), V.mb_album(spark, sf), V.mb_release(spark, sf)
+    return V.mb_artist(spark, sf), V.mb_track(spark, sf, "name", "artist", "album"), V.mb_album(spark, sf), V.mb_release(spark, sf)
 
 
 MB_SQL = {
