@@ -288,3 +288,31 @@ def test_tracks_are_distinct_in_the_wanted_columns(spark):
     dated = V.mb_release(spark, sf).join(narrow, "album")
     assert dated._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(album") <= 2   # tracks are sent once
     assert "sha1" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_of_vectors_are_stored_compressed_and_read_back_whole(spark):
+    import numpy as np
+    from cadenza.operators import kmeans as KM
+
+    rows = [(f"s{i}", [float(i * 37 % 211) / 3, 0.0 if i % 3 else i / 7, float(i % 5), 0.0]) for i in range(5000)]
+    packed = KM.pack(spark.createDataFrame(rows, "id string, v array<double>").repartition(3), "v", "id", 2)
+    stored = KM.squeeze(packed)
+    size = lambda df: df.agg(F.sum(F.length("x"))).first()[0]
+    assert size(packed) == 5000 * 4 * 8 and size(stored) < 5000 * 4 * 8 / 2
+    assert KM.hash_start(stored, 2).tolist() == KM.hash_start(packed, 2).tolist()
+    back = [tuple(v) for b in stored.where("x IS NOT NULL").select("x", "n", "size").toArrow().to_batches() for x in KM._blocks(iter([b])) for v in x.T.tolist()]
+    assert sorted(back) == sorted(tuple(v) for _, v in rows) and np.isfinite(back).all()
+
+
+def test_features_of_the_older_model_send_the_line_items_once(spark, monkeypatch):
+    from cadenza.plans import q_ml as Q
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(Q, "song_timbre", lambda spark, sf, digits: spark.createDataFrame([], "song_id string, timbre_mean_0 double"))
+    plan = Q.features_v3(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1   # two before: the catalog and the attributes
+    monkeypatch.undo()
+    names = ["song_id", "title", "artist", "tempo", "loudness", "key", "mode", "time_signature", "duration"]
+    want = Q.training_songs(spark, sf).join(V.song_attributes(spark, sf), "song_id").select(names)
+    got = Q.features_v3(spark, sf)
+    assert got.columns[:9] == names and sorted(map(str, got.select(names).collect())) == sorted(map(str, want.collect()))
